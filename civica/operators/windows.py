@@ -49,16 +49,18 @@ def argmax_label(df: DataFrame, keys: Sequence[str], label: str, value: str, out
     return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(*agg)
 
 
-def group_mean_fill(df: DataFrame, group: Sequence[str], column: str, out: str | None = None) -> DataFrame:
+def group_mean_fill(df: DataFrame, group: Sequence[str], column: str, out: str | None = None,
+                    null_keys: bool = False) -> DataFrame:
     """``x.fillna(groupby(g)[x].transform('mean'))``: one aggregate per
-    group joined back on the group key (null keys match null keys)."""
+    group joined back on the group key.  As in pandas, rows whose key is
+    null are not a group and stay unfilled unless ``null_keys`` is set."""
     g = list(group)
     means = df.groupBy(*g).agg(F.avg(column).alias("__gmean"))
     ren = {k: f"__g_{k}" for k in g}
     means = means.withColumnsRenamed(ren)
     cond = None
     for k in g:
-        c = df[k].eqNullSafe(means[ren[k]])
+        c = df[k].eqNullSafe(means[ren[k]]) if null_keys else df[k] == means[ren[k]]
         cond = c if cond is None else cond & c
     j = df.join(means, cond, "left")
     return j.withColumn(out or column, F.coalesce(F.col(column), F.col("__gmean"))) \
