@@ -47,9 +47,14 @@ def masked_sum(df: DataFrame, value: str, mask: Column | None = None, out: str =
     return df.groupBy(*keys).agg(F.coalesce(F.sum(v), F.lit(0.0)).alias(out))
 
 
-def extents(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Minimum and maximum."""
-    return df.groupBy(*keys).agg(F.min(column).alias(f"min_{column}"), F.max(column).alias(f"max_{column}"))
+def extents(df: DataFrame, columns: Sequence[str] | str, keys: Sequence[str] = (),
+            distinct: Sequence[str] = ()) -> DataFrame:
+    """A6 (+A7 counts): minimum and maximum of each column, and the number
+    of distinct values of ``distinct`` columns, in one aggregate."""
+    cols = [columns] if isinstance(columns, str) else list(columns)
+    aggs = [f(c).alias(f"{p}_{c}") for c in cols for p, f in (("min", F.min), ("max", F.max))]
+    aggs += [F.count_distinct(c).alias(f"n_{c}") for c in distinct]
+    return df.groupBy(*keys).agg(*aggs)
 
 
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
