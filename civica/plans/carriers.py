@@ -154,3 +154,11 @@ def wide_suffixed(spark: SparkSession, d: str) -> DataFrame:
     from civica.operators.columns import block_rename_map, rename_aliases
     return rename_aliases(wide_numbered(spark, d), block_rename_map(len(LINES), {"Nom": "nom", "Voix": "voix"},
                                                                     first_suffix=".1"))
+
+
+def yearly_unemployment(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly unemployment as the mean of the quarterly values: one row per
+    year, so a join on the year does not multiply election rows by four
+    (the reference's fan-out, kept available as ``left_join_fanout``)."""
+    q = quarterly_unemployment(spark, d)
+    return q.groupBy("annee").agg(F.avg("taux_chomage").alias("taux_chomage"))
