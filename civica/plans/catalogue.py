@@ -18,8 +18,19 @@ for _m in _MODULES[1:]:
             raise
 
 
+def _utc(build):
+    """Catalogue semantics (years of timestamps) are defined in UTC."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return build(spark, sf_dir)
+    run.__name__ = build.__name__
+    run.__doc__ = build.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: q.build for k, q in REGISTRY.items()}
+    return {k: _utc(q.build) for k, q in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,7 +21,7 @@ _NULL_COLS = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_comment_score"
 @query("null_profile", "A8 Q1", f"""
 WITH {NULL_ORDERS_SQL}
 SELECT 'load' AS stage, (SELECT count(*) FROM nulled) AS n_rows, 4 AS n_columns, column_name, n_null FROM (
-""" + "\n  UNION ALL ".join(f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS n_null FROM nulled"
+""" + "\n  UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM nulled"
                           for c in _NULL_COLS) + ")")
 def null_profile(spark, d):
     return Q.profile(_orders_with_nulls(spark, d), "load")
@@ -179,7 +179,7 @@ def constraint_audit(spark, d):
 WITH {C.VOTES_SQL}, {C.POVERTY_SQL},
 y AS (SELECT annee, sum(voix) AS voix FROM votes GROUP BY annee),
 j AS (SELECT y.annee, y.voix, p.taux FROM y JOIN pauvrete p ON y.annee = p.annee)
-SELECT regr_count(voix, taux) AS n, round(corr(voix, taux), 9) AS corr, round(regr_r2(voix, taux), 9) AS r2 FROM j""")
+SELECT CAST(regr_count(voix, taux) AS BIGINT) AS n, round(corr(voix, taux), 9) AS corr, round(regr_r2(voix, taux), 9) AS r2 FROM j""")
 def correlation_q(spark, d):
     y = group_sums(C.votes(spark, d), ["annee"], {"voix": "voix"})
     j = y.join(C.yearly_poverty(spark, d), "annee")

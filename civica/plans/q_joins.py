@@ -245,7 +245,7 @@ def last_value(spark, d):
 WITH {C.CAT_VOTES_SQL},
 g AS (SELECT annee, categorie, sum(voix) AS voix FROM catvotes GROUP BY 1, 2)
 SELECT annee, categorie, round(voix, 2) AS voix,
-       row_number() OVER (PARTITION BY annee ORDER BY voix DESC, categorie) AS rang FROM g""")
+       CAST(row_number() OVER (PARTITION BY annee ORDER BY voix DESC, categorie) AS INTEGER) AS rang FROM g""")
 def rank_parties(spark, d):
     g = group_sums(C.categorised_votes(spark, d), ["annee", "categorie"], {"voix": "voix"})
     return SH.rank_within(g, ["annee"], "voix", ties=["categorie"]) \

@@ -12,7 +12,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
+import duckdb  # noqa: E402,I001
 import pandas as pd  # noqa: E402
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -48,6 +48,15 @@ def frame_rows(pdf: pd.DataFrame):
     return cols, sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+_FAMILY = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+           "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP", "float": "FLOAT",
+           "smallint": "SMALLINT", "timestamp_ntz": "TIMESTAMP"}
+
+
+def same_type(spark_t, duck_t):
+    return _FAMILY.get(spark_t, spark_t).upper() == str(duck_t).upper()
+
+
 def compare(spark, con, name, build, sql, sf_dir):
     t0 = time.time()
     sdf = build(spark, sf_dir)
@@ -70,8 +79,12 @@ def compare(spark, con, name, build, sql, sf_dir):
         res.update(ok=False, why=f"{len(bad)} rows differ, e.g. {bad[0]}")
         return res
     sty = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
-    dty = dict(zip(dp.columns, [str(x) for x in con.execute(sql).description and [d[1] for d in con.execute(sql).description]]))
-    res.update(ok=True, types={c: (sty[c], dty.get(c)) for c in scols})
+    desc = con.execute(sql).description
+    dty = {d[0]: str(d[1]) for d in desc}
+    res.update(ok=True)
+    odd = {c: (sty[c], dty.get(c)) for c in scols if not same_type(sty[c], dty.get(c))}
+    if odd:
+        res["types"] = odd
     return res
 
 
@@ -91,7 +104,7 @@ def main():
             r = dict(name=n, ok=False, why=f"{type(e).__name__}: {str(e)[:400]}")
         if r.get("ok") is False:
             failed += 1
-        print({k: v for k, v in r.items() if k != "types"}, flush=True)
+        print(r, flush=True)
     print(f"FAILED {failed} of {len(names or qs)}")
 
 
