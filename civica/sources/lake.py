@@ -179,3 +179,28 @@ def prepare_routed(df: DataFrame, name: str, election_type: str = "presidentiell
         df = df.withColumns({"annee": F.lit(int(m.group(1)) if m else None).cast("int"),
                              "type_election": F.lit(election_type)})
     return parse_decimal_columns(df, prefixes)
+
+
+def unique_header_names(names: Sequence[str]) -> list[str]:
+    """Repeated headers (one block per candidate) get ``_2``, ``_3`` … in
+    order of appearance: ``Nom, Voix, Nom, Voix`` → ``Nom, Voix, Nom_2, Voix_2``;
+    blank headers become ``_cN`` (N = position), as Spark names them."""
+    seen: dict[str, int] = {}
+    out = []
+    for i, n in enumerate(names):
+        n = n.strip().strip('"')
+        if not n:
+            out.append(f"_c{i}")
+            continue
+        seen[n] = seen.get(n, 0) + 1
+        out.append(n if seen[n] == 1 else f"{n}_{seen[n]}")
+    return out
+
+
+def read_repeated_blocks(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """S1 for files whose candidate blocks repeat the same headers: the
+    header line is read once (driver, one line) and unique positional names
+    are applied to a distributed read of the file."""
+    import csv
+    hdr = next(csv.reader([first_line(spark, path)], delimiter=sep))
+    return read_with_names(spark, path, unique_header_names(hdr), sep=sep)
