@@ -50,14 +50,31 @@ def left_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str, how: str
     return df.join(r, cond, how).drop(*rk.values())
 
 
-def lookup_with_default(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str,
-                        out: str, default: str = "Autres", fold: bool = True) -> DataFrame:
+def fold_key(s: str | None) -> str | None:
+    """Driver-side twin of ``civica.functions.text.lookup_key`` for keys of
+    a mapping typed in code (trim blanks, upper-case, fold accents)."""
+    from civica.functions.text import ACCENTED_UPPER, FOLDED_UPPER
+    return None if s is None else s.strip(" ").upper().translate(str.maketrans(ACCENTED_UPPER, FOLDED_UPPER))
+
+
+def lookup_with_default(df: DataFrame, column: str, mapping: DataFrame | Mapping[str, str], key: str = "key",
+                        value: str = "value", out: str = "label", default: str = "Autres",
+                        fold: bool = True) -> DataFrame:
     """``df[column].map(mapping).fillna(default)`` as a left join on a
     bounded mapping table.  With ``fold`` both sides are compared after
-    trimming, upper-casing and accent folding."""
-    m = mapping.select(
-        (lookup_key(key) if fold else F.col(key)).alias("__mkey"), F.col(value).alias("__mval")
-    ).dropDuplicates(["__mkey"])
+    trimming, upper-casing and accent folding.  A mapping given as a dict
+    is folded and de-duplicated on the driver (first key wins) and
+    broadcast; a mapping given as a DataFrame is de-duplicated by Spark."""
+    if isinstance(mapping, Mapping):
+        seen: dict = {}
+        for k, v in mapping.items():
+            seen.setdefault(fold_key(k) if fold else k, v)
+        spark = df.sparkSession
+        m = small_table(spark, list(seen.items()), "__mkey string, __mval string")
+    else:
+        m = mapping.select(
+            (lookup_key(key) if fold else F.col(key)).alias("__mkey"), F.col(value).alias("__mval")
+        ).dropDuplicates(["__mkey"])
     left_key = lookup_key(column) if fold else F.col(column)
     j = df.withColumn("__lkey", left_key).join(m, F.col("__lkey") == F.col("__mkey"), "left")
     return j.withColumn(out, F.coalesce(F.col("__mval"), F.lit(default))).drop("__lkey", "__mkey", "__mval")

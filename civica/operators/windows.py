@@ -16,12 +16,42 @@ from pyspark.sql import functions as F
 
 
 def lag_within(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
-               out: str, offset: int = 1) -> DataFrame:
+               out: str, offset: int = 1, split=None) -> DataFrame:
     """Previous value within a group.  ``order`` must be a total order
     (year plus tie columns); the reference's stable sort is otherwise
-    ambiguous.  Null for the first row of each group."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn(out, F.lag(value, offset).over(w))
+    ambiguous.  Null for the first row of each group.
+
+    A plain window sends each group to one task, so one hot group (say a
+    third of all rows under an "other candidates" label) is sorted by a
+    single task.  With ``split`` — a column or expression that never
+    decreases along ``order``, e.g. the year, or ``struct(year,
+    floor(tie / 10**6))`` for finer pieces — the lag is computed in two
+    levels: a window per (group, split) spreads a hot group over as many
+    tasks as it has splits, and a small table of each split's last value
+    (one row per group and split, aggregated map-side) supplies the value
+    carried into the first row of the next split.  Same result, no task
+    holding a whole group."""
+    if split is None:
+        w = Window.partitionBy(*partition).orderBy(*order)
+        return df.withColumn(out, F.lag(value, offset).over(w))
+    if offset != 1:
+        raise ValueError("split lag supports offset 1")
+    sp = F.col(split) if isinstance(split, str) else split
+    d = df.withColumn("__split", sp)
+    keys = [*partition, "__split"]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    local = d.withColumn("__lag", F.lag(value).over(w)).withColumn("__rn", F.row_number().over(w))
+    tails = d.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*[F.col(o) for o in order])).alias("__last"))
+    tails = tails.select(*keys, F.lag("__last").over(Window.partitionBy(*partition).orderBy("__split")).alias("__prev"))
+    ren = {k: f"__t_{i}" for i, k in enumerate(keys)}
+    tails = tails.withColumnsRenamed(ren)
+    cond = None
+    for k in keys:
+        c = local[k].eqNullSafe(tails[ren[k]])
+        cond = c if cond is None else cond & c
+    j = local.join(tails, cond, "left")
+    res = F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col("__lag"))
+    return j.withColumn(out, res).drop("__split", "__lag", "__rn", "__prev", *ren.values())
 
 
 def _order_key(latest: str, ties: Sequence[str]) -> Column:

@@ -71,8 +71,7 @@ def category_map(spark: SparkSession) -> DataFrame:
 
 def categorised_votes(spark: SparkSession, d: str) -> DataFrame:
     from civica.operators.joins import lookup_with_default
-    return lookup_with_default(votes(spark, d), "nom", category_map(spark), "nom", "categorie",
-                               out="categorie", default="Autres")
+    return lookup_with_default(votes(spark, d), "nom", PRIORITY_CATEGORY, out="categorie", default="Autres")
 
 
 CAT_VOTES_SQL = VOTES_SQL + ",\n" + CATEGORY_MAP_SQL + """,

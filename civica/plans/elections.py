@@ -25,7 +25,7 @@ from civica.operators import reshape as R
 from civica.operators import rows as RW
 from civica.operators.aggregates import fill_global_mean
 from civica.operators.features import hash_split
-from civica.operators.joins import left_join, lookup_with_default, small_table
+from civica.operators.joins import left_join, lookup_with_default
 from civica.operators.windows import group_mean_fill, lag_within, latest_row
 from civica.plans.q_tables import harmonise
 from civica.sources import lake as L
@@ -207,8 +207,7 @@ def election_long(spark: SparkSession, cfg: ModelConfig) -> DataFrame:
     long = R.long_by_suffix(e, ids, CANDIDATE_FIELDS, required=["nom", "voix"], index_col="candidat_index")
     long = long.withColumn("code_region", to_number("code_region", "bigint")) \
                .withColumn("voix", to_number("voix"))
-    cats = small_table(spark, list(CANDIDATE_CATEGORY.items()), "k string, v string")
-    return lookup_with_default(long, "nom", cats, "k", "v", out="categorie", default="Autres")
+    return lookup_with_default(long, "nom", CANDIDATE_CATEGORY, out="categorie", default="Autres")
 
 
 def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, list[str]]:
@@ -219,7 +218,9 @@ def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, lis
     top = RW.top_counts(long, "nom", cfg.top_n)                     # bounded: top_n rows
     long = RW.keep_or_other(long, "nom", top, out="candidat")
     tie = [c for c in ("code_commune", "code_b_vote", "candidat_index", "nom") if c in long.columns]
-    long = lag_within(long, ["code_region", "candidat"], ["annee", *tie], "voix", "groupe_region_candidat_voix")
+    # Split by year: the "AUTRE" bucket of minor candidates is a hot group.
+    long = lag_within(long, ["code_region", "candidat"], ["annee", *tie], "voix", "groupe_region_candidat_voix",
+                      split="annee")
 
     ch = spark.table(f"`{db}`.chomage")
     if cfg.quarter_mode == "fanout":

@@ -358,3 +358,22 @@ def test_quality_checks(spark):
     assert P.require_columns(s, ["s", "nom"]) == ["nom"]
     prof = Q.profile(s, "x").collect()
     assert {r["column_name"]: r["n_null"] for r in prof} == {"s": 0, "v": 1} and prof[0]["n_rows"] == 4
+
+
+@pytest.mark.parametrize("fine", [False, True])
+def test_split_lag_equals_plain_window(spark, fine):
+    split = F.struct(F.col("y"), F.floor(F.col("t") / 3)) if fine else "y"
+    rng = np.random.default_rng(5)
+    recs = [(str(rng.integers(0, 3)) if rng.random() > 0.1 else None, int(rng.integers(2000, 2004)), i,
+             float(rng.integers(0, 50)) if rng.random() > 0.1 else None) for i in range(400)]
+    recs += [("hot", 2001, 1000 + i, float(i)) for i in range(300)]          # one hot group
+    df = spark.createDataFrame(recs, "g string, y int, t int, v double")
+    plain = dict(rows(W.lag_within(df, ["g"], ["y", "t"], "v", "p"), "t", "p"))
+    split_ = dict(rows(W.lag_within(df, ["g"], ["y", "t"], "v", "p", split=split), "t", "p"))
+    assert plain == split_
+
+
+def test_lookup_dict_folds_and_dedupes(spark):
+    df = spark.createDataFrame([("Pécresse",), ("zz",)], "n string")
+    out = J.lookup_with_default(df, "n", {"PECRESSE": "Droite", "PÉCRESSE": "X"}, out="c")
+    assert rows(out, "n", "c") == [("Pécresse", "Droite"), ("zz", "Autres")]
