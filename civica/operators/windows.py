@@ -37,21 +37,17 @@ def lag_within(df: DataFrame, partition: Sequence[str], order: Sequence[str], va
     if offset != 1:
         raise ValueError("split lag supports offset 1")
     sp = F.col(split) if isinstance(split, str) else split
-    d = df.withColumn("__split", sp)
-    keys = [*partition, "__split"]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    # Keys wrapped in structs: struct equality matches null fields, so one
+    # plain equi-join on exactly the window's partition expressions keeps
+    # null groups and reuses the window's shuffle for the fact side.
+    d = df.withColumn("__gk", F.struct(*[F.col(c) for c in partition])).withColumn("__sk", F.struct(sp.alias("s")))
+    w = Window.partitionBy("__gk", "__sk").orderBy(*order)
     local = d.withColumn("__lag", F.lag(value).over(w)).withColumn("__rn", F.row_number().over(w))
-    tails = d.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*[F.col(o) for o in order])).alias("__last"))
-    tails = tails.select(*keys, F.lag("__last").over(Window.partitionBy(*partition).orderBy("__split")).alias("__prev"))
-    ren = {k: f"__t_{i}" for i, k in enumerate(keys)}
-    tails = tails.withColumnsRenamed(ren)
-    cond = None
-    for k in keys:
-        c = local[k].eqNullSafe(tails[ren[k]])
-        cond = c if cond is None else cond & c
-    j = local.join(tails, cond, "left")
+    tails = d.groupBy("__gk", "__sk").agg(F.max_by(F.col(value), F.struct(*[F.col(o) for o in order])).alias("__last"))
+    tails = tails.select("__gk", "__sk", F.lag("__last").over(Window.partitionBy("__gk").orderBy("__sk")).alias("__prev"))
+    j = local.join(tails, ["__gk", "__sk"], "left")
     res = F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col("__lag"))
-    return j.withColumn(out, res).drop("__split", "__lag", "__rn", "__prev", *ren.values())
+    return j.withColumn(out, res).drop("__gk", "__sk", "__lag", "__rn", "__prev")
 
 
 def _order_key(latest: str, ties: Sequence[str]) -> Column:
