@@ -161,7 +161,7 @@ def _fit_and_score(spark, d, kind):
     return test.select("o_orderkey", "split", "voix", F.round("pred_voix", 2).alias("pred_voix"))
 
 
-@query("gbt_predict", "M6 M7 M1 M9 W1")
+@query("gbt_predict", "M6 M7 M1 M9 W1 Q4")
 def gbt_predict(spark, d):
     return _fit_and_score(spark, d, "gbt")
 
