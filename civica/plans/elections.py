@@ -242,8 +242,15 @@ def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, lis
 
 
 def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
-    """§3.2: features → split → train → evaluate → project future years."""
+    """§3.2: features → split → train → evaluate → project future years.
+
+    The feature table is written to the warehouse once and read back: it
+    feeds training, scoring, evaluation and the projection, and without a
+    cut its lineage would be re-planned (and recomputed) in every branch."""
     feats, indicators = feature_frame(spark, cfg)
+    feats_table = f"`{cfg.database}`.features"
+    W.replace_table(feats, feats_table)
+    feats = spark.table(feats_table)
     features = ["annee", "groupe_region_candidat_voix", "taux_chomage", "taux", *indicators]
     tie = [c for c in ("code_commune", "code_b_vote", "candidat_index", "nom") if c in feats.columns]
     data = hash_split(feats.withColumn("annee", F.col("annee").cast("double")), ["annee", "code_region", *tie])

@@ -17,6 +17,7 @@ from civica.operators.windows import lag_within, latest_row
 from civica.plans import carriers as C
 from civica.plans.q_aggregates import _YEARLY_SQL, _yearly_millions
 from civica.plans.registry import query, table
+from civica.session import cut_lineage
 
 
 def quad_sql(src: str, s: str, x: str, y: str, years: list[int]) -> str:
@@ -150,7 +151,11 @@ def _training_frame(spark, d):
                    split="annee")
     f = f.where(F.col("voix_prec").isNotNull())
     f = fill_global_mean(f, ["taux_chomage", "taux", "taux_pour_mille"])
-    return hash_split_op(f.withColumn("annee", F.col("annee").cast("double")), ["o_orderkey"])
+    f = hash_split_op(f.withColumn("annee", F.col("annee").cast("double")), ["o_orderkey"])
+    # Training, scoring and projection all read this frame: materialise it
+    # once in the shared checkpoint folder instead of re-planning and
+    # recomputing its joins and windows in every branch.
+    return cut_lineage(f)
 
 
 def _fit_and_score(spark, d, kind):
