@@ -31,7 +31,7 @@ def hash_split(df: DataFrame, keys: Sequence[str], train_pct: int = 80, seed: in
     return df.withColumn(out, F.when(hash_bucket(keys, seed) < train_pct, F.lit("train")).otherwise(F.lit("test")))
 
 
-def kth_smallest(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int, float]:
+def kth_smallest(df: DataFrame, column: str, ranks: Sequence[int], stats=None) -> dict[int, float]:
     """Exact order statistics (0-based ranks) of the non-null values of a
     numeric column, without ever gathering the column in one place.
 
@@ -40,9 +40,8 @@ def kth_smallest(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int,
     in play for every rank, keeps the bucket holding the rank, and repeats.
     Once an interval holds at most ``COLLECT_LIMIT`` values — or a single
     distinct value — it is resolved exactly.  Typically 2-4 passes."""
-    x = F.col(column).cast("double")
-    vals = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    vals = _values(df, column)
+    stats = stats or _stats(vals)
     n = stats["n"]
     if n == 0:
         return {k: None for k in ranks}
@@ -94,15 +93,25 @@ def kth_smallest(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int,
     return result
 
 
+def _values(df: DataFrame, column: str) -> DataFrame:
+    x = F.col(column).cast("double")
+    return df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def _stats(vals: DataFrame):
+    return vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float | None]:
     """Exact quantiles with linear interpolation (numpy's default,
     ``percentile`` in Spark SQL, ``quantile_cont`` in SQL engines)."""
-    n = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
+    stats = _stats(_values(df, column))
+    n = stats["n"]
     if n == 0:
         return [None for _ in probs]
     pos = [(n - 1) * p for p in probs]
     ranks = sorted({int(math.floor(h)) for h in pos} | {int(math.ceil(h)) for h in pos})
-    v = kth_smallest(df, column, ranks)
+    v = kth_smallest(df, column, ranks, stats)
     out = []
     for h in pos:
         a, b = v[int(math.floor(h))], v[int(math.ceil(h))]

@@ -40,38 +40,50 @@ def linear_predict(fit: DataFrame, years: Sequence[int], out: str = "pred", col:
     return f.withColumn(out, F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col(col) - F.col("xbar")))
 
 
-def quadratic_fit(df: DataFrame, series: Sequence[str], x: str, y: str) -> DataFrame:
+def quadratic_fit(df: DataFrame, series: Sequence[str], x: str, y: str, center: float | None = None) -> DataFrame:
     """M3: least-squares parabola per series from centred moments.
 
-    With ``u = x − x̄`` the normal equations are solved by Cramer's rule.
+    With ``u = x − x̄`` (x̄ per series) the normal equations are solved by
+    Cramer's rule.  All series come from one grouped aggregate of power
+    sums of ``v = x − c`` (c: ``center`` or the global mean of x, one scalar
+    subquery, which keeps the sums small); the per-series centring is then
+    exact algebra on those sums, so no window and no task holds a series.
     With only two distinct x the problem is under-determined; the result is
     the minimum-norm solution over the raw features (x, x²) that an SVD
     least-squares solver returns: ``ŷ(t) = ȳ + k·(Δx·(t − x̄) + Δq·(t² − q̄))``
     with ``k = Δx·Σu·y / (Σu²·(Δx² + Δq²))``.  One distinct x gives ``ȳ``."""
-    pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*series, F.col(x).cast("double").alias("__x"),
-                                                                        F.col(y).cast("double").alias("__y"))
-    w = Window.partitionBy(*series)
-    pts = pts.withColumn("__u", F.col("__x") - F.avg("__x").over(w))   # series are short
-    u, yy = F.col("__u"), F.col("__y")
+    pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    c = F.lit(float(center)) if center is not None else pts.agg(F.avg(F.col(x).cast("double"))).scalar()
+    v, yy = F.col(x).cast("double") - c, F.col(y).cast("double")
     m = pts.groupBy(*series).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("__x").alias("n_distinct"),
-        F.avg("__x").alias("xbar"), F.avg(F.col("__x") * F.col("__x")).alias("qbar"), F.avg("__y").alias("ybar"),
-        F.sum(u * u).alias("s2"), F.sum(u * u * u).alias("s3"), F.sum(u * u * u * u).alias("s4"),
-        F.sum(yy).alias("t0"), F.sum(u * yy).alias("t1"), F.sum(u * u * yy).alias("t2"),
-        F.min("__x").alias("xmin"), F.max("__x").alias("xmax"))
-    n, s2, s3, s4, t0, t1, t2 = (F.col(c) for c in ["n", "s2", "s3", "s4", "t0", "t1", "t2"])
+        F.count(F.lit(1)).alias("n"), F.count_distinct(x).alias("n_distinct"),
+        F.sum(v).alias("p1"), F.sum(v * v).alias("p2"), F.sum(v * v * v).alias("p3"), F.sum(v * v * v * v).alias("p4"),
+        F.sum(yy).alias("t0"), F.sum(v * yy).alias("r1"), F.sum(v * v * yy).alias("r2"),
+        F.min(v).alias("vmin"), F.max(v).alias("vmax"), F.max(c).alias("c"))
+    n, p1, p2, p3, p4, t0, r1, r2 = (F.col(k) for k in ["n", "p1", "p2", "p3", "p4", "t0", "r1", "r2"])
+    mu = p1 / n                                                     # mean of v
+    s2 = p2 - n * mu * mu
+    s3 = p3 - 3 * mu * p2 + 3 * mu * mu * p1 - n * mu * mu * mu
+    s4 = p4 - 4 * mu * p3 + 6 * mu * mu * p2 - 4 * mu * mu * mu * p1 + n * mu * mu * mu * mu
+    t1 = r1 - mu * t0
+    t2 = r2 - 2 * mu * r1 + mu * mu * t0
+    m = m.select(*series, "n", "n_distinct", (F.col("c") + mu).alias("xbar"),
+                 (p2 / n + 2 * F.col("c") * mu + F.col("c") * F.col("c")).alias("qbar"), (t0 / n).alias("ybar"),
+                 s2.alias("s2"), s3.alias("s3"), s4.alias("s4"), t0.alias("t0"), t1.alias("t1"), t2.alias("t2"),
+                 (F.col("vmin") + F.col("c")).alias("xmin"), (F.col("vmax") + F.col("c")).alias("xmax"))
+    n, s2, s3, s4, t0, t1, t2 = (F.col(k) for k in ["n", "s2", "s3", "s4", "t0", "t1", "t2"])
     det = n * (s2 * s4 - s3 * s3) - s2 * s2 * s2
     # Matrix [[n, 0, s2], [0, s2, s3], [s2, s3, s4]] (Σu = 0), right side (t0, t1, t2).
     a = (t0 * (s2 * s4 - s3 * s3) + s2 * (t1 * s3 - s2 * t2)) / det
     b = (n * (t1 * s4 - s3 * t2) + t0 * s2 * s3 - t1 * s2 * s2) / det
-    c = (n * (s2 * t2 - t1 * s3) - t0 * s2 * s2) / det
+    cc = (n * (s2 * t2 - t1 * s3) - t0 * s2 * s2) / det
     dx = F.col("xmax") - F.col("xmin")
     dq = F.col("xmax") * F.col("xmax") - F.col("xmin") * F.col("xmin")
     k = dx * t1 / (s2 * (dx * dx + dq * dq))
     three = F.col("n_distinct") >= 3
     two = F.col("n_distinct") == 2
     return m.select(*series, "n", "n_distinct", "xbar", "qbar", "ybar",
-                    F.when(three, a).alias("a"), F.when(three, b).alias("b"), F.when(three, c).alias("c"),
+                    F.when(three, a).alias("a"), F.when(three, b).alias("b"), F.when(three, cc).alias("c"),
                     F.when(two, k).alias("k"), F.when(two, dx).alias("dx"), F.when(two, dq).alias("dq"))
 
 
@@ -170,7 +182,10 @@ def arima_forecast(df: DataFrame, series: str, period: str, value: str, steps: i
         f = arima111_forecast(y, steps)
         return pd.DataFrame({series: pdf[series].iloc[0], "step": np.arange(1, steps + 1, dtype="int32"),
                              period: [last + h for h in range(1, steps + 1)], out: f})
-    pts = df.where(F.col(value).isNotNull()).select(series, period, F.col(value).cast("double").alias(value))
+    # One value per (series, period), as the reference's pivot (mean): a
+    # group is then bounded by the number of periods, never by row counts.
+    pts = df.where(F.col(value).isNotNull()).groupBy(series, period) \
+            .agg(F.avg(F.col(value).cast("double")).alias(value))
     t = dict((f.name, f.dataType.simpleString()) for f in pts.schema.fields)
     schema = f"{series} {t[series]}, step int, {period} {t[period]}, {out} double"
     return pts.groupBy(series).applyInPandas(fit, schema)
