@@ -54,20 +54,21 @@ def prefix_filter(spark, d):
 
 
 def _orders_with_nulls(spark, d):
-    # Injected gaps: missing price on every 7th order, missing priority on
-    # every 11th, and a column with no value at all.
-    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    # Gaps as they occur in result files: no count yet for pending orders
+    # (status P), "not specified" recorded as a missing value, and a column
+    # that was never filled.
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     return o.select(
         "o_orderkey",
-        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).alias("o_totalprice"),
-        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("o_totalprice"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority")).alias("o_orderpriority"),
         F.lit(None).cast("double").alias("o_comment_score"))
 
 
 NULL_ORDERS_SQL = """nulled AS (
   SELECT o_orderkey,
-         CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
-         CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority,
+         CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+         CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS o_orderpriority,
          CAST(NULL AS DOUBLE) AS o_comment_score
   FROM orders)"""
 
