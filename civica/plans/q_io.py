@@ -70,9 +70,9 @@ def routed_load(spark, d):
     o = table(spark, d, "orders")
     src = W.scan_years(o, "o_orderdate", 1998, 1998).select(
         "o_orderkey", F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(",")).alias("taux_prix"))
-    target = L.route(name)
-    W.append_table(L.prepare_routed(src, name), f"`{db}`.`{target}`")
-    return spark.table(f"`{db}`.`{target}`").select("o_orderkey", "annee", "type_election", "taux_prix")
+    L.load_routed(src, "Unrelated file", db)                         # no route: warned and skipped
+    t = L.load_routed(src, name, db)
+    return spark.table(t).select("o_orderkey", "annee", "type_election", "taux_prix")
 
 
 def _counts(spark, db, names):

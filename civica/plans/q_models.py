@@ -282,3 +282,64 @@ def model_forecasts(spark, d):
     ar = TR.arima_forecast(s, "event_type", "day_idx", "n", steps=4) \
            .select("event_type", F.lit("arima").alias("model"), "day_idx", F.col("forecast").alias("value"))
     return lin.unionByName(quad).unionByName(ar)
+
+
+# ---------------------------------------------------------------------------
+# Projections of a share and of a change series.
+# ---------------------------------------------------------------------------
+
+from civica.plans.q_joins import LINE_PARTS_SQL, RIGHT_KEYWORDS, _event_gaps, _line_parts  # noqa: E402
+from civica.functions.text import keyword_pattern  # noqa: E402
+from civica.operators.windows import pct_change_mean  # noqa: E402
+
+
+def _right_share(spark, d):
+    lp = _line_parts(spark, d)
+    num = SH.masked_total(lp, ["annee"], "p_name", "l_extendedprice", RIGHT_KEYWORDS, "droite")
+    tot = group_sums(lp, ["annee"], {"total": "l_extendedprice"})
+    return num.join(tot, "annee").select(F.lit("RN").alias("s"), "annee",
+                                         (F.col("droite") * 100 / F.col("total")).alias("v"))
+
+
+@query("right_projection", "M15 M18 M4 M3", f"""
+WITH {LINE_PARTS_SQL},
+y AS (SELECT 'RN' AS s, annee, 100 * coalesce(sum(CASE WHEN regexp_matches(p_name, '{keyword_pattern(RIGHT_KEYWORDS)}')
+                                   THEN l_extendedprice END), 0) / sum(l_extendedprice) AS v FROM lp GROUP BY annee),
+lin AS (SELECT 'linear' AS model, 2002 AS annee, avg(v) + regr_slope(v, annee) * (2002 - avg(annee)) AS pred FROM y),
+""" + quad_sql("y", "s", "annee", "v", [2002]).lstrip() + """
+SELECT model, annee, round(least(greatest(pred, 10), 60), 6) AS pred FROM lin
+UNION ALL SELECT 'quadratic', annee, round(least(greatest(pred, 10), 60), 6) FROM qpred""")
+def right_projection(spark, d):
+    """Right-wing share of each year, projected one period ahead by a line
+    and by a parabola, both bounded to [10, 60] percent."""
+    y = _right_share(spark, d)
+    lin = TR.linear_predict(TR.linear_fit(y, ["s"], "annee", "v"), [2002]).select(F.lit("linear").alias("model"), "annee", "pred")
+    quad = TR.quadratic_predict(TR.quadratic_fit(y, ["s"], "annee", "v"), [2002]) \
+             .select(F.lit("quadratic").alias("model"), "annee", "pred")
+    both = TR.bounded(lin.unionByName(quad), "pred", 10, 60)
+    return both.select("model", "annee", F.round("pred", 6).alias("pred"))
+
+
+@query("crime_trend", "W5 M16 M4", """
+WITH e AS (
+  SELECT CAST(ts AS DATE) AS day, event_type,
+         CASE WHEN (event_type = 'view' AND dayofmonth(ts) < 4)
+                OR (event_type = 'error' AND dayofmonth(ts) % 4 = 0) THEN NULL ELSE value END AS value
+  FROM events),
+obs AS (SELECT event_type AS s, day AS p, avg(value) AS v FROM e WHERE value IS NOT NULL GROUP BY 1, 2),
+grid AS (SELECT DISTINCT p FROM obs), ser AS (SELECT DISTINCT s FROM obs),
+dense AS (SELECT ser.s, grid.p, obs.v FROM ser CROSS JOIN grid LEFT JOIN obs ON obs.s = ser.s AND obs.p = grid.p),
+ff AS (SELECT s, p, last_value(v IGNORE NULLS) OVER (PARTITION BY s ORDER BY p
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM dense),
+ch AS (SELECT s, p, f / lag(f) OVER (PARTITION BY s ORDER BY p) - 1 AS c FROM ff),
+evo AS (SELECT dayofmonth(p) AS x, 100 * coalesce(avg(c), 0) AS y FROM ch GROUP BY p)
+SELECT CAST(count(*) AS BIGINT) AS n_days, 31 AS day_idx,
+       round(avg(y) + regr_slope(y, x) * (31 - avg(x)), 6) AS pred FROM evo""")
+def crime_trend(spark, d):
+    """Mean period-on-period change of the indicator series (percent),
+    extrapolated linearly to the next period (needs at least 2 points)."""
+    evo = pct_change_mean(_event_gaps(spark, d), "event_type", "day", "value")
+    pts = evo.select(F.lit("all").alias("s"), F.dayofmonth("day").alias("x"), (F.col("evolution") * 100).alias("y"))
+    fit = TR.linear_fit(pts, ["s"], "x", "y")
+    p = TR.linear_predict(fit.where(F.col("n") >= 2), [31], col="day_idx")
+    return p.select(F.col("n").alias("n_days"), "day_idx", F.round("pred", 6).alias("pred"))

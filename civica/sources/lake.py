@@ -204,3 +204,17 @@ def read_repeated_blocks(spark: SparkSession, path: str, sep: str = ",") -> Data
     import csv
     hdr = next(csv.reader([first_line(spark, path)], delimiter=sep))
     return read_with_names(spark, path, unique_header_names(hdr), sep=sep)
+
+
+def load_routed(df: DataFrame, name: str, database: str, routes: Mapping[str, str] = ROUTES) -> str | None:
+    """K4: append a source to the warehouse table its name routes to; a
+    name matching no route is reported and skipped (returns None)."""
+    import logging
+    from civica.sources.warehouse import append_table
+    target = route(name, routes)
+    if target is None:
+        logging.getLogger("civica").warning("no target table for %r", name)
+        return None
+    t = f"`{database}`.`{target}`"
+    append_table(prepare_routed(df, name), t)
+    return t
