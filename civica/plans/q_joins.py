@@ -17,29 +17,32 @@ from civica.plans.registry import query, table
 
 @query("left_join_fanout", "J1", f"""
 WITH {C.VOTES_SQL}, {C.QUARTERLY_SQL}
-SELECT v.o_orderkey, v.annee, c.trimestre, c.taux_chomage
+SELECT v.o_orderkey, v.annee, c.trimestre, round(c.taux_chomage, 9) AS taux_chomage
 FROM votes v LEFT JOIN chomage c ON v.annee = c.annee""")
 def left_join_fanout(spark, d):
     v = C.votes(spark, d).select("o_orderkey", "annee")
-    return left_join(v, C.quarterly_unemployment(spark, d), "annee")
+    j = left_join(v, C.quarterly_unemployment(spark, d), "annee")
+    return j.withColumn("taux_chomage", F.round("taux_chomage", 9))
 
 
 @query("left_join_suffix", "J2", f"""
 WITH {C.VOTES_SQL}, {C.POVERTY_SQL}
-SELECT v.o_orderkey, v.annee, v.voix / 1000 AS taux, p.taux AS taux_pauvrete
+SELECT v.o_orderkey, v.annee, v.voix / 1000 AS taux, round(p.taux, 9) AS taux_pauvrete
 FROM votes v LEFT JOIN pauvrete p ON v.annee = p.annee""")
 def left_join_suffix(spark, d):
     v = C.votes(spark, d).select("o_orderkey", "annee", (F.col("voix") / 1000).alias("taux"))
-    return left_join(v, C.yearly_poverty(spark, d), "annee", suffix="_pauvrete")
+    j = left_join(v, C.yearly_poverty(spark, d), "annee", suffix="_pauvrete")
+    return j.withColumn("taux_pauvrete", F.round("taux_pauvrete", 9))
 
 
 @query("left_join_composite", "J3", f"""
 WITH {C.VOTES_SQL}, {C.POLICE_SQL}
-SELECT v.o_orderkey, v.annee, v.code_region, p.taux_pour_mille
+SELECT v.o_orderkey, v.annee, v.code_region, round(p.taux_pour_mille, 9) AS taux_pour_mille
 FROM votes v LEFT JOIN police p ON v.annee = p.annee AND v.code_region = p.code_region""")
 def left_join_composite(spark, d):
     v = C.votes(spark, d).select("o_orderkey", "annee", "code_region")
-    return left_join(v, C.police_rates(spark, d), ["annee", "code_region"])
+    j = left_join(v, C.police_rates(spark, d), ["annee", "code_region"])
+    return j.withColumn("taux_pour_mille", F.round("taux_pour_mille", 9))
 
 
 @query("join_distinct_latest", "J4 W2 T4", f"""

@@ -244,7 +244,7 @@ QUARTER_LABELS = [f"T{q}_{y}" if y % 2 else f"{y}-T{q}" for y in C.YEARS for q i
 
 @query("unpivot_quarters", "R4 R5 X4", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS annee, CAST(quarter(o_orderdate) AS INTEGER) AS trimestre,
-       sum(o_totalprice) AS taux_chomage
+       round(sum(o_totalprice), 2) AS taux_chomage
 FROM orders GROUP BY 1, 2""")
 def unpivot_quarters(spark, d):
     o = table(spark, d, "orders").select("o_orderdate", "o_totalprice")
@@ -253,7 +253,8 @@ def unpivot_quarters(spark, d):
     # spellings (odd years ``T1_1995``, even years ``1996-T1``).
     label = F.when(y % 2 == 1, F.format_string("T%d_%d", q, y)).otherwise(F.format_string("%d-T%d", y, q))
     wide = o.withColumn("label", label).groupBy().pivot("label", QUARTER_LABELS).agg(F.sum("o_totalprice"))
-    return R.unpivot_quarters(wide, QUARTER_LABELS, value_col="taux_chomage")
+    long = R.unpivot_quarters(wide, QUARTER_LABELS, value_col="taux_chomage")
+    return long.withColumn("taux_chomage", F.round("taux_chomage", 2))
 
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -262,17 +263,18 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 @query("pivot_mean", "R6 R7 F4", """
 WITH p AS (
   SELECT CAST(ts AS DATE) AS day,
-         avg(CASE WHEN event_type = 'click' THEN value END) AS click,
-         avg(CASE WHEN event_type = 'error' THEN value END) AS error,
-         avg(CASE WHEN event_type = 'purchase' THEN value END) AS purchase,
-         avg(CASE WHEN event_type = 'signup' THEN value END) AS signup,
-         avg(CASE WHEN event_type = 'view' THEN value END) AS view
+         round(avg(CASE WHEN event_type = 'click' THEN value END), 9) AS click,
+         round(avg(CASE WHEN event_type = 'error' THEN value END), 9) AS error,
+         round(avg(CASE WHEN event_type = 'purchase' THEN value END), 9) AS purchase,
+         round(avg(CASE WHEN event_type = 'signup' THEN value END), 9) AS signup,
+         round(avg(CASE WHEN event_type = 'view' THEN value END), 9) AS view
   FROM events GROUP BY 1)
 SELECT * FROM p WHERE click IS NOT NULL AND error IS NOT NULL AND purchase IS NOT NULL
   AND signup IS NOT NULL AND view IS NOT NULL""")
 def pivot_mean(spark, d):
     e = table(spark, d, "events").select(F.to_date("ts").alias("day"), "event_type", "value")
-    return RW.drop_null_rows(R.pivot_mean(e, ["day"], "event_type", "value", EVENT_TYPES))
+    wide = RW.drop_null_rows(R.pivot_mean(e, ["day"], "event_type", "value", EVENT_TYPES))
+    return wide.select("day", *[F.round(t, 9).alias(t) for t in EVENT_TYPES])
 
 
 @query("unstack_zero_fill", "R8 R9 M19", f"""

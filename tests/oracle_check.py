@@ -15,6 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb  # noqa: E402,I001
 import pandas as pd  # noqa: E402
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # exact float equality (no tolerance)
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -34,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if hasattr(v, "isoformat"):
         return str(pd.Timestamp(v))
     if hasattr(v, "item"):
