@@ -66,3 +66,23 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     shared_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
+               executor_cores_total: int | None = None) -> dict[str, str]:
+    """Settings sized to the input: enough shuffle partitions that each
+    holds about ``target_partition_bytes`` (AQE coalesces the small ones at
+    runtime and splits skewed ones), scan splits of the same size, and at
+    least two tasks per core.  E.g. 100 TB → ~400k initial partitions."""
+    parts = max(1, -(-input_bytes // target_partition_bytes))
+    if executor_cores_total:
+        parts = max(parts, 2 * executor_cores_total)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
