@@ -29,11 +29,6 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return F.broadcast(df) if len(rows) <= BOUNDED_ROWS else df
 
 
-def _keys_cond(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool) -> Column:
-    conds = [(left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k]) for k in on]
-    return reduce(lambda a, b: a & b, conds)
-
-
 def left_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str, how: str = "left",
               suffix: str = "_right", null_safe: bool = False) -> DataFrame:
     """Equi-join on shared key names; right-hand non-key columns that

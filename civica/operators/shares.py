@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civica.functions.numbers import clip, floor_at
+from civica.functions.numbers import floor_at
 from civica.functions.text import contains_any, keyword_pattern
 
 
@@ -80,6 +80,3 @@ def renormalise_with_residual(df: DataFrame, keys: Sequence[str], label: str, va
                          F.when(F.col("__raw_total") < 100, F.lit(100.0) - F.col("__s")).otherwise(F.lit(0.0)).alias(out))
     return scaled.select(*keys, label, value, out).unionByName(resid)
 
-
-__all__ = ["party_totals", "normalise_shares", "masked_total", "rank_within", "apply_caps",
-           "renormalise_with_residual", "clip"]

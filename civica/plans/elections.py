@@ -284,3 +284,100 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
 def clip_votes(df: DataFrame, column: str) -> DataFrame:
     """Bound a vote projection."""
     return df.withColumn(column, clip(column, *VOTES_CAP))
+
+
+# ---------------------------------------------------------------------------
+# Party-share, vote-history and right-vote/crime analyses (§3.3, §3.4)
+# ---------------------------------------------------------------------------
+
+def _candidate_rows(spark: SparkSession, database: str, years: Sequence[int]) -> DataFrame:
+    """Candidate rows of the first round for some years, names normalised
+    (X1-X3) for keyword matching."""
+    from civica.functions.text import normalise_name
+    e = spark.table(f"`{database}`.election_tour_1").where(F.col("annee").isin(list(years)))
+    long = R.long_by_suffix(e, ["annee"], CANDIDATE_FIELDS, required=["nom", "voix"])
+    return long.select("annee", normalise_name("nom").alias("nom"), to_number("voix").alias("voix"))
+
+
+def party_share_analysis(spark: SparkSession, database: str, years: Sequence[int] = (2017, 2022),
+                         future: Sequence[int] = (2027, 2032)) -> dict:
+    """§3.4: party shares per election year (A11 + A12), a quadratic trend
+    per party (M3, the residual excluded), caps and floor (M13), shares
+    renormalised to 100 with a residual, and the ranking per year (T3)."""
+    from civica.operators import shares as SH
+    from civica.operators import trends as TR
+    rows = _candidate_rows(spark, database, years)
+    totals = SH.party_totals(rows, ["annee"], "nom", "voix", PARTY_KEYWORDS)
+    shares = SH.normalise_shares(totals, ["annee"], "voix")
+    fit = TR.quadratic_fit(shares.where(F.col("parti") != "AUTRES"), ["parti"], "annee", "share")
+    pred = TR.quadratic_predict(fit, future).select("parti", "annee", "pred")
+    capped = SH.apply_caps(pred, "parti", "pred", PARTY_CAPS, 50.0, lo=0.0, floor=1.0)
+    final = SH.renormalise_with_residual(capped, ["annee"], "parti", "pred", residual="AUTRES")
+    ranking = SH.rank_within(final, ["annee"], "share", ties=["parti"])
+    from civica.operators.joins import keyword_match
+    unassigned = RW.not_in(rows, "nom", keyword_match(rows, "nom", PARTY_KEYWORDS))
+    return {"shares": shares, "predictions": final, "ranking": ranking, "unassigned": unassigned}
+
+
+def literal_vote_history(spark: SparkSession, future: Sequence[int] = (2027, 2032)) -> dict:
+    """§3.4 (vote counts): the literal share table → votes (S9, X7) →
+    totals per name (A3) → party totals with the history keyword lists
+    (A11) → quadratic trend per party, bounded to the vote cap (M14)."""
+    from civica.operators import shares as SH
+    from civica.operators import trends as TR
+    from civica.operators.joins import small_table
+    from civica.sources.literal import votes_from_shares
+    shares = small_table(spark, [(y, n, p) for y, d in LITERAL_PERCENTAGES.items() for n, p in d.items()],
+                         "annee int, nom string, pourcentage double")
+    totals = small_table(spark, list(EXPECTED_EXPRIMES.items()), "annee int, exprimes int")
+    votes = votes_from_shares(shares, totals, ["annee"]).groupBy("annee", "nom").agg(F.sum("voix").alias("voix"))
+    parties = SH.party_totals(votes, ["annee"], "nom", "voix", PARTY_KEYWORDS_HISTORY)
+    fit = TR.quadratic_fit(parties.where(F.col("parti") != "AUTRES"), ["parti"], "annee", "voix")
+    pred = clip_votes(TR.quadratic_predict(fit, future).select("parti", "annee", "pred"), "pred")
+    return {"votes": votes, "parties": parties, "predictions": pred,
+            "ranking": SH.rank_within(pred, ["annee"], "pred", ties=["parti"])}
+
+
+def right_vote_and_crime(spark: SparkSession, database: str, years: Sequence[int] = (2017, 2022),
+                         target_year: int = 2027, horizon: int = 4) -> dict:
+    """§3.3: right-wing share per year (F7 + A5 + M18) projected by a line
+    and a parabola, bounded to ``SHARE_BOUNDS`` (M15); crime indicators
+    pivoted by year (R7, F5), their mean change (W5) projected linearly
+    (M16), and the per-indicator forecast table (M17)."""
+    from civica.operators import shares as SH
+    from civica.operators import trends as TR
+    from civica.operators.quality import with_min_history
+    from civica.operators.windows import pct_change_mean
+    rows = _candidate_rows(spark, database, years)
+    right = SH.masked_total(rows, ["annee"], "nom", "voix", RIGHT_KEYWORDS, "droite") \
+              .join(rows.groupBy("annee").agg(F.sum("voix").alias("total")), "annee") \
+              .select(F.lit("droite").alias("s"), "annee", (F.col("droite") * 100 / F.col("total")).alias("votes_droite"))
+    lin = TR.linear_predict(TR.linear_fit(right, ["s"], "annee", "votes_droite"), [target_year]) \
+            .select(F.lit("linear").alias("model"), "annee", "pred")
+    quad = TR.quadratic_predict(TR.quadratic_fit(right, ["s"], "annee", "votes_droite"), [target_year]) \
+             .select(F.lit("quadratic").alias("model"), "annee", "pred")
+    right_pred = TR.bounded(lin.unionByName(quad), "pred", *SHARE_BOUNDS)
+
+    pol = spark.table(f"`{database}`.statistiques_police") \
+               .select(to_number("annee", "int").alias("annee"), "indicateur", "taux_pour_mille")
+    indicators = sorted(r[0] for r in pol.select("indicateur").distinct().collect())   # small domain
+    pivot = RW.drop_all_null_columns(R.pivot_mean(pol, ["annee"], "indicateur", "taux_pour_mille", indicators))
+    evolution = pct_change_mean(pol, "indicateur", "annee", "taux_pour_mille") \
+        .withColumn("evolution", F.col("evolution") * 100)
+    crime_fit = TR.linear_fit(evolution.withColumn("s", F.lit("crimes")), ["s"], "annee", "evolution")
+    crime_pred = TR.linear_predict(crime_fit.where(F.col("n") >= 2), [target_year])
+
+    series = with_min_history(pol, ["indicateur"], "taux_pour_mille", 3)
+    last = pol.agg(F.max("annee")).first()[0]
+    nxt = [last + h for h in range(1, horizon + 1)] if last is not None else []
+    forecasts = None
+    if nxt:
+        forecasts = TR.linear_predict(TR.linear_fit(series, ["indicateur"], "annee", "taux_pour_mille"), nxt) \
+                      .select("indicateur", F.lit("linear").alias("model"), "annee", F.col("pred").alias("value")) \
+            .unionByName(TR.quadratic_predict(TR.quadratic_fit(series, ["indicateur"], "annee", "taux_pour_mille"), nxt)
+                         .select("indicateur", F.lit("quadratic").alias("model"), "annee", F.col("pred").alias("value"))) \
+            .unionByName(TR.arima_forecast(series, "indicateur", "annee", "taux_pour_mille", steps=horizon)
+                         .select("indicateur", F.lit("arima").alias("model"), "annee",
+                                 F.col("forecast").alias("value")))
+    return {"right": right, "right_predictions": right_pred, "crime_pivot": pivot, "evolution": evolution,
+            "crime_prediction": crime_pred, "forecasts": forecasts}

@@ -121,3 +121,37 @@ def test_unique_header_names():
 def test_route_and_table_name():
     assert L.table_name("Election 2017") == "election_2017"
     assert L.route("Police Stat") == "statistiques_police" and L.route("other") is None
+
+
+def test_party_share_analysis(lake):
+    spark, db, _, _ = lake
+    out = E.party_share_analysis(spark, db, years=(2012, 2017, 2022))
+    shares = out["shares"].collect()
+    for y in (2012, 2017, 2022):
+        assert math.isclose(sum(r["share"] for r in shares if r["annee"] == y), 100.0)
+    got = {(r["annee"], r["parti"]): r["voix"] for r in shares}
+    assert got[(2022, "RN")] > 0 and got[(2022, "LFI")] > 0        # "MÉLENCHON" matched after folding
+    preds = out["predictions"].collect()
+    for y in (2027, 2032):
+        ys = [r for r in preds if r["annee"] == y]
+        assert math.isclose(sum(r["share"] for r in ys), 100.0, abs_tol=1e-9)
+        assert all(r["pred"] is None or 1.0 <= r["pred"] <= E.PARTY_CAPS.get(r["parti"], 50.0) for r in ys)
+    assert {r["rang"] for r in out["ranking"].collect() if r["annee"] == 2027} >= {1}
+    assert {r["nom"] for r in out["unassigned"].collect()} == set()   # all names belong to a party
+
+
+def test_literal_vote_history(spark):
+    out = E.literal_vote_history(spark)
+    v = {(r["annee"], r["nom"]): r["voix"] for r in out["votes"].collect()}
+    assert math.isclose(v[(2002, "CHIRAC")], 22.0 * 115000 / 100)
+    assert all(0 <= r["pred"] <= 120000 for r in out["predictions"].collect())
+
+
+def test_right_vote_and_crime(lake):
+    spark, db, _, _ = lake
+    out = E.right_vote_and_crime(spark, db, years=(2012, 2017, 2022))
+    assert all(10 <= r["pred"] <= 60 for r in out["right_predictions"].collect())
+    assert set(out["crime_pivot"].columns) == {"annee", "Homicides", "Vols"}
+    assert out["evolution"].count() == 3 and out["crime_prediction"].count() == 1
+    f = out["forecasts"].collect()
+    assert {r["model"] for r in f} == {"linear", "quadratic", "arima"} and {r["annee"] for r in f} == {2023, 2024, 2025, 2026}
