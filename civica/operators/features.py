@@ -58,10 +58,18 @@ def kth_smallest(df: DataFrame, column: str, ranks: Sequence[int], stats=None) -
         if not open_ranks:
             break
         small = [k for k in open_ranks if state[k][4] and state[k][3] <= COLLECT_LIMIT]
-        for k in small:
-            lo, hi, below, _, _ = state[k]
-            inside = [r[0] for r in vals.where(F.col("x").between(lo, hi)).orderBy("x").collect()]
-            result[k] = inside[k - below]
+        if small:
+            # One job fetches every small interval (each at most COLLECT_LIMIT values).
+            spans = sorted({(state[k][0], state[k][1]) for k in small})
+            cond = None
+            for lo, hi in spans:
+                c = F.col("x").between(lo, hi)
+                cond = c if cond is None else cond | c
+            got = sorted(r[0] for r in vals.where(cond).collect())
+            for k in small:
+                lo, hi, below, _, _ = state[k]
+                inside = [v for v in got if lo <= v <= hi]
+                result[k] = inside[k - below]
         open_ranks = [k for k in open_ranks if k not in result]
         if not open_ranks:
             break

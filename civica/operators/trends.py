@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civica.functions.numbers import clip, even_grid
@@ -40,37 +40,31 @@ def linear_predict(fit: DataFrame, years: Sequence[int], out: str = "pred", col:
     return f.withColumn(out, F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col(col) - F.col("xbar")))
 
 
-def quadratic_fit(df: DataFrame, series: Sequence[str], x: str, y: str, center: float | None = None) -> DataFrame:
+def quadratic_fit(df: DataFrame, series: Sequence[str], x: str, y: str) -> DataFrame:
     """M3: least-squares parabola per series from centred moments.
 
-    With ``u = x − x̄`` (x̄ per series) the normal equations are solved by
-    Cramer's rule.  All series come from one grouped aggregate of power
-    sums of ``v = x − c`` (c: ``center`` or the global mean of x, one scalar
-    subquery, which keeps the sums small); the per-series centring is then
-    exact algebra on those sums, so no window and no task holds a series.
-    With only two distinct x the problem is under-determined; the result is
-    the minimum-norm solution over the raw features (x, x²) that an SVD
-    least-squares solver returns: ``ŷ(t) = ȳ + k·(Δx·(t − x̄) + Δq·(t² − q̄))``
-    with ``k = Δx·Σu·y / (Σu²·(Δx² + Δq²))``.  One distinct x gives ``ȳ``."""
+    Rows are first reduced to one per (series, x) — count and Σy, a partial
+    hash aggregate that absorbs any hot series — so the per-series mean of
+    x comes from a window over at most #distinct-x rows per series (years,
+    days), never over raw rows.  With ``u = x − x̄`` the normal equations are
+    solved by Cramer's rule.  With only two distinct x the problem is
+    under-determined; the result is the minimum-norm solution over the raw
+    features (x, x²) that an SVD least-squares solver returns:
+    ``ŷ(t) = ȳ + k·(Δx·(t − x̄) + Δq·(t² − q̄))`` with
+    ``k = Δx·Σu·y / (Σu²·(Δx² + Δq²))``.  One distinct x gives ``ȳ``."""
     pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    c = F.lit(float(center)) if center is not None else pts.agg(F.avg(F.col(x).cast("double"))).scalar()
-    v, yy = F.col(x).cast("double") - c, F.col(y).cast("double")
-    m = pts.groupBy(*series).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct(x).alias("n_distinct"),
-        F.sum(v).alias("p1"), F.sum(v * v).alias("p2"), F.sum(v * v * v).alias("p3"), F.sum(v * v * v * v).alias("p4"),
-        F.sum(yy).alias("t0"), F.sum(v * yy).alias("r1"), F.sum(v * v * yy).alias("r2"),
-        F.min(v).alias("vmin"), F.max(v).alias("vmax"), F.max(c).alias("c"))
-    n, p1, p2, p3, p4, t0, r1, r2 = (F.col(k) for k in ["n", "p1", "p2", "p3", "p4", "t0", "r1", "r2"])
-    mu = p1 / n                                                     # mean of v
-    s2 = p2 - n * mu * mu
-    s3 = p3 - 3 * mu * p2 + 3 * mu * mu * p1 - n * mu * mu * mu
-    s4 = p4 - 4 * mu * p3 + 6 * mu * mu * p2 - 4 * mu * mu * mu * p1 + n * mu * mu * mu * mu
-    t1 = r1 - mu * t0
-    t2 = r2 - 2 * mu * r1 + mu * mu * t0
-    m = m.select(*series, "n", "n_distinct", (F.col("c") + mu).alias("xbar"),
-                 (p2 / n + 2 * F.col("c") * mu + F.col("c") * F.col("c")).alias("qbar"), (t0 / n).alias("ybar"),
-                 s2.alias("s2"), s3.alias("s3"), s4.alias("s4"), t0.alias("t0"), t1.alias("t1"), t2.alias("t2"),
-                 (F.col("vmin") + F.col("c")).alias("xmin"), (F.col("vmax") + F.col("c")).alias("xmax"))
+    per_x = pts.groupBy(*series, F.col(x).cast("double").alias("__x")).agg(
+        F.count(F.lit(1)).cast("double").alias("__c"), F.sum(F.col(y).cast("double")).alias("__sy"))
+    w = Window.partitionBy(*series)
+    per_x = per_x.withColumn("__xbar", F.sum(F.col("__c") * F.col("__x")).over(w) / F.sum("__c").over(w))
+    u, c, sy = F.col("__x") - F.col("__xbar"), F.col("__c"), F.col("__sy")
+    m = per_x.groupBy(*series).agg(
+        F.sum("__c").cast("long").alias("n"), F.count(F.lit(1)).alias("n_distinct"),
+        F.first("__xbar").alias("xbar"), (F.sum(c * F.col("__x") * F.col("__x")) / F.sum(c)).alias("qbar"),
+        (F.sum(sy) / F.sum(c)).alias("ybar"),
+        F.sum(c * u * u).alias("s2"), F.sum(c * u * u * u).alias("s3"), F.sum(c * u * u * u * u).alias("s4"),
+        F.sum(sy).alias("t0"), F.sum(u * sy).alias("t1"), F.sum(u * u * sy).alias("t2"),
+        F.min("__x").alias("xmin"), F.max("__x").alias("xmax"))
     n, s2, s3, s4, t0, t1, t2 = (F.col(k) for k in ["n", "s2", "s3", "s4", "t0", "t1", "t2"])
     det = n * (s2 * s4 - s3 * s3) - s2 * s2 * s2
     # Matrix [[n, 0, s2], [0, s2, s3], [s2, s3, s4]] (Σu = 0), right side (t0, t1, t2).
