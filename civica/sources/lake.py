@@ -218,3 +218,16 @@ def load_routed(df: DataFrame, name: str, database: str, routes: Mapping[str, st
     t = f"`{database}`.`{target}`"
     append_table(prepare_routed(df, name), t)
     return t
+
+
+def land_folder(spark: SparkSession, folder: str, out_dir: str, sep: str = ",", suffix: str = ".csv",
+                source_col: str = "source_file") -> dict[str, str]:
+    """S4 into the lake: every file group of ``folder`` (one group per
+    header) written as Parquet partitioned by source file, so later reads
+    of one source prune to its partition.  Returns group name → path."""
+    out = {}
+    for name, df in ingest_folder(spark, folder, sep, suffix, source_col).items():
+        path = f"{out_dir}/{table_name(name.rsplit('.', 1)[0])}"
+        write_parquet(df, path, partition_by=[source_col])
+        out[name] = path
+    return out

@@ -155,3 +155,14 @@ def test_right_vote_and_crime(lake):
     assert out["evolution"].count() == 3 and out["crime_prediction"].count() == 1
     f = out["forecasts"].collect()
     assert {r["model"] for r in f} == {"linear", "quadratic", "arima"} and {r["annee"] for r in f} == {2023, 2024, 2025, 2026}
+
+
+def test_land_folder_partitions_by_source(lake):
+    spark, _, _, root = lake
+    out = L.land_folder(spark, root, f"{root}/landed")
+    groups = {k.lower(): v for k, v in out.items()}
+    assert len(groups) >= 5                    # one group per distinct header
+    elect = [p for k, p in groups.items() if k.startswith("presidentielle")]
+    assert elect, groups
+    df = spark.read.parquet(elect[0])
+    assert "source_file" in df.columns and df.select("source_file").distinct().count() >= 1
