@@ -25,6 +25,14 @@ PRIORITY_CATEGORY = {
 CATEGORIES = ["Extrême gauche", "Gauche", "Centre", "Droite", "Extrême droite", "Autres"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 YEARS = list(range(1995, 2002))
+# Order keys per split of the two-level lag: (year, key // 2^20) is a prefix
+# of the lag order (year, key), so no lag task holds more than 2^20 keys of
+# one group, however hot the group is.
+SPLIT_KEYS = 1 << 20
+
+
+def lag_split():
+    return F.struct(F.col("annee"), F.floor(F.col("o_orderkey") / SPLIT_KEYS))
 
 
 def sql_str(s: str) -> str:

@@ -218,9 +218,12 @@ def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, lis
     top = RW.top_counts(long, "nom", cfg.top_n)                     # bounded: top_n rows
     long = RW.keep_or_other(long, "nom", top, out="candidat")
     tie = [c for c in ("code_commune", "code_b_vote", "candidat_index", "nom") if c in long.columns]
-    # Split by year: the "AUTRE" bucket of minor candidates is a hot group.
+    # The "AUTRE" bucket of minor candidates is a hot group: the lag is split
+    # by (year, commune), a prefix of the lag order, so no task holds more
+    # than one commune's rows of a group.
+    split = F.struct("annee", tie[0]) if tie and tie[0] == "code_commune" else F.col("annee")
     long = lag_within(long, ["code_region", "candidat"], ["annee", *tie], "voix", "groupe_region_candidat_voix",
-                      split="annee")
+                      split=split)
 
     ch = spark.table(f"`{db}`.chomage")
     if cfg.quarter_mode == "fanout":

@@ -186,8 +186,10 @@ SELECT o_orderkey, code_region, nom, annee, voix,
 FROM votes""")
 def lag_votes(spark, d):
     v = C.votes(spark, d)
-    # Two-level lag split by year: no task holds a whole (region, name) group.
-    return WN.lag_within(v, ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "voix_prec", split="annee") \
+    # Two-level lag split by (year, key range): no task holds a whole
+    # (region, name) group.
+    return WN.lag_within(v, ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "voix_prec",
+                         split=C.lag_split()) \
         .select("o_orderkey", "code_region", "nom", "annee", "voix", "voix_prec")
 
 

@@ -148,7 +148,7 @@ def _training_frame(spark, d):
     """Lag feature (W1) then rows without a previous vote are dropped, the
     remaining indicator gaps mean-filled (M9), rows split 80/20 (M1)."""
     f = lag_within(_features(spark, d), ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "voix_prec",
-                   split="annee")
+                   split=C.lag_split())
     f = f.where(F.col("voix_prec").isNotNull())
     f = fill_global_mean(f, ["taux_chomage", "taux", "taux_pour_mille"])
     f = hash_split_op(f.withColumn("annee", F.col("annee").cast("double")), ["o_orderkey"])
