@@ -277,6 +277,9 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
     preds = MD.predict(model, fut.withColumn("annee", F.col("annee").cast("double")), floor=0.0) \
               .withColumn("annee", F.col("annee").cast("int"))
     preds = preds.select("annee", "code_region", "nom", "categorie", *features[1:], "pred_voix")
+    preds_table = f"`{cfg.database}`.predictions"
+    W.replace_table(preds, preds_table)              # scored once; CSV and totals read the table
+    preds = spark.table(preds_table)
     if cfg.predictions_path:
         L.write_delimited(preds, cfg.predictions_path)
     national = MD.national_totals(preds, "annee", "categorie", "pred_voix", CATEGORIES)

@@ -146,16 +146,16 @@ FEATURES = ["annee", "voix_prec", "taux_chomage", "taux", "taux_pour_mille"]
 
 def _training_frame(spark, d):
     """Lag feature (W1) then rows without a previous vote are dropped, the
-    remaining indicator gaps mean-filled (M9), rows split 80/20 (M1)."""
+    remaining indicator gaps mean-filled (M9), rows split 80/20 (M1).
+
+    Training, scoring and projection all read this frame, so the lagged
+    rows are materialised once in the shared folder; the means and the
+    split are then cheap passes over that table."""
     f = lag_within(_features(spark, d), ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "voix_prec",
                    split=C.lag_split())
-    f = f.where(F.col("voix_prec").isNotNull())
+    f = cut_lineage(f.where(F.col("voix_prec").isNotNull()), name="training-rows")
     f = fill_global_mean(f, ["taux_chomage", "taux", "taux_pour_mille"])
-    f = hash_split_op(f.withColumn("annee", F.col("annee").cast("double")), ["o_orderkey"])
-    # Training, scoring and projection all read this frame: materialise it
-    # once in the shared checkpoint folder instead of re-planning and
-    # recomputing its joins and windows in every branch.
-    return cut_lineage(f)
+    return hash_split_op(f.withColumn("annee", F.col("annee").cast("double")), ["o_orderkey"])
 
 
 def _fit_and_score(spark, d, kind):
@@ -189,7 +189,7 @@ def vote_projection(spark, d):
     fut = MD.scenario_frame(latest, feats, "annee", INDICATORS).withColumnRenamed("voix", "voix_prec")
     fut = fill_global_mean(fut, ["taux_chomage", "taux", "taux_pour_mille"])
     preds = MD.predict(model, fut.withColumn("annee", F.col("annee").cast("double")), floor=0.0)
-    preds = preds.withColumn("annee", F.col("annee").cast("int"))
+    preds = cut_lineage(preds.withColumn("annee", F.col("annee").cast("int")), name="projection")
     return MD.national_totals(preds, "annee", "categorie", "pred_voix", C.CATEGORIES)
 
 

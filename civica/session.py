@@ -61,11 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/civica/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+def cut_lineage(df, spark: SparkSession | None = None, name: str = "cut"):
+    """Materialise ``df`` as Parquet below the shared folder and read it
+    back.  One pass (a plain ``checkpoint()`` of an unpersisted frame runs
+    the plan twice), columnar and pruned on re-read, and it survives the
+    loss of any executor; never a machine-local checkpoint."""
     spark = spark or df.sparkSession
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
