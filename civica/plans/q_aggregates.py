@@ -118,21 +118,17 @@ REQUIRED = {"orders": ["o_orderkey", "o_totalprice", "o_orderdate", "pourcentage
        else "false AS present, CAST(NULL AS BIGINT) AS n_values")
     for t, cols in REQUIRED.items() for c in cols))
 def required_columns(spark, d):
+    """Q3 plus a count of the values held by each required column: one
+    aggregate per table emits all its check rows."""
     parts = []
     for t, cols in REQUIRED.items():
         df = table(spark, d, t)
         missing = set(Q.require_columns(df, cols))
-        present = [c for c in cols if c not in missing]
-        counts = df.agg(*[F.count(c).alias(c) for c in present]) if present else None
-        for c in cols:
-            if c in missing:
-                row = df.limit(0).groupBy().agg(F.count(F.lit(1)).alias("__z")) \
-                        .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                                F.lit(False).alias("present"), F.lit(None).cast("bigint").alias("n_values"))
-            else:
-                row = counts.select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                                    F.lit(True).alias("present"), F.col(c).alias("n_values"))
-            parts.append(row)
+        checks = [F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
+                           F.lit(c not in missing).alias("present"),
+                           (F.lit(None).cast("bigint") if c in missing else F.count(c)).alias("n_values"))
+                  for c in cols]
+        parts.append(df.agg(F.array(*checks).alias("__checks")).select(F.inline("__checks")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
