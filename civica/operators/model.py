@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from civica.functions.numbers import clip
 from civica.operators.aggregates import fill_global_mean
 from civica.operators.quality import ensure_not_empty
-from civica.operators.rows import latest_period
 
 
 def train_model(train: DataFrame, features: Sequence[str], label: str, kind: str = "gbt",
@@ -63,12 +62,14 @@ def scenario_frame(latest: DataFrame, history: DataFrame, period: str, groups: M
                    scenarios: Mapping[int, Mapping[str, float]] = SCENARIOS) -> DataFrame:
     """One row per latest row and scenario year.  Indicator columns
     are replaced by their mean over the latest period of ``history`` (F9 +
-    A4, one scalar subquery) times the scenario factor of their group.  The
+    A4) times the scenario factor of their group.  The means come from one
+    scalar subquery: per-period means (partially aggregated, one row per
+    period) and ``max_by`` the period, so ``history`` is read once.  The
     scenario table is a literal array exploded per row (a generator, no
     join and no data-dependent size)."""
     cols = [c for g in groups.values() for c in g]
-    recent = latest_period(history, period)
-    means = recent.agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
+    per_period = history.groupBy(period).agg(*[F.avg(c).alias(c) for c in cols])
+    means = per_period.agg(F.max_by(F.struct(*cols), F.col(period))).scalar()
     group_of = {c: g for g, cs in groups.items() for c in cs}
     sc = F.array(*[F.struct(F.lit(int(y)).alias("__year"),
                             *[F.lit(float(f.get(g, 1.0))).alias(f"__f_{g}") for g in groups])
