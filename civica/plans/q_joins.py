@@ -215,8 +215,10 @@ def global_mean_fill(spark, d):
 
 def _event_gaps(spark, d):
     e = table(spark, d, "events").select("ts", "event_type", "value")
-    day = F.dayofmonth("ts")
-    gap = ((F.col("event_type") == "view") & (day < 4)) | ((F.col("event_type") == "error") & (day % 4 == 0))
+    # The "view" series starts on the 4th; "error" values are not recorded at
+    # weekends (Spark dayofweek: 1 = Sunday, 7 = Saturday).
+    gap = ((F.col("event_type") == "view") & (F.dayofmonth("ts") < 4)) | \
+          ((F.col("event_type") == "error") & F.dayofweek("ts").isin(1, 7))
     return e.select(F.to_date("ts").alias("day"), "event_type", F.when(~gap, F.col("value")).alias("value"))
 
 
@@ -224,7 +226,7 @@ def _event_gaps(spark, d):
 WITH e AS (
   SELECT CAST(ts AS DATE) AS day, event_type,
          CASE WHEN (event_type = 'view' AND dayofmonth(ts) < 4)
-                OR (event_type = 'error' AND dayofmonth(ts) % 4 = 0) THEN NULL ELSE value END AS value
+                OR (event_type = 'error' AND isodow(ts) IN (6, 7)) THEN NULL ELSE value END AS value
   FROM events),
 obs AS (SELECT event_type AS s, day AS p, avg(value) AS v FROM e WHERE value IS NOT NULL GROUP BY 1, 2),
 grid AS (SELECT DISTINCT p FROM obs), ser AS (SELECT DISTINCT s FROM obs),

@@ -324,7 +324,7 @@ def right_projection(spark, d):
 WITH e AS (
   SELECT CAST(ts AS DATE) AS day, event_type,
          CASE WHEN (event_type = 'view' AND dayofmonth(ts) < 4)
-                OR (event_type = 'error' AND dayofmonth(ts) % 4 = 0) THEN NULL ELSE value END AS value
+                OR (event_type = 'error' AND isodow(ts) IN (6, 7)) THEN NULL ELSE value END AS value
   FROM events),
 obs AS (SELECT event_type AS s, day AS p, avg(value) AS v FROM e WHERE value IS NOT NULL GROUP BY 1, 2),
 grid AS (SELECT DISTINCT p FROM obs), ser AS (SELECT DISTINCT s FROM obs),

@@ -86,10 +86,10 @@ def null_filters(spark, d):
 @query("coerce_numeric", "C1 C2 C3 C4 C5", """
 WITH mixed AS (
   SELECT p_partkey,
-         CASE p_partkey % 3 WHEN 0 THEN CAST(p_size AS VARCHAR)
-                            WHEN 1 THEN replace(CAST(p_retailprice AS VARCHAR), '.', ',')
-                            ELSE p_name END AS raw,
-         CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_type END AS label
+         CASE WHEN p_size <= 17 THEN CAST(p_size AS VARCHAR)
+              WHEN p_size <= 34 THEN replace(CAST(p_retailprice AS VARCHAR), '.', ',')
+              ELSE p_name END AS raw,
+         CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS label
   FROM part)
 SELECT p_partkey,
        TRY_CAST(raw AS DOUBLE) AS as_number,
@@ -100,12 +100,13 @@ SELECT p_partkey,
 FROM mixed""")
 def coerce_numeric(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice", "p_name", "p_type")
-    k = F.col("p_partkey") % 3
-    raw = (F.when(k == 0, F.col("p_size").cast("string"))
-            .when(k == 1, F.replace(F.col("p_retailprice").cast("string"), F.lit("."), F.lit(",")))
+    # A text column mixing integers, decimal-comma numbers and words (by
+    # part size), and a label missing for promotional parts.
+    raw = (F.when(F.col("p_size") <= 17, F.col("p_size").cast("string"))
+            .when(F.col("p_size") <= 34, F.replace(F.col("p_retailprice").cast("string"), F.lit("."), F.lit(",")))
             .otherwise(F.col("p_name")))
     m = p.select("p_partkey", raw.alias("raw"),
-                 F.when(F.col("p_partkey") % 5 != 0, F.col("p_type")).alias("label"))
+                 F.when(F.col("p_type") != "PROMO", F.col("p_type")).alias("label"))
     return m.select("p_partkey",
                     to_number("raw").alias("as_number"),
                     decimal_comma("raw").alias("decimal_comma"),
