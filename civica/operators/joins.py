@@ -22,11 +22,29 @@ from civica.functions.text import keyword_pattern, lookup_key
 BOUNDED_ROWS = 10_000
 
 
+def plan_max_rows(df: DataFrame) -> int | None:
+    """Upper bound on the rows of ``df`` proven by its optimised plan
+    (``LogicalPlan.maxRows``: set by LIMIT, local relations, global
+    aggregates and carried through projections and grouping); None when
+    the plan does not bound it."""
+    try:
+        m = df._jdf.queryExecution().optimizedPlan().maxRows()
+        return int(m.get()) if m.isDefined() else None
+    except Exception:   # no JVM handle (e.g. Spark Connect): no proof
+        return None
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BOUNDED_ROWS) -> DataFrame:
+    """Broadcast hint only when the plan proves ``df`` has at most
+    ``max_rows`` rows; otherwise adaptive execution decides at runtime from
+    the measured size."""
+    n = plan_max_rows(df)
+    return F.broadcast(df) if n is not None and n <= max_rows else df
+
+
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A dimension built from driver-side literals.  Its size is known here,
-    so the broadcast hint is safe; beyond ``BOUNDED_ROWS`` it is left to AQE."""
-    df = spark.createDataFrame(list(rows), schema)
-    return F.broadcast(df) if len(rows) <= BOUNDED_ROWS else df
+    """A dimension built from driver-side literals (size known here)."""
+    return bounded_broadcast(spark.createDataFrame(list(rows), schema))
 
 
 def left_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str, how: str = "left",

@@ -125,6 +125,17 @@ def unpivot_quarters(df: DataFrame, value_columns: Sequence[str], ids: Sequence[
     return out.na.drop(subset=[value_col]) if drop_null else out
 
 
+def pivot_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct values of a pivot column, fetched with a proven bound:
+    at most ``spark.sql.pivotMaxValues`` (Spark's own pivot limit) are read;
+    more is an error, never a silent truncation."""
+    cap = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    vals = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(cap + 1).collect()]
+    if len(vals) > cap:
+        raise ValueError(f"{column!r} has more than {cap} distinct values; not a pivot column")
+    return sorted(vals)
+
+
 def pivot_mean(df: DataFrame, index: Sequence[str], column: str, value: str,
                values: Sequence) -> DataFrame:
     """Mean of ``value`` per index row and pivot value."""

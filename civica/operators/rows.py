@@ -37,11 +37,12 @@ def drop_all_null_columns(df: DataFrame) -> DataFrame:
 def keep_or_other(df: DataFrame, column: str, keep: DataFrame, keep_column: str | None = None,
                   out: str | None = None, other: str = "AUTRE") -> DataFrame:
     """value stays if it is in ``keep`` (a bounded list such as a
-    top-20), otherwise becomes ``other``.  ``keep`` must be small: it is
-    broadcast."""
+    top-20), otherwise becomes ``other``.  ``keep`` is broadcast only if its
+    plan proves it small (a LIMIT); otherwise AQE decides at runtime."""
+    from civica.operators.joins import bounded_broadcast
     kc = keep_column or column
     k = keep.select(F.col(kc).alias("__keep")).distinct()
-    return (df.join(F.broadcast(k), F.col(column) == F.col("__keep"), "left")
+    return (df.join(bounded_broadcast(k), F.col(column) == F.col("__keep"), "left")
               .withColumn(out or column, F.when(F.col("__keep").isNotNull(), F.col(column)).otherwise(F.lit(other)))
               .drop("__keep"))
 

@@ -233,7 +233,7 @@ def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, lis
     long = left_join(long, spark.table(f"`{db}`.pauvrete").select("annee", "taux"), "annee", suffix="_pauvrete")
 
     pol = spark.table(f"`{db}`.statistiques_police")
-    indicators = sorted(r[0] for r in pol.select("indicateur").distinct().collect())   # small domain
+    indicators = R.pivot_values(pol, "indicateur")                  # bounded by pivotMaxValues
     piv = R.pivot_mean(pol.withColumn(cfg.police_key, to_number(cfg.police_key, "bigint")),
                        ["annee", cfg.police_key], "indicateur", "taux_pour_mille", indicators)
     if cfg.police_na in ("any", "all"):
@@ -366,7 +366,7 @@ def right_vote_and_crime(spark: SparkSession, database: str, years: Sequence[int
 
     pol = spark.table(f"`{database}`.statistiques_police") \
                .select(to_number("annee", "int").alias("annee"), "indicateur", "taux_pour_mille")
-    indicators = sorted(r[0] for r in pol.select("indicateur").distinct().collect())   # small domain
+    indicators = R.pivot_values(pol, "indicateur")
     pivot = RW.drop_all_null_columns(R.pivot_mean(pol, ["annee"], "indicateur", "taux_pour_mille", indicators))
     evolution = pct_change_mean(pol, "indicateur", "annee", "taux_pour_mille") \
         .withColumn("evolution", F.col("evolution") * 100)

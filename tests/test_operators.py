@@ -377,3 +377,22 @@ def test_lookup_dict_folds_and_dedupes(spark):
     df = spark.createDataFrame([("Pécresse",), ("zz",)], "n string")
     out = J.lookup_with_default(df, "n", {"PECRESSE": "Droite", "PÉCRESSE": "X"}, out="c")
     assert rows(out, "n", "c") == [("Pécresse", "Droite"), ("zz", "Autres")]
+
+
+def test_broadcast_only_with_a_proven_bound(spark):
+    big = spark.range(100000)
+    assert J.plan_max_rows(big.limit(20)) == 20
+    assert J.plan_max_rows(big) is None or J.plan_max_rows(big) > J.BOUNDED_ROWS
+    assert J.plan_max_rows(RW.top_counts(big.withColumn("v", F.col("id") % 7), "v", 20)) == 20
+    hinted = J.bounded_broadcast(big.limit(20))
+    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    plain = J.bounded_broadcast(big)
+    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
+
+
+def test_lineage_cut_lands_in_shared_folder(spark):
+    from civica.session import cut_lineage, shared_dir
+    df = cut_lineage(spark.range(10), name="t")
+    paths = df.inputFiles()
+    assert paths and all(shared_dir(spark).split("://")[-1] in p for p in paths)
+    assert df.count() == 10
