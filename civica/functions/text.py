@@ -26,6 +26,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Whitespace removed at both ends of names, like Python's ``str.strip()``
+# (ASCII whitespace plus the no-break spaces common in spreadsheet exports).
+STRIP_CHARS = " \t\n\x0b\x0c\r\xa0\u2007\u202f"
+_STRIP_RE = "^[\\s\u00a0\u2007\u202f]+|[\\s\u00a0\u2007\u202f]+$"
+
+
+def strip_blanks(c) -> Column:
+    """Remove leading and trailing whitespace, no-break spaces included."""
+    return F.regexp_replace(_c(c), _STRIP_RE, "")
+
+
 def fold_accents(c) -> Column:
     """Upper-case accent folding (X2): É È Ê → E, À Â → A, Ç → C, Ô → O, Ù Û → U."""
     return F.translate(_c(c), ACCENTED_UPPER, FOLDED_UPPER)
@@ -41,7 +52,7 @@ def normalise_name(c, null_as_empty: bool = True) -> Column:
     s = _c(c).cast("string")
     if null_as_empty:
         s = F.coalesce(s, F.lit(""))
-    s = fold_accents(F.upper(F.trim(s)))
+    s = fold_accents(F.upper(strip_blanks(s)))
     s = F.replace(s, F.lit("-"), F.lit(" "))
     s = F.replace(s, F.lit("  "), F.lit(" "))
     for old, new in NAME_ALIASES.items():
@@ -52,7 +63,7 @@ def normalise_name(c, null_as_empty: bool = True) -> Column:
 def lookup_key(c) -> Column:
     """Key used to look a candidate name up in a mapping table: trimmed,
     upper-case, accents folded (so ``MÉLENCHON`` finds ``MELENCHON``)."""
-    return fold_accents(F.upper(F.trim(_c(c).cast("string"))))
+    return fold_accents(F.upper(strip_blanks(_c(c).cast("string"))))
 
 
 def keyword_pattern(keywords: Iterable[str]) -> str:

@@ -66,8 +66,8 @@ def left_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str, how: str
 def fold_key(s: str | None) -> str | None:
     """Driver-side twin of ``civica.functions.text.lookup_key`` for keys of
     a mapping typed in code (trim blanks, upper-case, fold accents)."""
-    from civica.functions.text import ACCENTED_UPPER, FOLDED_UPPER
-    return None if s is None else s.strip(" ").upper().translate(str.maketrans(ACCENTED_UPPER, FOLDED_UPPER))
+    from civica.functions.text import ACCENTED_UPPER, FOLDED_UPPER, STRIP_CHARS
+    return None if s is None else s.strip(STRIP_CHARS).upper().translate(str.maketrans(ACCENTED_UPPER, FOLDED_UPPER))
 
 
 def lookup_with_default(df: DataFrame, column: str, mapping: DataFrame | Mapping[str, str], key: str = "key",

@@ -80,3 +80,9 @@ def test_even_grid_matches_linspace(spark):
 
 def test_fixed_decimals(spark):
     assert one(spark, N.fixed_decimals("v", 3), 0.5, "v double") == "0.500"
+
+
+def test_strip_blanks_like_python(spark):
+    vals = ["\xa0Le Pen\t", " a ", " x "]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    assert [r[0] for r in df.select(T.strip_blanks("v")).collect()] == [v.strip(T.STRIP_CHARS) for v in vals]

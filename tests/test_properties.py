@@ -7,12 +7,12 @@ from civica.functions import text as T
 from civica.operators import reshape as R
 from civica.operators.joins import fold_key
 
-ALPHABET = "abcdeéèêàâçôùû -ABCDEÉ'"
+ALPHABET = "abcdeéèêàâçôùû -ABCDEÉ'\t\xa0"
 
 
 def py_normalise(s):
     s = "" if s is None else s
-    s = s.strip(" ").upper().translate(str.maketrans(T.ACCENTED_UPPER, T.FOLDED_UPPER))
+    s = s.strip(T.STRIP_CHARS).upper().translate(str.maketrans(T.ACCENTED_UPPER, T.FOLDED_UPPER))
     s = s.replace("-", " ").replace("  ", " ")
     for a, b in T.NAME_ALIASES.items():
         s = s.replace(a, b)
