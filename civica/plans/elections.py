@@ -259,7 +259,11 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
     data = hash_split(feats.withColumn("annee", F.col("annee").cast("double")), ["annee", "code_region", *tie])
     model = MD.train_model(data.where("split = 'train'"), features, "voix", max_iter=cfg.max_iter,
                            max_depth=cfg.max_depth)
-    scored = MD.predict(model, data)
+    # The model is applied to the feature table once; R² and the majority
+    # metrics read the scored table (column-pruned) instead of re-scoring.
+    scored_table = f"`{cfg.database}`.scored"
+    W.replace_table(MD.predict(model, data), scored_table)
+    scored = spark.table(scored_table)
     r2 = EV.r2(scored, "voix", "pred_voix", keys=["split"])
     test = scored.where("split = 'test'")
     pairs = EV.majority_labels(test, ["annee", "code_region"], "categorie", "voix", "pred_voix")
@@ -273,7 +277,11 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
     fut = MD.scenario_frame(last, feats, "annee",
                             {"chomage": ["taux_chomage"], "pauvrete": ["taux"], "police": indicators},
                             scenarios={y: cfg.scenarios.get(y, {}) for y in cfg.future_years})
-    fut = fill_global_mean(fut, ["groupe_region_candidat_voix"])
+    # One row per candidate and future year: small, so materialised before
+    # the global-mean fill reads it a second time.
+    fut_table = f"`{cfg.database}`.scenario_rows"
+    W.replace_table(fut, fut_table)
+    fut = fill_global_mean(spark.table(fut_table), ["groupe_region_candidat_voix"])
     preds = MD.predict(model, fut.withColumn("annee", F.col("annee").cast("double")), floor=0.0) \
               .withColumn("annee", F.col("annee").cast("int"))
     preds = preds.select("annee", "code_region", "nom", "categorie", *features[1:], "pred_voix")

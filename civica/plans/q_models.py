@@ -187,7 +187,9 @@ def vote_projection(spark, d):
                                 C.yearly_poverty(spark, d), "annee"), C.police_rates(spark, d), ["annee", "code_region"])
     latest = latest_row(feats, ["code_region", "nom"], "annee", ties=["o_orderkey"])
     fut = MD.scenario_frame(latest, feats, "annee", INDICATORS).withColumnRenamed("voix", "voix_prec")
-    fut = fill_global_mean(fut, ["taux_chomage", "taux", "taux_pour_mille"])
+    # Small (groups × years); materialised so the mean fill does not re-run
+    # the latest-row aggregate over the whole feature table.
+    fut = fill_global_mean(cut_lineage(fut, name="scenario"), ["taux_chomage", "taux", "taux_pour_mille"])
     preds = MD.predict(model, fut.withColumn("annee", F.col("annee").cast("double")), floor=0.0)
     preds = cut_lineage(preds.withColumn("annee", F.col("annee").cast("int")), name="projection")
     return MD.national_totals(preds, "annee", "categorie", "pred_voix", C.CATEGORIES)
