@@ -180,3 +180,13 @@ def correlation_q(spark, d):
     y = group_sums(C.votes(spark, d), ["annee"], {"voix": "voix"})
     j = y.join(C.yearly_poverty(spark, d), "annee")
     return correlation(j, "taux", "voix").select("n", F.round("corr", 9).alias("corr"), F.round("r2", 9).alias("r2"))
+
+
+@query("empty_guard", "Q4 S5", """
+SELECT count(*) AS n_rows FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001""")
+def empty_guard(spark, d):
+    """Q4: the year-range scan that feeds training must not be empty (one
+    ``LIMIT 1`` job fails fast otherwise); its row count is returned."""
+    from civica.sources.warehouse import scan_years
+    df = Q.ensure_not_empty(scan_years(table(spark, d, "orders"), "o_orderdate", 1995, 2001), "training scan")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"))
