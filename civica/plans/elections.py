@@ -148,20 +148,21 @@ def load_lake(spark: SparkSession, cfg: LakeConfig) -> dict[str, str]:
     files = {p.rsplit("/", 1)[-1].lower(): p for p in L.list_files(spark, cfg.raw_dir)}
     written = {}
 
-    def save(df: DataFrame, table_name: str):
+    def save(df: DataFrame, table_name: str, partition_by: Sequence[str] = ()):
         t = f"`{cfg.database}`.`{L.table_name(table_name)}`"
-        W.replace_table(df, t)
+        W.replace_table(df, t, partition_by)
         if cfg.out_dir:
             L.write_delimited(spark.table(t), f"{cfg.out_dir}/{L.table_name(table_name)}_processed")
         written[table_name] = t
 
     for tour, df in load_elections(spark, cfg, files).items():
-        save(df, f"election_tour_{tour}")
+        save(df, f"election_tour_{tour}", ["annee"])          # year-range scans prune partitions
     if p := _file(files, cfg.police_file):
         pol = P.rename_headers(L.read_delimited(spark, p, ";"), lambda c: c.replace("\xa0", " ").strip().lower())
         pol = pol.withColumns({"taux_pour_mille": F.replace(F.col("taux_pour_mille"), F.lit(","), F.lit("."))
                                .try_cast("double")} if "taux_pour_mille" in pol.columns else {})
-        save(RW.prefix_filter(pol, "code_departement", cfg.department_prefix), "statistiques_police")
+        pol = RW.prefix_filter(pol, "code_departement", cfg.department_prefix)
+        save(pol.withColumn("annee", to_number("annee", "int")), "statistiques_police", ["annee"])
     if p := _file(files, cfg.chomage_file):
         ch = P.drop_unnamed(P.light_headers(L.read_delimited(spark, p, ";")))
         if cfg.unemployment_area:

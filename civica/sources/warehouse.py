@@ -56,9 +56,13 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """K3: replace the table content and schema."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+    """K3: replace the table content and schema.  ``partition_by`` (e.g. the
+    election year) lets later range filters prune whole directories."""
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:

@@ -166,3 +166,15 @@ def test_land_folder_partitions_by_source(lake):
     assert elect, groups
     df = spark.read.parquet(elect[0])
     assert "source_file" in df.columns and df.select("source_file").distinct().count() >= 1
+
+
+def test_year_scan_prunes_partitions(lake):
+    import contextlib
+    import io
+    spark, db, written, _ = lake
+    from civica.sources.warehouse import scan_years
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        scan_years(spark.table(written["election_tour_1"]), "annee", 2017, 2022).explain("formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(annee" in plan and "annee#" in plan.split("PartitionFilters:")[1].split("\n")[0]
