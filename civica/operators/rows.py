@@ -68,10 +68,10 @@ def sort_rows(df: DataFrame, keys: Sequence[str], ascending: bool | Sequence[boo
 def top_counts(df: DataFrame, column: str, n: int = 20, count_col: str = "n") -> DataFrame:
     """A1+T2: the ``n`` most frequent non-null values; ties broken by value.
     Partial aggregation happens map-side, then a bounded take-ordered."""
+    from civica.operators.aggregates import value_counts
     if count_col == column:
         raise ValueError(f"count column {count_col!r} collides with the value column")
-    return (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count_col))
-              .orderBy(F.col(count_col).desc(), F.col(column)).limit(n))
+    return value_counts(df, column, count_col).orderBy(F.col(count_col).desc(), F.col(column)).limit(n)
 
 
 def distinct_on(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -41,9 +41,9 @@ def normalise_shares(df: DataFrame, keys: Sequence[str], value: str, out: str =
 def masked_total(df: DataFrame, keys: Sequence[str], name: str, value: str, keywords: Sequence[str],
                  out: str) -> DataFrame:
     """Per key, sum of ``value`` over rows whose name contains one of
-    the keywords (case-insensitive; empty selection → 0)."""
-    return df.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(contains_any(name, keywords), F.col(value))), F.lit(0.0)).alias(out))
+    the keywords (F7 case-insensitive match, A5 masked sum: empty → 0)."""
+    from civica.operators.aggregates import masked_sum
+    return masked_sum(df, value, contains_any(name, keywords), out, keys)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, out: str = "rang",

@@ -72,11 +72,6 @@ CATEGORY_MAP_SQL = "catmap AS (SELECT * FROM " + values_sql(
     sorted(PRIORITY_CATEGORY.items()), "m(nom, categorie)") + ")"
 
 
-def category_map(spark: SparkSession) -> DataFrame:
-    from civica.operators.joins import small_table
-    return small_table(spark, sorted(PRIORITY_CATEGORY.items()), "nom string, categorie string")
-
-
 def categorised_votes(spark: SparkSession, d: str) -> DataFrame:
     from civica.operators.joins import lookup_with_default
     return lookup_with_default(votes(spark, d), "nom", PRIORITY_CATEGORY, out="categorie", default="Autres")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from civica.functions.text import keyword_pattern
 from civica.operators import evaluate as EV
 from civica.operators import model as MD
 from civica.operators import shares as SH
@@ -13,9 +14,10 @@ from civica.operators.features import hash_split as hash_split_op
 from civica.operators.features import robust_scale as robust_scale_op
 from civica.operators.joins import left_join
 from civica.operators.quality import with_min_history
-from civica.operators.windows import lag_within, latest_row
+from civica.operators.windows import lag_within, latest_row, pct_change_mean
 from civica.plans import carriers as C
 from civica.plans.q_aggregates import _YEARLY_SQL, _yearly_millions
+from civica.plans.q_joins import LINE_PARTS_SQL, RIGHT_KEYWORDS, _event_gaps, _line_parts
 from civica.plans.registry import query, table
 from civica.session import cut_lineage
 
@@ -290,9 +292,6 @@ def model_forecasts(spark, d):
 # Projections of a share and of a change series.
 # ---------------------------------------------------------------------------
 
-from civica.plans.q_joins import LINE_PARTS_SQL, RIGHT_KEYWORDS, _event_gaps, _line_parts  # noqa: E402
-from civica.functions.text import keyword_pattern  # noqa: E402
-from civica.operators.windows import pct_change_mean  # noqa: E402
 
 
 def _right_share(spark, d):

@@ -176,8 +176,9 @@ def prepare_routed(df: DataFrame, name: str, election_type: str = "presidentiell
     n = table_name(name)
     m = re.search(r"(\d{4})", n)
     if route(name) == "election":
-        df = df.withColumns({"annee": F.lit(int(m.group(1)) if m else None).cast("int"),
-                             "type_election": F.lit(election_type)})
+        from civica.operators.columns import with_constants
+        df = with_constants(df, annee=int(m.group(1)) if m else None, type_election=election_type)
+        df = df.withColumn("annee", F.col("annee").cast("int"))
     return parse_decimal_columns(df, prefixes)
 
 

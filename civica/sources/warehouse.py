@@ -39,8 +39,9 @@ def full_scan(df: DataFrame) -> DataFrame:
 
 
 def scan_where_ordered(df: DataFrame, column: str, value, order: Sequence[str]) -> DataFrame:
-    """Equality filter then ordered output."""
-    return df.where(F.col(column) == F.lit(value)).orderBy(*order)
+    """Equality filter (F2, pushed to the scan) then ordered output."""
+    from civica.operators.rows import equals_filter, sort_rows
+    return sort_rows(equals_filter(df, column, value), order)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> str:
