@@ -396,3 +396,25 @@ def test_lineage_cut_lands_in_shared_folder(spark):
     paths = df.inputFiles()
     assert paths and all(shared_dir(spark).split("://")[-1] in p for p in paths)
     assert df.count() == 10
+
+
+def test_constant_series_trends(spark):
+    df = spark.createDataFrame([("k", y, 7.0) for y in (2002, 2007, 2012, 2017)], "s string, x int, y double")
+    lin = TR.linear_predict(TR.linear_fit(df, ["s"], "x", "y"), [2027]).first()["pred"]
+    quad = TR.quadratic_predict(TR.quadratic_fit(df, ["s"], "x", "y"), [2027]).first()["pred"]
+    assert math.isclose(lin, 7.0) and math.isclose(quad, 7.0, abs_tol=1e-9)
+    assert np.allclose(TR.arima111_forecast(np.full(6, 7.0), 4), 7.0)
+
+
+def test_operators_on_an_empty_table(spark):
+    e = spark.createDataFrame([], "annee int, nom string, voix double, code_region int")
+    assert SH.party_totals(e, ["annee"], "nom", "voix", {"RN": ["le pen"]}).count() == 0
+    assert A.fill_global_mean(e, ["voix"]).count() == 0
+    assert R.unstack_zero_fill(e, ["annee"], "nom", "voix", ["A", "B"]).count() == 0
+    assert TR.quadratic_fit(e, ["nom"], "annee", "voix").count() == 0
+    assert W.latest_row(e, ["nom"], "annee").count() == 0
+    assert W.pct_change_mean(e, "nom", "annee", "voix").count() == 0
+    assert FE.exact_quantiles(e, "voix", [0.5]) == [None]
+    m = EV.class_metrics(e.select(F.col("nom").alias("t"), F.col("nom").alias("p")), "t", "p").first()
+    assert m["accuracy"] is None and m["n"] is None
+    assert Q.profile(e, "empty").where("n_rows = 0").count() == 4
