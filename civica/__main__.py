@@ -6,6 +6,7 @@
     history
     crime    --database DB [--years 2017 2022]
     query    NAME --tables DIR [--show N]
+    explain  NAME --tables DIR            (formatted physical plan)
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("name")
     p.add_argument("--tables", required=True)
     p.add_argument("--show", type=int, default=20)
+    p = sub.add_parser("explain", help="print the formatted plan of a catalogue query")
+    p.add_argument("name")
+    p.add_argument("--tables", required=True)
     a = ap.parse_args(argv)
 
     from civica.plans import elections as J
@@ -65,6 +69,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "query":
         from civica.plans.catalogue import queries
         queries()[a.name](spark, a.tables).show(a.show, truncate=False)
+    elif a.cmd == "explain":
+        from civica.plans.catalogue import queries
+        queries()[a.name](spark, a.tables).explain("formatted")
     return 0
 
 
