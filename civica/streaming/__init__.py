@@ -1 +1,2 @@
-"""civica.streaming."""
+"""Structured Streaming: incremental, exactly-once ingest of a landing
+folder (``ingest.ingest_stream``)."""
