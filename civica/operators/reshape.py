@@ -50,7 +50,10 @@ def long_by_suffix(df: DataFrame, ids: Sequence[str], fields: Sequence[str],
     if not blocks:
         raise ValueError(f"no block of {fields[0]!r} found")
     types = {f.name: f.dataType for f in df.schema.fields}
-    ftype = {f: types.get(f"{f}{suffix(blocks[0])}") for f in fields}
+    # A field's type comes from the first block that has it, so a field
+    # missing from some blocks (even the first) still reads as a typed null.
+    ftype = {f: next((types[f"{f}{suffix(i)}"] for i in blocks if f"{f}{suffix(i)}" in types), None)
+             for f in fields}
     structs = []
     for i in blocks:
         parts = []

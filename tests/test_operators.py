@@ -418,3 +418,10 @@ def test_operators_on_an_empty_table(spark):
     m = EV.class_metrics(e.select(F.col("nom").alias("t"), F.col("nom").alias("p")), "t", "p").first()
     assert m["accuracy"] is None and m["n"] is None
     assert Q.profile(e, "empty").where("n_rows = 0").count() == 4
+
+
+def test_long_by_suffix_field_missing_from_first_block(spark):
+    df = spark.createDataFrame([(1, "A", 10, "B", 20, "F")],
+                               "id int, nom string, voix int, nom_2 string, voix_2 int, sexe_2 string")
+    out = R.long_by_suffix(df, ["id"], ["nom", "sexe", "voix"])
+    assert rows(out, "nom", "sexe", "voix") == [("A", None, 10), ("B", "F", 20)]
