@@ -174,8 +174,10 @@ def arima_forecast(df: DataFrame, series: str, period: str, value: str, steps: i
         y = pdf[value].to_numpy(dtype=float)
         last = pdf[period].iloc[-1]
         f = arima111_forecast(y, steps)
+        # A failed fit is missing data: null in Spark, not a NaN value.
+        vals = pd.Series(f, dtype="object").where(~np.isnan(f), None)
         return pd.DataFrame({series: pdf[series].iloc[0], "step": np.arange(1, steps + 1, dtype="int32"),
-                             period: [last + h for h in range(1, steps + 1)], out: f})
+                             period: [last + h for h in range(1, steps + 1)], out: vals})
     # One value per (series, period), as the reference's pivot (mean): a
     # group is then bounded by the number of periods, never by row counts.
     pts = df.where(F.col(value).isNotNull()).groupBy(series, period) \
