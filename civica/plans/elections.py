@@ -235,12 +235,13 @@ def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, lis
 
     pol = spark.table(f"`{db}`.statistiques_police")
     indicators = R.pivot_values(pol, "indicateur")                  # bounded by pivotMaxValues
-    piv = R.pivot_mean(pol.withColumn(cfg.police_key, to_number(cfg.police_key, "bigint")),
-                       ["annee", cfg.police_key], "indicateur", "taux_pour_mille", indicators)
-    if cfg.police_na in ("any", "all"):
-        piv = RW.drop_null_rows(piv, indicators, how=cfg.police_na)
-    piv = piv.withColumnRenamed(cfg.police_key, "code_region")
-    long = left_join(long, piv, ["annee", "code_region"])
+    if indicators:                                                  # no crime rows: no crime features
+        piv = R.pivot_mean(pol.withColumn(cfg.police_key, to_number(cfg.police_key, "bigint")),
+                           ["annee", cfg.police_key], "indicateur", "taux_pour_mille", indicators)
+        if cfg.police_na in ("any", "all"):
+            piv = RW.drop_null_rows(piv, indicators, how=cfg.police_na)
+        piv = piv.withColumnRenamed(cfg.police_key, "code_region")
+        long = left_join(long, piv, ["annee", "code_region"])
     long = fill_global_mean(long, ["taux_chomage", "taux", *indicators])
     return RW.drop_null_rows(long, ["groupe_region_candidat_voix"]), indicators
 
