@@ -178,3 +178,13 @@ def test_year_scan_prunes_partitions(lake):
         scan_years(spark.table(written["election_tour_1"]), "annee", 2017, 2022).explain("formatted")
     plan = buf.getvalue()
     assert "PartitionFilters: [isnotnull(annee" in plan and "annee#" in plan.split("PartitionFilters:")[1].split("\n")[0]
+
+
+def test_feature_frame_reference_modes(lake):
+    spark, db, _, _ = lake
+    mean_rows, inds = E.feature_frame(spark, E.ModelConfig(database=db))
+    fan_rows, _ = E.feature_frame(spark, E.ModelConfig(database=db, quarter_mode="fanout", police_na="any"))
+    assert inds == ["Homicides", "Vols"]
+    # the year-only join against quarterly rows multiplies every row by four
+    assert fan_rows.count() == 4 * mean_rows.count()
+    assert "trimestre" in fan_rows.columns and "trimestre" not in mean_rows.columns
