@@ -1,10 +1,14 @@
 """Every catalogue query against its DuckDB oracle on the smallest tables
-(the driver runs the same check at sf0.01); rows-only queries must run and
-return rows with a stable schema."""
+(the driver runs the same check at sf0.01): same columns, types and row
+count, and bit-identical values (no float tolerance).  Rows-only queries
+must run and return rows with a stable schema."""
 
 import pytest
 
+import oracle_check
 from oracle_check import compare, duck
+
+oracle_check.STRICT = True
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
