@@ -9,9 +9,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_INT_DIGITS = {"tinyint": (3, 127), "smallint": (5, 32767), "int": (10, 2**31 - 1), "bigint": (19, 2**63 - 1)}
+
+
+def _integer_prefix(column: str, dtype: str, prefix: str):
+    """Exact range form of ``cast(x as string) LIKE 'prefix%'`` for an
+    integer column: non-negative x in [p·10^k, (p+1)·10^k − 1] for every
+    possible number of extra digits k.  Ranges push down to Parquet
+    row-group statistics; the string form cannot."""
+    digits, top = _INT_DIGITS[dtype]
+    p = int(prefix)
+    c = F.col(column)
+    if p == 0:
+        return c == F.lit(0).cast(dtype)
+    conds = []
+    for k in range(0, digits - len(prefix) + 1):
+        lo, hi = p * 10 ** k, min((p + 1) * 10 ** k - 1, top)
+        if lo > top:
+            break
+        conds.append(c.between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype)))
+    return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+
+
 def prefix_filter(df: DataFrame, column: str, prefix: str) -> DataFrame:
     """keep rows whose stringified code starts with ``prefix``.
-    Like the reference this also keeps ``130`` for prefix ``13``."""
+    Like the reference this also keeps ``130`` for prefix ``13``.  On an
+    integer column a digit prefix becomes exact value ranges (pushed to the
+    scan); otherwise the string test is used (pushed as StringStartsWith)."""
+    dtype = df.schema[column].dataType.simpleString()
+    if dtype in _INT_DIGITS and prefix.isdigit() and (prefix == "0" or not prefix.startswith("0")):
+        return df.where(_integer_prefix(column, dtype, prefix))
     return df.where(F.col(column).cast("string").startswith(prefix))
 
 

@@ -425,3 +425,16 @@ def test_long_by_suffix_field_missing_from_first_block(spark):
                                "id int, nom string, voix int, nom_2 string, voix_2 int, sexe_2 string")
     out = R.long_by_suffix(df, ["id"], ["nom", "sexe", "voix"])
     assert rows(out, "nom", "sexe", "voix") == [("A", None, 10), ("B", "F", 20)]
+
+
+@pytest.mark.parametrize("dtype,prefix", [("int", "1"), ("int", "13"), ("bigint", "9"), ("int", "0"),
+                                          ("smallint", "32"), ("bigint", "922"), ("int", "01")])
+def test_integer_prefix_ranges_equal_string_prefix(spark, dtype, prefix):
+    top = {"smallint": 32767, "int": 2**31 - 1, "bigint": 2**63 - 1}[dtype]
+    rng = np.random.default_rng(11)
+    vals = [0, 1, 9, 10, 13, 130, 1399, -13, -1, top, -top, 99, 100, 3276, 32767, 9223372036854775807 % (top + 1)]
+    vals += [int(v) for v in rng.integers(-top, top, 300, endpoint=True)] + list(range(0, 2000))
+    vals = [v for v in vals if -top <= v <= top]
+    df = spark.createDataFrame([(v,) for v in vals], f"x {dtype}")
+    got = sorted(r["x"] for r in RW.prefix_filter(df, "x", prefix).collect())
+    assert got == sorted(v for v in vals if str(v).startswith(prefix))

@@ -73,3 +73,9 @@ def test_split_lag_shuffles_fact_rows_once(spark):
 def test_global_mean_is_a_scalar_subquery(spark):
     plan = physical(QUERIES["global_mean_fill"](spark, SF_SMALL))
     assert "Subquery" in plan and "Join" not in plan
+
+
+def test_integer_prefix_pushed_as_ranges(spark):
+    plan = physical(QUERIES["prefix_filter"](spark, SF_SMALL), "formatted")
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan).group(1)
+    assert "GreaterThanOrEqual(p_size,1)" in pushed and "Or(" in pushed
