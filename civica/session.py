@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,11 +43,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator of the cluster and points to
-    shared storage.  Only when it is unset (local tests) do we create one.
+    On a cluster the setting is required and points to shared storage.  Only
+    a local master, whose tasks all see the driver's disk, gets a folder of
+    its own when it is unset (tests).
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is not set: {master} needs a folder that all executors share")
         d = tempfile.mkdtemp(prefix="civica-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
@@ -56,11 +61,30 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder for intermediate tables."""
     base = shared_dir(spark)
-    if "://" not in base and not base.startswith("/"):
-        base = os.path.abspath(base)
+    if "://" not in base and not base.startswith(("/", "file:")):
+        raise ValueError(f"spark.checkpoint.dir must be an absolute path or a URI, not {base!r}")
     return f"{base}/civica/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors, once per context, so
+    that Python tasks can import it wherever the driver was started.  Nothing
+    to do where it was submitted as an archive (``--py-files``)."""
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_civica_shipped", False) or not os.path.isdir(package):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="civica-ship-"), "civica_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._civica_shipped = True
+
+
 def cut_lineage(df, spark: SparkSession | None = None, name: str = "cut"):
     """Materialise ``df`` as Parquet below the shared folder and read it
     back.  One pass (a plain ``checkpoint()`` of an unpersisted frame runs
