@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civica.llm.common import (CONTINUATION, SPACE, SYMBOL, ascii_words, byte_class, byte_counts, codes, doc_slices,
                                id_and_text, repeated_windows, sums, utf8)
@@ -166,13 +167,28 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return score_features(features, fit_qda(features, labels, label_col, **options))
 
 
-def keep_quality(docs: DataFrame, model: Qda, threshold: float, text_col: str = "text") -> DataFrame:
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float, id_col: str = "doc_id", text_col: str = "text",
+                 label_col: str = "label", **options) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``, as they
-    are."""
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    are.  The rows are written once beside their statistics, so no text is
+    looked at twice or moved between tasks."""
+    name = "_statistics"
+    while name in docs.columns:
+        name += "_"
+
+    def append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in doc_slices(batches, text_col):
-            mask = model.score(text_features(part.column(text_col))) >= threshold
-            if mask.any():
-                yield part.filter(pa.array(mask))
+            x = text_features(part.column(text_col))
+            own = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([*part.columns, own], names=[*part.schema.names, name])
 
-    return docs.mapInArrow(keep, docs.schema)
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            yield b.filter(pa.array(model.score(x) >= threshold))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
+    rows = cut_lineage(docs.mapInArrow(append, schema), name="quality-rows")
+    features = rows.select(F.col(f"`{id_col}`").alias("doc_id"), *[F.col(name)[i].alias(f) for i, f in enumerate(FEATURES)])
+    model = fit_qda(features, labels, label_col, **options)
+    return rows.mapInArrow(keep, rows.schema).drop(name)

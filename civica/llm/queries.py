@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civica.llm import line_rules, qda_quality, secret_scan, suffix_decontam
+from civica.llm import (best_fit_ga, hmm_lm, length_histogram, line_rules, qda_quality, rans_tokens, secret_scan, simhash_mih,
+                        suffix_decontam, url_templates)
 from civica.llm.common import held_out, read_table
-from civica.session import ship_package
+from civica.session import scratch_path, ship_package
 
 QUALITY_THRESHOLD = 0.3
+END_ID = 2
 
 
 def vocabulary(name: str) -> str:
@@ -21,6 +23,28 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Fixed by the contract: host, path, verdict.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled through the document whose number ends its path:
+    bad if that document is of low quality or toxic."""
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id") \
+        .agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    path = url_templates.with_host_and_path(pages, "url")
+    number = F.regexp_extract("path", r"/([0-9]{1,18})(?:\.[a-z]+|/)?$", 1)
+    rows = path.withColumn("_number", number.try_cast("long"))
+    labelled = rows.join(labels, rows["_number"] == labels["doc_id"], "left").select("page_id", "url", "bad")
+    return url_templates.judge_urls(labelled, URL_RULES)
+
+
+def op2_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram.suffix_sums(length_histogram.length_histogram(
+        read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 def op3_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_decontam.suffix_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     items = F.concat_ws(",", F.array_sort(F.col("items").cast("array<string>")))
@@ -31,6 +55,10 @@ def op3_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(longest, F.lit(0).cast("long")).alias("longest_match"))
 
 
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.hmm_scores(read_table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(read_table(spark, sf_dir, "documents"), with_text=False)
 
@@ -41,16 +69,40 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(spans)
 
 
+def op7_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_mih.simhash_components(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_mih.fingerprint_hex("fp").alias("fingerprint"), "component_id")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    return best_fit_ga.pack_documents(docs, vocabulary("byte_bpe_50k.json"), END_ID)
+
+
+def op8_best_fit_ga(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read_table(spark, sf_dir, "documents"))
+
+
+def op9_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-file")
+    rans_tokens.write_token_files(read_table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), 1, False)
+    return rans_tokens.read_token_files(spark, path, with_ids=False)
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that may be learnt from."""
+    return read_table(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0)) \
+        .select("doc_id", F.col("quality").alias("label"))
+
+
 def op10_qda_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = read_table(spark, sf_dir, "labels").withColumn("held", held_out("doc_id", 5, 0)) \
-        .filter("not held").select("doc_id", F.col("quality").alias("label"))
-    scores = qda_quality.quality_scores(read_table(spark, sf_dir, "documents"), labels)
+    scores = qda_quality.quality_scores(read_table(spark, sf_dir, "documents"), quality_labels(spark, sf_dir))
     return scores.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
                          (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_suffix_decontamination, op5_line_rules, op6_secret_scan, op10_qda_quality)
+    f.__name__: f for f in (op1_url_templates, op2_length_histogram, op3_suffix_decontamination, op4_hmm,
+                            op5_line_rules, op6_secret_scan, op7_simhash_mih, op8_best_fit_ga, op9_rans_tokens, op10_qda_quality)
 }
 _ORACLE_SQL: dict[str, str] = {}
 

@@ -7,9 +7,10 @@ the columns of ``documents``; the last returns the pieces of the packing.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civica.llm import queries
+from civica.llm import qda_quality, queries, secret_scan, simhash_mih, suffix_decontam
 from civica.llm.common import read_table
 from civica.session import cut_lineage, ship_package
 
@@ -18,12 +19,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts.  It learns from the
     labels of the documents at hand that aren't held out."""
     ship_package(spark)
-    return queries.accepted_quality(docs, read_table(spark, sf_dir, "labels"))
+    return qda_quality.keep_quality(docs, queries.quality_labels(spark, sf_dir), queries.QUALITY_THRESHOLD)
 
 
-STAGES = [("quality", quality)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each SimHash component."""
+    ship_package(spark)
+    return simhash_mih.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth is verbatim benchmark."""
+    ship_package(spark)
+    return suffix_decontam.remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by a mark and ``n_chars``
+    set to the new length."""
+    ship_package(spark)
+    return secret_scan.redact(docs, queries.vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, length_col="n_chars")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in the sequences."""
+    ship_package(spark)
+    return queries.packed(docs)
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("secrets", secrets), ("pack", pack)]
 
-#: SQL has no tokenizer, no rank file and no search for a packing.
+#: SQL has no tokenizer, no fitted classifier and no search for a packing.
 ORACLE_SQL = None
 
 
