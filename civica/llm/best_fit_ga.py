@@ -20,8 +20,9 @@ packed, repeated rows and null ids included; an empty table packs to nothing.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +38,16 @@ from civica.session import cut_lineage
 @dataclass(frozen=True)
 class Search:
     """Settings of the search of one block.  ``slack``: free tokens up to
-    which a bin counts as well filled."""
+    which a bin counts as well filled.  ``last_generations``: for the last
+    block, whose bins no later level can improve."""
 
     capacity: int = 1024
     block_items: int = 4096
     islands: int = 2
     epochs: int = 3
-    generations: int = 6
-    population: int = 4
+    generations: int = 10
+    last_generations: int = 100
+    population: int = 10
     inject: float = 0.05
     slack: int = 8
 
@@ -131,15 +134,36 @@ def fitness(size: np.ndarray, bin_of: np.ndarray, capacity: int) -> float:
     return float(np.mean((fill / capacity) ** 2))
 
 
+def exchange(size: np.ndarray, bin_of: np.ndarray, displaced: list[int], free: list[int]) -> list[int]:
+    """Displaced items take the place of smaller ones where that fills a bin
+    further; changes ``bin_of`` and ``free``, and returns who is displaced
+    now.  Each swap raises a bin's fill by what it lowers the displaced sum."""
+    waiting = sorted((int(size[i]), i) for i in displaced)
+    for i in np.flatnonzero(bin_of >= 0).tolist():
+        b, own = bin_of[i], int(size[i])
+        if not free[b]:
+            continue
+        k = bisect_right(waiting, (own + free[b], len(size))) - 1
+        if k >= 0 and waiting[k][0] > own:
+            new, j = waiting.pop(k)
+            bin_of[j], bin_of[i] = b, -1
+            free[b] -= new - own
+            insort(waiting, (own, i))
+    return [i for _, i in waiting]
+
+
 def _refit(size: np.ndarray, bin_of: np.ndarray, displaced: np.ndarray, capacity: int, rng) -> np.ndarray:
-    """Best-fits the displaced items, large ones first (a little shuffled)."""
+    """Exchanges, then best-fits, the displaced items, large ones first (a
+    little shuffled)."""
     child = bin_of.copy()
     child[displaced] = -1
     stay = child >= 0
     child[stay] = tidy(child[stay])
     fill = np.bincount(child[stay], weights=size[stay]).astype(np.int64) if stay.any() else np.empty(0, np.int64)
+    free = (capacity - fill).tolist()
+    displaced = np.array(exchange(size, child, displaced.tolist(), free), np.int64)
     order = displaced[np.argsort(-size[displaced] * rng.uniform(0.9, 1.1, len(displaced)), kind="stable")]
-    best_fit(size, order, child, (capacity - fill).tolist(), capacity)
+    best_fit(size, order, child, free, capacity)
     return child
 
 
@@ -268,7 +292,8 @@ def pack(pieces: DataFrame, search: Search = Search()) -> DataFrame:
     n = left.count()
     while n:
         blocks = -(-n // s.block_items)
-        found = cut_lineage(place(solve_blocks(left, blocks, s), s), name="packed")
+        found = cut_lineage(place(solve_blocks(left, blocks, s if blocks > 1 else replace(s, generations=s.last_generations)), s),
+                            name="packed")
         loose = F.col("free") > s.slack
         again = found.filter(loose).count() if blocks > 1 else 0
         if again > n // 2:  # most bins can't be filled: dissolving them gains nothing
