@@ -1,10 +1,10 @@
 """Public vocabulary files, loaded once in each Python worker.
 
-Texts are split at single spaces, pieces into words, and each distinct word
-is encoded once per worker, by the tokenizer itself; a bounded cache keeps
-the result.  Where a split could change the ids (a piece that begins or ends
-with white space, letters beyond Latin-1), the piece or the whole text goes
-to the tokenizer as it is.
+Texts are split into words, and each distinct word is encoded once per
+worker, by the tokenizer itself; a bounded cache keeps the result.  A text
+with characters whose classes the splitting patterns here do not cover (other
+than printable ASCII, line ends and Latin-1 letters) goes to the tokenizer as
+it is.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
 
 
 @functools.lru_cache(maxsize=4)
@@ -28,42 +29,28 @@ def tiktoken_encoding(path: str, pattern: str):
     return tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-class Cache:
-    """Two generations of a dictionary: at ``limit`` entries the younger
-    becomes the older, and what is still in use moves back."""
-
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
-
-    def learn(self, keys: set[str], compute) -> None:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
-        new = []
-        for k in keys.difference(self.young):
-            if (v := self.old.get(k)) is None:
-                new.append(k)
-            else:
-                self.young[k] = v
-        if new:
-            self.young.update(zip(new, compute(new)))
-
-
 class PieceEncoder:
     """Token ids, as little-endian unsigned 32-bit integers, of whole texts.
 
-    With ``spaces`` (a tokenizer that keeps white space) a piece carries the
-    space before it: tokens that begin with a space then mark where words
-    begin.  Otherwise (white space is dropped, case is folded) the control
-    character ``MARK`` stands between words, and its token marks their ends."""
+    Texts are split into words as the tokenizer does, and new words are
+    encoded together, in lists of ``GROUP``.  With ``spaces`` (a tokenizer
+    that keeps white space) most words carry the space before them: tokens
+    that begin with a space then mark where words begin.  Otherwise (white
+    space is dropped, case is folded) the control character ``MARK`` stands
+    between words, and its token marks their ends.
+
+    The cache has two generations: at ``CACHE_ENTRIES`` the younger becomes
+    the older, and what is still in use moves back."""
 
     GROUP, MARK, LATIN = 2000, "\x01", "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 
     def __init__(self, tokenizer, spaces: bool):
         self.tokenizer, self.spaces = tokenizer, spaces
-        self.pieces, self.words = Cache(CACHE_ENTRIES), Cache(CACHE_ENTRIES)
-        # The splitting patterns of the vocabularies, for the characters of SIMPLE only.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # The splitting patterns of the vocabularies, for texts of these characters only.
+        self.simple = re.compile(rf"[\x20-\x7e\n{self.LATIN}]*").fullmatch
         other = rf"[^\s0-9{self.LATIN}]+"
-        self.simple = re.compile(rf"[\x21-\x7e\n{self.LATIN}]*").fullmatch
         if spaces:
             size = tokenizer.get_vocab_size()
             self.begins = np.array([(tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
@@ -72,71 +59,59 @@ class PieceEncoder:
             self.mark, = tokenizer.encode(self.MARK, add_special_tokens=False).ids
             self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{self.LATIN}]+|[0-9]|{other}").findall
 
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that the splitting pattern leaves in one part."""
-        if self.spaces:  # words without their space are few: one by one
-            alone = [w for w in words if w[0] != " "]
-            done = dict(zip(alone, (x.tobytes() for x in self.whole(alone))))
-            rest = [w for w in words if w[0] == " "]
+        if self.spaces:  # words without a space before them are few: one by one
+            alone = [w for w in words if w[0] != " " or w.isspace()]
+            done = dict(zip(alone, self.whole(alone)))
+            words = [w for w in words if w not in done]
         else:
-            done, rest = {}, words
-        groups = [rest[i: i + self.GROUP] for i in range(0, len(rest), self.GROUP)]
-        end = "" if self.spaces else f" {self.MARK} "
-        for group, ids in zip(groups, self.whole(["".join(w + end for w in g) for g in groups])):
+            done = {}
+        end, skip = ("", 0) if self.spaces else (f" {self.MARK} ", 1)
+        groups = [words[i: i + self.GROUP] for i in range(0, len(words), self.GROUP)]
+        for group, raw in zip(groups, self.whole(["".join(w + end for w in g) for g in groups])):
+            ids = np.frombuffer(raw, "<u4")
             cuts = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)] if self.spaces else \
                 [-1, *np.flatnonzero(ids == self.mark).tolist()]
             if len(cuts) != len(group) + 1:
-                done.update(zip(group, (x.tobytes() for x in self.whole(group))))
+                done.update(zip(group, self.whole(group)))
             else:
-                raw, skip = ids.tobytes(), int(not self.spaces)
                 done.update((w, raw[4 * (a + skip): 4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
-        return [done[w] for w in words]
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces; empty bytes where the text has to stay whole."""
-        lead = " " if self.spaces else ""
-        parts = [self.split(lead + p if self.spaces else p.lower()) if p and self.simple(p) and p.strip() == p else None
-                 for p in pieces]
-        self.words.learn(set().union(*filter(None, parts)), self._encode_words)
-        get = self.words.young.__getitem__
-        out: list[bytes] = []
-        for p, words in zip(pieces, parts):
-            if words is not None:
-                out.append(b"".join(map(get, words)))
-            elif self.spaces and (not p or p[0].isspace() or p[-1].isspace()):
-                out.append(b"")
-            else:
-                out.append(self.whole([lead + p])[0].tobytes())
-        return out
+        return done
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        if len(self.young) > CACHE_ENTRIES:
+            self.old, self.young = self.young, {}
+        got = list(map(self.young.get, words))
+        if None in got:
+            lacking = [w for w, x in zip(words, got) if x is None]
+            found = {w: x for w in lacking if (x := self.old.get(w)) is not None}
+            if new := [w for w in lacking if w not in found]:
+                found |= self._encode_words(new)
+            self.young |= found
+            got = [found[w] if x is None else x for w, x in zip(words, got)]
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.spaces:
-            texts = [t.replace("\n", " ") for t in texts]
-        split = [t.split(" ") for t in texts]
-        flat = [p for pieces in split for p in pieces]
-        got = list(map(self.pieces.young.get, flat))
-        new = {p for p, x in zip(flat, got) if x is None}
-        if new:
-            self.pieces.learn(new, self._encode_pieces)
-            get = self.pieces.young
-            got = [get[p] if x is None else x for p, x in zip(flat, got)]
-        out: list[bytes] = []
-        at = 0
-        heads = self.whole([pieces[0] for pieces in split]) if self.spaces else []
-        for i, (text, pieces) in enumerate(zip(texts, split)):
-            own = got[at: at + len(pieces)]
-            at += len(pieces)
-            if not self.spaces:
-                out.append(b"".join(own))
-            elif len(pieces) > 1 and (pieces[0][-1:].isspace() or not all(own[1:])):
-                out.append(self.whole([text])[0].tobytes())
-            else:
-                own[0] = heads[i].tobytes()
-                out.append(b"".join(own))
-        return out
+        plain = [self.simple(t) is not None for t in texts]
+        count = np.zeros(len(texts) + 1, np.int64)
+        flat: list[str] = []
+        for i, t in enumerate(texts):
+            if plain[i]:
+                flat += self.split(t if self.spaces else t.lower())
+            count[i + 1] = len(flat)
+        coded = pa.array(flat, pa.string()).dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        # The ids of all words one after another, and where each word's begin.
+        _, offsets, data = ids.buffers()
+        begin = np.frombuffer(offsets, np.int64, len(flat) + 1, 8 * ids.offset)[count].tolist() if flat else [0] * len(count)
+        data = memoryview(data) if data is not None else b""
+        odd = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
+        return [bytes(data[a:b]) if p else next(odd) for p, a, b in zip(plain, begin, begin[1:])]
 
 
 @functools.lru_cache(maxsize=4)
