@@ -32,7 +32,8 @@ def fill_sentinel(c, value=-1) -> Column:
 def to_int(c, strict: bool = False) -> Column:
     """To 64-bit integer.  ``strict`` fails the job on a null (the
     non-nullable cast of the reference); otherwise nulls stay null."""
-    v = to_number(c, "double").try_cast("bigint")
+    # Through a double only what isn't written as an integer: it has 53 bits.
+    v = F.coalesce(to_number(c, "bigint"), to_number(c, "double").try_cast("bigint"))
     if strict:
         return F.when(F.assert_true(v.isNotNull(), F.lit("null in non-nullable integer")).isNull(), v)
     return v

@@ -67,11 +67,12 @@ def lookup_key(c) -> Column:
 
 
 def keyword_pattern(keywords: Iterable[str]) -> str:
-    """Case-insensitive alternation of keywords (F7), each taken literally."""
+    """Case-insensitive alternation of keywords (F7), each taken literally;
+    accented letters fold too."""
     kws = [k for k in keywords if k]
     if not kws:
         return "(?!)"  # matches nothing
-    return "(?i)(" + "|".join(re.escape(k) if re.search(r"[\\.^$*+?{}\[\]|()]", k) else k
+    return "(?iu)(" + "|".join(re.escape(k) if re.search(r"[\\.^$*+?{}\[\]|()]", k) else k
                               for k in kws) + ")"
 
 

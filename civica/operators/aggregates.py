@@ -22,8 +22,8 @@ def value_counts(df: DataFrame, column: str, count_col: str = "n") -> DataFrame:
 
 def group_sums(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
     """A2/A3: ``{out: column}`` sums per key.  Like pandas, a group whose
-    values are all null sums to 0."""
-    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(o) for o, c in measures.items()])
+    values are all null sums to 0, and integer sums stay integers."""
+    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(o) for o, c in measures.items()])
 
 
 def global_means(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -44,7 +44,7 @@ def masked_sum(df: DataFrame, value: str, mask: Column | None = None, out: str =
                keys: Sequence[str] = ()) -> DataFrame:
     """A5: sum of ``value`` where ``mask`` holds; an empty selection is 0."""
     v = F.when(mask, F.col(value)) if mask is not None else F.col(value)
-    return df.groupBy(*keys).agg(F.coalesce(F.sum(v), F.lit(0.0)).alias(out))
+    return df.groupBy(*keys).agg(F.coalesce(F.sum(v), F.lit(0)).alias(out))
 
 
 def extents(df: DataFrame, columns: Sequence[str] | str, keys: Sequence[str] = (),
@@ -76,12 +76,6 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
-def row_mean_long(df: DataFrame, index: Sequence[str], value: str, out: str = "mean") -> DataFrame:
-    """A10: mean across series per index row, skipping nulls (long form of
-    ``.mean(axis=1)``)."""
-    return df.groupBy(*index).agg(F.avg(value).alias(out))
-
-
 def correlation(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation and R² of y on x.  ``regr_r2`` returns null
     for a constant input where ``corr`` may fail under ANSI mode, so the

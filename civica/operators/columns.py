@@ -104,14 +104,75 @@ def columns_with_prefix(df: DataFrame, prefix: str, exclude_prefix: str | None =
             if c.startswith(prefix) and not (exclude_prefix and c.startswith(exclude_prefix))]
 
 
-def parse_decimal_columns(df: DataFrame, prefixes: Iterable[str] = ("pourcentage", "taux")) -> DataFrame:
-    """C5 over all string columns whose name starts with one of the prefixes."""
-    pre = tuple(prefixes)
-    todo = {f.name: decimal_comma(f.name) for f in df.schema.fields
-            if f.name.startswith(pre) and f.dataType.typeName() == "string"}
+def parse_decimal_columns(df: DataFrame, words: Iterable[str] = ("pourcentage", "taux")) -> DataFrame:
+    """C5 over all string columns whose name holds one of the words."""
+    words = tuple(words)
+    todo = {f.name: decimal_comma(F.col(f"`{f.name}`")) for f in df.schema.fields
+            if any(w in f.name for w in words) and f.dataType.typeName() == "string"}
     return df.withColumns(todo) if todo else df
 
 
+# Headers of a year's candidate rows and their standard names
+# (P8), and the columns that the share analysis cannot do without.
+YEAR_HEADERS = {
+    2017: {"Sexe": "sexe", "Nom": "nom", "Prénom": "prenom", "Voix": "voix", "% Voix/Exp": "pourcentage_voix_exprimes"},
+    2022: {"Nom": "nom", "% Voix/Exp": "pourcentage_voix_exprimes"},
+}
+YEAR_REQUIRED = ("nom", "pourcentage_voix_exprimes")
+
+
+def standardise_year(df: DataFrame, year: int, headers: Mapping[int, Mapping[str, str]] = YEAR_HEADERS,
+                     required: Iterable[str] = YEAR_REQUIRED) -> tuple[DataFrame, list[str]]:
+    """A year's headers under their standard names (of columns that then
+    share a name the last stays, P10), and the required columns that are
+    missing.  A year without a map keeps its headers."""
+    out = rename_aliases(df, headers.get(year, {}), on_collision="keep_last")
+    return out, require_columns(out, required)
+
+
 def require_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
     """Q3: the required columns that are missing (driver-side schema diff)."""
     return [c for c in required if c not in df.columns]
+
+
+# Canonical names of header variants (P4), as found in yearly
+# result files after header normalisation.
+HEADER_ALIASES = {
+    "code_du_departement": "code_region",
+    "code_departement": "code_region",
+    "code_de_la_commune": "code_commune",
+    "code_du_canton": "code_canton",
+    "code_de_la_region": "code_region",
+    "code_du_b_vote": "code_b_vote",
+    "libelle_du_departement": "nom_departement",
+    "libelle_departement": "nom_departement",
+    "libelle_du_canton": "nom_canton",
+    "libelle_de_la_commune": "nom_commune",
+    "pourcentage_abstention_inscrit": "pourcentage_abstentions_inscrits",
+    "pourcentage_abstention_inscrits": "pourcentage_abstentions_inscrits",
+    "pourcentage_votant_inscrit": "pourcentage_votants_inscrits",
+    "pourcentage_blanc_nuls_inscrit": "pourcentage_blancs_nuls_inscrits",
+    "pourcentage_blanc_nuls_votant": "pourcentage_blancs_nuls_votants",
+    "pourcentage_blanc_nuls_inscrits": "pourcentage_blancs_nuls_inscrits",
+    "pourcentage_blanc_nuls_votants": "pourcentage_blancs_nuls_votants",
+    "%_blnuls_ins": "pourcentage_blancs_nuls_inscrits",
+    "%_blnuls_vot": "pourcentage_blancs_nuls_votants",
+    "%_exp_ins": "pourcentage_exprimes_inscrits",
+    "%_exp_vot": "pourcentage_exprimes_votants",
+    "%_nuls_ins": "pourcentage_nuls_inscrits",
+    "%_nuls_vot": "pourcentage_nuls_votants",
+    "%_blancs_ins": "pourcentage_blancs_inscrits",
+    "%_blancs_vot": "pourcentage_blancs_votants",
+    "%_abs_ins": "pourcentage_abstentions_inscrits",
+    "%_vot_ins": "pourcentage_votants_inscrits",
+}
+# Candidate names of the region key, first present wins (P5).
+REGION_KEY_CANDIDATES = ["code_region", "code_du_departement", "code_departement"]
+
+
+def harmonise(df: DataFrame) -> DataFrame:
+    """P9 → P1 → P4 (+P10 on collisions) → P5: the header pipeline of a
+    yearly results file, as one projection."""
+    df = normalise_headers(drop_unnamed(df))
+    df = rename_aliases(df, HEADER_ALIASES, on_collision="keep_last")
+    return resolve_key(df, REGION_KEY_CANDIDATES, "code_region")

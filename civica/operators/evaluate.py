@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civica.operators.aggregates import group_sums
-from civica.operators.windows import argmax_label
 
 
 def r2(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = (), out: str = "r2") -> DataFrame:
@@ -28,21 +27,23 @@ def mae(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = (), out: str = "
 
 def majority_labels(df: DataFrame, keys: Sequence[str], label: str, y: str, yhat: str) -> DataFrame:
     """Per key, the label with the largest true total and the label
-    with the largest predicted total (ties → smallest label), joined."""
+    with the largest predicted total (ties → smallest label), from one
+    aggregate of the totals."""
     g = group_sums(df, [*keys, label], {y: y, yhat: yhat})
-    t = argmax_label(g, keys, label, y, out=f"{label}_true")
-    p = argmax_label(g, keys, label, yhat, out=f"{label}_pred")
-    return t.join(p, list(keys), "inner")
+    best = lambda v: F.min_by(label, F.struct((-F.col(v)).alias("v"), F.col(label).alias("l")))
+    return g.groupBy(*keys).agg(best(y).alias(f"{label}_true"), best(yhat).alias(f"{label}_pred"))
 
 
 def class_metrics(pairs: DataFrame, true: str, pred: str) -> DataFrame:
     """Accuracy, support-weighted precision (0 for a label never
     predicted) and support-weighted F1, from per-label confusion counts.
     Labels only ever predicted have no support and weigh 0."""
-    tc = pairs.groupBy(F.col(true).alias("label")).agg(F.count(F.lit(1)).alias("support"),
-                                                     F.count_if(F.col(true) == F.col(pred)).alias("tp"))
-    pc = pairs.groupBy(F.col(pred).alias("label")).agg(F.count(F.lit(1)).alias("predicted"))
-    per = tc.join(pc, "label", "left").fillna(0, subset=["predicted"])
+    # Each pair counts once for its true and once for its predicted label.
+    hit = (F.col(true) == F.col(pred)).cast("int")
+    sides = F.array(F.struct(F.col(true).alias("label"), F.lit(1).alias("s"), F.coalesce(hit, F.lit(0)).alias("t"), F.lit(0).alias("p")),
+                    F.struct(F.col(pred).alias("label"), F.lit(0).alias("s"), F.lit(0).alias("t"), F.lit(1).alias("p")))
+    per = pairs.select(F.inline(sides)).groupBy("label").agg(
+        F.sum("s").alias("support"), F.sum("t").alias("tp"), F.sum("p").alias("predicted")).where("support > 0")
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.col("tp") / F.col("support")
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))

@@ -11,10 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Buckets per histogram pass and the largest interval collected exactly.
-HIST_BUCKETS = 1024
-COLLECT_LIMIT = 50_000
-MAX_PASSES = 64
+# Relative accuracy of the sketches that narrow an order statistic down.
+SKETCH_ACCURACY = 100_000
 
 
 def hash_bucket(keys: Sequence[str], seed: int = 42, modulo: int = 100) -> Column:
@@ -31,110 +29,103 @@ def hash_split(df: DataFrame, keys: Sequence[str], train_pct: int = 80, seed: in
     return df.withColumn(out, F.when(hash_bucket(keys, seed) < train_pct, F.lit("train")).otherwise(F.lit("test")))
 
 
-def kth_smallest(df: DataFrame, column: str, ranks: Sequence[int], stats=None) -> dict[int, float]:
-    """Exact order statistics (0-based ranks) of the non-null values of a
-    numeric column, without ever gathering the column in one place.
-
-    Each pass builds a ``HIST_BUCKETS``-bucket histogram (count, min, max per
-    bucket: a grouped aggregate with map-side combining) of the values still
-    in play for every rank, keeps the bucket holding the rank, and repeats.
-    Once an interval holds at most ``COLLECT_LIMIT`` values — or a single
-    distinct value — it is resolved exactly.  Typically 2-4 passes."""
-    vals = _values(df, column)
-    stats = stats or _stats(vals)
-    n = stats["n"]
-    if n == 0:
-        return {k: None for k in ranks}
-    # state per rank: [lo, hi, below, count_in_interval, first_pass_done]
-    state = {k: [stats["lo"], stats["hi"], 0, n, False] for k in ranks}
-    result: dict[int, float] = {}
-    for _ in range(MAX_PASSES):
-        open_ranks = [k for k in state if k not in result]
-        for k in open_ranks:
-            lo, hi, below, cnt, seen = state[k]
-            if lo == hi:
-                result[k] = lo
-        open_ranks = [k for k in state if k not in result]
-        if not open_ranks:
-            break
-        small = [k for k in open_ranks if state[k][4] and state[k][3] <= COLLECT_LIMIT]
-        if small:
-            # One job fetches every small interval (each at most COLLECT_LIMIT values).
-            spans = sorted({(state[k][0], state[k][1]) for k in small})
-            cond = None
-            for lo, hi in spans:
-                c = F.col("x").between(lo, hi)
-                cond = c if cond is None else cond | c
-            got = sorted(r[0] for r in vals.where(cond).collect())
-            for k in small:
-                lo, hi, below, _, _ = state[k]
-                inside = [v for v in got if lo <= v <= hi]
-                result[k] = inside[k - below]
-        open_ranks = [k for k in open_ranks if k not in result]
-        if not open_ranks:
-            break
-        # One pass for every open rank: tag each value with the ranks whose
-        # interval contains it and its bucket inside that interval.
-        tags = []
-        for i, k in enumerate(open_ranks):
-            lo, hi = state[k][0], state[k][1]
-            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(hi - lo) * HIST_BUCKETS).cast("int"),
-                        F.lit(HIST_BUCKETS - 1))
-            tags.append(F.when(F.col("x").between(lo, hi), F.struct(F.lit(i).alias("r"), b.alias("b"))))
-        h = (vals.select("x", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"))
-                 .groupBy("t.r", "t.b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                 .collect())
-        hist: dict[int, list] = {}
-        for r in h:
-            hist.setdefault(r["r"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
-        for i, k in enumerate(open_ranks):
-            lo, hi, below, cnt, _ = state[k]
-            acc = below
-            for b, c, mn, mx in sorted(hist.get(i, [])):
-                if k < acc + c:
-                    state[k] = [mn, mx, acc, c, True]
+def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles under positional names, NaN as null."""
+    cast = [F.col(f"`{c}`").cast("double") for c in columns]
+    return df.select(*[F.when(~F.isnan(x), x).alias(f"x{i}") for i, x in enumerate(cast)])
+
+
+def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, float]]) -> dict[tuple[str, float], float | None]:
+    """For each (column, position) the exact value at that 0-based rank, or,
+    between two ranks, their linear interpolation; positions are shares of
+    ``n - 1``.  No column is ever gathered, and only comparisons are made, so
+    any spread of values and infinities are fine.
+
+    Each pass sketches (``percentile_approx``) every value still in question
+    for all columns in one aggregate, then counts exactly, in another, how
+    many values lie below and at the sketched candidates.  A candidate whose
+    count covers the rank is the answer; otherwise the open interval between
+    its neighbours is left.  An interval loses its candidates in every pass,
+    and all but a few of ``SKETCH_ACCURACY``-ths of its values as a rule."""
+    columns = list(dict.fromkeys(c for c, _ in wanted))
+    vals = _values(df, columns)
+    sizes = vals.agg(*[F.count(f"x{i}").alias(f"n{i}") for i in range(len(columns))]).first()
+    n = {c: sizes[i] for i, c in enumerate(columns)}
+    open_ = {(columns.index(c), r): [None, None, 0, n[c]] for c, p in wanted if n[c]
+             for r in {math.floor((n[c] - 1) * p), math.ceil((n[c] - 1) * p)}}
+    found: dict[tuple[int, int], float] = {}
+    while open_:
+        keys = list(open_)
+        sketches = []
+        for j, (i, rank) in enumerate(keys):
+            lo, hi, below, inside = open_[i, rank]
+            x = F.col(f"x{i}")
+            keep = x.isNotNull()
+            keep = keep if lo is None else keep & (x > F.lit(lo))
+            keep = keep if hi is None else keep & (x < F.lit(hi))
+            at, margin = (rank - below + 0.5) / inside, 1.5 / SKETCH_ACCURACY
+            shares = [min(1.0, max(0.0, at + m)) for m in (-margin, 0.0, margin)]
+            sketches.append(F.percentile_approx(F.when(keep, x), shares, SKETCH_ACCURACY).alias(f"s{j}"))
+        row = vals.agg(*sketches).first()
+        tries = {k: sorted(set(row[j])) for j, k in enumerate(keys)}
+        counts = [(f(F.col(f"x{i}"), F.lit(v)), k, v, what) for k in keys for v in tries[k] for i in [k[0]]
+                  for what, f in (("lt", lambda a, b: a < b), ("le", lambda a, b: a <= b))]
+        row = vals.agg(*[F.count_if(c).alias(f"c{j}") for j, (c, *_) in enumerate(counts)]).first()
+        number = {(k, v, what): row[j] for j, (_, k, v, what) in enumerate(counts)}
+        for k in keys:
+            rank, state = k[1], open_[k]
+            for v in tries[k]:
+                lt, le = number[k, v, "lt"], number[k, v, "le"]
+                if lt <= rank < le:
+                    found[k] = v
+                    del open_[k]
                     break
-                acc += c
-    for k in state:
-        if k not in result:   # pathological spread: resolve from the last interval
-            result[k] = state[k][0]
-    return result
-
-
-def _values(df: DataFrame, column: str) -> DataFrame:
-    x = F.col(column).cast("double")
-    return df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+                if le <= rank:
+                    end = state[2] + state[3]
+                    state[0], state[2], state[3] = v, le, end - le
+                else:
+                    state[1], state[3] = v, lt - state[2]
+                    break
+    out: dict[tuple[str, float], float | None] = {}
+    for c, p in wanted:
+        if not n[c]:
+            out[c, p] = None
+            continue
+        at = (n[c] - 1) * p
+        a, b = (found[columns.index(c), f(at)] for f in (math.floor, math.ceil))
+        w = at - math.floor(at)
+        # Equal ends need no interpolation (two infinities); far ends may not be subtracted.
+        out[c, p] = a if a == b or w == 0 else (a + w * (b - a) if math.isfinite(b - a) else a * (1 - w) + b * w)
+    return out
 
 
-def _stats(vals: DataFrame):
-    return vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+def kth_smallest(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int, float | None]:
+    """Exact order statistics (0-based ranks) of the non-null values."""
+    n = _values(df, [column]).agg(F.count("x0")).first()[0]
+    if not n:
+        return {k: None for k in ranks}
+    share = {k: k / (n - 1) if n > 1 else 0.0 for k in ranks}
+    got = order_statistics(df, [(column, s) for s in share.values()])
+    return {k: got[column, s] for k, s in share.items()}
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float | None]:
     """Exact quantiles with linear interpolation (numpy's default,
     ``percentile`` in Spark SQL, ``quantile_cont`` in SQL engines)."""
-    stats = _stats(_values(df, column))
-    n = stats["n"]
-    if n == 0:
-        return [None for _ in probs]
-    pos = [(n - 1) * p for p in probs]
-    ranks = sorted({int(math.floor(h)) for h in pos} | {int(math.ceil(h)) for h in pos})
-    v = kth_smallest(df, column, ranks, stats)
-    out = []
-    for h in pos:
-        a, b = v[int(math.floor(h))], v[int(math.ceil(h))]
-        out.append(a + (h - math.floor(h)) * (b - a))
-    return out
+    got = order_statistics(df, [(column, p) for p in probs])
+    return [got[column, p] for p in probs]
 
 
 def robust_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled",
                  source: DataFrame | None = None) -> DataFrame:
     """M2: ``(x − median) / (q75 − q25)`` with exact quantiles of ``source``
-    (default ``df``, e.g. the training rows); a zero range scales by 1."""
+    (default ``df``, e.g. the training rows); a zero range scales by 1.  All
+    columns share each pass."""
     src = source if source is not None else df
+    q = order_statistics(src, [(c, p) for c in columns for p in (0.25, 0.5, 0.75)])
     out = {}
     for c in columns:
-        q25, q50, q75 = exact_quantiles(src, c, [0.25, 0.5, 0.75])
+        q25, q50, q75 = (q[c, p] for p in (0.25, 0.5, 0.75))
         iqr = (q75 - q25) if q25 is not None else None
         scale = iqr if iqr not in (None, 0.0) else 1.0
         out[f"{c}{suffix}"] = (F.col(c) - F.lit(q50 if q50 is not None else 0.0)) / F.lit(scale)

@@ -17,9 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civica.functions.text import keyword_pattern, lookup_key
+from civica.session import cut_lineage, stored_bytes
 
-# Rows above which a table built on the driver is no longer hinted for broadcast.
+# Rows and estimated bytes above which a table with a proven number of rows
+# is no longer hinted for broadcast.
 BOUNDED_ROWS = 10_000
+BOUNDED_BYTES = 64 << 20
+# Bytes on disk (Parquet) up to which a written side is broadcast.
+MEASURED_BYTES = 8 << 20
 
 
 def plan_max_rows(df: DataFrame) -> int | None:
@@ -30,16 +35,31 @@ def plan_max_rows(df: DataFrame) -> int | None:
     try:
         m = df._jdf.queryExecution().optimizedPlan().maxRows()
         return int(m.get()) if m.isDefined() else None
-    except Exception:   # no JVM handle (e.g. Spark Connect): no proof
+    except AttributeError:   # no JVM handle (e.g. Spark Connect): no proof
         return None
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BOUNDED_ROWS) -> DataFrame:
     """Broadcast hint only when the plan proves ``df`` has at most
-    ``max_rows`` rows; otherwise adaptive execution decides at runtime from
-    the measured size."""
+    ``max_rows`` rows and estimates at most ``BOUNDED_BYTES``; otherwise
+    adaptive execution decides at runtime from the measured size."""
     n = plan_max_rows(df)
-    return F.broadcast(df) if n is not None and n <= max_rows else df
+    if n is None or n > max_rows:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= BOUNDED_BYTES else df
+
+
+def measured(df: DataFrame, max_bytes: int = MEASURED_BYTES) -> DataFrame:
+    """``df`` written to the shared folder and read back, with a broadcast
+    hint if the files have at most ``max_bytes``.
+
+    For the small side of a join whose other side must not move: adaptive
+    execution learns sizes only after both sides are shuffled; this way the
+    size is known before the plan is made, and a side that has grown is
+    joined by an ordinary equi-join."""
+    written = cut_lineage(df, name="measured")
+    return F.broadcast(written) if stored_bytes(written) <= max_bytes else written
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -48,10 +68,12 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 
 
 def left_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str, how: str = "left",
-              suffix: str = "_right", null_safe: bool = False) -> DataFrame:
+              suffix: str = "_right", null_safe: bool = False, measure: bool = False) -> DataFrame:
     """Equi-join on shared key names; right-hand non-key columns that
-    collide with left columns get ``suffix`` (pandas ``suffixes=("", s)``).
-    ``null_safe`` matches null keys to null keys as pandas ``merge`` does."""
+    collide with left columns get ``suffix``.  ``null_safe`` matches null
+    keys to null keys.  ``measure`` writes the right side first and
+    broadcasts it if it proves small (see ``measured``)."""
+    other = measured(other) if measure else other
     on = [on] if isinstance(on, str) else list(on)
     ren = {c: f"{c}{suffix}" for c in other.columns if c in df.columns and c not in on}
     r = other.withColumnsRenamed(ren) if ren else other

@@ -59,7 +59,7 @@ def duplicate_keys(df: DataFrame, key: Sequence[str], check: str) -> DataFrame:
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, check: str) -> DataFrame:
     """Q6: child rows whose non-null foreign key has no parent (anti join)."""
-    o = child.where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
+    o = child.where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
     return o.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(check).alias("check_name"), "n_violations")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civica.functions.text import year_quarter
+from civica.session import cut_lineage
 
 
 def _q(name: str) -> Column:
@@ -26,16 +27,20 @@ def _suffix_default(i: int) -> str:
 
 
 def suffix_blocks(columns: Sequence[str], fields: Sequence[str],
-                  suffix: Callable[[int], str] = _suffix_default, max_blocks: int = 64) -> list[int]:
-    """Block numbers whose first field is present in the schema."""
-    return [i for i in range(1, max_blocks + 1) if f"{fields[0]}{suffix(i)}" in columns]
+                  suffix: Callable[[int], str] = _suffix_default) -> list[int]:
+    """Block numbers whose first field is present in the schema.  No block
+    number exceeds the largest number in a name that begins with the field."""
+    own = [c[len(fields[0]):] for c in columns if c.startswith(fields[0])]
+    last = max((int(n) for tail in own for n in re.findall(r"[0-9]+", tail)), default=1)
+    present = set(columns)
+    return [i for i in range(1, last + 1) if f"{fields[0]}{suffix(i)}" in present]
 
 
 def _inline(df: DataFrame, ids: Sequence[str], structs: list[Column], index_col: str | None) -> DataFrame:
     arr = F.array(*structs)
     if index_col:
         return df.select(*[_q(c) for c in ids], F.posexplode(arr).alias(index_col, "__blk")) \
-                 .select(*ids, index_col, "__blk.*") \
+                 .select(*[_q(c) for c in ids], index_col, "__blk.*") \
                  .withColumn(index_col, F.col(index_col) + 1)
     return df.select(*[_q(c) for c in ids], F.inline(arr))
 
@@ -91,24 +96,27 @@ def long_by_block(df: DataFrame, n_common: int, block_fields: Sequence[str],
 
 def long_by_detect(df: DataFrame, fields: Sequence[str], ids: Sequence[str] | None = None,
                    sep: str = ".", index_col: str = "candidate_number",
-                   rename: dict | None = None) -> DataFrame:
+                   rename: dict | None = None, drop: Sequence[str] = ("N°Panneau",)) -> DataFrame:
     """Detect numbered blocks ``Nom.1 … Nom.n`` for every field.  If the
     fields do not have the same number of blocks the input is inconsistent
     and the result is empty (with the expected schema).  ``index_col`` is
     the 1-based position of the block; rows without a first field (name)
-    are dropped, as are the block columns from the id part."""
+    are dropped, as are the block columns from the id part and the numbered
+    columns of the fields in ``drop`` (panel numbers)."""
     pat = {f: re.compile("^" + re.escape(f + sep) + r"(\d+)$") for f in fields}
     found = {f: [c for c in df.columns if pat[f].match(c)] for f in fields}
     block_cols = {c for cols in found.values() for c in cols}
+    block_cols |= {c for c in df.columns for f in drop if re.fullmatch(re.escape(f + sep) + r"\d+", c)}
     keep = [c for c in (ids or df.columns) if c not in block_cols]
     rename = rename or {}
     n = len(found[fields[0]])
     if n == 0 or any(len(v) != n for v in found.values()):
-        typed = [F.lit(None).cast("string").alias(rename.get(f, f)) for f in fields]
+        types = {f.name: f.dataType for f in df.schema.fields}
+        typed = [F.lit(None).cast(types[found[f][0]] if found[f] else "string").alias(rename.get(f, f)) for f in fields]
         return df.select(*[_q(c) for c in keep], F.lit(None).cast("int").alias(index_col), *typed).limit(0)
     structs = [F.struct(*[_q(found[f][i]).alias(rename.get(f, f)) for f in fields]) for i in range(n)]
     out = df.select(*[_q(c) for c in keep], F.posexplode(F.array(*structs)).alias("__pos", "__blk"))
-    out = out.select(*keep, (F.col("__pos") + 1).alias(index_col), "__blk.*")
+    out = out.select(*[_q(c) for c in keep], (F.col("__pos") + 1).alias(index_col), "__blk.*")
     return out.where(F.col(f"`{rename.get(fields[0], fields[0])}`").isNotNull())
 
 
@@ -155,11 +163,14 @@ def unstack_zero_fill(df: DataFrame, index: Sequence[str], column: str, value: s
                       values: Sequence[str]) -> DataFrame:
     """Group-sum then unstack.  A category absent from the whole table
     becomes a column of 0.0; one present in some index rows stays null in the
-    others (pandas ``unstack`` + fill of missing columns).
-
-    Which categories are present is one bounded scalar subquery (at most
-    ``len(values)`` strings), not a driver round trip."""
-    wide = pivot_sum(df, index, column, value, values)
-    present = df.where(F.col(column).isin(list(values))).agg(F.collect_set(column)).scalar()
-    return wide.select(*index, *[F.when(F.array_contains(present, F.lit(v)), F.col(f"`{v}`"))
-                                 .otherwise(F.lit(0.0)).alias(v) for v in values])
+    others (fill of missing columns).
+
+    The facts are read once: index rows and the values present come from the
+    same grouped sums, written to the shared folder (one row per index row
+    and category)."""
+    sums = cut_lineage(df.groupBy(*index, column).agg(F.sum(value).alias("__sum")), name="unstack")
+    present = sums.where(F.col(column).isin(list(values))).agg(F.collect_set(column)).scalar()
+    wide = sums.groupBy(*index).agg(*[F.sum(F.when(F.col(column) == v, F.col("__sum"))).alias(f"__v{i}")
+                                      for i, v in enumerate(values)])
+    return wide.select(*index, *[F.when(F.array_contains(present, F.lit(v)), F.col(f"__v{i}"))
+                                 .otherwise(F.lit(0.0)).alias(v) for i, v in enumerate(values)])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from civica.functions.numbers import floor_at
 from civica.functions.text import contains_any, keyword_pattern
+from civica.operators.aggregates import masked_sum
 
 
 def party_totals(df: DataFrame, keys: Sequence[str], name: str, value: str,
@@ -16,9 +17,10 @@ def party_totals(df: DataFrame, keys: Sequence[str], name: str, value: str,
                  out: str = "voix", label: str = "parti") -> DataFrame:
     """Per key, the summed ``value`` of rows whose name matches each
     party's keywords (a row may count for several parties) and a residual
-    ``max(0, total − assigned)``.  One grouped aggregate with one
-    conditional sum per party (partial aggregation, no explode, no join);
-    parties without a match get 0."""
+    ``max(0, total − assigned)``.  Rows are first added up per name, so the
+    patterns look at each name once; then one conditional sum per party (no
+    explode, no join).  Parties without a match get 0."""
+    df = df.groupBy(*keys, name).agg(F.sum(value).alias(value))
     named = [p for p, kws in parties.items() if kws]
     aggs = [F.coalesce(F.sum(F.when(F.coalesce(F.col(name).rlike(keyword_pattern(parties[p])), F.lit(False)),
                                     F.col(value))), F.lit(0.0)).alias(f"__p{i}")
@@ -41,9 +43,10 @@ def normalise_shares(df: DataFrame, keys: Sequence[str], value: str, out: str =
 def masked_total(df: DataFrame, keys: Sequence[str], name: str, value: str, keywords: Sequence[str],
                  out: str) -> DataFrame:
     """Per key, sum of ``value`` over rows whose name contains one of
-    the keywords (F7 case-insensitive match, A5 masked sum: empty → 0)."""
-    from civica.operators.aggregates import masked_sum
-    return masked_sum(df, value, contains_any(name, keywords), out, keys)
+    the keywords (F7 case-insensitive match, A5 masked sum: empty → 0).
+    Rows are first added up per name, so a name is matched once."""
+    per = df.groupBy(*keys, name).agg(F.sum(value).alias(value))
+    return masked_sum(per, value, contains_any(name, keywords), out, keys)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, out: str = "rang",

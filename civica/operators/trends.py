@@ -3,17 +3,14 @@
 A series is a short, already aggregated time series (one value per year or
 day for one party or indicator).  All series are fitted at once: linear and
 quadratic fits are closed-form grouped aggregates (one shuffle for every
-series together, no Python loop); ARIMA, which needs numerical
-optimisation, runs per series in ``applyInPandas`` where each group is one
-small series.
+series together, no Python loop); ARIMA folds each series for every point of
+a parameter grid, in SQL functions as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +33,12 @@ def linear_fit(df: DataFrame, series: Sequence[str], x: str, y: str) -> DataFram
 
 def linear_predict(fit: DataFrame, years: Sequence[int], out: str = "pred", col: str = "annee") -> DataFrame:
     """M4: ``ŷ(t) = ȳ + slope·(t − x̄)``; a single point gives ``ȳ``."""
-    f = _explode_years(fit, years, col)
-    return f.withColumn(out, F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col(col) - F.col("xbar")))
+    return _explode_years(fit, years, col).withColumn(out, linear_eval(col))
+
+
+def linear_eval(t) -> F.Column:
+    """ŷ(t) for a row of ``linear_fit`` output."""
+    return F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col(t) - F.col("xbar"))
 
 
 def quadratic_fit(df: DataFrame, series: Sequence[str], x: str, y: str) -> DataFrame:
@@ -100,88 +101,79 @@ def bounded(df: DataFrame, column: str, lo=None, hi=None) -> DataFrame:
     return df.withColumn(column, clip(column, lo, hi))
 
 
-def curve(fit: DataFrame, x0, x1, n: int = 100, kind: str = "quadratic", out: str = "y") -> DataFrame:
+def curve(fit: DataFrame, x0, x1, n: int = 100, kind: str = "quadratic", out: str = "y", lo=None, hi=None) -> DataFrame:
     """``n`` evenly spaced points of the fitted curve from x0 to
-    x1 per series (the data behind a trend plot)."""
+    x1 per series (the data behind a trend plot), bounded to [lo, hi]."""
     g = fit.select("*", F.posexplode(even_grid(F.lit(float(x0)), F.lit(float(x1)), n)).alias("i", "x"))
-    if kind == "quadratic":
-        return g.withColumn(out, quadratic_eval("x"))
-    return g.withColumn(out, F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col("x") - F.col("xbar")))
+    y = quadratic_eval("x") if kind == "quadratic" else \
+        F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col("x") - F.col("xbar"))
+    return g.withColumn(out, clip(y, lo, hi))
+
+
+def history_and_forecast(history: DataFrame, forecast: DataFrame, series: Sequence[str], period: str, value: str,
+                         predicted: str = "pred") -> DataFrame:
+    """One line per series: its observed points, then its predictions,
+    told apart by ``kind``."""
+    past = history.select(*series, period, F.col(value).alias("value"), F.lit("observed").alias("kind"))
+    return past.unionByName(forecast.select(*series, period, F.col(predicted).alias("value"), F.lit("predicted").alias("kind")))
 
 
 # --------------------------------------------------------------------------
-# ARIMA(1,1,1) by conditional sum of squares, one small series per group.
+# ARIMA(1,1,1) by conditional sum of squares over a grid of parameters.
 # --------------------------------------------------------------------------
 
-def _css(params, d):
-    phi, theta, c = params
-    e = np.zeros_like(d)
-    for t in range(1, len(d)):
-        e[t] = d[t] - c - phi * d[t - 1] - theta * e[t - 1]
-    return float(np.sum(e[1:] ** 2)), e
-
-
-def arima111_forecast(y: np.ndarray, steps: int) -> np.ndarray:
-    """Forecast an ARIMA(1,1,1) fitted by conditional least squares: a
-    coarse grid over the stationary/invertible region (|φ|,|θ| < 1), then a
-    local refinement.  As usual for a differenced model there is no drift
-    term.  This approximates exact maximum likelihood: it is exact on the
-    model definition, not on the optimiser."""
-    y = np.asarray(y, dtype=float)
-    if len(y) < 3:
-        return np.full(steps, np.nan)
-    d = np.diff(y)
-    c0 = 0.0
-    best = (np.inf, 0.0, 0.0)
-    grid = np.linspace(-0.95, 0.95, 39)
-    for phi in grid:
-        for th in grid:
-            s, _ = _css((phi, th, c0), d)
-            if s < best[0]:
-                best = (s, phi, th)
-    _, phi, th = best
-    step = 0.05
-    for _ in range(40):
-        improved = False
-        for dp, dt in ((step, 0), (-step, 0), (0, step), (0, -step)):
-            p2, t2 = np.clip(phi + dp, -0.99, 0.99), np.clip(th + dt, -0.99, 0.99)
-            s, _ = _css((p2, t2, c0), d)
-            if s < best[0] - 1e-15:
-                best, phi, th, improved = (s, p2, t2), p2, t2, True
-        if not improved:
-            step /= 2
-            if step < 1e-4:
-                break
-    _, e = _css((phi, th, c0), d)
-    last_d, last_e = d[-1], e[-1]
-    level = y[-1]
-    out = []
-    for h in range(steps):
-        nd = phi * last_d + (th * last_e if h == 0 else 0.0)
-        level = level + nd
-        out.append(level)
-        last_d, last_e = nd, 0.0
-    return np.array(out)
+# Grid of both parameters: hundredths from -95 to 95 in steps of 5, inside the
+# stationary and invertible region.
+ARIMA_GRID = range(-95, 96, 5)
 
 
 def arima_forecast(df: DataFrame, series: str, period: str, value: str, steps: int = 4,
                    out: str = "forecast") -> DataFrame:
-    """M5: per series, forecast ``steps`` periods ahead.  Groups are single
-    short series (aggregated), processed with Arrow batches; a series with
-    fewer than 3 points yields nulls (the reference's failure → NaN)."""
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(period)
-        y = pdf[value].to_numpy(dtype=float)
-        last = pdf[period].iloc[-1]
-        f = arima111_forecast(y, steps)
-        # A failed fit is missing data: null in Spark, not a NaN value.
-        vals = pd.Series(f, dtype="object").where(~np.isnan(f), None)
-        return pd.DataFrame({series: pdf[series].iloc[0], "step": np.arange(1, steps + 1, dtype="int32"),
-                             period: [last + h for h in range(1, steps + 1)], out: vals})
-    # One value per (series, period), as the reference's pivot (mean): a
-    # group is then bounded by the number of periods, never by row counts.
+    """M5: per series, forecast ``steps`` periods ahead with an ARIMA(1,1,1)
+    without drift.  A series with fewer than 3 points yields nulls.  Steps
+    are numbered from the last period of all series, as a common axis needs.
+
+    The parameters are those of the grid with the least conditional sum of
+    squares of the innovations ``e_t = d_t - φ·d_{t-1} - θ·e_{t-1}`` (on
+    equality the smaller φ, then θ).  That is exact on the model's
+    definition and on the grid; it is not maximum likelihood.
+
+    A series is one array of its differences (one value per period), and the
+    recursion a fold over it, evaluated for every point of the grid."""
+    # One value per (series, period), whatever the number of rows.
     pts = df.where(F.col(value).isNotNull()).groupBy(series, period) \
-            .agg(F.avg(F.col(value).cast("double")).alias(value))
-    t = dict((f.name, f.dataType.simpleString()) for f in pts.schema.fields)
-    schema = f"{series} {t[series]}, step int, {period} {t[period]}, {out} double"
-    return pts.groupBy(series).applyInPandas(fit, schema)
+            .agg(F.avg(F.col(value).cast("double")).alias("__y"))
+    last = pts.agg(F.max(period)).scalar()
+    one = pts.groupBy(series).agg(F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), F.col("__y").alias("y"))))["y"].alias("__y"))
+    n = F.size("__y")
+    diffs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.get("__y", i) - F.get("__y", i - 1))) \
+        .otherwise(F.array().cast("array<double>"))
+    one = one.select(series, F.get("__y", n - 1).alias("__level"), (n >= 3).alias("__ok"), diffs.alias("__d"))
+    grid = F.array(*[F.struct(F.lit(p / 100).alias("phi"), F.lit(t / 100).alias("theta")) for p in ARIMA_GRID for t in ARIMA_GRID])
+
+    def fold(phi, theta):
+        """(previous difference, last innovation, sum of squares) after the
+        series; the first innovation is 0."""
+        start = F.struct(F.get("__d", F.lit(0)).alias("d"), F.lit(0.0).alias("e"), F.lit(0.0).alias("s"))
+
+        def step(acc, d):
+            e = d - phi * acc["d"] - theta * acc["e"]
+            return F.struct(d.alias("d"), e.alias("e"), (acc["s"] + e * e).alias("s"))
+
+        return F.aggregate(F.slice("__d", 2, F.greatest(F.size("__d") - 1, F.lit(0))), start, step)
+
+    best = F.array_min(F.transform(grid, lambda g: F.struct(
+        fold(g["phi"], g["theta"])["s"].alias("s"), g["phi"].alias("phi"), g["theta"].alias("theta"))))
+    fit = one.withColumn("__best", F.when(F.col("__ok"), best)) \
+             .withColumn("__end", F.when(F.col("__ok"), fold(F.col("__best.phi"), F.col("__best.theta"))))
+    # The first step has the last innovation, later ones only the damped difference.
+    phi, theta, d, e = F.col("__best.phi"), F.col("__best.theta"), F.col("__end.d"), F.col("__end.e")
+    moves = [phi * d + theta * e]
+    for _ in range(steps - 1):
+        moves.append(phi * moves[-1])
+    levels = [F.col("__level") + moves[0]]
+    for m in moves[1:]:
+        levels.append(levels[-1] + m)
+    rows = F.array(*[F.struct(F.lit(h + 1).alias("step"), (last + F.lit(h + 1)).alias(period),
+                              F.when(F.col("__ok"), levels[h]).alias(out)) for h in range(steps)])
+    return fit.select(series, F.inline(rows))

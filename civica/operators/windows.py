@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civica.operators.joins import measured
+from civica.session import cut_lineage
+
 
 def lag_within(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
                out: str, offset: int = 1, split=None) -> DataFrame:
@@ -28,7 +31,7 @@ def lag_within(df: DataFrame, partition: Sequence[str], order: Sequence[str], va
     floor(tie / 10**6))`` for finer pieces — the lag is computed in two
     levels: a window per (group, split) spreads a hot group over as many
     tasks as it has splits, and a small table of each split's last value
-    (one row per group and split, aggregated map-side) supplies the value
+    (one row per group and split) supplies the value
     carried into the first row of the next split.  Same result, no task
     holding a whole group."""
     if split is None:
@@ -42,25 +45,27 @@ def lag_within(df: DataFrame, partition: Sequence[str], order: Sequence[str], va
     # null groups and reuses the window's shuffle for the fact side.
     d = df.withColumn("__gk", F.struct(*[F.col(c) for c in partition])).withColumn("__sk", F.struct(sp.alias("s")))
     w = Window.partitionBy("__gk", "__sk").orderBy(*order)
-    local = d.withColumn("__lag", F.lag(value).over(w)).withColumn("__rn", F.row_number().over(w))
-    tails = d.groupBy("__gk", "__sk").agg(F.max_by(F.col(value), F.struct(*[F.col(o) for o in order])).alias("__last"))
+    local = d.withColumn("__lag", F.lag(value).over(w)).withColumn("__rn", F.row_number().over(w)) \
+        .withColumn("__tail", F.lead(F.lit(True)).over(w).isNull())
+    # Written once: the rows and the last value of each split come from it.
+    local = cut_lineage(local, name="lag")
+    tails = local.where("__tail").select("__gk", "__sk", F.col(value).alias("__last"))
     tails = tails.select("__gk", "__sk", F.lag("__last").over(Window.partitionBy("__gk").orderBy("__sk")).alias("__prev"))
     j = local.join(tails, ["__gk", "__sk"], "left")
     res = F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col("__lag"))
-    return j.withColumn(out, res).drop("__gk", "__sk", "__lag", "__rn", "__prev")
-
-
-def _order_key(latest: str, ties: Sequence[str]) -> Column:
-    # Latest period first, then the tie columns ascending (first on ties).
-    return F.struct((-F.col(latest)).alias("__k0"), *[F.col(t).alias(f"__t{i}") for i, t in enumerate(ties)])
+    return j.withColumn(out, res).drop("__gk", "__sk", "__lag", "__rn", "__tail", "__prev")
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], latest: str, ties: Sequence[str] = ()) -> DataFrame:
     """Per group the row with the largest ``latest`` (first by ``ties``
-    on equality).  One ``min_by`` aggregate, partial before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), _order_key(latest, ties))
-    return df.groupBy(*keys).agg(best.alias("__best")).select(*keys, "__best.*")
+    on equality).  Rows without a ``latest`` are skipped.  Two aggregates,
+    partial before their shuffles: the first row of each group and period,
+    then the row of the last period."""
+    rest = [c for c in df.columns if c not in keys and c != latest]
+    first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(t) for t in ties] or [F.lit(0)]))
+    per = df.where(F.col(latest).isNotNull()).groupBy(*keys, latest).agg(first.alias("__first"))
+    best = per.groupBy(*keys).agg(F.max_by(F.struct(latest, "__first"), latest).alias("__best"))
+    return best.select(*keys, f"__best.{latest}", "__best.__first.*").select(df.columns)
 
 
 def argmax_label(df: DataFrame, keys: Sequence[str], label: str, value: str, out: str | None = None,
@@ -77,11 +82,12 @@ def argmax_label(df: DataFrame, keys: Sequence[str], label: str, value: str, out
 
 def group_mean_fill(df: DataFrame, group: Sequence[str], column: str, out: str | None = None,
                     null_keys: bool = False) -> DataFrame:
-    """``x.fillna(groupby(g)[x].transform('mean'))``: one aggregate per
-    group joined back on the group key.  As in pandas, rows whose key is
-    null are not a group and stay unfilled unless ``null_keys`` is set."""
+    """Nulls get the mean of their group: one aggregate per group joined
+    back on the group key, broadcast when its measured size is small, so that
+    the rows do not move.  Rows whose key is null are not a group and stay
+    unfilled unless ``null_keys`` is set."""
     g = list(group)
-    means = df.groupBy(*g).agg(F.avg(column).alias("__gmean"))
+    means = measured(df.groupBy(*g).agg(F.avg(column).alias("__gmean")))
     ren = {k: f"__g_{k}" for k in g}
     means = means.withColumnsRenamed(ren)
     cond = None
@@ -94,24 +100,26 @@ def group_mean_fill(df: DataFrame, group: Sequence[str], column: str, out: str |
 
 
 def pct_change_mean(df: DataFrame, series: str, period: str, value: str, out: str = "evolution") -> DataFrame:
-    """Per period, mean over series of the period-on-period change with
-    forward fill (pandas ``pivot_table().pct_change().mean(axis=1).fillna(0)``).
+    """Per period, mean over series of the period-on-period change, with
+    gaps filled forward; 0 where no series has a change.
 
     Grid = periods where some series has a value.  A series missing at a
-    period, but started earlier, forward-fills and so contributes a change of
-    0; a series not started yet contributes nothing.  Hence
-    ``mean(p) = Σ changes observed at p / #series started before p`` and no
+    period, but started earlier, keeps its value and so contributes a change
+    of 0; a series not started yet contributes nothing, and neither does one
+    whose value before was 0 (its change is undefined).  Hence ``mean(p) = Σ
+    changes observed at p / #series started before p with a value other than
+    0``, a running count of what each period adds and takes away, and no
     dense series × period grid has to be built.
     """
     obs = (df.where(F.col(value).isNotNull()).groupBy(series, period)
              .agg(F.avg(value).alias("__v")))
     w = Window.partitionBy(series).orderBy(period)
-    ch = obs.withColumn("__chg", F.try_subtract(F.try_divide(F.col("__v"), F.lag("__v").over(w)), F.lit(1.0)))
-    per = ch.groupBy(period).agg(F.sum("__chg").alias("__s"))
-    firsts = obs.groupBy(series).agg(F.min(period).alias(period)).groupBy(period).agg(F.count(F.lit(1)).alias("__new"))
-    grid = per.join(firsts, period, "left").fillna(0, subset=["__new"])
-    # The grid has one row per period (bounded, already aggregated), so a
-    # running sum over it is a small single-partition window.
+    ch = obs.withColumn("__prev", F.lag("__v").over(w))
+    change = F.try_subtract(F.try_divide(F.col("__v"), F.col("__prev")), F.lit(1.0))
+    counts = F.count_if(F.col("__prev").isNull() | (F.col("__prev") == 0)) - F.count_if(F.col("__v") == 0)
+    grid = ch.groupBy(period).agg(F.sum(change).alias("__s"), counts.alias("__new"))
+    # The grid has one row per period (already aggregated), so a running sum
+    # over it is a small single-partition window.
     started = F.sum("__new").over(Window.orderBy(period).rowsBetween(Window.unboundedPreceding, -1))
     return grid.select(period, F.coalesce(F.try_divide(F.col("__s"), started), F.lit(0.0)).alias(out))
 

@@ -11,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civica.functions.text import keyword_pattern
+from civica.operators.reshape import pivot_values
+from civica.plans.elections import CATEGORIES  # noqa: F401
 from civica.plans.registry import table
+from civica.session import cut_lineage
 
 # Category of each carrier "candidate" (order priority).  The
 # fourth priority is deliberately unmapped so the default category shows up.
@@ -21,10 +25,6 @@ PRIORITY_CATEGORY = {
     "3-MEDIUM": "Centre",
     "5-LOW": "Droite",
 }
-# The six categories of the national view, in display order.
-CATEGORIES = ["Extrême gauche", "Gauche", "Centre", "Droite", "Extrême droite", "Autres"]
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-YEARS = list(range(1995, 2002))
 # Order keys per split of the two-level lag: (year, key // 2^20) is a prefix
 # of the lag order (year, key), so no lag task holds more than 2^20 keys of
 # one group, however hot the group is.
@@ -39,6 +39,12 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def sql_pattern(keywords) -> str:
+    """The keyword pattern in the dialect of the SQL engine, whose ``i`` flag
+    folds accented letters by itself."""
+    return keyword_pattern(keywords).replace("(?iu)", "(?i)")
+
+
 def values_sql(rows, cols) -> str:
     """``(VALUES ...) AS name(cols)`` body for a list of tuples."""
     def lit(v):
@@ -122,9 +128,35 @@ POLICE_SQL = """police AS (
 
 
 # Wide election table: one row per order, one candidate block per line number.
+# The oracle's SQL names the line numbers of the test tables; the Spark side
+# takes them from the data.
 LINES = list(range(1, 8))
 
 
+def indicators(spark: SparkSession, d: str) -> DataFrame:
+    """Sums and counts per (year, quarter, supplier nation), from one pass
+    over the lines: what every indicator of a region or year derives from.
+    One row per period and nation."""
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_discount", "l_tax")
+    s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("code_region"))
+    out = li.join(s, li.l_suppkey == s.s_suppkey, "left").groupBy(
+        F.year("l_shipdate").alias("annee"), F.quarter("l_shipdate").alias("trimestre"), "code_region").agg(
+        F.sum("l_discount").alias("discount"), F.count("l_discount").alias("n_discount"),
+        F.sum("l_tax").alias("tax"), F.count("l_tax").alias("n_tax"))
+    return cut_lineage(out, name="indicators")
+
+
+def indicator_tables(ind: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(yearly unemployment, yearly poverty, crime per year and region) of
+    ``indicators``."""
+    quarterly = ind.groupBy("annee", "trimestre").agg((F.sum("discount") / F.sum("n_discount")).alias("taux_chomage"))
+    yearly = quarterly.groupBy("annee").agg(F.avg("taux_chomage").alias("taux_chomage"))
+    poverty = ind.groupBy("annee").agg((F.sum("tax") / F.sum("n_tax")).alias("taux"))
+    police = ind.where("code_region is not null").groupBy("annee", "code_region") \
+        .agg((F.sum("tax") / F.sum("n_tax")).alias("taux_pour_mille"))
+    return yearly, poverty, police
+
+
 def line_blocks(spark: SparkSession, d: str) -> DataFrame:
     """(l_orderkey, l_linenumber, nom, voix): one candidate per order line.
     ``(l_orderkey, l_linenumber)`` is not unique in the test data, so the
@@ -140,13 +172,18 @@ LINE_BLOCKS_SQL = """blocks AS (
   FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
 
 
+def line_numbers(spark: SparkSession, d: str) -> list[int]:
+    return pivot_values(table(spark, d, "lineitem"), "l_linenumber")
+
+
 def wide_numbered(spark: SparkSession, d: str) -> DataFrame:
     """Wide table with numbered headers ``Nom.1, Voix.1 … Nom.7, Voix.7``
     (the layout of a yearly results file)."""
     b = line_blocks(spark, d)
-    w = b.groupBy("l_orderkey").pivot("l_linenumber", LINES).agg(F.first("nom").alias("n"), F.first("voix").alias("v"))
+    lines = line_numbers(spark, d)
+    w = b.groupBy("l_orderkey").pivot("l_linenumber", lines).agg(F.first("nom").alias("n"), F.first("voix").alias("v"))
     cols = ["l_orderkey"]
-    for i in LINES:
+    for i in lines:
         cols += [F.col(f"{i}_n").alias(f"Nom.{i}"), F.col(f"{i}_v").alias(f"Voix.{i}")]
     return w.select(*cols)
 
@@ -154,13 +191,6 @@ def wide_numbered(spark: SparkSession, d: str) -> DataFrame:
 def wide_suffixed(spark: SparkSession, d: str) -> DataFrame:
     """Same, with warehouse-style headers ``nom, voix, nom_2, voix_2 …``."""
     from civica.operators.columns import block_rename_map, rename_aliases
-    return rename_aliases(wide_numbered(spark, d), block_rename_map(len(LINES), {"Nom": "nom", "Voix": "voix"},
-                                                                    first_suffix=".1"))
-
-
-def yearly_unemployment(spark: SparkSession, d: str) -> DataFrame:
-    """Yearly unemployment as the mean of the quarterly values: one row per
-    year, so a join on the year does not multiply election rows by four
-    (the reference's fan-out, kept available as ``left_join_fanout``)."""
-    q = quarterly_unemployment(spark, d)
-    return q.groupBy("annee").agg(F.avg("taux_chomage").alias("taux_chomage"))
+    wide = wide_numbered(spark, d)
+    last = max((int(c.rpartition(".")[2]) for c in wide.columns if c.startswith("Nom.")), default=1)
+    return rename_aliases(wide, block_rename_map(last, {"Nom": "nom", "Voix": "voix"}, first_suffix=".1"))

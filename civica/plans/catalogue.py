@@ -6,17 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civica.plans import q_tables  # noqa: F401  (registers queries)
+from civica.plans import q_aggregates, q_io, q_joins, q_models, q_tables  # noqa: F401  (register queries)
 from civica.plans.registry import REGISTRY
 
-_MODULES = ["q_tables", "q_io", "q_joins", "q_aggregates", "q_models"]
-for _m in _MODULES[1:]:
-    try:
-        __import__(f"civica.plans.{_m}")
-    except ModuleNotFoundError as e:  # module not written yet
-        if _m not in str(e):
-            raise
-
 
 def _utc(build):
     """Catalogue semantics (years of timestamps) are defined in UTC."""

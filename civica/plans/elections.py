@@ -10,14 +10,16 @@ storage), which also cuts lineage between the two halves.
 
 from __future__ import annotations
 
+import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civica.functions.numbers import clip, to_number
+from civica.functions.numbers import clip, fill_sentinel, to_number
+from civica.functions.text import light_header, normalise_name
 from civica.operators import columns as P
 from civica.operators import evaluate as EV
 from civica.operators import model as MD
@@ -26,8 +28,8 @@ from civica.operators import rows as RW
 from civica.operators.aggregates import fill_global_mean
 from civica.operators.features import hash_split
 from civica.operators.joins import left_join, lookup_with_default
+from civica.operators.quality import range_check
 from civica.operators.windows import group_mean_fill, lag_within, latest_row
-from civica.plans.q_tables import harmonise
 from civica.sources import lake as L
 from civica.sources import warehouse as W
 
@@ -47,6 +49,7 @@ CANDIDATE_CATEGORY = {
     "ASSELINEAU": "Centre", "ZEMMOUR": "Extrême droite", "PECRESSE": "Droite", "JADOT": "Gauche",
     "HIDALGO": "Gauche", "ROUSSEL": "Gauche",
 }
+# The six categories of the national view, in display order.
 CATEGORIES = ["Extrême gauche", "Gauche", "Centre", "Droite", "Extrême droite", "Autres"]
 
 # Party keyword lists of the share analysis (2017/2022 version).
@@ -101,6 +104,10 @@ LITERAL_PERCENTAGES = {
            "DUPONTAIGNAN": 5.0},
 }
 
+# The headers of a candidate block in result files.
+CANDIDATE_BLOCK = ["Sexe", "Nom", "Prénom", "Voix", "% Voix/Ins", "% Voix/Exp"]
+# Fixed value: columns before the first block of the positional layout.
+COMMON_COLUMNS = 17
 ELECTION_FILE = re.compile(r"^Presidentielle-(\d{4})-T(\d)\.csv$", re.IGNORECASE)
 CANDIDATE_FIELDS = ["nom", "prenom", "sexe", "voix"]
 
@@ -119,6 +126,10 @@ class LakeConfig:
     pauvrete_file: str = "pauvrete.csv"
     behaviour_file: str = "comportements_vote.csv"
     behaviour_semicolon_files: Sequence[str] = ("comportement_votes_metier.csv", "comportement_votes_lieu.csv")
+    # Result files of the two other layouts, by name, with their year.
+    numbered_files: Mapping[str, int] = field(default_factory=lambda: {"presidentielle2017.csv": 2017})
+    block_files: Mapping[str, int] = field(default_factory=lambda: {"resultats-niveau-reg.csv": 2022})
+    region_code: str = "32"                # code of the rows that these files keep
 
 
 def _file(files: dict[str, str], name: str) -> str | None:
@@ -134,13 +145,51 @@ def load_elections(spark: SparkSession, cfg: LakeConfig, files: dict[str, str])
         if not m:
             continue
         year, tour = int(m.group(1)), int(m.group(2))
-        df = harmonise(L.read_repeated_blocks(spark, path, cfg.election_sep))
+        df = P.harmonise(L.read_repeated_blocks(spark, path, cfg.election_sep))
         df = P.parse_decimal_columns(df, ("pourcentage", "taux"))
         df = RW.prefix_filter(df, "code_region", cfg.department_prefix)
         rounds.setdefault(tour, []).append(df.withColumn("annee", F.lit(year)).withColumn("tour", F.lit(tour)))
     return {t: RW.union_missing(dfs) for t, dfs in rounds.items()}
 
 
+def _candidate_table(long: DataFrame, year: int, code: str | None) -> DataFrame:
+    """P8 + P1/P4/P5 + C1/C2/C5 on candidate rows: standard names, numbers,
+    the year; rows of one code if one is given (an unreadable code is -1)."""
+    long, missing = P.standardise_year(long, year)
+    if missing:
+        logging.getLogger("civica").warning("year %s lacks the columns %s", year, missing)
+    long = P.parse_decimal_columns(P.harmonise(long), ("pourcentage", "taux", "%"))
+    long = long.withColumns({c: f for c, f in (
+        ("voix", to_number("voix")), ("code_region", fill_sentinel(to_number("code_region", "bigint"), -1))) if c in long.columns})
+    if code is not None and "code_region" in long.columns:
+        long = long.where(F.col("code_region") == int(code))
+    return long.withColumn("annee", F.lit(year))
+
+
+def numbered_rows(spark: SparkSession, path: str, year: int, code: str | None = None, sep: str = ",",
+                  encoding: str = "UTF-8") -> DataFrame:
+    """P6 + R3: a results file whose candidate blocks are numbered
+    (``Nom.1, Voix.1 …``) as one row per candidate.  A block without a
+    number comes first, as number 0; panel numbers are dropped."""
+    df = P.light_headers(L.read_repeated_blocks(spark, path, sep, encoding))
+    fields = [f for f in CANDIDATE_BLOCK if any(c.startswith(f + ".") for c in df.columns)]
+    first = {f: f"{f}.0" for f in [*fields, "N°Panneau"] if f in df.columns}
+    if all(f in first for f in fields):
+        df = df.withColumnsRenamed(first)
+        order = [c for c in df.columns if not c.endswith(".0")]
+        df = df.select(*[F.col(f"`{c}`") for c in [*[c for c in df.columns if c.endswith(".0")], *order]])
+    return _candidate_table(R.long_by_detect(df, fields), year, code)
+
+
+def block_rows(spark: SparkSession, path: str, year: int, code: str | None = None, sep: str = ",",
+               encoding: str = "UTF-8", common: int = COMMON_COLUMNS) -> DataFrame:
+    """P7 + R2: a results file whose candidate blocks repeat the same headers
+    by position after ``common`` columns, as one row per candidate."""
+    df = L.read_repeated_blocks(spark, path, sep, encoding)
+    names = [light_header(c) for c in df.columns[:common]]
+    return _candidate_table(P.drop_unnamed(R.long_by_block(df, common, CANDIDATE_BLOCK, common_names=names)), year, code)
+
+
 def load_lake(spark: SparkSession, cfg: LakeConfig) -> dict[str, str]:
     """§3.1: every CSV of the landing folder → cleaned warehouse tables
     (replaced) and, if ``out_dir`` is set, processed CSV copies (K1)."""
@@ -155,6 +204,11 @@ def load_lake(spark: SparkSession, cfg: LakeConfig) -> dict[str, str]:
             L.write_delimited(spark.table(t), f"{cfg.out_dir}/{L.table_name(table_name)}_processed")
         written[table_name] = t
 
+    candidates = [load(spark, p, year, cfg.region_code, cfg.election_sep)
+                  for load, group in ((numbered_rows, cfg.numbered_files), (block_rows, cfg.block_files))
+                  for name, year in group.items() if (p := _file(files, name))]
+    if candidates:
+        save(RW.union_missing(candidates), "candidats_long", ["annee"])
     for tour, df in load_elections(spark, cfg, files).items():
         save(df, f"election_tour_{tour}", ["annee"])          # year-range scans prune partitions
     if p := _file(files, cfg.police_file):
@@ -220,18 +274,19 @@ def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, lis
     long = RW.keep_or_other(long, "nom", top, out="candidat")
     tie = [c for c in ("code_commune", "code_b_vote", "candidat_index", "nom") if c in long.columns]
     # The "AUTRE" bucket of minor candidates is a hot group: the lag is split
-    # by (year, commune), a prefix of the lag order, so no task holds more
-    # than one commune's rows of a group.
-    split = F.struct("annee", tie[0]) if tie and tie[0] == "code_commune" else F.col("annee")
+    # by (year, first tie column: the commune where there is one), a prefix of
+    # the lag order, so no task holds more than one such part of a group.
+    split = F.struct("annee", *tie[:1])
     long = lag_within(long, ["code_region", "candidat"], ["annee", *tie], "voix", "groupe_region_candidat_voix",
                       split=split)
 
     ch = spark.table(f"`{db}`.chomage")
     if cfg.quarter_mode == "fanout":
-        long = left_join(long, ch.select("annee", "trimestre", "taux_chomage"), "annee")
+        long = left_join(long, ch.select("annee", "trimestre", "taux_chomage"), "annee", measure=True)
     else:
-        long = left_join(long, ch.groupBy("annee").agg(F.avg("taux_chomage").alias("taux_chomage")), "annee")
-    long = left_join(long, spark.table(f"`{db}`.pauvrete").select("annee", "taux"), "annee", suffix="_pauvrete")
+        long = left_join(long, ch.groupBy("annee").agg(F.avg("taux_chomage").alias("taux_chomage")), "annee", measure=True)
+    long = left_join(long, spark.table(f"`{db}`.pauvrete").select("annee", "taux"), "annee", suffix="_pauvrete",
+                     measure=True)
 
     pol = spark.table(f"`{db}`.statistiques_police")
     indicators = R.pivot_values(pol, "indicateur")                  # bounded by pivotMaxValues
@@ -241,7 +296,7 @@ def feature_frame(spark: SparkSession, cfg: ModelConfig) -> tuple[DataFrame, lis
         if cfg.police_na in ("any", "all"):
             piv = RW.drop_null_rows(piv, indicators, how=cfg.police_na)
         piv = piv.withColumnRenamed(cfg.police_key, "code_region")
-        long = left_join(long, piv, ["annee", "code_region"])
+        long = left_join(long, piv, ["annee", "code_region"], measure=True)
     long = fill_global_mean(long, ["taux_chomage", "taux", *indicators])
     return RW.drop_null_rows(long, ["groupe_region_candidat_voix"]), indicators
 
@@ -279,11 +334,8 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
     fut = MD.scenario_frame(last, feats, "annee",
                             {"chomage": ["taux_chomage"], "pauvrete": ["taux"], "police": indicators},
                             scenarios={y: cfg.scenarios.get(y, {}) for y in cfg.future_years})
-    # One row per candidate and future year: small, so materialised before
-    # the global-mean fill reads it a second time.
-    fut_table = f"`{cfg.database}`.scenario_rows"
-    W.replace_table(fut, fut_table)
-    fut = fill_global_mean(spark.table(fut_table), ["groupe_region_candidat_voix"])
+    # A candidate without a lag gets the training rows' mean.
+    fut = fill_global_mean(fut, ["groupe_region_candidat_voix"], source=feats)
     preds = MD.predict(model, fut.withColumn("annee", F.col("annee").cast("double")), floor=0.0) \
               .withColumn("annee", F.col("annee").cast("int"))
     preds = preds.select("annee", "code_region", "nom", "categorie", *features[1:], "pred_voix")
@@ -309,20 +361,28 @@ def clip_votes(df: DataFrame, column: str) -> DataFrame:
 def _candidate_rows(spark: SparkSession, database: str, years: Sequence[int]) -> DataFrame:
     """Candidate rows of the first round for some years, names normalised
     (X1-X3) for keyword matching."""
-    from civica.functions.text import normalise_name
     e = spark.table(f"`{database}`.election_tour_1").where(F.col("annee").isin(list(years)))
     long = R.long_by_suffix(e, ["annee"], CANDIDATE_FIELDS, required=["nom", "voix"])
     return long.select("annee", normalise_name("nom").alias("nom"), to_number("voix").alias("voix"))
 
 
 def party_share_analysis(spark: SparkSession, database: str, years: Sequence[int] = (2017, 2022),
-                         future: Sequence[int] = (2027, 2032)) -> dict:
+                         future: Sequence[int] = (2027, 2032), percent: bool = False) -> dict:
     """§3.4: party shares per election year (A11 + A12), a quadratic trend
     per party (M3, the residual excluded), caps and floor (M13), shares
-    renormalised to 100 with a residual, and the ranking per year (T3)."""
+    renormalised to 100 with a residual, and the ranking per year (T3).
+
+    ``percent`` takes the percentage column of ``candidats_long`` instead of
+    the votes; its yearly sums are checked to lie in 95 to 105 (Q2)."""
     from civica.operators import shares as SH
     from civica.operators import trends as TR
-    rows = _candidate_rows(spark, database, years)
+    checks = None
+    if percent:
+        rows = spark.table(f"`{database}`.candidats_long").where(F.col("annee").isin(list(years))) \
+            .select("annee", normalise_name("nom").alias("nom"), F.col("pourcentage_voix_exprimes").alias("voix"))
+        checks = range_check(rows, ["annee"], "voix")
+    else:
+        rows = _candidate_rows(spark, database, years)
     totals = SH.party_totals(rows, ["annee"], "nom", "voix", PARTY_KEYWORDS)
     shares = SH.normalise_shares(totals, ["annee"], "voix")
     fit = TR.quadratic_fit(shares.where(F.col("parti") != "AUTRES"), ["parti"], "annee", "share")
@@ -332,7 +392,7 @@ def party_share_analysis(spark: SparkSession, database: str, years: Sequence[int
     ranking = SH.rank_within(final, ["annee"], "share", ties=["parti"])
     from civica.operators.joins import keyword_match
     unassigned = RW.not_in(rows, "nom", keyword_match(rows, "nom", PARTY_KEYWORDS))
-    return {"shares": shares, "predictions": final, "ranking": ranking, "unassigned": unassigned}
+    return {"shares": shares, "predictions": final, "ranking": ranking, "unassigned": unassigned, "range_check": checks}
 
 
 def literal_vote_history(spark: SparkSession, future: Sequence[int] = (2027, 2032)) -> dict:
@@ -384,7 +444,8 @@ def right_vote_and_crime(spark: SparkSession, database: str, years: Sequence[int
     crime_pred = TR.linear_predict(crime_fit.where(F.col("n") >= 2), [target_year])
 
     series = with_min_history(pol, ["indicateur"], "taux_pour_mille", 3)
-    last = pol.agg(F.max("annee")).first()[0]
+    # The axis that ARIMA numbers its steps on: the last year with a value.
+    last = pol.where(F.col("taux_pour_mille").isNotNull()).agg(F.max("annee")).first()[0]
     nxt = [last + h for h in range(1, horizon + 1)] if last is not None else []
     forecasts = None
     if nxt:

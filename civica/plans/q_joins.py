@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civica.functions.text import keyword_pattern, normalise_name
+from civica.functions.text import normalise_name
 from civica.operators import rows as RW
 from civica.operators import shares as SH
 from civica.operators import windows as WN
@@ -13,6 +13,7 @@ from civica.operators.joins import keyword_match, left_join
 from civica.plans import carriers as C
 from civica.plans.q_tables import NULL_ORDERS_SQL, _orders_with_nulls
 from civica.plans.registry import query, table
+from civica.session import cut_lineage
 
 
 @query("left_join_fanout", "J1", f"""
@@ -21,7 +22,7 @@ SELECT v.o_orderkey, v.annee, c.trimestre, round(c.taux_chomage, 9) AS taux_chom
 FROM votes v LEFT JOIN chomage c ON v.annee = c.annee""")
 def left_join_fanout(spark, d):
     v = C.votes(spark, d).select("o_orderkey", "annee")
-    j = left_join(v, C.quarterly_unemployment(spark, d), "annee")
+    j = left_join(v, C.quarterly_unemployment(spark, d), "annee", measure=True)
     return j.withColumn("taux_chomage", F.round("taux_chomage", 9))
 
 
@@ -31,7 +32,7 @@ SELECT v.o_orderkey, v.annee, v.voix / 1000 AS taux, round(p.taux, 9) AS taux_pa
 FROM votes v LEFT JOIN pauvrete p ON v.annee = p.annee""")
 def left_join_suffix(spark, d):
     v = C.votes(spark, d).select("o_orderkey", "annee", (F.col("voix") / 1000).alias("taux"))
-    j = left_join(v, C.yearly_poverty(spark, d), "annee", suffix="_pauvrete")
+    j = left_join(v, C.yearly_poverty(spark, d), "annee", suffix="_pauvrete", measure=True)
     return j.withColumn("taux_pauvrete", F.round("taux_pauvrete", 9))
 
 
@@ -41,7 +42,7 @@ SELECT v.o_orderkey, v.annee, v.code_region, round(p.taux_pour_mille, 9) AS taux
 FROM votes v LEFT JOIN police p ON v.annee = p.annee AND v.code_region = p.code_region""")
 def left_join_composite(spark, d):
     v = C.votes(spark, d).select("o_orderkey", "annee", "code_region")
-    j = left_join(v, C.police_rates(spark, d), ["annee", "code_region"])
+    j = left_join(v, C.police_rates(spark, d), ["annee", "code_region"], measure=True)
     return j.withColumn("taux_pour_mille", F.round("taux_pour_mille", 9))
 
 
@@ -49,12 +50,18 @@ def left_join_composite(spark, d):
 WITH {C.CAT_VOTES_SQL},
 cand AS (SELECT DISTINCT nom, categorie, code_region FROM catvotes),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY code_region, nom ORDER BY annee DESC, o_orderkey) AS rn
-           FROM catvotes),
+           FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 3 <> 0 THEN annee END AS annee) FROM catvotes)
+           WHERE annee IS NOT NULL),
 latest AS (SELECT * FROM ranked WHERE rn = 1)
 SELECT c.nom, c.categorie, c.code_region, l.annee, l.voix, l.o_orderkey
 FROM cand c LEFT JOIN latest l ON c.nom = l.nom AND c.categorie = l.categorie AND c.code_region = l.code_region""")
 def join_distinct_latest(spark, d):
-    v = C.categorised_votes(spark, d)
+    # The first row of each candidate, region and year (unknown for some
+    # rows): both sides come from it.
+    v = C.categorised_votes(spark, d).withColumn("annee", F.when(F.col("o_orderkey") % 3 != 0, F.col("annee"))) \
+        .groupBy("nom", "categorie", "code_region", "annee") \
+        .agg(F.min_by("voix", "o_orderkey").alias("voix"), F.min("o_orderkey").alias("o_orderkey"))
+    v = cut_lineage(v, name="first-rows")
     cand = RW.distinct_on(v, ["nom", "categorie", "code_region"])
     latest = WN.latest_row(v, ["code_region", "nom"], "annee", ties=["o_orderkey"])
     return left_join(cand, latest, ["nom", "categorie", "code_region"]) \
@@ -105,7 +112,7 @@ LINE_PARTS_SQL = """lp AS (
 def _party_sql():
     named = [p for p, k in PART_PARTIES.items() if k]
     sums = ",\n  ".join(
-        f"coalesce(sum(CASE WHEN regexp_matches(p_name, '{keyword_pattern(PART_PARTIES[p])}') "
+        f"coalesce(sum(CASE WHEN regexp_matches(p_name, '{C.sql_pattern(PART_PARTIES[p])}') "
         f"THEN l_extendedprice END), 0) AS \"{p}\"" for p in named)
     longs = "\n  UNION ALL ".join(f"SELECT annee, '{p}' AS parti, \"{p}\" AS voix FROM w" for p in named)
     resid = " + ".join(f'"{p}"' for p in named)
@@ -129,20 +136,22 @@ def keyword_party_votes(spark, d):
     return t.select("annee", "parti", F.round("voix", 2).alias("voix"), F.round("share", 6).alias("share"))
 
 
-_ALL_KW = [k for ks in PART_PARTIES.values() for k in ks]
+_ACCENTED = [k.replace("e", "é") for ks in PART_PARTIES.values() for k in ks]
 
 
 @query("unassigned_names", "F8 Q7", f"""
-SELECT DISTINCT p_name FROM part WHERE NOT regexp_matches(p_name, '{keyword_pattern(_ALL_KW)}')""")
+SELECT DISTINCT translate(upper(p_name), 'E', 'É') AS p_name FROM part
+WHERE NOT regexp_matches(translate(upper(p_name), 'E', 'É'), '{C.sql_pattern(_ACCENTED)}')""")
 def unassigned_names(spark, d):
-    p = table(spark, d, "part").select("p_name")
-    assigned = keyword_match(p, "p_name", PART_PARTIES)
+    # Upper-case accented names against lower-case accented keywords.
+    p = table(spark, d, "part").select(F.translate(F.upper("p_name"), "E", "É").alias("p_name"))
+    assigned = keyword_match(p, "p_name", {k: [w.replace("e", "é") for w in ws] for k, ws in PART_PARTIES.items()})
     return RW.not_in(p, "p_name", assigned)
 
 
 @query("right_votes", "F7 A5 M18", f"""
 WITH {LINE_PARTS_SQL}
-SELECT annee, round(coalesce(sum(CASE WHEN regexp_matches(p_name, '{keyword_pattern(RIGHT_KEYWORDS)}')
+SELECT annee, round(coalesce(sum(CASE WHEN regexp_matches(p_name, '{C.sql_pattern(RIGHT_KEYWORDS)}')
                                  THEN l_extendedprice END), 0), 2) AS votes_droite
 FROM lp GROUP BY annee""")
 def right_votes(spark, d):
@@ -173,10 +182,12 @@ SELECT CASE WHEN t.p_brand IS NOT NULL THEN lp.p_brand ELSE 'AUTRE' END AS candi
        count(*) AS n_lines, round(sum(l_quantity), 2) AS quantite
 FROM lp LEFT JOIN top t ON lp.p_brand = t.p_brand GROUP BY 1""")
 def bucket_other(spark, d):
-    lp = _line_parts(spark, d)
-    top = RW.top_counts(lp, "p_brand", 20)          # bounded: 20 rows
-    b = RW.keep_or_other(lp, "p_brand", top, out="candidat")
-    return b.groupBy("candidat").agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 2).alias("quantite"))
+    # Per brand once: the ranking and the buckets both come from these rows.
+    per = _line_parts(spark, d).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    per = cut_lineage(per, name="brands")
+    top = per.where("p_brand is not null").orderBy(F.desc("n"), "p_brand").limit(20).select("p_brand")
+    b = RW.keep_or_other(per, "p_brand", top, out="candidat")
+    return b.groupBy("candidat").agg(F.sum("n").alias("n_lines"), F.round(F.sum("q"), 2).alias("quantite"))
 
 
 @query("lag_votes", "W1 T1", f"""
@@ -216,24 +227,28 @@ def global_mean_fill(spark, d):
 def _event_gaps(spark, d):
     e = table(spark, d, "events").select("ts", "event_type", "value")
     # The "view" series starts on the 4th; "error" values are not recorded at
-    # weekends (Spark dayofweek: 1 = Sunday, 7 = Saturday).
+    # weekends (Spark dayofweek: 1 = Sunday, 7 = Saturday); "signup" is 0 on
+    # two days.
     gap = ((F.col("event_type") == "view") & (F.dayofmonth("ts") < 4)) | \
           ((F.col("event_type") == "error") & F.dayofweek("ts").isin(1, 7))
-    return e.select(F.to_date("ts").alias("day"), "event_type", F.when(~gap, F.col("value")).alias("value"))
+    zero = (F.col("event_type") == "signup") & F.dayofmonth("ts").isin(10, 11)
+    return e.select(F.to_date("ts").alias("day"), "event_type",
+                    F.when(zero, F.lit(0.0)).when(~gap, F.col("value")).alias("value"))
 
 
 @query("pct_change_mean", "W5 A10", """
 WITH e AS (
   SELECT CAST(ts AS DATE) AS day, event_type,
          CASE WHEN (event_type = 'view' AND dayofmonth(ts) < 4)
-                OR (event_type = 'error' AND isodow(ts) IN (6, 7)) THEN NULL ELSE value END AS value
+                OR (event_type = 'error' AND isodow(ts) IN (6, 7)) THEN NULL
+              WHEN event_type = 'signup' AND dayofmonth(ts) IN (10, 11) THEN 0 ELSE value END AS value
   FROM events),
 obs AS (SELECT event_type AS s, day AS p, avg(value) AS v FROM e WHERE value IS NOT NULL GROUP BY 1, 2),
 grid AS (SELECT DISTINCT p FROM obs), ser AS (SELECT DISTINCT s FROM obs),
 dense AS (SELECT ser.s, grid.p, obs.v FROM ser CROSS JOIN grid LEFT JOIN obs ON obs.s = ser.s AND obs.p = grid.p),
 ff AS (SELECT s, p, last_value(v IGNORE NULLS) OVER (PARTITION BY s ORDER BY p
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM dense),
-ch AS (SELECT s, p, f / lag(f) OVER (PARTITION BY s ORDER BY p) - 1 AS c FROM ff)
+ch AS (SELECT s, p, f / nullif(lag(f) OVER (PARTITION BY s ORDER BY p), 0) - 1 AS c FROM ff)
 SELECT p AS day, round(coalesce(avg(c), 0), 9) AS evolution FROM ch GROUP BY p""")
 def pct_change_mean(spark, d):
     r = WN.pct_change_mean(_event_gaps(spark, d), "event_type", "day", "value")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civica.functions.text import keyword_pattern
+from civica.functions.text import contains_any
 from civica.operators import evaluate as EV
 from civica.operators import model as MD
 from civica.operators import shares as SH
@@ -13,6 +13,7 @@ from civica.operators.aggregates import fill_global_mean, group_sums
 from civica.operators.features import hash_split as hash_split_op
 from civica.operators.features import robust_scale as robust_scale_op
 from civica.operators.joins import left_join
+from civica.operators import reshape as R
 from civica.operators.quality import with_min_history
 from civica.operators.windows import lag_within, latest_row, pct_change_mean
 from civica.plans import carriers as C
@@ -22,10 +23,11 @@ from civica.plans.registry import query, table
 from civica.session import cut_lineage
 
 
-def quad_sql(src: str, s: str, x: str, y: str, years: list[int]) -> str:
+def quad_sql(src: str, s: str, x: str, y: str, years: list[int] | str) -> str:
     """SQL twin of ``quadratic_fit`` + ``quadratic_predict`` (centred moments,
-    Cramer's rule, minimum-norm two-point case) over CTE ``src``."""
-    yrs = ", ".join(f"({t})" for t in years)
+    Cramer's rule, minimum-norm two-point case) over CTE ``src``, at years or
+    at the rows of a query."""
+    yrs = years if isinstance(years, str) else "VALUES " + ", ".join(f"({t})" for t in years)
     return f"""
 qp AS (SELECT {s} AS s, CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {src}
        WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
@@ -43,7 +45,7 @@ qpred AS (SELECT s, t.annee,
        WHEN nd = 2 THEN ybar + (dx * t1 / (s2 * (dx * dx + dq * dq)))
                          * (dx * (t.annee - xbar) + dq * (CAST(t.annee AS DOUBLE) * t.annee - qbar))
        ELSE ybar END AS pred
-  FROM qf, (VALUES {yrs}) AS t(annee))"""
+  FROM qf, ({yrs}) AS t(annee))"""
 
 
 @query("linear_trend", "M4 M16", _YEARLY_SQL + """,
@@ -108,13 +110,23 @@ def party_caps(spark, d):
     return r.select("categorie", "annee", (F.round("share", 6) + F.lit(0.0)).alias("share"))
 
 
-def _features(spark, d):
+def _features(spark, d, categorised=False):
     """Votes with their indicators: yearly unemployment (mean of the
-    quarterly means), poverty, and crime per (year, region)."""
-    v = C.votes(spark, d)
-    f = left_join(v, C.yearly_unemployment(spark, d), "annee")
-    f = left_join(f, C.yearly_poverty(spark, d), "annee", suffix="_pauvrete")
-    return left_join(f, C.police_rates(spark, d), ["annee", "code_region"])
+    quarterly means), poverty, and crime per (year, region).  The lines are
+    read once; the votes do not move for the three joins."""
+    v = C.categorised_votes(spark, d) if categorised else C.votes(spark, d)
+    unemployment, poverty, police = C.indicator_tables(C.indicators(spark, d))
+    f = left_join(v, unemployment, "annee", measure=True)
+    f = left_join(f, poverty, "annee", suffix="_pauvrete", measure=True)
+    return left_join(f, police, ["annee", "code_region"], measure=True)
+
+
+def _feature_table(spark, d):
+    """The categorised votes with indicators and lag (W1), written once:
+    training rows, the latest rows and the scenario means all come from it."""
+    f = _features(spark, d, categorised=True)
+    f = lag_within(f, ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "voix_prec", split=C.lag_split())
+    return cut_lineage(f, name="features")
 
 
 FEATURE_SQL = f"""{C.VOTES_SQL}, {C.QUARTERLY_SQL}, {C.POVERTY_SQL}, {C.POLICE_SQL},
@@ -136,7 +148,7 @@ SELECT r.code_region, r.nom, CAST(s.y AS INTEGER) AS annee, r.voix,
        round(m.c * s.fc, 9) AS taux_chomage, round(m.p * s.fp, 9) AS taux, round(m.k * s.fk, 9) AS taux_pour_mille
 FROM r, m, s WHERE r.rn = 1""")
 def scenario_rows(spark, d):
-    f = _features(spark, d)
+    f = cut_lineage(_features(spark, d), name="features")
     latest = latest_row(f, ["code_region", "nom"], "annee", ties=["o_orderkey"])
     s = MD.scenario_frame(latest, f, "annee", INDICATORS)
     return s.select("code_region", "nom", "annee", "voix",
@@ -146,55 +158,79 @@ def scenario_rows(spark, d):
 FEATURES = ["annee", "voix_prec", "taux_chomage", "taux", "taux_pour_mille"]
 
 
-def _training_frame(spark, d):
-    """Lag feature (W1) then rows without a previous vote are dropped, the
-    remaining indicator gaps mean-filled (M9), rows split 80/20 (M1).
+INDICATOR_COLUMNS = ["taux_chomage", "taux", "taux_pour_mille"]
+
 
-    Training, scoring and projection all read this frame, so the lagged
-    rows are materialised once in the shared folder; the means and the
-    split are then cheap passes over that table."""
-    f = lag_within(_features(spark, d), ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "voix_prec",
-                   split=C.lag_split())
-    f = cut_lineage(f.where(F.col("voix_prec").isNotNull()), name="training-rows")
-    f = fill_global_mean(f, ["taux_chomage", "taux", "taux_pour_mille"])
+def _training_frame(features):
+    """Rows without a previous vote are dropped, the remaining indicator gaps
+    mean-filled (M9), rows split 80/20 (M1)."""
+    f = fill_global_mean(features.where(F.col("voix_prec").isNotNull()), INDICATOR_COLUMNS)
     return hash_split_op(f.withColumn("annee", F.col("annee").cast("double")), ["o_orderkey"])
 
 
 def _fit_and_score(spark, d, kind):
-    df = _training_frame(spark, d)
+    """Scores of the test rows as checkable facts: whether the prediction is
+    there and not negative, and whether the model explains its training rows
+    at least as well as their mean does (R² ≥ 0)."""
+    df = _training_frame(_feature_table(spark, d))
     model = MD.train_model(df.where("split = 'train'"), FEATURES, "voix", kind=kind,
                            max_iter=20, max_depth=4, num_trees=20)
-    test = MD.predict(model, df.where("split = 'test'"), floor=0.0)
-    return test.select("o_orderkey", "split", "voix", F.round("pred_voix", 2).alias("pred_voix"))
+    scored = cut_lineage(MD.predict(model, df, floor=0.0).select("o_orderkey", "split", "voix", "pred_voix"), name="scored")
+    fit = EV.r2(scored.where("split = 'train'"), "voix", "pred_voix").select(F.col("r2") >= 0).scalar()
+    return scored.where("split = 'test'").select(
+        "o_orderkey", "split", "voix", (F.col("pred_voix").isNotNull() & (F.col("pred_voix") >= 0)).alias("valid"),
+        fit.alias("fits_training"))
 
 
-@query("gbt_predict", "M6 M7 M1 M9 W1 Q4")
+_TEST_ROWS_SQL = f"""
+WITH {C.VOTES_SQL},
+l AS (SELECT *, lag(voix) OVER (PARTITION BY code_region, nom ORDER BY annee, o_orderkey) AS p FROM votes)
+SELECT o_orderkey, 'test' AS split, voix, true AS valid, true AS fits_training FROM l
+WHERE p IS NOT NULL AND CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|#42'), 1, 8)) AS BIGINT) % 100 >= 80"""
+
+
+@query("gbt_predict", "M6 M7 M1 M9 W1 Q4", _TEST_ROWS_SQL)
 def gbt_predict(spark, d):
     return _fit_and_score(spark, d, "gbt")
 
 
-@query("forest_predict", "M22 M7")
+@query("forest_predict", "M22 M7", _TEST_ROWS_SQL)
 def forest_predict(spark, d):
     return _fit_and_score(spark, d, "forest")
 
 
-@query("vote_projection", "M7 M8 M19 R8")
-def vote_projection(spark, d):
-    """Train on all lagged rows, score the 2027/2032 scenario rows (latest
-    vote as the lag feature), clip at 0, national totals per category."""
-    df = _training_frame(spark, d)
+def projected_votes(spark, d):
+    """Train on all lagged rows, score the 2027/2032 scenario rows (the
+    latest row of each candidate with its stored lag, as the election job
+    does), clip at 0: one row per candidate, region and year."""
+    features = _feature_table(spark, d)
+    df = _training_frame(features)
     model = MD.train_model(df, FEATURES, "voix", kind="gbt", max_iter=20, max_depth=4)
-    f = C.categorised_votes(spark, d)
-    feats = left_join(left_join(left_join(f, C.yearly_unemployment(spark, d), "annee"),
-                                C.yearly_poverty(spark, d), "annee"), C.police_rates(spark, d), ["annee", "code_region"])
-    latest = latest_row(feats, ["code_region", "nom"], "annee", ties=["o_orderkey"])
-    fut = MD.scenario_frame(latest, feats, "annee", INDICATORS).withColumnRenamed("voix", "voix_prec")
-    # Small (groups × years); materialised so the mean fill does not re-run
-    # the latest-row aggregate over the whole feature table.
-    fut = fill_global_mean(cut_lineage(fut, name="scenario"), ["taux_chomage", "taux", "taux_pour_mille"])
+    latest = latest_row(features, ["code_region", "nom"], "annee", ties=["o_orderkey"])
+    fut = MD.scenario_frame(latest, features, "annee", INDICATORS)
+    # A candidate's first row has no lag: the training rows' mean stands in.
+    fut = fill_global_mean(fut, ["voix_prec", *INDICATOR_COLUMNS], source=df)
     preds = MD.predict(model, fut.withColumn("annee", F.col("annee").cast("double")), floor=0.0)
-    preds = cut_lineage(preds.withColumn("annee", F.col("annee").cast("int")), name="projection")
-    return MD.national_totals(preds, "annee", "categorie", "pred_voix", C.CATEGORIES)
+    return cut_lineage(preds.withColumn("annee", F.col("annee").cast("int")), name="projection")
+
+
+@query("vote_projection", "M7 M8 M19 R8", f"""
+WITH {C.CAT_VOTES_SQL},
+c AS (SELECT DISTINCT code_region, nom, categorie FROM catvotes),
+n AS (SELECT y.annee, categorie, count(*) AS n FROM c, (VALUES (2027), (2032)) AS y(annee) GROUP BY 1, 2)
+SELECT annee, cat.categorie, true AS valid, coalesce(n.n, 0) AS n_candidates
+FROM (VALUES (2027), (2032)) AS y(annee) CROSS JOIN (VALUES {", ".join("(" + C.sql_str(x) + ")" for x in C.CATEGORIES)}) AS cat(categorie)
+LEFT JOIN n USING (annee, categorie)""")
+def vote_projection(spark, d):
+    """National totals per year and category as checkable facts: a total is
+    there, not negative, and 0 just where the category has no candidate."""
+    preds = projected_votes(spark, d)
+    totals = R.unpivot(MD.national_totals(preds, "annee", "categorie", "pred_voix", C.CATEGORIES), C.CATEGORIES, ["annee"],
+                       "categorie", "total")
+    n = preds.groupBy("annee", "categorie").agg(F.count(F.lit(1)).alias("n_candidates"))
+    j = totals.join(n, ["annee", "categorie"], "left").fillna(0, subset=["n_candidates"])
+    valid = F.when(F.col("n_candidates") > 0, F.col("total") >= 0).otherwise(F.col("total") == 0)
+    return j.select("annee", "categorie", F.coalesce(valid, F.lit(False)).alias("valid"), "n_candidates")
 
 
 def _scored(spark, d):
@@ -267,25 +303,65 @@ def _daily_counts(spark, d):
     return e.groupBy("event_type", F.dayofmonth("ts").alias("day_idx")).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
 
-@query("arima_forecast", "M5")
+def arima_sql(src: str, steps: int = 4) -> str:
+    """SQL twin of ``arima_forecast`` over CTE ``src(s, p, y)``: the
+    recursion runs over the differences for every point of the grid."""
+    grid = f"range({TR.ARIMA_GRID.start}, {TR.ARIMA_GRID.stop}, {TR.ARIMA_GRID.step})"
+    levels = "\nUNION ALL ".join(
+        f"SELECT s, {h} AS step, level + " + " + ".join(["m", *["m" + " * phi" * k for k in range(1, h)]])
+        + " AS forecast FROM fin" for h in range(1, steps + 1))
+    return f"""
+ad AS (SELECT s, row_number() OVER (PARTITION BY s ORDER BY p) - 1 AS t, y - lag(y) OVER (PARTITION BY s ORDER BY p) AS d,
+              count(*) OVER (PARTITION BY s) AS n FROM {src}),
+al AS (SELECT s, arg_max(y, p) AS level, count(*) AS n FROM {src} GROUP BY s),
+ag AS (SELECT a / 100.0::DOUBLE AS phi, b / 100.0::DOUBLE AS theta FROM (SELECT unnest({grid}) AS a), (SELECT unnest({grid}) AS b)),
+ar(s, t, n, phi, theta, d, e, ss) AS (
+  SELECT s, t, n, phi, theta, d, 0.0::DOUBLE, 0.0::DOUBLE FROM ad, ag WHERE t = 1 AND n >= 3
+  UNION ALL
+  SELECT ar.s, ad.t, ar.n, phi, theta, ad.d, ad.d - phi * ar.d - theta * ar.e,
+         ar.ss + (ad.d - phi * ar.d - theta * ar.e) * (ad.d - phi * ar.d - theta * ar.e)
+  FROM ar JOIN ad ON ad.s = ar.s AND ad.t = ar.t + 1),
+ab AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY ss, phi, theta) AS rk FROM ar WHERE t = n - 1),
+fin AS (SELECT al.s, level, phi, phi * d + theta * e AS m FROM al LEFT JOIN ab ON ab.s = al.s AND ab.rk = 1),
+af AS ({levels})"""
+
+
+_DAILY_SQL = """daily AS (SELECT event_type AS s, CAST(dayofmonth(ts) AS INTEGER) AS p, CAST(count(*) AS DOUBLE) AS y
+  FROM events GROUP BY 1, 2)"""
+
+
+@query("arima_forecast", "M5", f"""
+WITH RECURSIVE {_DAILY_SQL},{arima_sql("daily")}
+SELECT s AS event_type, CAST(step AS INTEGER) AS step, CAST((SELECT max(p) FROM daily) + step AS INTEGER) AS day_idx,
+       round(forecast, 6) AS forecast FROM af""")
 def arima_forecast(spark, d):
-    return TR.arima_forecast(_daily_counts(spark, d), "event_type", "day_idx", "n", steps=4)
-
-
-@query("model_forecasts", "M17 M4 M3 M5 Q5")
+    return TR.arima_forecast(_daily_counts(spark, d), "event_type", "day_idx", "n", steps=4) \
+        .withColumn("forecast", F.round("forecast", 6))
+
+
+@query("model_forecasts", "M17 M4 M3 M5 Q5", f"""
+WITH RECURSIVE {_DAILY_SQL},
+kept AS (SELECT * FROM daily WHERE s IN (SELECT s FROM daily GROUP BY s HAVING count(*) >= 3)),
+h AS (SELECT (SELECT max(p) FROM kept) + h AS t FROM (SELECT unnest(range(1, 5)) AS h)),
+lf AS (SELECT s, avg(y) AS yb, avg(p) AS xb, regr_slope(y, p) AS b FROM kept GROUP BY s),
+""" + quad_sql("kept", "s", "p", "y", "SELECT t FROM h").lstrip() + f""",{arima_sql("kept")}
+SELECT s AS event_type, 'linear' AS model, CAST(t AS INTEGER) AS day_idx, round(yb + b * (t - xb), 6) AS value FROM lf, h
+UNION ALL SELECT s, 'quadratic', CAST(annee AS INTEGER), round(pred, 6) FROM qpred
+UNION ALL SELECT s, 'arima', CAST((SELECT max(p) FROM kept) + step AS INTEGER), round(forecast, 6) FROM af""")
 def model_forecasts(spark, d):
     """Per indicator: linear, quadratic and ARIMA forecasts of the next 4
     periods, for series with at least 3 points, as one long table."""
-    s = with_min_history(_daily_counts(spark, d), ["event_type"], "n", 3)
-    last = s.agg(F.max("day_idx")).first()[0]
-    nxt = [last + h for h in range(1, 5)]
-    lin = TR.linear_predict(TR.linear_fit(s, ["event_type"], "day_idx", "n"), nxt, col="day_idx") \
-            .select("event_type", F.lit("linear").alias("model"), "day_idx", F.col("pred").alias("value"))
-    quad = TR.quadratic_predict(TR.quadratic_fit(s, ["event_type"], "day_idx", "n"), nxt, col="day_idx") \
-             .select("event_type", F.lit("quadratic").alias("model"), "day_idx", F.col("pred").alias("value"))
+    s = cut_lineage(with_min_history(cut_lineage(_daily_counts(spark, d), name="daily"), ["event_type"], "n", 3), name="daily")
+    last = s.agg(F.max("day_idx")).scalar()
+    ahead = F.explode(F.array(*[last + F.lit(h) for h in range(1, 5)]))
+    lin = TR.linear_fit(s, ["event_type"], "day_idx", "n").withColumn("day_idx", ahead)
+    lin = lin.select("event_type", F.lit("linear").alias("model"), "day_idx", TR.linear_eval("day_idx").alias("value"))
+    quad = TR.quadratic_fit(s, ["event_type"], "day_idx", "n").withColumn("day_idx", ahead)
+    quad = quad.select("event_type", F.lit("quadratic").alias("model"), "day_idx",
+                       TR.quadratic_eval(F.col("day_idx").cast("double")).alias("value"))
     ar = TR.arima_forecast(s, "event_type", "day_idx", "n", steps=4) \
            .select("event_type", F.lit("arima").alias("model"), "day_idx", F.col("forecast").alias("value"))
-    return lin.unionByName(quad).unionByName(ar)
+    return lin.unionByName(quad).unionByName(ar).withColumn("value", F.round("value", 6))
 
 
 # ---------------------------------------------------------------------------
@@ -295,16 +371,17 @@ def model_forecasts(spark, d):
 
 
 def _right_share(spark, d):
-    lp = _line_parts(spark, d)
-    num = SH.masked_total(lp, ["annee"], "p_name", "l_extendedprice", RIGHT_KEYWORDS, "droite")
-    tot = group_sums(lp, ["annee"], {"total": "l_extendedprice"})
-    return num.join(tot, "annee").select(F.lit("RN").alias("s"), "annee",
-                                         (F.col("droite") * 100 / F.col("total")).alias("v"))
+    """Share of the lines' value under right-wing names, per year, from one
+    aggregate per (year, name)."""
+    per = group_sums(_line_parts(spark, d), ["annee", "p_name"], {"v": "l_extendedprice"})
+    right = F.coalesce(F.sum(F.when(contains_any("p_name", RIGHT_KEYWORDS), F.col("v"))), F.lit(0.0))
+    return cut_lineage(per.groupBy("annee").agg((right * 100 / F.sum("v")).alias("v"))
+                       .select(F.lit("RN").alias("s"), "annee", "v"), name="right-share")
 
 
 @query("right_projection", "M15 M18 M4 M3", f"""
 WITH {LINE_PARTS_SQL},
-y AS (SELECT 'RN' AS s, annee, 100 * coalesce(sum(CASE WHEN regexp_matches(p_name, '{keyword_pattern(RIGHT_KEYWORDS)}')
+y AS (SELECT 'RN' AS s, annee, 100 * coalesce(sum(CASE WHEN regexp_matches(p_name, '{C.sql_pattern(RIGHT_KEYWORDS)}')
                                    THEN l_extendedprice END), 0) / sum(l_extendedprice) AS v FROM lp GROUP BY annee),
 lin AS (SELECT 'linear' AS model, 2002 AS annee, avg(v) + regr_slope(v, annee) * (2002 - avg(annee)) AS pred FROM y),
 """ + quad_sql("y", "s", "annee", "v", [2002]).lstrip() + """
@@ -325,14 +402,15 @@ def right_projection(spark, d):
 WITH e AS (
   SELECT CAST(ts AS DATE) AS day, event_type,
          CASE WHEN (event_type = 'view' AND dayofmonth(ts) < 4)
-                OR (event_type = 'error' AND isodow(ts) IN (6, 7)) THEN NULL ELSE value END AS value
+                OR (event_type = 'error' AND isodow(ts) IN (6, 7)) THEN NULL
+              WHEN event_type = 'signup' AND dayofmonth(ts) IN (10, 11) THEN 0 ELSE value END AS value
   FROM events),
 obs AS (SELECT event_type AS s, day AS p, avg(value) AS v FROM e WHERE value IS NOT NULL GROUP BY 1, 2),
 grid AS (SELECT DISTINCT p FROM obs), ser AS (SELECT DISTINCT s FROM obs),
 dense AS (SELECT ser.s, grid.p, obs.v FROM ser CROSS JOIN grid LEFT JOIN obs ON obs.s = ser.s AND obs.p = grid.p),
 ff AS (SELECT s, p, last_value(v IGNORE NULLS) OVER (PARTITION BY s ORDER BY p
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM dense),
-ch AS (SELECT s, p, f / lag(f) OVER (PARTITION BY s ORDER BY p) - 1 AS c FROM ff),
+ch AS (SELECT s, p, f / nullif(lag(f) OVER (PARTITION BY s ORDER BY p), 0) - 1 AS c FROM ff),
 evo AS (SELECT dayofmonth(p) AS x, 100 * coalesce(avg(c), 0) AS y FROM ch GROUP BY p)
 SELECT CAST(count(*) AS BIGINT) AS n_days, 31 AS day_idx,
        round(avg(y) + regr_slope(y, x) * (31 - avg(x)), 6) AS pred FROM evo""")

@@ -63,7 +63,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark)
     if "://" not in base and not base.startswith(("/", "file:")):
         raise ValueError(f"spark.checkpoint.dir must be an absolute path or a URI, not {base!r}")
-    return f"{base}/civica/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/civica/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+# Scratch paths handed out, per application.
+_scratch: dict[str, list[str]] = {}
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Deletes the intermediate tables that this application has written so
+    far.  For when no DataFrame that reads them is needed any more."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -96,6 +113,18 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "cut"):
     return spark.read.parquet(path)
 
 
+def stored_bytes(df) -> int:
+    """Bytes of the files that a table read from files consists of (file
+    metadata only)."""
+    return sum(_path_bytes(df.sparkSession, f) for f in df.inputFiles())
+
+
+def _path_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getLen()
+
+
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
                executor_cores_total: int | None = None) -> dict[str, str]:
     """Settings sized to the input: enough shuffle partitions that each

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,12 +39,12 @@ def read_decimal_comma(spark: SparkSession, path: str, sep: str = ";",
 
 
 def read_with_names(spark: SparkSession, path: str, names: Sequence[str], sep: str = ",",
-                    header: bool = True) -> DataFrame:
+                    header: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """Fixed-header reader: positional names given by the caller, the
     file's own header line (possibly duplicated, blank or ragged) skipped."""
     schema = StructType([StructField(n, StringType(), True) for n in names])
     return (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
-            .option("sep", sep).csv(path))
+            .option("sep", sep).option("encoding", encoding).csv(path))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,14 +74,29 @@ def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     return line.lstrip("﻿")
 
 
+def header_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """The first line of each file, from one distributed read: the line at
+    the least offset of each file, found by an aggregate.  Empty files have
+    an empty header."""
+    if not files:
+        return {}
+    lines = spark.read.text(list(files)).select("value", F.col("_metadata.file_path").alias("path"),
+                                                F.col("_metadata.file_block_start").alias("at"),
+                                                F.monotonically_increasing_id().alias("row"))
+    # Rows of a partition are numbered in reading order, block after block.
+    first = lines.groupBy("path").agg(F.min_by("value", F.struct("at", "row")).alias("header")).collect()
+    found = {unquote(r["path"].split(":", 1)[1]).lstrip("/"): (r["header"] or "").lstrip("\ufeff") for r in first}
+    return {f: found.get(unquote(f.split(":", 1)[-1]).lstrip("/"), "") for f in files}
+
+
 def ingest_folder(spark: SparkSession, folder: str, sep: str = ",", suffix: str = ".csv",
                   source_col: str = "source_file") -> dict[str, DataFrame]:
     """Every delimited file directly in ``folder``.  Files are grouped by
     header line so that heterogeneous files never share a schema; each
     group is read in one distributed scan with its file name attached."""
     groups: dict[str, list[str]] = {}
-    for f in list_files(spark, folder, suffix):
-        groups.setdefault(first_line(spark, f), []).append(f)
+    for f, header in header_lines(spark, list_files(spark, folder, suffix)).items():
+        groups.setdefault(header, []).append(f)
     out = {}
     for _hdr, files in groups.items():
         df = read_delimited(spark, files, sep).withColumn(source_col, F.col("_metadata.file_name"))
@@ -93,8 +109,9 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
     """K1/K9: write delimited text with a header and no index.  Listed
     numeric columns are written with a decimal comma."""
     cols = set(decimal_comma_columns)
-    out = df.select(*[F.replace(F.col(c).cast("string"), F.lit("."), F.lit(",")).alias(c) if c in cols
-                      else F.col(c) for c in df.columns])
+    own = {c: F.col(f"`{c}`") for c in df.columns}
+    out = df.select(*[F.replace(v.cast("string"), F.lit("."), F.lit(",")).alias(c) if c in cols else v
+                      for c, v in own.items()])
     out.write.mode(mode).option("header", header).option("sep", sep).csv(path)
 
 
@@ -168,18 +185,25 @@ def route(name: str, routes: Mapping[str, str] = ROUTES) -> str | None:
     return None
 
 
+# The share of the registered that a source's first percentage
+# column holds is renamed on load, as candidates have a column of that name.
+ROUTED_RENAMES = {"pourcentage_voix_inscrits": "pourcentage_voix_inscrits_election"}
+
+
 def prepare_routed(df: DataFrame, name: str, election_type: str = "presidentielle",
-                   prefixes: Sequence[str] = ("pourcentage", "taux")) -> DataFrame:
-    """K4: add ``annee`` (first 4-digit number of the name) and
-    ``type_election`` to election sources, then parse decimal-comma text in
-    ``pourcentage*``/``taux*`` columns."""
+                   words: Sequence[str] = ("pourcentage", "taux")) -> DataFrame:
+    """K4: rename the ambiguous percentage column, add ``annee`` (first
+    4-digit number of the name) and ``type_election`` to election sources,
+    then parse decimal-comma text in columns whose name holds one of the
+    words."""
+    df = df.withColumnsRenamed({a: b for a, b in ROUTED_RENAMES.items() if a in df.columns})
     n = table_name(name)
     m = re.search(r"(\d{4})", n)
     if route(name) == "election":
         from civica.operators.columns import with_constants
         df = with_constants(df, annee=int(m.group(1)) if m else None, type_election=election_type)
         df = df.withColumn("annee", F.col("annee").cast("int"))
-    return parse_decimal_columns(df, prefixes)
+    return parse_decimal_columns(df, words)
 
 
 def unique_header_names(names: Sequence[str]) -> list[str]:
@@ -198,13 +222,13 @@ def unique_header_names(names: Sequence[str]) -> list[str]:
     return out
 
 
-def read_repeated_blocks(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_repeated_blocks(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """S1 for files whose candidate blocks repeat the same headers: the
     header line is read once (driver, one line) and unique positional names
     are applied to a distributed read of the file."""
     import csv
-    hdr = next(csv.reader([first_line(spark, path)], delimiter=sep))
-    return read_with_names(spark, path, unique_header_names(hdr), sep=sep)
+    hdr = next(csv.reader([first_line(spark, path, encoding)], delimiter=sep))
+    return read_with_names(spark, path, unique_header_names(hdr), sep=sep, encoding=encoding)
 
 
 def load_routed(df: DataFrame, name: str, database: str, routes: Mapping[str, str] = ROUTES) -> str | None:

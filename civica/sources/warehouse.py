@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
+from civica.operators.quality import constraint_audit, duplicate_keys, orphans
 from civica.session import scratch_path
 
 
@@ -74,22 +76,86 @@ def create_table(spark: SparkSession, name: str, schema: StructType, partition_b
     w.saveAsTable(name)
 
 
-def create_schema(spark: SparkSession, database: str, tables: Mapping[str, StructType]) -> list[str]:
+@dataclass(frozen=True)
+class TableDef:
+    """A table's columns (DDL), its key, and what its columns refer to."""
+
+    columns: str
+    key: str
+    refs: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+
+
+# The warehouse's star schema (K7).
+STAR_SCHEMA = {
+    "regions": TableDef("code_region int, libelle_region string", "code_region"),
+    "departements": TableDef("code_departement int, libelle_departement string, code_region int", "code_departement",
+                             {"code_region": ("regions", "code_region")}),
+    "cantons": TableDef("id_canton int, code_canton string, libelle_canton string, code_departement int", "id_canton",
+                        {"code_departement": ("departements", "code_departement")}),
+    "elections": TableDef("id_election int, annee int, type_election string", "id_election"),
+    "resultats_electoraux": TableDef(
+        "id_resultat int, id_election int, code_region int, code_departement int, id_canton int, inscrits int, "
+        "abstentions int, votants int, blancs int, nuls int, exprimes int", "id_resultat",
+        {"id_election": ("elections", "id_election"), "code_region": ("regions", "code_region"),
+         "code_departement": ("departements", "code_departement"), "id_canton": ("cantons", "id_canton")}),
+    "candidats": TableDef("id_candidat int, nom string, prenom string, sexe string", "id_candidat"),
+    "votes_candidats": TableDef(
+        "id_vote int, id_resultat int, id_candidat int, voix int, pourcentage_voix_inscrits double, "
+        "pourcentage_voix_exprimes double", "id_vote",
+        {"id_resultat": ("resultats_electoraux", "id_resultat"), "id_candidat": ("candidats", "id_candidat")}),
+    "statistiques_police": TableDef(
+        "id_stat int, code_region int, annee int, indicateur string, unite_de_compte string, nombre int, "
+        "taux_pour_mille double, insee_pop int, insee_pop_millesime int, insee_log int, insee_log_millesime int",
+        "id_stat", {"code_region": ("regions", "code_region")}),
+}
+
+# The two-table wide schema (K7); its candidate block repeats
+# without a number and then with 1 to 10.
+_CANDIDATE = (("numero_panneau", "string"), ("sexe", "string"), ("nom", "string"), ("prenom", "string"), ("voix", "int"),
+              ("pourcentage_voix_inscrits", "double"), ("pourcentage_voix_exprimes", "double"))
+WIDE_SCHEMA = {
+    "election": TableDef(
+        "id int, code_region int, libelle_departement string, code_canton string, libelle_canton string, inscrits int, "
+        "abstentions int, pourcentage_absent_inscrits double, votants int, pourcentage_voix_inscrits_election double, "
+        "blancs int, pourcentage_blancs_inscrits double, pourcentage_blancs_votants double, nuls int, "
+        "pourcentage_nuls_inscrits double, pourcentage_nuls_votants double, exprimes int, "
+        "pourcentage_voix_exprimes_inscrits double, pourcentage_voix_exprimes_votants double, "
+        + ", ".join(f"{n}{s} {t}" for s in ["", *[f"_{i}" for i in range(1, 11)]] for n, t in _CANDIDATE)
+        + ", annee int, type_election string", "id"),
+    "police": TableDef(STAR_SCHEMA["statistiques_police"].columns, "id_stat"),
+}
+
+
+def create_schema(spark: SparkSession, database: str, tables: Mapping[str, TableDef]) -> list[str]:
     """K7: declare every table of a schema."""
-    for t, s in tables.items():
-        create_table(spark, f"`{database}`.`{t}`", s)
+    for t, d in tables.items():
+        create_table(spark, f"`{database}`.`{t}`", StructType.fromDDL(d.columns))
     return list(tables)
 
 
+def audit_schema(spark: SparkSession, database: str, tables: Mapping[str, TableDef]) -> DataFrame:
+    """Q6: the declared keys and references, which Spark does not enforce,
+    as checks over the stored tables."""
+    get = {t: spark.table(f"`{database}`.`{t}`") for t in tables}
+    checks = [duplicate_keys(get[t], [d.key], f"pk_{t}") for t, d in tables.items()]
+    checks += [orphans(get[t], c, get[parent], key, f"fk_{t}_{c}") for t, d in tables.items()
+               for c, (parent, key) in d.refs.items()]
+    return constraint_audit(checks)
+
+
+def table_names(spark: SparkSession, database: str) -> list[str]:
+    """The names of a database's tables (catalog metadata)."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """Catalog listing of a database's tables."""
-    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
-    return spark.createDataFrame([(n,) for n in names], "tablename string")
+    return spark.createDataFrame([(n,) for n in table_names(spark, database)], "tablename string")
 
 
 def truncate_all(spark: SparkSession, database: str) -> list[str]:
     """K8: empty every table of a database (schemas kept)."""
-    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    names = table_names(spark, database)
     for n in names:
         spark.sql(f"TRUNCATE TABLE `{database}`.`{n}`")
     return names

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from civica.session import scratch_path
-from civica.sources.lake import first_line, list_files, unique_header_names
+from civica.sources.lake import first_line, header_lines, list_files, unique_header_names
 
 
 def landing_schema(spark: SparkSession, folder: str, sep: str = ",") -> StructType:
@@ -30,12 +30,23 @@ def landing_schema(spark: SparkSession, folder: str, sep: str = ",") -> StructTy
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+def check_headers(spark: SparkSession, folder: str, schema: StructType, sep: str = ",") -> None:
+    """An error if a landed file has other headers than the schema: its
+    values would go to the wrong columns."""
+    for f, header in header_lines(spark, list_files(spark, folder)).items():
+        names = unique_header_names(next(csv.reader([header], delimiter=sep), []))
+        if header and names != schema.names:
+            raise ValueError(f"{f} has the headers {names}, not {schema.names}")
+
+
 def ingest_stream(spark: SparkSession, landing: str, target: str, transform: Callable[[DataFrame], DataFrame] = None,
                   sep: str = ",", checkpoint: str | None = None, schema: StructType | None = None,
                   source_col: str = "source_file") -> str:
     """Append the rows of files not yet seen in ``landing`` to the Parquet
-    dataset ``target`` and return the checkpoint location used."""
+    dataset ``target`` and return the checkpoint location used.  Files whose
+    headers differ are an error: one stream takes one layout."""
     schema = schema or landing_schema(spark, landing, sep)
+    check_headers(spark, landing, schema, sep)
     ckpt = checkpoint or scratch_path(spark, "ingest-checkpoint")
     stream = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
               .option("enforceSchema", True).csv(landing)
