@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civica.llm.common import doc_slices, id_and_text
-from civica.llm.vocab import tokenizers_encoder
+from civica.llm.vocab import TOKEN_SLICE_BYTES, tokenizers_encoder
 from civica.session import cut_lineage
 
 
@@ -39,15 +39,16 @@ from civica.session import cut_lineage
 class Search:
     """Settings of the search of one block.  ``slack``: free tokens up to
     which a bin counts as well filled.  ``last_generations``: for the last
-    block, whose bins no later level can improve."""
+    block, whose bins no later level can improve; the others' loose bins get
+    another chance, so they search briefly."""
 
     capacity: int = 1024
     block_items: int = 4096
     islands: int = 2
-    epochs: int = 3
-    generations: int = 10
-    last_generations: int = 100
-    population: int = 10
+    epochs: int = 2
+    generations: int = 2
+    last_generations: int = 150
+    population: int = 4
     inject: float = 0.05
     slack: int = 8
 
@@ -70,7 +71,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, i
         encoder = tokenizers_encoder(vocabulary, True)
         uid = TaskContext.get().partitionId() << 36
         end = np.array([end_id], "<u4").tobytes()
-        for part in doc_slices(batches):
+        for part in doc_slices(batches, slice_bytes=TOKEN_SLICE_BYTES):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encoder.encode(part.column("text").to_pylist())):
                 ids += end
@@ -294,10 +295,14 @@ def pack(pieces: DataFrame, search: Search = Search()) -> DataFrame:
         blocks = -(-n // s.block_items)
         found = cut_lineage(place(solve_blocks(left, blocks, s if blocks > 1 else replace(s, generations=s.last_generations)), s),
                             name="packed")
-        loose = F.col("free") > s.slack
-        again = found.filter(loose).count() if blocks > 1 else 0
-        if again > n // 2:  # most bins can't be filled: dissolving them gains nothing
-            again = 0
+        loose, again = F.lit(False), 0
+        if blocks > 1:
+            # Bins with more than the slack free are dissolved; where that is more than half of the pieces, only
+            # those with twice, four times, ... the slack, so that each level has at most half of the one before.
+            limits = [s.slack << k for k in range(s.capacity.bit_length()) if s.slack << k < s.capacity]
+            counts = found.agg(*[F.count_if(F.col("free") > x) for x in limits]).first()
+            again, limit = next(((c, x) for c, x in zip(counts, limits) if c <= n // 2), (0, 0))
+            loose = F.col("free") > limit
         good = found if not again else found.filter(~loose)
         placed.append(good.select("uid", "sequence_id", "offset"))
         if again:

@@ -171,12 +171,13 @@ def _bucket_counter(frequent_from: float, s: HmmSettings):
         names = flat.dictionary.to_pylist()
         often = np.flatnonzero(count >= max(frequent_from, 1))
         frequent = [i for i in often.tolist() if names[i] != END]
+        end = [i for i in range(len(names)) if names[i] == END]
         rare = count > 0
         rare[often] = False
+        rare[end] = False
         own = np.fromiter((1 + zlib.crc32(names[i][-s.ending:]) % s.classes for i in np.flatnonzero(rare).tolist()), np.int64)
         n_tokens = np.bincount(own, weights=count[rare], minlength=s.classes + 1).astype(np.int64)
         n_words = np.bincount(own, minlength=s.classes + 1)
-        end = [i for i in range(len(names)) if names[i] == END]
         if end:
             n_tokens[0], n_words[0] = count[end[0]], int(count[end[0]] > 0)
         used = np.flatnonzero(n_words)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from civica.llm.common import doc_slices, id_and_text
-from civica.llm.vocab import tokenizers_encoder
+from civica.llm.vocab import TOKEN_SLICE_BYTES, tokenizers_encoder
 from civica.session import cut_lineage
 
 LANES, CHECKPOINT, BITS, BLOCK_TOKENS = 1024, 256, 20, 1 << 19
@@ -149,21 +149,17 @@ def _tokens(docs: DataFrame, vocabulary: str, end_id: int, spaces: bool, id_col:
         end = np.array([end_id], "<u4").tobytes()
         count = np.zeros(0, np.int64)
         kind = None
-        for part in doc_slices(batches):
+        for part in doc_slices(batches, slice_bytes=TOKEN_SLICE_BYTES):
             kind = part.schema.field("doc_id").type
-            size, data = [], []
+            size, data, every = [], [], []
             for ids in encoder.encode(part.column("text").to_pylist()):
                 own = np.frombuffer(ids + end, "<u4")
-                more = np.bincount(own, minlength=len(count)) if len(own) > 256 or not len(count) else None
-                if more is None:
-                    if own.max() >= len(count):
-                        count = np.pad(count, (0, int(own.max()) + 1 - len(count)))
-                    np.add.at(count, own, 1)
-                else:
-                    more[: len(count)] += count
-                    count = more
+                every.append(own)
                 size.append(len(own))
                 data.append(press(np.ascontiguousarray(own.view(np.uint8).reshape(-1, 4).T).tobytes()))
+            more = np.bincount(np.concatenate(every), minlength=len(count))
+            more[: len(count)] += count
+            count = more
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(data, pa.binary())],
                                              names=["doc_id", "n", "ids"])
         if kind is not None:

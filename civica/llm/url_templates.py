@@ -31,8 +31,6 @@ from civica.llm.common import UPPER
 from civica.session import cut_lineage
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-#: Beyond a literal's own characters, so that names of branches can't clash.
-HOLE = "{*}"
 ENDING = r"\.(?:html|htm|php|asp|aspx|jsp|pdf|xml|json)$"
 
 
@@ -112,45 +110,52 @@ def path_templates(rows: DataFrame, s: TemplateSettings = TemplateSettings()) ->
     return rows.drop("_segments")
 
 
-def _split_last_literal(template: Column) -> tuple[Column, Column]:
-    """(skeleton, literal): the last segment without a wildcard, and the
-    template with a hole in its place; the template itself if there is none."""
+def _split_last_literal(template: Column) -> tuple[Column, Column, Column]:
+    """(before, literal, after): around the last segment without a wildcard;
+    if there is none, the whole template before an empty literal."""
     last = r"^((?:.*/)?)([^/{}]+)((?:/[^/]*\{[^/]*|/)*)$"
     literal = F.regexp_extract(template, last, 2)
-    skeleton = F.when(literal == "", template).otherwise(
-        F.concat(F.regexp_extract(template, last, 1), F.lit(HOLE), F.regexp_extract(template, last, 3)))
-    return skeleton, literal
+    none = literal == ""
+    return (F.when(none, template).otherwise(F.regexp_extract(template, last, 1)), literal,
+            F.when(none, "").otherwise(F.regexp_extract(template, last, 3)))
 
 
 def template_verdicts(rows: DataFrame, s: TemplateSettings = TemplateSettings()) -> DataFrame:
     """One row per ``host, template``: the merged branch, its labelled urls,
-    its smoothed share of bad ones and whether that rejects it."""
-    stats = rows.groupBy("host", "template").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"),
-                                                 F.coalesce(F.sum("bad"), F.lit(0)).alias("n_bad"))
+    its smoothed share of bad ones and whether that rejects it.
+
+    Branches are the literals at one place of the tree, with all templates
+    below them.  Shares are smoothed from above: all urls, host, merged
+    branch, template."""
+    stats = rows.groupBy("host", "template").agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("n_bad"))
     stats = cut_lineage(stats, name="url-templates")
     seen = stats.agg(F.sum("labelled"), F.sum("n_bad")).first()
     overall = (seen[1] + s.strength * s.prior_bad) / (seen[0] + s.strength) if seen[0] else s.prior_bad
-    smooth = lambda bad, n, prior: (bad + F.lit(s.strength) * prior) / (n + F.lit(s.strength))
-    hosts = stats.groupBy("host").agg(smooth(F.sum("n_bad"), F.sum("labelled"), F.lit(overall)).alias("host_share"))
-    skeleton, literal = _split_last_literal(F.col("template"))
-    branch = stats.join(hosts, "host").withColumns({"skeleton": skeleton, "literal": literal}) \
-        .withColumn("share", smooth(F.col("n_bad"), F.col("labelled"), F.col("host_share")))
-    # Branches of one hole, by share: a step of z standard errors begins another group.
-    by_share = Window.partitionBy("host", "skeleton").orderBy("share", "literal")
-    size = F.col("labelled") + F.lit(s.strength)
-    before, before_size = F.lag("share").over(by_share), F.lag(size).over(by_share)
-    pooled = (F.col("share") * size + before * before_size) / (size + before_size)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / size + 1 / before_size))
-    apart = F.coalesce((F.col("share") - before) > F.lit(s.z) * error, F.lit(False))
-    branch = branch.withColumn("_apart", apart.cast("int")).withColumn("_group", F.sum("_apart").over(by_share))
-    key = ["host", "skeleton", "_group"]
-    merged = branch.groupBy(key).agg(
-        F.sum("labelled").alias("labelled"), F.sum("n_bad").alias("n_bad"), F.first("host_share").alias("host_share"),
-        F.concat_ws("|", F.array_sort(F.collect_list("literal"))).alias("literals"))
-    merged = merged.select(*key, "labelled", smooth(F.col("n_bad"), F.col("labelled"), F.col("host_share")).alias("bad_share"),
-                           F.replace("skeleton", F.lit(HOLE), F.col("literals")).alias("branch"))
-    return branch.select("host", "template", "skeleton", "_group").join(merged, key) \
-        .select("host", "template", "branch", "labelled", "bad_share", (F.col("bad_share") >= s.reject).alias("rejected"))
+    smooth = lambda prior: (F.sum("n_bad") + F.lit(s.strength) * prior) / (F.sum("labelled") + F.lit(s.strength))
+    hosts = stats.groupBy("host").agg(smooth(F.lit(overall)).alias("host_share"))
+    before, literal, after = _split_last_literal(F.col("template"))
+    leaves = stats.withColumns({"before": before, "literal": literal, "after": after})
+    branches = leaves.groupBy("host", "before", "literal").agg(F.sum("labelled").alias("labelled"), F.sum("n_bad").alias("n_bad"))
+    # Branches of one place, at most 1 / literal_share, by share: where it rises by z standard errors another group
+    # begins.  Half a label of each kind is added, for branches with few.
+    size = F.col("labelled") + 1.0
+    by_share = Window.partitionBy("host", "before").orderBy("share", "literal")
+    branches = branches.withColumn("share", (F.col("n_bad") + 0.5) / size)
+    last, last_size = F.lag("share").over(by_share), F.lag(size).over(by_share)
+    pooled = (F.col("share") * size + last * last_size) / (size + last_size)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / size + 1 / last_size))
+    apart = F.coalesce((F.col("share") - last) > F.lit(s.z) * error, F.lit(False))
+    branches = branches.withColumn("_apart", apart.cast("int")).withColumn("_group", F.sum("_apart").over(by_share))
+    group = ["host", "before", "_group"]
+    merged = branches.join(hosts, "host").groupBy(group).agg(
+        smooth(F.first("host_share")).alias("branch_share"), F.concat_ws("|", F.array_sort(F.collect_list("literal"))).alias("literals"))
+    leaves = leaves.join(branches.select("host", "before", "literal", "_group"), ["host", "before", "literal"])
+    key = [*group, "after"]
+    judged = leaves.join(merged, group).groupBy(key).agg(
+        F.sum("labelled").alias("merged_labelled"), smooth(F.first("branch_share")).alias("bad_share"), F.first("literals").alias("literals"))
+    return leaves.select("template", *key).join(judged, key).select(
+        "host", "template", F.concat("before", "literals", "after").alias("branch"), F.col("merged_labelled").alias("labelled"),
+        "bad_share", (F.col("bad_share") >= s.reject).alias("rejected"))
 
 
 def judge_urls(urls: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",

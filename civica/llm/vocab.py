@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 
 CACHE_ENTRIES = 150_000
+#: Text encoded at a time: a word costs much more memory as an object than as text.
+TOKEN_SLICE_BYTES = 2 << 20
 
 
 @functools.lru_cache(maxsize=4)

@@ -96,7 +96,7 @@ def test_levels_and_islands_pack_everything(llm):
     rng = random.Random(4)
     rows = [(i, rng.randint(1, 64)) for i in range(1500)]
     pieces = llm.createDataFrame(rows, "uid long, length long")
-    out = G.pack(pieces, G.Search(capacity=64, block_items=100, generations=2, last_generations=5)).join(pieces, "uid").collect()
+    out = G.pack(pieces, G.Search(capacity=64, block_items=400, slack=1, last_generations=5)).join(pieces, "uid").collect()
     assert sorted(r["uid"] for r in out) == list(range(1500))
     n = check_packing([(r["offset"], r["length"], r["sequence_id"]) for r in out], 64)
     bound = -(-sum(x for _, x in rows) // 64)

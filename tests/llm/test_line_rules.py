@@ -45,8 +45,8 @@ def test_rules_judge_single_lines(line, rule):
 
 
 def test_document_that_loses_too_much_goes(llm):
-    good = "\n".join(f"This is sentence number {i} of a clean text with enough words." for i in range(10))
-    menu = "\n".join(f"Home | News {i} | Sport | Contact | More | Links | Terms" for i in range(10))
+    good = "\n".join(f"Sentence {i} of clean text{i} has its{i} own words{i}." for i in range(10))
+    menu = "\n".join(f"Home{i} | News{i} | Sport{i} | Contact{i} | More{i} | Links{i} | Terms{i}" for i in range(10))
     df = llm.createDataFrame([(1, good), (2, menu), (3, good + "\n" + menu[:200])], "doc_id long, text string")
     got = {r["doc_id"]: r for r in L.line_rules(df).collect()}
     assert [got[i]["kept"] for i in (1, 2, 3)] == [True, False, True]

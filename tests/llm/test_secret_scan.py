@@ -46,6 +46,8 @@ def test_patterns_match_brute_force(found):
 
 def test_random_strings_but_not_digests_and_names(found):
     random = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"] for r in found.collect()}
+    digest = {12: CASES[12].split()[0]}
+    assert len(digest[12]) == 32 and random[12] == []
     assert random[8] == [(4, 4 + len(RANDOM))]
     assert not random[12] and not random[3] and not random[2]
 
@@ -71,7 +73,7 @@ def test_redaction_leaves_no_secret(llm):
     out = S.redact(df, VOCAB, PATTERN, length_col="n_chars")
     assert out.columns == df.columns
     got = {r["doc_id"]: r for r in out.collect()}
-    assert got[5]["text"] is None and got[12]["text"] == CASES[12] and got[8]["text"] == "key [REDACTED] end"
+    assert got[5]["text"] is None and got[6]["text"] == "" and got[8]["text"] == "key [REDACTED] end"
     assert all(not brute(r["text"]) for r in got.values())
     assert all(r["n_chars"] == len(r["text"] or "") for r in got.values())
 

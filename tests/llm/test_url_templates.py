@@ -109,8 +109,9 @@ def test_smoothed_share(llm):
     got = {r["template"]: r for r in U.template_verdicts(df, U.TemplateSettings(strength=2.0)).collect()}
     overall = (8 + 2 * 0.1) / (16 + 2)
     host = (8 + 2 * overall) / (16 + 2)
-    assert got["/a/{num}"]["bad_share"] == pytest.approx((8 + 2 * host) / 10) and got["/a/{num}"]["rejected"]
-    assert got["/b/{num}"]["bad_share"] == pytest.approx(2 * host / 10) and got["/b/{num}"]["labelled"] == 8
+    a, b = (8 + 2 * host) / 10, 2 * host / 10  # the branches
+    assert got["/a/{num}"]["bad_share"] == pytest.approx((8 + 2 * a) / 10) and got["/a/{num}"]["rejected"]
+    assert got["/b/{num}"]["bad_share"] == pytest.approx(2 * b / 10) and got["/b/{num}"]["labelled"] == 8
 
 
 def test_no_labels_and_empty_table(llm, urls):
