@@ -31,57 +31,76 @@ def tiktoken_encoding(path: str, pattern: str):
     return tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def byte_alphabet() -> dict[int, str]:
+    """For str.translate of text read as Latin-1: the character that stands
+    for each byte in byte-level vocabularies.  Printable Latin-1 characters
+    stand for themselves, the other bytes for the characters from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class PieceEncoder:
     """Token ids, as little-endian unsigned 32-bit integers, of whole texts.
 
-    Texts are split into words as the tokenizer does, and new words are
-    encoded together, in lists of ``GROUP``.  With ``spaces`` (a tokenizer
-    that keeps white space) most words carry the space before them: tokens
-    that begin with a space then mark where words begin.  Otherwise (white
-    space is dropped, case is folded) the control character ``MARK`` stands
-    between words, and its token marks their ends.
+    Texts are split into words as the tokenizer does, and new words go
+    through its merges together, in lists of ``GROUP``.  With ``spaces`` (a
+    tokenizer that keeps white space) most words carry the space before them,
+    and tokens that begin with a space mark where words begin.  Otherwise
+    (white space is dropped, case is folded) tokens with the word-end suffix
+    mark where words end.
 
     The cache has two generations: at ``CACHE_ENTRIES`` the younger becomes
     the older, and what is still in use moves back."""
 
-    GROUP, MARK, LATIN = 2000, "\x01", "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    GROUP, LATIN = 2000, "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 
     def __init__(self, tokenizer, spaces: bool):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.tokenizer, self.spaces = tokenizer, spaces
+        self.merges = Tokenizer(tokenizer.model)  # the vocabulary and its merges alone, for words in its byte alphabet
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.alphabet = byte_alphabet()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         # The splitting patterns of the vocabularies, for texts of these characters only.
         self.simple = re.compile(rf"[\x20-\x7e\n{self.LATIN}]*").fullmatch
         other = rf"[^\s0-9{self.LATIN}]+"
         if spaces:
-            size = tokenizer.get_vocab_size()
-            self.begins = np.array([(tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+            self.bound = np.array([x.startswith(self.alphabet[32]) for x in names])
             self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{self.LATIN}]+| ?[0-9]+| ?{other}|\s+(?!\S)|\s+").findall
         else:
-            self.mark, = tokenizer.encode(self.MARK, add_special_tokens=False).ids
+            self.bound = np.array([x.endswith(tokenizer.model.end_of_word_suffix) for x in names])
             self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{self.LATIN}]+|[0-9]|{other}").findall
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _mapped(self, word: str) -> str:
+        """A word in the byte alphabet."""
+        if word.isascii() and word.isprintable():
+            return self.alphabet[32] + word[1:] if word[0] == " " else word
+        return word.encode().decode("latin-1").translate(self.alphabet)
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that the splitting pattern leaves in one part."""
+        done: dict[str, bytes] = {}
         if self.spaces:  # words without a space before them are few: one by one
             alone = [w for w in words if w[0] != " " or w.isspace()]
             done = dict(zip(alone, self.whole(alone)))
             words = [w for w in words if w not in done]
-        else:
-            done = {}
-        end, skip = ("", 0) if self.spaces else (f" {self.MARK} ", 1)
         groups = [words[i: i + self.GROUP] for i in range(0, len(words), self.GROUP)]
-        for group, raw in zip(groups, self.whole(["".join(w + end for w in g) for g in groups])):
-            ids = np.frombuffer(raw, "<u4")
-            cuts = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)] if self.spaces else \
-                [-1, *np.flatnonzero(ids == self.mark).tolist()]
+        joined = [" ".join(map(self._mapped, g)) for g in groups]
+        for group, raw in zip(groups, self.whole(joined, self.merges)):
+            bound = np.flatnonzero(self.bound[np.frombuffer(raw, "<u4")])
+            cuts = [*bound.tolist(), len(raw) // 4] if self.spaces else [0, *(bound + 1).tolist()]
             if len(cuts) != len(group) + 1:
                 done.update(zip(group, self.whole(group)))
             else:
-                done.update((w, raw[4 * (a + skip): 4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
+                done.update((w, raw[4 * a: 4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
         return done
 
     def _ids(self, words: list[str]) -> list[bytes]:
