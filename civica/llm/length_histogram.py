@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 
 from civica.llm.common import doc_slices, id_and_text
 from civica.llm.vocab import tiktoken_encoding
+from civica.session import cut_lineage
 
 #: Lengths per group of the two-level suffix sums.
 GROUP = 1024
@@ -48,7 +49,8 @@ def suffix_sums(histogram: DataFrame, group: int = GROUP) -> DataFrame:
 
     Sums run within groups of ``group`` neighbouring lengths; only one row a
     group goes through the sum over all groups."""
-    h = histogram.withColumn("n_tokens", F.col("length") * F.col("n_docs")) \
+    # Written once: the rows and the groups above them both come from it.
+    h = cut_lineage(histogram, name="length-histogram").withColumn("n_tokens", F.col("length") * F.col("n_docs")) \
         .withColumn("_group", F.floor(F.col("length") / F.lit(group)))
     groups = h.groupBy("_group").agg(F.sum("n_docs").alias("_docs"), F.sum("n_tokens").alias("_tokens"))
     above = Window.orderBy(F.desc("_group"))

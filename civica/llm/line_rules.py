@@ -28,8 +28,9 @@ BOILERPLATE = ("all rights reserved", "click here", "cookie policy", "cookies",
                "log in", "lorem ipsum", "privacy policy", "read more", "sign in", "sign up", "subscribe to",
                "terms of service", "terms of use")
 SEPARATORS = "|»›·•→←"
-_END = re.compile(r"""[.!?…:;。！？][)\]}"'’”»]*$""")
-_INNER = re.compile(r"[.!?,;:…。！？、，]")
+LINE_END = r"""[.!?…:;。！？][)\]}"'’”»]*$"""
+INNER_PUNCTUATION = r"[.!?,;:…。！？、，]"
+_END, _INNER = re.compile(LINE_END), re.compile(INNER_PUNCTUATION)
 _SEPARATOR = re.compile(f"[{re.escape(SEPARATORS)}]")
 
 

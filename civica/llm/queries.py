@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civica.llm import (best_fit_ga, hmm_lm, length_histogram, line_rules, qda_quality, rans_tokens, secret_scan, simhash_mih,
-                        suffix_decontam, url_templates)
+from civica.llm import (best_fit_ga, hmm_lm, length_histogram, line_rules, oracles, qda_quality, rans_tokens, secret_scan,
+                        simhash_mih, suffix_decontam, url_templates)
 from civica.llm.common import held_out, read_table
 from civica.session import scratch_path, ship_package
 
@@ -104,7 +104,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_templates, op2_length_histogram, op3_suffix_decontamination, op4_hmm,
                             op5_line_rules, op6_secret_scan, op7_simhash_mih, op8_best_fit_ga, op9_rans_tokens, op10_qda_quality)
 }
-_ORACLE_SQL: dict[str, str] = {}
+_ORACLE_SQL: dict[str, str] = {
+    "op1_url_templates": oracles.url_templates_sql(URL_RULES),
+    "op3_suffix_decontamination": oracles.DECONTAMINATION,
+    "op5_line_rules": oracles.line_rules_sql(),
+}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

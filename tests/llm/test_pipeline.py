@@ -1,0 +1,85 @@
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from llm.test_best_fit_ga import check_packing
+from llm.test_secret_scan import brute as secret_spans
+from llm.test_simhash_mih import brute_components, brute_fp
+from llm.test_suffix_decontam import brute as decontaminate
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(llm):
+    """What each stage gets and returns."""
+    from civica.session import cut_lineage
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(cut_lineage(stage(llm, out[-1], SF), name=f"test-{name}"))
+    return out
+
+
+def texts(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_columns_of_documents_stay(stages):
+    assert all(df.columns == COLUMNS and df.dtypes == stages[0].dtypes for df in stages[:5])
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontaminate", "secrets", "pack"]
+
+
+def test_quality_keeps_what_the_query_accepts(llm, stages):
+    scored = entry.queries()["op10_qda_quality"](llm, SF).filter("predicted = 1")
+    assert sorted(texts(stages[1])) == sorted(r["doc_id"] for r in scored.collect())
+
+
+def test_one_of_each_group_stays(stages):
+    before = texts(stages[1])
+    least = brute_components({k: brute_fp(t) for k, t in before.items()})
+    assert sorted(texts(stages[2])) == sorted(set(least.values()))
+
+
+def test_contaminated_documents_go(llm, stages):
+    items = [(r["item_id"], r["text"]) for r in llm.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    before = sorted(texts(stages[2]).items())
+    clean = [k for (k, _), (n, hit, _) in zip(before, decontaminate(before, items)) if not (hit and 20 * hit >= n)]
+    assert sorted(texts(stages[3])) == clean
+
+
+def test_secrets_are_replaced(stages):
+    before, after = texts(stages[3]), texts(stages[4])
+    assert sorted(before) == sorted(after)
+    assert any(secret_spans(t) for t in before.values())
+    for k, t in after.items():
+        assert not secret_spans(t)
+        if t != before[k]:
+            assert secret_spans(before[k])
+    assert all(r["n_chars"] == len(r["text"]) for r in stages[4].collect() if r["text"] != before[r["doc_id"]])
+
+
+def test_everything_is_packed(stages):
+    rows = stages[5].collect()
+    assert {r["doc_id"] for r in rows} == set(texts(stages[4]))
+    check_packing([(r["offset"], r["length"], r["sequence_id"]) for r in rows], 1024)
+
+
+def test_run_is_the_registered_pipeline(llm, stages):
+    got = entry.queries()["pipeline"](llm, SF)
+    key = lambda df: sorted((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in df.collect())
+    assert key(got) == key(stages[5])
+
+
+def test_pipeline_on_edge_cases(llm, docs):
+    """Null and empty texts, null ids, repeated rows, clashing columns."""
+    rows = docs.selectExpr("doc_id", "text", "lang", "'s' as source", "cast(length(text) as long) as n_chars", "score", "spans")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        rows = stage(llm, rows, SF)
+        assert rows.columns == [*COLUMNS, "score", "spans"]
+    assert corpus_pipeline.STAGES[4][1](llm, rows, SF).count() >= rows.count()
+    empty = docs.selectExpr("doc_id", "text", "lang", "'s' as source", "cast(0 as long) as n_chars").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(llm, empty, SF)
+    assert empty.count() == 0
