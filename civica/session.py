@@ -126,12 +126,13 @@ def _path_bytes(spark: SparkSession, path: str) -> int:
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
-               executor_cores_total: int | None = None) -> dict[str, str]:
-    """Settings sized to the input: enough shuffle partitions that each
-    holds about ``target_partition_bytes`` (AQE coalesces the small ones at
-    runtime and splits skewed ones), scan splits of the same size, and at
-    least two tasks per core.  E.g. 100 TB → ~400k initial partitions."""
-    parts = max(1, -(-input_bytes // target_partition_bytes))
+               executor_cores_total: int | None = None, shuffle_partition_bytes: int = 2 * 1024 ** 3) -> dict[str, str]:
+    """Settings sized to the input: scan splits of ``target_partition_bytes``
+    and shuffle partitions of about ``shuffle_partition_bytes``, at least two
+    per core.  Shuffle blocks number map tasks × partitions, so partitions of
+    a shuffle are larger than splits: 100 TB gives about 50k of them, which
+    sort and aggregate with spilling; AQE splits skewed ones."""
+    parts = max(1, -(-input_bytes // shuffle_partition_bytes))
     if executor_cores_total:
         parts = max(parts, 2 * executor_cores_total)
     return {

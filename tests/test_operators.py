@@ -19,6 +19,8 @@ from civica.operators import rows as RW
 from civica.operators import shares as SH
 from civica.operators import trends as TR
 from civica.operators import windows as W
+from civica.functions.text import contains_any
+from civica.sources import lake as L
 
 
 def _key(t):
@@ -286,9 +288,38 @@ def test_arima_short_series_is_null_and_long_runs(spark):
     assert all(math.isfinite(out[("b", h)]) for h in range(1, 5))
 
 
-def test_arima_random_walk_forecast_is_flat():
-    y = np.array([5.0] * 12)
-    assert np.allclose(TR.arima111_forecast(y, 4), 5.0)
+def test_arima_matches_the_grid_by_hand(spark):
+    rng = np.random.default_rng(4)
+    y = np.cumsum(rng.normal(0, 1, 25))
+    df = spark.createDataFrame([("s", i, float(v)) for i, v in enumerate(y)], "s string, p int, v double")
+    d = np.diff(y)
+    best = None
+    for phi in np.arange(-95, 96, 5) / 100:
+        for theta in np.arange(-95, 96, 5) / 100:
+            e, sse = 0.0, 0.0
+            for t in range(1, len(d)):
+                e = d[t] - phi * d[t - 1] - theta * e
+                sse += e * e
+            best = min(best or (sse, phi, theta, e), (sse, phi, theta, e))
+    _, phi, theta, e = best
+    move, level, want = phi * d[-1] + theta * e, y[-1], []
+    for _ in range(4):
+        level += move
+        want.append(level)
+        move *= phi
+    got = TR.arima_forecast(df, "s", "p", "v").orderBy("step").collect()
+    assert np.allclose([r["forecast"] for r in got], want) and [r["p"] for r in got] == [25, 26, 27, 28]
+
+
+def test_arima_steps_follow_the_last_period_of_all(spark):
+    rows_ = [("old", y, float(y % 3)) for y in range(2010, 2019)] + [("new", y, float(y % 5)) for y in range(2010, 2025)]
+    got = TR.arima_forecast(spark.createDataFrame(rows_, "s string, p int, v double"), "s", "p", "v")
+    assert {(r["s"], r["p"]) for r in got.collect()} == {(s, y) for s in ("old", "new") for y in range(2025, 2029)}
+
+
+def test_arima_constant_series_is_flat(spark):
+    df = spark.createDataFrame([("s", i, 5.0) for i in range(12)], "s string, p int, v double")
+    assert [r["forecast"] for r in TR.arima_forecast(df, "s", "p", "v").collect()] == [5.0] * 4
 
 
 # ---------------------------------------------------------------- features
@@ -308,14 +339,41 @@ def test_hash_split_disjoint_complete_stable(spark):
     [1.0] * 500 + [2.0] * 3 + [float(i) for i in range(300)],
     list(np.random.default_rng(3).lognormal(0, 3, 5000)),
 ])
-def test_exact_quantiles_match_numpy(spark, data, monkeypatch):
-    monkeypatch.setattr(FE, "COLLECT_LIMIT", 20)     # force several histogram passes
-    monkeypatch.setattr(FE, "HIST_BUCKETS", 8)
+@pytest.mark.parametrize("accuracy", [10, 100_000])
+def test_exact_quantiles_match_numpy(spark, data, accuracy, monkeypatch):
+    monkeypatch.setattr(FE, "SKETCH_ACCURACY", accuracy)     # a coarse sketch needs several passes
     df = spark.createDataFrame([(float(v),) for v in data], "x double")
     got = FE.exact_quantiles(df, "x", [0.25, 0.5, 0.75])
     assert np.allclose(got, np.percentile(np.array(data, float), [25, 50, 75]), rtol=1e-12)
 
 
+@pytest.mark.parametrize("data", [
+    [-1.5e308, -1e308, -2.5e307, 2.4, 2.6, 2.4e307, 2.6e307, 1.6e308],
+    [1.0, 2.0, 3.0, 4.0, 5.0, math.inf],
+    [-math.inf, -math.inf, 1.0, math.inf],
+    [*map(float, range(3000)), math.inf],
+    [-0.0, 0.0, 5e-324, 1.0],
+])
+@pytest.mark.parametrize("accuracy", [10, 100_000])
+def test_quantiles_of_any_spread(spark, data, accuracy, monkeypatch):
+    monkeypatch.setattr(FE, "SKETCH_ACCURACY", accuracy)
+    df = spark.createDataFrame([(v, v) for v in [*data, math.nan]] + [(None, 1.0)], "x double, `y.z` double")
+    got = FE.order_statistics(df, [(c, p) for c in ("x", "y.z") for p in (0.25, 0.5, 0.75)])
+    v = sorted(data)
+    for p in (0.25, 0.5, 0.75):
+        at = (len(v) - 1) * p
+        a, b, w = v[math.floor(at)], v[math.ceil(at)], at - math.floor(at)
+        want = a if w == 0 or a == b else a * (1 - w) + b * w
+        assert got["x", p] == want or math.isclose(got["x", p], want, rel_tol=1e-12)
+
+
+def test_quantiles_do_not_depend_on_the_size(spark):
+    df = spark.range(60_000).selectExpr("cast(if(id = 7, 'Infinity', id) as double) as x")
+    v = sorted([float(i) for i in range(60_000) if i != 7] + [math.inf])
+    got = FE.exact_quantiles(df, "x", [0.25, 0.5, 0.75])
+    assert np.allclose(got, [v[int((len(v) - 1) * p)] for p in (0.25, 0.5, 0.75)], atol=1)
+
+
 def test_robust_scale_zero_iqr(spark):
     df = spark.createDataFrame([(5.0,), (5.0,), (5.0,), (5.0,), (7.0,)], "x double")   # IQR 0 → scale 1
     assert rows(FE.robust_scale(df, ["x"]), "x_scaled") == [(0.0,), (0.0,), (0.0,), (0.0,), (2.0,)]
@@ -403,7 +461,7 @@ def test_constant_series_trends(spark):
     lin = TR.linear_predict(TR.linear_fit(df, ["s"], "x", "y"), [2027]).first()["pred"]
     quad = TR.quadratic_predict(TR.quadratic_fit(df, ["s"], "x", "y"), [2027]).first()["pred"]
     assert math.isclose(lin, 7.0) and math.isclose(quad, 7.0, abs_tol=1e-9)
-    assert np.allclose(TR.arima111_forecast(np.full(6, 7.0), 4), 7.0)
+    assert {r["forecast"] for r in TR.arima_forecast(df, "s", "x", "y").collect()} == {7.0}
 
 
 def test_operators_on_an_empty_table(spark):
@@ -438,3 +496,109 @@ def test_integer_prefix_ranges_equal_string_prefix(spark, dtype, prefix):
     df = spark.createDataFrame([(v,) for v in vals], f"x {dtype}")
     got = sorted(r["x"] for r in RW.prefix_filter(df, "x", prefix).collect())
     assert got == sorted(v for v in vals if str(v).startswith(prefix))
+
+
+# ---------------------------------------------------------------- nothing is cut, nothing is guessed
+
+def test_seventy_candidate_blocks(spark):
+    names = [f"{f}{'' if i == 1 else f'_{i}'}" for i in range(1, 71) for f in ("nom", "voix")]
+    df = spark.createDataFrame([(1, *[f"n{i}" if k % 2 == 0 else str(i) for i, k in ((k // 2, k) for k in range(140))])],
+                               ["id", *names])
+    assert R.long_by_suffix(df, ["id"], ["nom", "voix"]).count() == 70
+
+
+def test_numbered_blocks_with_dotted_ids_and_panels(spark):
+    df = spark.createDataFrame([("a", 1, "x", 5, 9)], ["Code.dép", "N°Panneau.1", "Nom.1", "Voix.1", "n.o"])
+    out = R.long_by_detect(df, ["Nom", "Voix"])
+    assert out.columns == ["Code.dép", "n.o", "candidate_number", "Nom", "Voix"] and out.count() == 1
+    uneven = spark.createDataFrame([("a", "x", 5, "y")], ["id", "Nom.1", "Voix.1", "Nom.2"])
+    none = R.long_by_detect(uneven, ["Nom", "Voix"])
+    assert none.count() == 0 and dict(none.dtypes)["Voix"] == "bigint"
+
+
+def test_latest_row_skips_missing_periods(spark):
+    df = spark.createDataFrame([("k", 2020, "a"), ("k", None, "b"), ("k", 2022, "c"), ("n", None, "d")], "k string, y int, v string")
+    assert rows(W.latest_row(df, ["k"], "y"), "k", "y", "v") == [("k", 2022, "c")]
+    dates = spark.sql("select 'k' k, date'2020-01-01' y, 1 v union all select 'k', date'2021-01-01', 2")
+    assert W.latest_row(dates, ["k"], "y").first()["v"] == 2
+
+
+def test_mean_change_with_a_zero(spark):
+    import pandas as pd
+    data = [("a", 1, 0.0), ("a", 2, 5.0), ("a", 3, 10.0), ("b", 1, 2.0), ("b", 2, 4.0), ("b", 4, 8.0), ("c", 3, 0.0), ("c", 4, 0.0)]
+    got = dict(rows(W.pct_change_mean(spark.createDataFrame(data, "s string, p int, v double"), "s", "p", "v"), "p", "evolution"))
+    wide = pd.DataFrame(data, columns=["s", "p", "v"]).pivot(index="p", columns="s", values="v").ffill()
+    change = (wide / wide.shift(1).replace(0, np.nan) - 1)
+    want = change.mean(axis=1).fillna(0)
+    assert got == {p: pytest.approx(w) for p, w in want.items()} and got[2] == 1.0
+
+
+def test_integers_beyond_doubles(spark):
+    from civica.functions.numbers import to_int
+    df = spark.createDataFrame([("9007199254740993",), ("1e3",), ("x",), (None,)], "s string").select(to_int("s").alias("v"))
+    assert [r["v"] for r in df.collect()] == [9007199254740993, 1000, None, None]
+    big = spark.createDataFrame([("a", 2**60), ("a", 1), ("b", None)], "k string, v long")
+    assert rows(A.group_sums(big, ["k"], {"s": "v"}), "k", "s") == [("a", 2**60 + 1), ("b", 0)]
+    assert A.masked_sum(big, "v").first()["total"] == 2**60 + 1
+
+
+def test_accented_keywords_fold(spark):
+    df = spark.createDataFrame([("MÉLENCHON",), ("mélenchon",), ("MELENCHON",)], "n string")
+    assert df.where(contains_any("n", ["mélenchon"])).count() == 2
+
+
+def test_measured_side_is_broadcast_only_when_small(spark):
+    small, big = spark.range(10), spark.range(200_000)
+    assert "ResolvedHint" in J.measured(small)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in J.measured(big, max_bytes=1000)._jdf.queryExecution().analyzed().toString()
+
+
+def test_measured_left_join_keeps_every_row(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "p"), (1, "q")], "k int, w string")
+    assert sorted(rows(J.left_join(a, b, "k", measure=True), "v", "w"), key=str) == \
+        sorted(rows(J.left_join(a, b, "k"), "v", "w"), key=str)
+
+
+def test_standard_year_reports_missing_columns(spark):
+    df = spark.createDataFrame([("A", "1,5", "x")], ["Nom", "% Voix/Exp", "Sexe"])
+    out, missing = P.standardise_year(df, 2022)
+    assert out.columns == ["nom", "pourcentage_voix_exprimes", "Sexe"] and missing == []
+    assert P.standardise_year(df.drop("Nom"), 2017)[1] == ["nom"]
+
+
+def test_routed_load_renames_and_matches_words_anywhere(spark):
+    df = spark.createDataFrame([("1,5", "2,5", "3,5")], ["pourcentage_voix_inscrits", "mon_taux", "autre"])
+    out = L.prepare_routed(df, "Election 2017")
+    r = out.first()
+    assert (r["pourcentage_voix_inscrits_election"], r["mon_taux"], r["autre"], r["annee"]) == (1.5, 2.5, "3,5", 2017)
+
+
+def test_declared_keys_are_audited(spark):
+    from civica.sources import warehouse as W
+    db = W.ensure_database(spark, "civica_audit_test")
+    W.create_schema(spark, db, W.STAR_SCHEMA | W.WIDE_SCHEMA)
+    assert dict(spark.table(f"`{db}`.cantons").dtypes)["code_canton"] == "string"
+    W.append_table(spark.sql("select 1 code_departement, 'x' libelle_departement, 99 code_region"), f"`{db}`.departements")
+    got = dict(rows(W.audit_schema(spark, db, W.STAR_SCHEMA), "check_name", "n_violations"))
+    assert got["fk_departements_code_region"] == 1 and sum(got.values()) == 1
+    W.drop_database(spark, db)
+
+
+def test_shared_folder_is_required_off_local_masters(spark):
+    from civica import session as SE
+
+    class Fake:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        SE.shared_dir(Fake())
+
+
+def test_scratch_tables_can_be_removed(spark):
+    import os
+    from civica import session as SE
+    df = SE.cut_lineage(spark.range(3), name="gone")
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.exists(path) and SE.clean_scratch(spark) > 0 and not os.path.exists(path)

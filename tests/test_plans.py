@@ -6,12 +6,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from civica.plans import catalogue
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = catalogue.queries()
 MODEL = {"gbt_predict", "forest_predict", "vote_projection"}
-PYTHON_OK = {"arima_forecast", "model_forecasts"}
 
 
 def physical(df, mode="extended") -> str:
@@ -26,9 +25,7 @@ def physical(df, mode="extended") -> str:
 def test_no_pair_explosion_and_no_row_python(spark, name):
     plan = physical(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "BatchEvalPython" not in plan                      # no row-at-a-time Python UDF
-    if name not in PYTHON_OK:
-        assert "InPandas" not in plan and "ArrowEvalPython" not in plan
+    assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
 
 
 def test_year_range_pushed_to_scan(spark):
@@ -66,8 +63,28 @@ def test_split_lag_shuffles_fact_rows_once(spark):
     from civica.operators.windows import lag_within
     v = C.votes(spark, SF_SMALL)
     plan = physical(lag_within(v, ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "p", split="annee"))
-    # one hash exchange on the window keys feeds both the window and the join
-    assert plan.count("hashpartitioning(__gk") >= 1
+    # The lagged rows are written once: what is left is a join of that table with its tails.
+    assert plan.count("FileScan parquet") == 2 and "orders.parquet" not in plan
+
+
+@pytest.mark.parametrize("name, table, most", [
+    ("class_metrics", "orders", 1), ("right_votes", "lineitem", 1), ("keyword_party_votes", "lineitem", 1),
+    ("left_join_fanout", "orders", 1), ("left_join_composite", "orders", 1), ("unstack_zero_fill", "orders", 0),
+    ("bucket_other", "lineitem", 0), ("scenario_rows", "lineitem", 0)])
+def test_facts_are_read_once(spark, name, table, most):
+    # 0: read while the query is built, into a small table.
+    plan = physical(QUERIES[name](spark, SF_SMALL))
+    assert len(re.findall(rf"FileScan parquet.*?{table}\.parquet", plan)) <= most
+
+
+@pytest.mark.parametrize("name", ["left_join_fanout", "left_join_suffix", "left_join_composite", "group_mean_fill"])
+def test_facts_do_not_move_for_a_small_side(spark, name):
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = physical(QUERIES[name](own, SF_SMALL))
+    key = "o_orderpriority" if name == "group_mean_fill" else "annee"
+    assert "BroadcastHashJoin" in plan
+    assert not re.search(rf"hashpartitioning\({key}#", plan)
 
 
 def test_global_mean_is_a_scalar_subquery(spark):

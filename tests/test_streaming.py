@@ -1,7 +1,7 @@
 import os
 import tempfile
 
-from civica.plans.q_tables import harmonise
+from civica.operators.columns import harmonise
 from civica.operators.rows import prefix_filter
 from civica.streaming.ingest import ingest_stream
 
