@@ -34,7 +34,7 @@ from civica.llm.common import doc_slices, id_and_text
 from civica.llm.vocab import TOKEN_SLICE_BYTES, tokenizers_encoder
 from civica.session import cut_lineage
 
-LANES, CHECKPOINT, BITS, BLOCK_TOKENS = 1024, 256, 20, 1 << 19
+LANES, CHECKPOINT, BITS, BLOCK_TOKENS = 2048, 256, 20, 1 << 20
 LOW = np.uint64(1 << 31)  # states are in [LOW, LOW << 32)
 WORD = np.uint64(32)
 
@@ -135,8 +135,14 @@ def checksum(lengths: np.ndarray, checkpoints: bytes, code: bytes) -> int:
     return zlib.crc32(code, zlib.crc32(checkpoints, zlib.crc32(np.asarray(lengths, "<u4").tobytes())))
 
 
-def _tokens(docs: DataFrame, vocabulary: str, end_id: int, spaces: bool, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, ids`` (compressed 32-bit ids by planes of bytes) of every
+def _width(vocabulary: str, end_id: int, spaces: bool) -> int:
+    """Bytes that hold any id."""
+    largest = max(tokenizers_encoder(vocabulary, spaces).tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
+    return 2 if largest <= 1 << 16 else 4
+
+
+def _tokens(docs: DataFrame, vocabulary: str, end_id: int, spaces: bool, id_col: str, text_col: str, width: int) -> DataFrame:
+    """``doc_id, n, ids`` (compressed ids by planes of bytes) of every
     document, and at the end of each task a row without a count of tokens but
     with its histogram of ids."""
     src = id_and_text(docs, id_col, text_col)
@@ -156,7 +162,7 @@ def _tokens(docs: DataFrame, vocabulary: str, end_id: int, spaces: bool, id_col:
                 own = np.frombuffer(ids + end, "<u4")
                 every.append(own)
                 size.append(len(own))
-                data.append(press(np.ascontiguousarray(own.view(np.uint8).reshape(-1, 4).T).tobytes()))
+                data.append(press(np.ascontiguousarray(own.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()))
             more = np.bincount(np.concatenate(every), minlength=len(count))
             more[: len(count)] += count
             count = more
@@ -180,7 +186,7 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], names=["id", "n"])
 
 
-def _blocks(table: Table, block_tokens: int):
+def _blocks(table: Table, block_tokens: int, width: int):
     """Sorted documents of one range in, blocks out."""
     def block(part: int, number: int, kind: pa.DataType, ids: list, lengths: list[int], tokens: list[np.ndarray]) -> pa.RecordBatch:
         every = np.concatenate(tokens)
@@ -195,6 +201,7 @@ def _blocks(table: Table, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        unpress = zstandard.ZstdDecompressor().decompress
         part, number, size = TaskContext.get().partitionId(), 0, 0
         ids: list = []
         lengths: list[int] = []
@@ -202,11 +209,11 @@ def _blocks(table: Table, block_tokens: int):
         kind = None
         for b in batches:
             kind = b.schema.field("doc_id").type
-            for key, n, data in zip(b.column("doc_id").to_pylist(), b.column("n").to_pylist(), b.column("ids")):
-                planes = np.frombuffer(zstandard.decompress(data.as_py()), np.uint8).reshape(4, -1)
+            for key, n, data in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "ids"))):
+                planes = np.frombuffer(unpress(data), np.uint8).reshape(width, -1)
                 ids.append(key)
                 lengths.append(n)
-                tokens.append(np.ascontiguousarray(planes.T).view("<u4").ravel())
+                tokens.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel())
                 size += n
                 if size >= block_tokens:
                     yield block(part, number, kind, ids, lengths, tokens)
@@ -222,7 +229,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     """Encodes every text, appends ``end_id``, and writes the token file at
     ``path``, in ascending order of the ids."""
     spark = docs.sparkSession
-    tokens = cut_lineage(_tokens(docs, vocabulary, end_id, spaces, id_col, text_col), name="tokens")
+    width = _width(vocabulary, end_id, spaces)
+    tokens = cut_lineage(_tokens(docs, vocabulary, end_id, spaces, id_col, text_col, width), name="tokens")
     # One row per id of the vocabulary that occurs: bounded by the vocabulary.
     count = tokens.filter("n is null").select("ids").mapInArrow(_histograms, "id long, n long") \
         .groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
@@ -235,7 +243,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
         "checkpoints binary, crc32 long"
     tokens.filter("n is not null").repartitionByRange(F.col("doc_id").asc_nulls_first()) \
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids") \
-        .mapInArrow(_blocks(Table(symbols, freq, bits), block_tokens), schema) \
+        .mapInArrow(_blocks(Table(symbols, freq, bits), block_tokens, width), schema) \
         .write.mode("overwrite").option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 

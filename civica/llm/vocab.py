@@ -17,9 +17,9 @@ import re
 import numpy as np
 import pyarrow as pa
 
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 250_000
 #: Text encoded at a time: a word costs much more memory as an object than as text.
-TOKEN_SLICE_BYTES = 2 << 20
+TOKEN_SLICE_BYTES = 3 << 20
 
 
 @functools.lru_cache(maxsize=4)
