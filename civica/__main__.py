@@ -2,7 +2,7 @@
 
     load     --raw DIR --database DB [--out DIR] [--prefix 13]
     model    --database DB [--predictions PATH] [--max-iter 300] [--quarter-mode mean|fanout]
-    shares   --database DB [--years 2017 2022]
+    shares   --database DB [--years 2017 2022] [--percent]
     history
     crime    --database DB [--years 2017 2022]
     query    NAME --tables DIR [--show N]
@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None) -> int:
         p = sub.add_parser(name)
         p.add_argument("--database", required=True)
         p.add_argument("--years", type=int, nargs="+", default=[2017, 2022])
+        if name == "shares":
+            p.add_argument("--percent", action="store_true", help="from the percentage column of the other layouts")
     sub.add_parser("history", help="literal vote-count history and projection")
     p = sub.add_parser("query", help="run one catalogue query")
     p.add_argument("name")
@@ -57,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         out["class_metrics"].show()
         out["national"].show()
     elif a.cmd == "shares":
-        out = J.party_share_analysis(spark, a.database, a.years)
+        out = J.party_share_analysis(spark, a.database, a.years, percent=a.percent)
         out["shares"].orderBy("annee", "parti").show(100)
         out["ranking"].orderBy("annee", "rang").show(100)
     elif a.cmd == "history":

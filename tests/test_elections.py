@@ -188,3 +188,40 @@ def test_feature_frame_reference_modes(lake):
     # the year-only join against quarterly rows multiplies every row by four
     assert fan_rows.count() == 4 * mean_rows.count()
     assert "trimestre" in fan_rows.columns and "trimestre" not in mean_rows.columns
+
+
+def _layout_files(raw):
+    """One file of each of the two other layouts, as shipped: numbered
+    headers with panel columns and a first block without a number; repeated
+    headers with a no-break space, an unnamed tail and an empty block."""
+    head = ["Code du département", "Libellé du département"]
+    block = ["N°Panneau", "Sexe", "Nom", "Prénom", "Voix", "% Voix/Ins", "% Voix/Exp"]
+    names = [*head, *block, *[f"{b}.{i}" for i in (1, 2) for b in block]]
+    rows = [["32", "GERS", "1", "F", "LE PEN", "Marine", "40", '"30,0"', '"40,0"', "2", "M", "MACRON", "Emmanuel", "35", '"25,0"', '"35,0"',
+             "3", "M", "Mélenchon", "Jean-Luc", "25", '"20,0"', '"25,0"'],
+            ["33", "GIRONDE", "1", "F", "LE PEN", "Marine", "9", '"9,0"', '"9,0"', *[""] * 14], ["x", "?", *[""] * 21]]
+    (raw / "Presidentielle2017.csv").write_text("\n".join(",".join(r) for r in [names, *rows]) + "\n", encoding="utf-8")
+    common = ["Code de la région", *[f"Commun {i}\u00a0" for i in range(16)]]
+    block = ["Sexe", "Nom", "Prénom", "Voix", "% Voix/Ins", "% Voix/Exp"]
+    rows = [["32", *["c"] * 16, "M", "MACRON", "Emmanuel", "60", '"50,0"', '"60,0"', "F", "LE PEN", "Marine", "40", '"30,0"', '"40,0"',
+             *[""] * 6, ""], ["44", *["c"] * 16, "M", "MACRON", "Emmanuel", "1", '"1,0"', '"1,0"', *[""] * 13]]
+    (raw / "resultats-niveau-reg.csv").write_text(
+        "\n".join(",".join(r) for r in [[*common, *block * 3, ""], *rows]) + "\n", encoding="utf-8")
+
+
+def test_both_other_layouts_are_loaded(spark, tmpdir_path):
+    import pathlib
+    raw = pathlib.Path(tmpdir_path) / "raw"
+    raw.mkdir()
+    _layout_files(raw)
+    db = "civica_layout_test"
+    written = E.load_lake(spark, E.LakeConfig(raw_dir=str(raw), database=db))
+    t = spark.table(written["candidats_long"])
+    got = sorted((r["annee"], r["nom"], r["voix"], r["pourcentage_voix_exprimes"], r["code_region"]) for r in t.collect())
+    assert got == [(2017, "LE PEN", 40.0, 40.0, 32), (2017, "MACRON", 35.0, 35.0, 32), (2017, "Mélenchon", 25.0, 25.0, 32),
+                   (2022, "LE PEN", 40.0, 40.0, 32), (2022, "MACRON", 60.0, 60.0, 32)]
+    out = E.party_share_analysis(spark, db, percent=True)
+    assert {(r["annee"], r["total"], r["in_range"]) for r in out["range_check"].collect()} == {(2017, 100.0, True), (2022, 100.0, True)}
+    shares = {(r["annee"], r["parti"]): r["share"] for r in out["shares"].collect()}
+    assert shares[2017, "RN"] == 40.0 and shares[2022, "LREM"] == 60.0 and shares[2017, "LFI"] == 25.0
+    E.W.drop_database(spark, db)
