@@ -35,6 +35,7 @@ from civica.session import cut_lineage
 BITS, HALF = 64, 32
 MAX_DISTANCE = 3  # what two halves with one flipped bit each can guarantee
 HALF_MASK = (1 << HALF) - 1
+BLOCK = 1 << 16
 
 
 def simhash(texts: list[bytes], shingle: int, seed: int) -> np.ndarray:
@@ -42,28 +43,21 @@ def simhash(texts: list[bytes], shingle: int, seed: int) -> np.ndarray:
     import xxhash
 
     digest = xxhash.xxh64_intdigest
-    hashes: list[int] = []
-    count = np.zeros(len(texts), np.int64)
+    out = np.zeros(len(texts), np.uint64)
     for i, t in enumerate(texts):
         words = t.lower().split()
         if not words:
             continue
         joined = b" ".join(words)
-        if len(words) <= shingle:
-            own = [digest(joined, seed)]
-        else:
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-            starts = np.concatenate([[0], ends[:-1] + 1])
-            own = [digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends[shingle - 1:].tolist())]
-        count[i] = len(own)
-        hashes += own
-    out = np.zeros(len(texts), np.uint64)
-    full = np.flatnonzero(count)
-    if len(full):
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        starts = (np.cumsum(count) - count)[full]
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
-        out[full] = np.packbits(2 * ones > count[full, None], axis=1, bitorder="little").view("<u8").ravel()
+        ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
+        starts = [0, *(e + 1 for e in ends[:-1])]
+        last = ends[shingle - 1:] or ends[-1:]
+        ones = np.zeros(BITS, np.int64)
+        for a in range(0, len(last), BLOCK):  # a block of shingles at a time: 64 counters each
+            hashes = [digest(joined[x:y], seed) for x, y in zip(starts[a: a + BLOCK], last[a: a + BLOCK])]
+            bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(0, dtype=np.int64)
+        out[i] = np.packbits(2 * ones > len(last), bitorder="little").view("<u8")[0]
     return out
 
 
