@@ -1,8 +1,8 @@
 """Vote model: features, training, scenario projection.
 
 Training uses MLlib's distributed tree learners on a ``VectorAssembler``
-frame; the assembled training frame is persisted once because tree
-learners make one pass per level and round.  Nulls are imputed (M9) before
+frame; the training rows are persisted while the learner makes its pass
+per level and round.  Nulls are imputed (M9) before
 assembly: MLlib trees, unlike the reference's histogram booster, do not
 route missing values.
 """
@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civica.functions.numbers import clip
-from civica.operators.aggregates import fill_global_mean
 from civica.operators.quality import ensure_not_empty
 
 
@@ -84,8 +83,3 @@ def national_totals(preds: DataFrame, period: str, label: str, value: str, label
     """Predicted totals per period and label (R8 with zero fill)."""
     from civica.operators.reshape import unstack_zero_fill
     return unstack_zero_fill(preds, [period], label, value, labels)
-
-
-def impute_features(df: DataFrame, features: Sequence[str], source: DataFrame | None = None) -> DataFrame:
-    """M9 applied to model features."""
-    return fill_global_mean(df, features, source)
