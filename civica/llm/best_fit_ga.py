@@ -87,6 +87,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, i
                  pa.array(np.arange(uid, uid + len(row)))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "uid"])
             uid += len(row)
+        encoder.forget()
 
     kind = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(pieces, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, uid long")

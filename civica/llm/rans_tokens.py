@@ -168,6 +168,7 @@ def _tokens(docs: DataFrame, vocabulary: str, end_id: int, spaces: bool, id_col:
             count = more
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(data, pa.binary())],
                                              names=["doc_id", "n", "ids"])
+        encoder.forget()
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.array([press(count.astype("<i8").tobytes())], pa.binary())],

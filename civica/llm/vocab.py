@@ -17,9 +17,9 @@ import re
 import numpy as np
 import pyarrow as pa
 
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 100_000
 #: Text encoded at a time: a word costs much more memory as an object than as text.
-TOKEN_SLICE_BYTES = 3 << 20
+TOKEN_SLICE_BYTES = 2 << 20
 
 
 @functools.lru_cache(maxsize=4)
@@ -46,9 +46,9 @@ class PieceEncoder:
     Texts are split into words as the tokenizer does, and new words go
     through its merges together, in lists of ``GROUP``.  With ``spaces`` (a
     tokenizer that keeps white space) most words carry the space before them,
-    and tokens that begin with a space mark where words begin.  Otherwise
-    (white space is dropped, case is folded) tokens with the word-end suffix
-    mark where words end.
+    and tokens that begin with a space mark where words begin; a control
+    character stands between the others.  Without (white space is dropped,
+    case is folded) tokens with the word-end suffix mark where words end.
 
     The cache has two generations: at ``CACHE_ENTRIES`` the younger becomes
     the older, and what is still in use moves back."""
@@ -70,37 +70,48 @@ class PieceEncoder:
         other = rf"[^\s0-9{self.LATIN}]+"
         if spaces:
             self.bound = np.array([x.startswith(self.alphabet[32]) for x in names])
+            self.mark = names.index(self.alphabet[1])  # of a byte that no word holds
             self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{self.LATIN}]+| ?[0-9]+| ?{other}|\s+(?!\S)|\s+").findall
         else:
             self.bound = np.array([x.endswith(tokenizer.model.end_of_word_suffix) for x in names])
             self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{self.LATIN}]+|[0-9]|{other}").findall
 
+    def forget(self) -> None:
+        """Empties the cache: a worker that waits for a task holds memory too."""
+        self.young, self.old = {}, {}
+
     def whole(self, texts: list[str], tokenizer=None) -> list[bytes]:
         found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _mapped(self, word: str) -> str:
         """A word in the byte alphabet."""
-        if word.isascii() and word.isprintable():
+        if word.isascii() and word.isprintable() and not word.isspace():
             return self.alphabet[32] + word[1:] if word[0] == " " else word
         return word.encode().decode("latin-1").translate(self.alphabet)
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that the splitting pattern leaves in one part."""
+        if not self.spaces:
+            return self._encode_groups(words, lambda ids: [0, *(np.flatnonzero(self.bound[ids]) + 1).tolist()])
+        spaced = [w for w in words if w[0] == " " and not w.isspace()]
+        other = [w for w in words if w[0] != " " or w.isspace()]
+        return self._encode_groups(spaced, lambda ids: [*np.flatnonzero(self.bound[ids]).tolist(), len(ids)]) | \
+            self._encode_groups(other, lambda ids: [-1, *np.flatnonzero(ids == self.mark).tolist()], f" {self.alphabet[1]}", 1)
+
+    def _encode_groups(self, words: list[str], bounds, end: str = "", skip: int = 0) -> dict[str, bytes]:
+        """Ids of words, many in one text; ``bounds`` finds where each begins
+        (less ``skip``) and the last ends.  Where that doesn't give as many
+        words as went in, they go in one by one."""
         done: dict[str, bytes] = {}
-        if self.spaces:  # words without a space before them are few: one by one
-            alone = [w for w in words if w[0] != " " or w.isspace()]
-            done = dict(zip(alone, self.whole(alone)))
-            words = [w for w in words if w not in done]
         groups = [words[i: i + self.GROUP] for i in range(0, len(words), self.GROUP)]
-        joined = [" ".join(map(self._mapped, g)) for g in groups]
+        joined = [" ".join([self._mapped(w) + end for w in g]) for g in groups]
         for group, raw in zip(groups, self.whole(joined, self.merges)):
-            bound = np.flatnonzero(self.bound[np.frombuffer(raw, "<u4")])
-            cuts = [*bound.tolist(), len(raw) // 4] if self.spaces else [0, *(bound + 1).tolist()]
+            cuts = bounds(np.frombuffer(raw, "<u4"))
             if len(cuts) != len(group) + 1:
                 done.update(zip(group, self.whole(group)))
             else:
-                done.update((w, raw[4 * a: 4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
+                done.update((w, raw[4 * (a + skip): 4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
         return done
 
     def _ids(self, words: list[str]) -> list[bytes]:
