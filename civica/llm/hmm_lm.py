@@ -52,9 +52,9 @@ class HmmSettings:
     classes: int = 2048
     ending: int = 3
     segment: int = 64
-    shard_bytes: int = 8 << 20
+    shard_bytes: int = 5 << 20
     bucket_bytes: int = 32 << 20
-    batch: int = 4096
+    batch: int = 2048
     prior: float = 50.0
     seed: int = 7
 
@@ -82,7 +82,7 @@ class Hmm:
 # ---- shards ---------------------------------------------------------------
 
 _SHARD = "shard long, doc_ids array<{id}>, held array<boolean>, lengths array<int>, tokens binary, words array<binary>, " \
-    "train array<long>, cuts array<int>, n_train long"
+    "train array<long>, n_train long"
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -113,7 +113,7 @@ def _sharder(buckets: int, s: HmmSettings):
             coded = pa.array(flat, pa.binary()).dictionary_encode()
             words = coded.dictionary.to_pylist()
             # Words in the order of their buckets, so that a bucket's words are neighbours.
-            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+            bucket = _buckets(words, buckets)
             order = np.argsort(bucket, kind="stable")
             place = np.empty(len(words), np.int64)
             place[order] = np.arange(len(words))
@@ -121,14 +121,13 @@ def _sharder(buckets: int, s: HmmSettings):
             held = part.column("held").to_numpy(zero_copy_only=False)
             learnt = np.repeat(~held.astype(bool), lengths)
             train = np.bincount(tokens[learnt], minlength=len(words))
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             row = {"shard": [shard], "doc_ids": [part.column("doc_id")], "held": [part.column("held")],
                    "lengths": [lengths.astype(np.int32)], "tokens": [_pack(tokens)],
-                   "words": [coded.dictionary.take(pa.array(order))], "train": [train], "cuts": [cuts.astype(np.int32)],
+                   "words": [coded.dictionary.take(pa.array(order))], "train": [train],
                    "n_train": [int(train.sum())]}
             kinds = {"shard": pa.int64(), "doc_ids": pa.list_(part.schema.field("doc_id").type), "held": pa.list_(pa.bool_()),
                      "lengths": pa.list_(pa.int32()), "tokens": pa.binary(), "words": pa.list_(pa.binary()),
-                     "train": pa.list_(pa.int64()), "cuts": pa.list_(pa.int32()), "n_train": pa.int64()}
+                     "train": pa.list_(pa.int64()), "n_train": pa.int64()}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) if not isinstance(v[0], (pa.Array, np.ndarray)) else
                                               pa.ListArray.from_arrays(pa.array([0, len(v[0])], pa.int32()), pa.array(v[0]))
                                               for k, v in row.items()], names=list(row))
@@ -137,19 +136,26 @@ def _sharder(buckets: int, s: HmmSettings):
     return run
 
 
-def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per shard and bucket: the shard's words there, their counts."""
-    for b in batches:
-        for i in range(b.num_rows):
-            words, train = b.column("words")[i].values, b.column("train")[i].values
-            cuts = b.column("cuts")[i].values
-            ends = cuts.to_numpy()
-            full = np.flatnonzero(np.diff(ends))
-            offsets = pa.array(np.append(ends[full], ends[-1]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), b.column("shard")[i].as_py())),
-                 pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, train)],
-                names=["bucket", "shard", "words", "train"])
+def _buckets(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+
+
+def _deal(buckets: int):
+    """One row per shard and bucket that has words of it: the words (which
+    lie in bucket order) and their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                words, train = b.column("words")[i].values, b.column("train")[i].values
+                bucket = _buckets(words.to_pylist(), buckets)
+                first = np.flatnonzero(np.diff(bucket, prepend=-1))
+                offsets = pa.array(np.append(first, len(bucket)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[first].astype(np.int32)), pa.array(np.full(len(first), b.column("shard")[i].as_py())),
+                     pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, train)],
+                    names=["bucket", "shard", "words", "train"])
+
+    return run
 
 
 _ANSWER = "shard long, bucket int, counts array<long>, words array<binary>, classes array<int>, class_tokens array<long>, " \
@@ -378,8 +384,8 @@ def hmm_scores(docs: DataFrame, held, id_col: str = "doc_id", text_col: str = "t
     shards = cut_lineage(src.mapInArrow(_sharder(buckets, s), _SHARD.format(id=kind)), name="hmm-shards")
     tokens = shards.agg(F.sum("n_train")).first()[0] or 0
     answers = cut_lineage(
-        shards.select("shard", "words", "train", "cuts")
-        .mapInArrow(_deal, "bucket int, shard long, words array<binary>, train array<long>")
+        shards.select("shard", "words", "train")
+        .mapInArrow(_deal(buckets), "bucket int, shard long, words array<binary>, train array<long>")
         .groupBy("bucket").applyInArrow(_bucket_counter(tokens / s.max_frequent, s), _ANSWER), name="hmm-counts")
     sums = answers.filter("shard is null")
     frequent = sums.select(F.explode(F.arrays_zip("words", "counts")).alias("f")).select("f.words", "f.counts") \
@@ -399,4 +405,4 @@ def hmm_scores(docs: DataFrame, held, id_col: str = "doc_id", text_col: str = "t
         .agg(F.collect_list(F.struct("bucket", "counts")).alias("a")) \
         .select("shard", F.col("a.bucket").alias("buckets"), F.col("a.counts").alias("answers"))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return shards.drop("train", "cuts", "n_train").join(replies, "shard").mapInArrow(_scorer(model), schema)
+    return shards.drop("train", "n_train").join(replies, "shard").mapInArrow(_scorer(model), schema)
