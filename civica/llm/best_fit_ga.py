@@ -39,16 +39,15 @@ from civica.session import cut_lineage
 class Search:
     """Settings of the search of one block.  ``slack``: free tokens up to
     which a bin counts as well filled.  ``last_generations``: for the last
-    block, whose bins no later level can improve; the others' loose bins get
-    another chance, so they search briefly."""
+    block, whose bins no later level can improve."""
 
     capacity: int = 1024
     block_items: int = 4096
     islands: int = 2
-    epochs: int = 2
-    generations: int = 2
+    epochs: int = 3
+    generations: int = 10
     last_generations: int = 150
-    population: int = 4
+    population: int = 10
     inject: float = 0.05
     slack: int = 8
 

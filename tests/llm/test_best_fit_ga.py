@@ -103,6 +103,21 @@ def test_levels_and_islands_pack_everything(llm):
     assert n <= bound * 1.02 + 1
 
 
+def test_blocks_before_the_last_are_searched():
+    size = np.random.default_rng(6).integers(200, 700, 1500)
+
+    def search(s):
+        rng, population = np.random.default_rng(7), []
+        for _ in range(s.epochs):
+            population = G.evolve(size, population, s, rng)
+        best = population[0]
+        return best.max() + 1, int((np.bincount(best, weights=size) < s.capacity - s.slack).sum())
+
+    bins, loose = search(G.Search())
+    brief_bins, brief_loose = search(G.Search(epochs=2, generations=2, population=4))
+    assert bins < brief_bins and loose < brief_loose
+
+
 def test_large_equal_pieces_end(llm):
     pieces = llm.createDataFrame([(i, 40) for i in range(500)], "uid long, length long")
     out = G.pack(pieces, G.Search(capacity=64, block_items=100)).collect()
