@@ -32,7 +32,8 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I | re.A)
 _UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I | re.A)
 _PART = re.compile(r"[+/_=-]+")
-_PLAIN = re.compile(r"[0-9]*(?:[A-Z]?[a-z]+)*[0-9]*|[A-Z]+[0-9]*|[0-9]+")
+# Possessive, so that a long part that fails is read once.
+_PLAIN = re.compile(r"[0-9]*+[a-z]*+(?:[A-Z][a-z]++)*+[0-9]*+|[A-Z]++[0-9]*+")
 
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 

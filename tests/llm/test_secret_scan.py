@@ -1,5 +1,8 @@
 import hashlib
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -84,6 +87,13 @@ def test_plain_words_are_cheap():
     assert S.scan_text("internationalization antidisestablishmentarianism", encode, runs, 2.0, frozenset()) == []
 
 
+@pytest.mark.parametrize("end", ["1b", "B"])
+def test_long_runs_of_letters_end(end):
+    # In a process of its own: a pattern that backtracks would hold this one for good.
+    code = f"from civica.llm.secret_scan import is_known; is_known('acgt' * 2500 + {end!r}, frozenset()); is_known('1' * 10000 + {end!r}, frozenset())"
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=20, cwd=Path(__file__).parents[2])
+
+
 def test_empty_table(no_docs):
     assert S.secret_spans(no_docs, VOCAB, PATTERN).count() == 0
     assert S.redact(no_docs, VOCAB, PATTERN).count() == 0
