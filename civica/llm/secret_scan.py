@@ -2,7 +2,8 @@
 
 A tokenizer's merges are learnt from running text, so words take few tokens
 and random strings take many.  A string whose characters-per-token ratio is
-low, and that is no known digest or identifier, is reported as ``random``.
+low, and that is no digest, UUID or known string, is reported as ``random``:
+whole, or the parts of it between separators that are long enough.
 
 Defined cases: a null or empty text has no spans; a repeated row gets the
 same spans again; offsets are code points, the end is exclusive; null ids
@@ -31,9 +32,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I | re.A)
 _UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I | re.A)
-_PART = re.compile(r"[+/_=-]+")
-# Possessive, so that a long part that fails is read once.
-_PLAIN = re.compile(r"[0-9]*+[a-z]*+(?:[A-Z][a-z]++)*+[0-9]*+|[A-Z]++[0-9]*+")
+_PART = re.compile(r"[^+/_=-]+")
+# Where a UUID stands between separators.
+_UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])", re.I | re.A)
 
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
@@ -55,22 +56,46 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def is_known(s: str, known: frozenset[str]) -> bool:
-    """Digests by their length, UUIDs, names and numbers made of plain
-    parts, and strings whose SHA-256 is on the caller's list."""
-    if _DIGEST.fullmatch(s) or _UUID.fullmatch(s) or all(_PLAIN.fullmatch(p) for p in _PART.split(s)):
+    """Digests by their length, UUIDs, and strings whose SHA-256 is on the
+    caller's list."""
+    if _DIGEST.fullmatch(s) or _UUID.fullmatch(s):
         return True
     return bool(known) and hashlib.sha256(s.encode()).hexdigest() in known
 
 
-def scan_text(text: str, encode, pattern: re.Pattern, max_ratio: float, known: frozenset[str]) -> list[tuple[int, int, int]]:
-    found = base_spans(text)
+def _unknown(s: str, known: frozenset[str]) -> Iterator[tuple[int, int]]:
+    """The stretches of a run between the known strings in it, which stand
+    between separators."""
+    if is_known(s, known):
+        return
+    skip = [m.span() for m in _UUID_INSIDE.finditer(s)]
+    skip += [m.span() for m in _PART.finditer(s) if is_known(m[0], known)]
+    a = 0
+    for x, y in sorted(skip):
+        yield a, x
+        a = y
+    yield a, len(s)
+
+
+def scan_text(text: str, encode, pattern: re.Pattern, max_ratio: float, known: frozenset[str],
+              min_length: int = 16) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of all secrets, sorted.  A run is judged
+    whole, and where that finds nothing, part by part: words around a secret
+    raise the ratio of the whole."""
+    base = base_spans(text)
+    found = list(base)
+
+    def random(a: int, b: int) -> bool:
+        return b - a >= min_length and not any(a < e and x < b for x, _, e in base) \
+            and b - a < max_ratio * len(encode(text[a:b]))
+
     for m in pattern.finditer(text):
-        s = m[0]
-        if is_known(s, known) or len(s) / len(encode(s)) >= max_ratio:
-            continue
-        a, b = m.span()
-        if not any(a < e and x < b for x, _, e in found):
-            found.append((a, 3, b))
+        for a, b in _unknown(m[0], known):
+            a, b = a + m.start(), b + m.start()
+            if random(a, b):
+                found.append((a, 3, b))
+            else:
+                found += [(p.start(), 3, p.end()) for p in _PART.finditer(text, a, b) if p.end() - p.start() < b - a and random(*p.span())]
     return sorted(found)
 
 
@@ -88,7 +113,7 @@ def secret_spans(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "
         encode = tiktoken_encoding(vocabulary, pattern).encode_ordinary
         runs = re.compile(run)
         for part in doc_slices(batches):
-            rows = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in scan_text(t, encode, runs, max_ratio, known)]
+            rows = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in scan_text(t, encode, runs, max_ratio, known, min_length)]
                     for t in part.column("text").to_pylist()]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, kind)], names=["doc_id", "spans"])
@@ -128,7 +153,7 @@ def redact(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text
             texts = part.column(text_col).to_pylist()
             changed = {}
             for i, t in enumerate(texts):
-                if t and (spans := scan_text(t, encode, runs, max_ratio, known)):
+                if t and (spans := scan_text(t, encode, runs, max_ratio, known, min_length)):
                     out, end = [], 0
                     for a, _, b in spans:
                         if a >= end:

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 import subprocess
 import sys
 from pathlib import Path
@@ -94,6 +96,37 @@ def test_long_runs_of_letters_end(end):
     subprocess.run([sys.executable, "-c", code], check=True, timeout=20, cwd=Path(__file__).parents[2])
 
 
+def random_spans(text, known=frozenset()):
+    encode = tiktoken_encoding(VOCAB, PATTERN).encode_ordinary
+    runs = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+    return [text[a:b] for a, k, b in S.scan_text(text, encode, runs, 2.0, known) if k == 3]
+
+
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase])
+def test_random_letters_of_one_case_are_found(letters):
+    rng = random.Random(9)
+    keys = ["".join(rng.choices(letters, k=32)) for _ in range(200)]
+    assert sum(random_spans(f"key {k} end") == [k] for k in keys) >= 190
+
+
+def test_words_around_a_secret_do_not_hide_it():
+    rng = random.Random(10)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=24)) for _ in range(100)]
+    for k in keys:
+        for before in ("/static/downloads/documents/", "download/session/user-profile/settings/"):
+            found = random_spans(f"see {before}{k} now")
+            assert len(found) == 1 and k in found[0]
+
+
+def test_identifiers_inside_a_run_are_left_alone():
+    uuid, digest = "123E4567-E89B-12D3-A456-426614174000", "D41D8CD98F00B204E9800998ECF8427E"
+    assert random_spans(f"/user/{uuid}/profile /objects/{digest}/name") == []
+    known = frozenset([hashlib.sha256(RANDOM.encode()).hexdigest()])
+    assert random_spans(f"/documents/{RANDOM}/settings", known) == []
+    other = RANDOM[::-1]
+    assert [other in x for x in random_spans(f"/documents/{uuid}/{other}")] == [True]
+
+
 def test_empty_table(no_docs):
     assert S.secret_spans(no_docs, VOCAB, PATTERN).count() == 0
     assert S.redact(no_docs, VOCAB, PATTERN).count() == 0
