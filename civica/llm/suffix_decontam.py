@@ -11,18 +11,20 @@ benchmark too.  The array is ordered by as many words as the longest window
 has; a longer match is a chain of matches at neighbouring positions, and is
 reported at its full length.
 
-The benchmark reaches the tasks in blocks of at most ``block_bytes``, each
-with its own pass over the documents; results of blocks are united.
+The benchmark reaches the tasks in blocks, bounded by their text and by the
+size of their index.  Each has its own pass over the documents and is dropped
+before the next is built; results of blocks are united by row.
 
 Defined cases: a null or text without words has no windows and is never hit;
 a benchmark text with fewer words than the window, but not none, is one
 window; repeated rows get the same result (a null or repeated id is a row of
-its own with one block; with several blocks, rows of one id are united).
+its own, whatever the number of blocks).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ from civica.session import cut_lineage
 #: ASCII other than a-z, A-Z and 0-9 separates words; A-Z is lower-cased.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 
 def text_words(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
@@ -153,20 +157,26 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _found(index: SuffixIndex, texts: list[bytes]):
+    """Words, (item number, place in the item, place, words) of every maximal
+    match, and the united spans, per text."""
+    code, starts, count = _shard(index, texts)
+    window, at = index.matches(code)
+    matches: list[list] = [[] for _ in texts]
+    if len(at):
+        for t, *match in _chains(index, window, at, starts):
+            matches[t].append(match)
+    return count, matches, [_union([(p, p + w) for _, _, p, w in m]) for m in matches]
+
+
 def _scanner(index: SuffixIndex, kind: pa.DataType):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     match = pa.list_(pa.struct([("item", kind), ("item_start", pa.int64()), ("start", pa.int64()), ("words", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in doc_slices(batches):
-            code, starts, count = _shard(index, utf8(part.column("text")))
-            window, at = index.matches(code)
-            n = part.num_rows
-            matches: list[list] = [[] for _ in range(n)]
-            if len(at):
-                for t, i, own, place, words in _chains(index, window, at, starts):
-                    matches[t].append((index.ids[i], own, place, words))
-            hits = [_union([(p, p + w) for _, _, p, w in m]) for m in matches]
+            count, matches, hits = _found(index, utf8(part.column("text")))
+            matches = [[(index.ids[i], o, p, w) for i, o, p, w in ms] for ms in matches]
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(count),
                 pa.array([[{"start": a, "end": b} for a, b in h] for h in hits], span),
@@ -177,19 +187,23 @@ def _scanner(index: SuffixIndex, kind: pa.DataType):
     return scan
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
-    """The benchmark in blocks of at most ``block_bytes`` (or of one longer
-    item), so that what a task gets at once is bounded."""
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int,
+                index_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
+    """The benchmark in blocks of at most ``block_bytes`` of text and
+    ``index_bytes`` of index (and one longer item), so that what the driver
+    and a task get at once is bounded."""
+    # Of a word at most one window: two keys of four bytes a word, and three numbers.
+    words = F.regexp_count("text", F.lit(WORD))
+    index = F.ceil(words * F.lit((8 * window + 24) * block_bytes / index_bytes))
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text")) \
-        .filter("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        .filter("text is not null").withColumn("size", F.greatest(F.octet_length("text"), index).cast("long"))
+    total = items.agg(F.sum("size")).first()[0] or 0
     if total <= block_bytes:
         yield [(r["item"], r["text"].encode()) for r in items.collect()]
         return
     blocks = -(-2 * total // block_bytes)
     # Items hashed to buckets, long ones apart; the running size within a bucket cuts its blocks.
-    sized = items.withColumn("bucket", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))) \
-        .withColumn("size", F.octet_length("text").cast("long"))
+    sized = items.withColumn("bucket", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
     run = Window.partitionBy("bucket").orderBy("item", "text").rowsBetween(Window.unboundedPreceding, 0)
     cut = cut_lineage(sized.withColumn("block", F.floor((F.sum("size").over(run) - 1) / F.lit(block_bytes)))
                       .drop("size"), name="benchmark-blocks")
@@ -198,23 +212,37 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes:
         yield [(r["item"], r["text"].encode()) for r in rows]
 
 
+def _read_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int, index_bytes: int):
+    """(the only block or None, all blocks)"""
+    blocks = item_blocks(benchmark, item_col, text_col, window, block_bytes, index_bytes)
+    first = list(islice(blocks, 2))
+    return (first[0] if len(first) == 1 else None), chain(first, blocks)
+
+
 def suffix_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_col: str = "doc_id",
                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                   block_bytes: int = 16 << 20) -> DataFrame:
+                   block_bytes: int = 16 << 20, index_bytes: int = 128 << 20) -> DataFrame:
     """Per document: its words, the word spans covered by windows of the
     benchmark, the items they belong to, and every longest verbatim match
     (item, place in the item, place in the document, words)."""
-    src = id_and_text(docs, id_col, text_col)
-    spark = docs.sparkSession
-    kind = benchmark.schema[item_col].dataType
-    empty = spark.createDataFrame([], f"item {kind.simpleString()}").toArrow().schema.field("item").type
-    schema = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, " + RESULT.format(item=kind.simpleString())
-    results = [src.mapInArrow(_scanner(SuffixIndex(block, window), empty), schema)
-               for block in item_blocks(benchmark, item_col, item_text_col, block_bytes)]
-    if len(results) == 1:
-        return results[0]
-    # Hit spans of several blocks are united per document, with the rows of one block at hand at a time.
-    parts = [cut_lineage(r, name="suffix-matches") for r in results]
+    only, blocks = _read_blocks(benchmark, item_col, item_text_col, window, block_bytes, index_bytes)
+    return _matches(id_and_text(docs, id_col, text_col), only, blocks, window, benchmark.schema[item_col].dataType)
+
+
+def _matches(src: DataFrame, only, blocks, window: int, item_kind) -> DataFrame:
+    kind = item_kind.simpleString()
+    empty = src.sparkSession.createDataFrame([], f"item {kind}").toArrow().schema.field("item").type
+
+    def scan(rows: DataFrame, block) -> DataFrame:
+        schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, " + RESULT.format(item=kind)
+        return rows.mapInArrow(_scanner(SuffixIndex(block, window), empty), schema)
+
+    if only is not None:
+        return scan(src, only)
+    # Rows are numbered once, so that every pass means the same row by a number, and written block by block.
+    rows = cut_lineage(src.withColumn("row", F.monotonically_increasing_id()), name="suffix-rows")
+    numbered = rows.select(F.col("row").alias("doc_id"), "text")
+    parts = [cut_lineage(scan(numbered, block), name="suffix-matches") for block in blocks]
     union = parts[0]
     for p in parts[1:]:
         union = union.union(p)
@@ -229,7 +257,8 @@ def suffix_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_c
                 F.element_at(done, -1)["start"].alias("start"),
                 F.greatest(F.element_at(done, -1)["end"], h["end"]).alias("end")))))
         .otherwise(F.concat(done, F.array(h))))
-    return merged.withColumn("hits", step).select("doc_id", "n_words", "hits", "items", "matches")
+    merged = merged.withColumn("hits", step).withColumnRenamed("doc_id", "row")
+    return rows.select("row", "doc_id").join(merged, "row").select("doc_id", "n_words", "hits", "items", "matches")
 
 
 def contamination(matches: DataFrame, numerator: int = 1, denominator: int = 20) -> DataFrame:

@@ -118,3 +118,21 @@ def test_keys_sort_as_rows():
     keys = S.SuffixIndex.keys(rows)
     order = np.argsort(keys, kind="stable")
     assert [tuple(r) for r in rows[order].tolist()] == sorted(tuple(r) for r in rows.tolist())
+
+
+def test_null_and_equal_ids_are_rows_of_their_own(llm):
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(20))) for i in range(8)]
+    docs = [(None, items[0][1]), (None, "clean words only"), (None, items[1][1] + " " + items[2][1]), (7, items[3][1]),
+            (7, "another clean text"), (7, items[3][1]), (8, None)]
+    d = llm.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = llm.createDataFrame(items, "item_id long, text string")
+    one, many = S.suffix_matches(d, b), S.suffix_matches(d, b, block_bytes=300)
+    assert sorted(result(S.contamination(one))) == sorted(result(S.contamination(many))) == sorted(brute(docs, items))
+    by_index = S.suffix_matches(d, b, index_bytes=6000)
+    assert sorted(result(S.contamination(by_index))) == sorted(brute(docs, items))
+
+
+def test_blocks_are_bounded_by_their_index(llm):
+    b = llm.createDataFrame([(i, "a b c d e f g h i j k l m n") for i in range(40)], "item_id long, text string")
+    blocks = list(S.item_blocks(b, "item_id", "text", 13, 16 << 20, 10 * 14 * 128))
+    assert sum(map(len, blocks)) == 40 and max(map(len, blocks)) <= 11
