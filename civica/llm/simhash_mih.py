@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civica.llm.common import doc_slices, id_and_text, utf8
 from civica.session import cut_lineage
@@ -222,17 +223,31 @@ def fingerprint_hex(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component, as they
-    are.  Of rows that repeat an id one stays; rows without an id stay if no
-    row of their component has one."""
-    found = cut_lineage(simhash_components(docs, id_col, text_col, **options), name="simhash-components")
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = keep.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+             distance: int = MAX_DISTANCE, seed: int = 42, bucket_rows: int = 32768) -> DataFrame:
+    """One row of ``docs`` of each component, as it is: one with the smallest
+    id, one without an id only where no row of the component has one.  The
+    rows are written once beside their fingerprint and a number, and chosen
+    by that number, so equal and null ids tell nothing about a row."""
+    extra = []
+    for name in ("_row", "_fp"):
+        while name in docs.columns:
+            name += "_"
+        extra.append(name)
+    row, fp = extra
+
+    def append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in doc_slices(batches, text_col):
+            own = pa.array(simhash(utf8(part.column(text_col)), shingle, seed).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*part.columns, own], names=[*part.schema.names, fp])
+
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    schema = T.StructType([*numbered.schema.fields, T.StructField(fp, T.LongType())])
+    rows = cut_lineage(numbered.mapInArrow(append, schema), name="simhash-rows")
     key = F.col(f"`{id_col}`")
-    kept = docs.join(ids.select(F.col("doc_id").alias("_keep")), key.eqNullSafe(F.col("_keep")), "left_semi")
-    repeated = ids.filter("_n > 1 and doc_id is not null").select(F.col("doc_id").alias("_keep"))
-    if repeated.isEmpty():
-        return kept
-    return kept.join(repeated, key.eqNullSafe(F.col("_keep")), "left_anti").unionByName(
-        kept.join(repeated, key == F.col("_keep"), "left_semi").dropDuplicates([id_col]))
+    first = F.min(F.struct(key.isNull().alias("none"), key.alias("id"), F.col(row).alias("row"))).alias("first")
+    nodes = cut_lineage(rows.groupBy(F.col(fp).alias("fp")).agg(first), name="simhash-nodes")
+    roots = components(near_links(nodes.select("fp"), distance, bucket_rows))
+    kept = nodes.join(roots, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("root", "fp").alias("root")) \
+        .agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

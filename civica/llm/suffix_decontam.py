@@ -270,8 +270,27 @@ def contamination(matches: DataFrame, numerator: int = 1, denominator: int = 20)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_col: str = "doc_id",
-                        text_col: str = "text", **options) -> DataFrame:
-    """The documents that aren't contaminated, as they are."""
-    bad = contamination(suffix_matches(docs, benchmark, window, id_col, text_col, **options)).filter("contaminated")
-    key = F.col(f"`{id_col}`")
-    return docs.join(bad.select(F.col("doc_id").alias("_bad")), key.eqNullSafe(F.col("_bad")), "left_anti")
+                        text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                        block_bytes: int = 16 << 20, index_bytes: int = 128 << 20, numerator: int = 1,
+                        denominator: int = 20) -> DataFrame:
+    """The documents that aren't contaminated, as they are.  Each row is
+    judged by its own text, whatever its id.  One block of the benchmark
+    filters the rows as they pass; for several the rows are numbered."""
+    only, blocks = _read_blocks(benchmark, item_col, item_text_col, window, block_bytes, index_bytes)
+    if only is None:
+        name = "_row"
+        while name in docs.columns:
+            name += "_"
+        rows = cut_lineage(docs.withColumn(name, F.monotonically_increasing_id()), name="suffix-documents")
+        found = _matches(id_and_text(rows, name, text_col), only, blocks, window, benchmark.schema[item_col].dataType)
+        bad = contamination(found, numerator, denominator).filter("contaminated").select(F.col("doc_id").alias(name))
+        return rows.join(bad, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    index = SuffixIndex(only, window)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in doc_slices(batches, text_col):
+            count, _, hits = _found(index, utf8(part.column(text_col)))
+            n_hit = np.array([sum(b - a for a, b in h) for h in hits], np.int64)
+            yield part.filter(pa.array((n_hit == 0) | (denominator * n_hit < numerator * count)))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -108,3 +108,13 @@ def test_keep_one_of_each_group(docs, texts, no_docs, llm):
 def test_half_bits_rule():
     assert M.simhash([b"", b"A  b\tc", b"a b c"], 3, 42).tolist()[1:] == [brute_fp("a b c")] * 2
     assert M.simhash([b""], 3, 42)[0] == 0
+
+
+def test_equal_and_null_ids_keep_a_row_of_every_component(llm):
+    a, b, c, e = (" ".join(f"{k}{i}" for i in range(60)) for k in "abce")
+    rows = [(1, a, 1), (1, b, 2), (1, a, 3), (None, c, 4), (None, c, 5), (None, b, 6), (None, e, 7), (2, e, 8), (5, a, 9)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, _row long").repartition(3)
+    kept = M.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r["text"][0], r["doc_id"]) if r["doc_id"] is not None else (r["text"][0], 0) for r in kept.collect())
+    assert got == [("a", 1), ("b", 1), ("c", 0), ("e", 2)]

@@ -136,3 +136,13 @@ def test_blocks_are_bounded_by_their_index(llm):
     b = llm.createDataFrame([(i, "a b c d e f g h i j k l m n") for i in range(40)], "item_id long, text string")
     blocks = list(S.item_blocks(b, "item_id", "text", 13, 16 << 20, 10 * 14 * 128))
     assert sum(map(len, blocks)) == 40 and max(map(len, blocks)) <= 11
+
+
+def test_removal_judges_each_row_by_its_own_text(llm):
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(20))) for i in range(8)]
+    docs = [(None, items[0][1], 1), (None, "clean words only", 2), (7, items[3][1], 3), (7, "another clean text", 4), (8, None, 5)]
+    d = llm.createDataFrame(docs, "doc_id long, text string, _row long").repartition(3)
+    b = llm.createDataFrame(items, "item_id long, text string")
+    for options in ({}, {"block_bytes": 300}):
+        kept = S.remove_contaminated(d, b, **options)
+        assert kept.columns == d.columns and sorted(r["_row"] for r in kept.collect()) == [2, 4, 5]
