@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civica.llm import (best_fit_ga, hmm_lm, length_histogram, line_rules, oracles, qda_quality, rans_tokens, secret_scan,
-                        simhash_mih, suffix_decontam, url_templates)
+from civica.llm import (best_fit_ga, dialogue_repair, hmm_lm, length_histogram, line_rules, oracles, prefix_trie,
+                        qda_quality, rans_tokens, secret_scan, simhash_mih, suffix_decontam, url_templates)
 from civica.llm.common import held_out, read_table
 from civica.session import scratch_path, ship_package
 
@@ -100,9 +100,20 @@ def op10_qda_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dropped = dialogue_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return dialogue_repair.repair_report(rows, dropped)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_symbols(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie_nodes(prefix_trie.rebuilt(turns))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_templates, op2_length_histogram, op3_suffix_decontamination, op4_hmm,
-                            op5_line_rules, op6_secret_scan, op7_simhash_mih, op8_best_fit_ga, op9_rans_tokens, op10_qda_quality)
+                            op5_line_rules, op6_secret_scan, op7_simhash_mih, op8_best_fit_ga, op9_rans_tokens, op10_qda_quality,
+                            op11_dialogue_repair, op12_prefix_trie)
 }
 _ORACLE_SQL: dict[str, str] = {
     "op1_url_templates": oracles.url_templates_sql(URL_RULES),
