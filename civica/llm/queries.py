@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civica.llm import (best_fit_ga, dialogue_repair, hmm_lm, length_histogram, line_rules, oracles, prefix_trie,
+from civica.llm import (best_fit_ga, dialogue_repair, hmm_lm, length_histogram, line_rules, oracles, pii_boost, prefix_trie,
                         qda_quality, rans_tokens, secret_scan, simhash_mih, suffix_decontam, url_templates)
 from civica.llm.common import held_out, read_table
 from civica.session import scratch_path, ship_package
@@ -110,10 +110,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_nodes(prefix_trie.rebuilt(turns))
 
 
+def op13_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_boost.pii_report(pii_boost.pii_spans(read_table(spark, sf_dir, "documents")))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_templates, op2_length_histogram, op3_suffix_decontamination, op4_hmm,
                             op5_line_rules, op6_secret_scan, op7_simhash_mih, op8_best_fit_ga, op9_rans_tokens, op10_qda_quality,
-                            op11_dialogue_repair, op12_prefix_trie)
+                            op11_dialogue_repair, op12_prefix_trie, op13_pii_boost)
 }
 _ORACLE_SQL: dict[str, str] = {
     "op1_url_templates": oracles.url_templates_sql(URL_RULES),
