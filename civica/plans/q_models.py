@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civica.functions.text import contains_any
+from civica.operators import booster as BO
 from civica.operators import evaluate as EV
 from civica.operators import model as MD
 from civica.operators import shares as SH
@@ -168,69 +169,143 @@ def _training_frame(features):
     return hash_split_op(f.withColumn("annee", F.col("annee").cast("double")), ["o_orderkey"])
 
 
-def _fit_and_score(spark, d, kind):
-    """Scores of the test rows as checkable facts: whether the prediction is
-    there and not negative, and whether the model explains its training rows
-    at least as well as their mean does (R² ≥ 0)."""
-    df = _training_frame(_feature_table(spark, d))
-    model = MD.train_model(df.where("split = 'train'"), FEATURES, "voix", kind=kind,
-                           max_iter=20, max_depth=4, num_trees=20)
-    scored = cut_lineage(MD.predict(model, df, floor=0.0).select("o_orderkey", "split", "voix", "pred_voix"), name="scored")
-    fit = EV.r2(scored.where("split = 'train'"), "voix", "pred_voix").select(F.col("r2") >= 0).scalar()
-    return scored.where("split = 'test'").select(
-        "o_orderkey", "split", "voix", (F.col("pred_voix").isNotNull() & (F.col("pred_voix") >= 0)).alias("valid"),
-        fit.alias("fits_training"))
-
-
-_TEST_ROWS_SQL = f"""
-WITH {C.VOTES_SQL},
-l AS (SELECT *, lag(voix) OVER (PARTITION BY code_region, nom ORDER BY annee, o_orderkey) AS p FROM votes)
-SELECT o_orderkey, 'test' AS split, voix, true AS valid, true AS fits_training FROM l
-WHERE p IS NOT NULL AND CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|#42'), 1, 8)) AS BIGINT) % 100 >= 80"""
-
-
-@query("gbt_predict", "M6 M7 M1 M9 W1 Q4", _TEST_ROWS_SQL)
+def booster_sql(src: str, n_features: int, rounds: int, depth: int, rate: float, bins: int, penalty: float = 0.0, least: int = 20) -> str:
+    """SQL twin of ``fit_booster`` and its scores: CTEs that end in
+    ``boosted(id, score)``.  ``src`` has id, train, y and x0, x1, …; other
+    rows are only scored."""
+    shares = "[" + ", ".join(repr(i / bins) for i in range(1, bins)) + "]"
+    each = lambda body: " UNION ALL ".join(body.format(i=i) for i in range(n_features))
+    out = [f"""
+bb AS MATERIALIZED (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS k FROM (SELECT DISTINCT f, v FROM ({each(
+        f"SELECT {{i}} AS f, unnest(quantile_disc(x{{i}}, {shares})) AS v FROM {src} WHERE train AND x{{i}} IS NOT NULL")}))),
+bv AS MATERIALIZED (SELECT f, list(v) AS vs FROM bb GROUP BY f),
+bl AS MATERIALIZED (SELECT id, f, CASE WHEN x IS NOT NULL THEN len(list_filter(coalesce(vs, []), lambda v : v < x)) END AS b
+  FROM ({each(f"SELECT id, {{i}} AS f, x{{i}} AS x FROM {src}")}) LEFT JOIN bv USING (f)),
+bs AS MATERIALIZED (SELECT avg(y) AS base, sum(y * y) - sum(y) * sum(y) / count(*) AS spread FROM {src} WHERE train),
+r0 AS MATERIALIZED (SELECT id, train, y, base AS score FROM {src}, bs)"""]
+    for t in range(rounds):
+        out.append(f"m{t}_0 AS MATERIALIZED (SELECT id, 1 AS node FROM r{t})")
+        for lv in range(depth):
+            m, h, s = f"m{t}_{lv}", f"h{t}_{lv}", f"s{t}_{lv}"
+            out.append(f"""{h} AS MATERIALIZED (SELECT node, f, b, count(*) AS n, sum(y - score) AS g FROM {m} JOIN r{t} USING (id) JOIN bl USING (id)
+  WHERE train AND node >= {2 ** lv} GROUP BY 1, 2, 3),
+{s} AS MATERIALIZED (SELECT node, f, k, missing_left FROM (
+  SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, k, missing_left DESC) AS rk FROM (
+    SELECT node, f, k, missing_left, round((lg * lg / (ln + {penalty}) + (g - lg) * (g - lg) / (n - ln + {penalty}) - g * g / (n + {penalty})) / spread, 9) AS gain
+    FROM (SELECT *, bn + CASE WHEN missing_left THEN mn ELSE 0 END AS ln, bg + CASE WHEN missing_left THEN mg ELSE 0 END AS lg FROM (
+      SELECT h.node, h.f, bb.k, sum(h.n) AS n, sum(h.g) AS g, coalesce(sum(h.n) FILTER (h.b IS NULL), 0) AS mn, coalesce(sum(h.g) FILTER (h.b IS NULL), 0) AS mg,
+             coalesce(sum(h.n) FILTER (h.b <= bb.k), 0) AS bn, coalesce(sum(h.g) FILTER (h.b <= bb.k), 0) AS bg
+      FROM {h} h JOIN bb ON bb.f = h.f GROUP BY 1, 2, 3), (VALUES (true), (false)) AS w(missing_left)), bs
+    WHERE ln >= {least} AND n - ln >= {least} AND (mn > 0 OR missing_left = (2 * ln >= n))) WHERE gain > 0) WHERE rk = 1),
+m{t}_{lv + 1} AS MATERIALIZED (SELECT m.id, CASE WHEN s.node IS NULL THEN m.node ELSE 2 * m.node + CASE WHEN coalesce(bl.b <= s.k, s.missing_left) THEN 0 ELSE 1 END END AS node
+  FROM {m} m LEFT JOIN {s} s ON s.node = m.node LEFT JOIN bl ON bl.id = m.id AND bl.f = s.f)""")
+        out.append(f"""v{t} AS MATERIALIZED (SELECT node, {rate} * sum(y - score) / (count(*) + {penalty}) AS leaf FROM m{t}_{depth} JOIN r{t} USING (id) WHERE train GROUP BY 1),
+r{t + 1} AS MATERIALIZED (SELECT id, train, y, score + leaf AS score FROM r{t} JOIN m{t}_{depth} USING (id) JOIN v{t} USING (node))""")
+    return ",\n".join(out) + f",\nboosted AS (SELECT id, score FROM r{rounds})"
+
+
+# Settings of the registered models.
+BOOSTING = {"rounds": 8, "depth": 3, "rate": 0.3, "bins": 32, "least": 20}
+_SPLIT_SQL = "CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|#42'), 1, 8)) AS BIGINT) % 100 < 80"
+_LAGGED_SQL = f"""{FEATURE_SQL},
+l AS (SELECT *, lag(voix) OVER (PARTITION BY code_region, nom ORDER BY annee, o_orderkey) AS voix_prec, {_SPLIT_SQL} AS train FROM f)"""
+
+
+def _source_sql(where: str = "true", police: str = "taux_pour_mille") -> str:
+    return f"""src AS MATERIALIZED (SELECT o_orderkey AS id, train, voix AS y, annee AS x0, voix_prec AS x1, taux_chomage AS x2, taux AS x3, {police} AS x4
+  FROM l WHERE {where})"""
+
+
+def _r2_sql(train: str) -> str:
+    return f"(SELECT round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 9) FROM scored WHERE {train})"
+
+
+def _scored_rows(scored):
+    """Scored rows of both sides of the split, with the R² of each side."""
+    r2_of = lambda side: EV.r2(scored.where(F.col("split") == side), "voix", "pred_voix").select(F.round("r2", 9)).scalar()
+    return scored.where("split = 'test'").select("o_orderkey", "split", "voix", F.round("pred_voix", 4).alias("pred_voix"),
+                                                 r2_of("train").alias("r2_train"), r2_of("test").alias("r2_test"))
+
+
+@query("booster_nulls", "M6 M7 M10", f"""
+WITH {_LAGGED_SQL}, {_source_sql()}, {booster_sql("src", 5, 1, 4, 1.0, 32)},
+scored AS (SELECT o_orderkey, train, voix AS y, score AS p FROM l JOIN boosted ON id = o_orderkey)
+SELECT o_orderkey, y AS voix, round(p, 4) AS pred_voix, {_r2_sql("NOT train")} AS r2_test FROM scored WHERE NOT train""")
+def booster_nulls(spark, d):
+    """One regression tree on the features as they are, missing values
+    (first rows, regions without lines) routed as learnt."""
+    f = hash_split_op(_feature_table(spark, d), ["o_orderkey"])
+    model = BO.fit_booster(f.where("split = 'train'"), FEATURES, "voix", rounds=1, depth=4, rate=1.0, bins=32)
+    scored = cut_lineage(BO.booster_predict(model, f).select("o_orderkey", "split", "voix", "pred_voix"), name="scored")
+    return _scored_rows(scored).select("o_orderkey", "voix", "pred_voix", "r2_test")
+
+
+def _booster_frame(features):
+    """Rows without a previous vote are dropped and gaps of the crime columns
+    filled with their mean, as the reference's preparation does; other
+    missing indicators are left to the learner."""
+    f = fill_global_mean(features.where(F.col("voix_prec").isNotNull()), ["taux_pour_mille"])
+    return hash_split_op(f, ["o_orderkey"])
+
+
+@query("gbt_predict", "M6 M7 M1 M9 M10 W1 Q4", f"""
+WITH {_LAGGED_SQL}, {_source_sql("voix_prec IS NOT NULL", "coalesce(taux_pour_mille, avg(taux_pour_mille) OVER ())")}, {booster_sql(
+    "src", 5, BOOSTING["rounds"], BOOSTING["depth"], BOOSTING["rate"], BOOSTING["bins"])},
+scored AS (SELECT src.id, train, y, greatest(score, 0) AS p FROM src JOIN boosted USING (id))
+SELECT id AS o_orderkey, 'test' AS split, y AS voix, round(p, 4) AS pred_voix, {_r2_sql("train")} AS r2_train, {_r2_sql("NOT train")} AS r2_test
+FROM scored WHERE NOT train""")
 def gbt_predict(spark, d):
-    return _fit_and_score(spark, d, "gbt")
+    df = _booster_frame(_feature_table(spark, d))
+    model = BO.fit_booster(df.where("split = 'train'"), FEATURES, "voix", **BOOSTING)
+    return _scored_rows(cut_lineage(BO.booster_predict(model, df, floor=0.0).select("o_orderkey", "split", "voix", "pred_voix"), name="scored"))
 
 
-@query("forest_predict", "M22 M7", _TEST_ROWS_SQL)
+# The forest draws rows by partition: its predictions have no SQL twin.
+@query("forest_predict", "M22 M7 M10")
 def forest_predict(spark, d):
-    return _fit_and_score(spark, d, "forest")
+    df = _training_frame(_feature_table(spark, d))
+    model = MD.train_model(df.where("split = 'train'"), FEATURES, "voix", kind="forest", max_depth=4, num_trees=20)
+    return _scored_rows(cut_lineage(MD.predict(model, df, floor=0.0).select("o_orderkey", "split", "voix", "pred_voix"), name="scored"))
 
 
 def projected_votes(spark, d):
-    """Train on all lagged rows, score the 2027/2032 scenario rows (the
+    """Train on the training rows, score the 2027/2032 scenario rows (the
     latest row of each candidate with its stored lag, as the election job
     does), clip at 0: one row per candidate, region and year."""
     features = _feature_table(spark, d)
-    df = _training_frame(features)
-    model = MD.train_model(df, FEATURES, "voix", kind="gbt", max_iter=20, max_depth=4)
+    df = _booster_frame(features)
+    model = BO.fit_booster(df.where("split = 'train'"), FEATURES, "voix", **BOOSTING)
     latest = latest_row(features, ["code_region", "nom"], "annee", ties=["o_orderkey"])
     fut = MD.scenario_frame(latest, features, "annee", INDICATORS)
     # A candidate's first row has no lag: the training rows' mean stands in.
-    fut = fill_global_mean(fut, ["voix_prec", *INDICATOR_COLUMNS], source=df)
-    preds = MD.predict(model, fut.withColumn("annee", F.col("annee").cast("double")), floor=0.0)
-    return cut_lineage(preds.withColumn("annee", F.col("annee").cast("int")), name="projection")
+    fut = fill_global_mean(fut, ["voix_prec"], source=df)
+    return cut_lineage(BO.booster_predict(model, fut, floor=0.0), name="projection")
 
 
 @query("vote_projection", "M7 M8 M19 R8", f"""
-WITH {C.CAT_VOTES_SQL},
-c AS (SELECT DISTINCT code_region, nom, categorie FROM catvotes),
-n AS (SELECT y.annee, categorie, count(*) AS n FROM c, (VALUES (2027), (2032)) AS y(annee) GROUP BY 1, 2)
-SELECT annee, cat.categorie, true AS valid, coalesce(n.n, 0) AS n_candidates
+WITH {_LAGGED_SQL}, {C.CATEGORY_MAP_SQL},
+lr AS (SELECT *, row_number() OVER (PARTITION BY code_region, nom ORDER BY annee DESC, o_orderkey) AS rn FROM l),
+mm AS (SELECT avg(taux_chomage) AS c, avg(taux) AS p, avg(taux_pour_mille) AS k FROM l WHERE annee = (SELECT max(annee) FROM l)),
+fr AS MATERIALIZED (SELECT -row_number() OVER (ORDER BY lr.code_region, lr.nom, y.annee) AS id, y.annee, coalesce(cm.categorie, 'Autres') AS categorie,
+  coalesce(voix_prec, (SELECT avg(voix_prec) FROM l)) AS lag, mm.c * y.fc AS c, mm.p * y.fp AS p, mm.k * y.fk AS k
+  FROM lr LEFT JOIN catmap cm ON upper(trim(lr.nom)) = cm.nom, mm, (VALUES (2027, 1.0, 1.0, 1.0), (2032, 1.5, 0.5, 2.0)) AS y(annee, fc, fp, fk) WHERE rn = 1),
+src AS MATERIALIZED (
+  SELECT o_orderkey AS id, train, voix AS y, annee AS x0, voix_prec AS x1, taux_chomage AS x2, taux AS x3,
+         coalesce(taux_pour_mille, avg(taux_pour_mille) OVER ()) AS x4 FROM l WHERE voix_prec IS NOT NULL
+  UNION ALL SELECT id, false, NULL, annee, lag, c, p, k FROM fr),
+{booster_sql("src", 5, BOOSTING["rounds"], BOOSTING["depth"], BOOSTING["rate"], BOOSTING["bins"])}
+SELECT CAST(y.annee AS INTEGER) AS annee, cat.categorie, round(coalesce(sum(greatest(score, 0)), 0), 3) AS total, count(score) AS n_candidates
 FROM (VALUES (2027), (2032)) AS y(annee) CROSS JOIN (VALUES {", ".join("(" + C.sql_str(x) + ")" for x in C.CATEGORIES)}) AS cat(categorie)
-LEFT JOIN n USING (annee, categorie)""")
+LEFT JOIN (SELECT fr.annee, fr.categorie, score FROM fr JOIN boosted USING (id)) AS z USING (annee, categorie) GROUP BY 1, 2""")
 def vote_projection(spark, d):
-    """National totals per year and category as checkable facts: a total is
-    there, not negative, and 0 just where the category has no candidate."""
+    """Predicted votes per scenario year and category, 0 where a category has
+    no candidate, with the number of candidates."""
     preds = projected_votes(spark, d)
     totals = R.unpivot(MD.national_totals(preds, "annee", "categorie", "pred_voix", C.CATEGORIES), C.CATEGORIES, ["annee"],
                        "categorie", "total")
     n = preds.groupBy("annee", "categorie").agg(F.count(F.lit(1)).alias("n_candidates"))
     j = totals.join(n, ["annee", "categorie"], "left").fillna(0, subset=["n_candidates"])
-    valid = F.when(F.col("n_candidates") > 0, F.col("total") >= 0).otherwise(F.col("total") == 0)
-    return j.select("annee", "categorie", F.coalesce(valid, F.lit(False)).alias("valid"), "n_candidates")
+    return j.select("annee", "categorie", F.round("total", 3).alias("total"), "n_candidates")
 
 
 def _scored(spark, d):
