@@ -4,7 +4,7 @@ A series is a short, already aggregated time series (one value per year or
 day for one party or indicator).  All series are fitted at once: linear and
 quadratic fits are closed-form grouped aggregates (one shuffle for every
 series together, no Python loop); ARIMA folds each series for every point of
-a parameter grid, in SQL functions as well.
+a parameter grid, whose points are rows, in SQL functions as well.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civica.functions.numbers import clip, even_grid
+from civica.session import cut_lineage
 
 
 def _explode_years(df: DataFrame, years: Sequence[int], col: str = "annee") -> DataFrame:
@@ -127,47 +128,75 @@ def history_and_forecast(history: DataFrame, forecast: DataFrame, series: Sequen
 ARIMA_GRID = range(-95, 96, 5)
 
 
+def _fold(d, phi, theta):
+    """(previous difference, last innovation, sum of squares) after a series
+    of differences; the first innovation is 0."""
+    start = F.struct(F.get(d, F.lit(0)).alias("d"), F.lit(0.0).alias("e"), F.lit(0.0).alias("s"))
+
+    def step(acc, x):
+        e = x - phi * acc["d"] - theta * acc["e"]
+        return F.struct(x.alias("d"), e.alias("e"), (acc["s"] + e * e).alias("s"))
+
+    return F.aggregate(F.slice(d, 2, F.greatest(F.size(d) - 1, F.lit(0))), start, step)
+
+
+def _best_points(diffs: DataFrame, key: str, phis, thetas) -> DataFrame:
+    """Per series the best point of a grid, as a struct (s, phi, theta, d, e).
+
+    Rows are (series, φ), dealt out by both, so that a long series is folded
+    in as many tasks as there are φ; the folds over θ run in the row."""
+    rows = diffs.select(key, "__d", thetas.alias("__thetas"), F.explode(phis).alias("__phi")).repartition(key, "__phi")
+
+    def point(theta):
+        end = _fold(F.col("__d"), F.col("__phi"), theta)
+        return F.struct(end.alias("end"), theta.alias("theta"))
+
+    ends = F.transform("__thetas", point)
+    ordered = F.transform(ends, lambda x: F.struct(x["end"]["s"].alias("s"), F.col("__phi").alias("phi"), x["theta"].alias("theta"),
+                                                   x["end"]["d"].alias("d"), x["end"]["e"].alias("e")))
+    return rows.select(key, F.array_min(ordered).alias("__b")).groupBy(key).agg(F.min("__b").alias("__best"))
+
+
 def arima_forecast(df: DataFrame, series: str, period: str, value: str, steps: int = 4,
-                   out: str = "forecast") -> DataFrame:
+                   out: str = "forecast", refine: int = 0) -> DataFrame:
     """M5: per series, forecast ``steps`` periods ahead with an ARIMA(1,1,1)
     without drift.  A series with fewer than 3 points yields nulls.  Steps
     are numbered from the last period of all series, as a common axis needs.
 
     The parameters are those of the grid with the least conditional sum of
     squares of the innovations ``e_t = d_t - φ·d_{t-1} - θ·e_{t-1}`` (on
-    equality the smaller φ, then θ).  That is exact on the model's
-    definition and on the grid; it is not maximum likelihood.
+    equality the smaller φ, then θ).  Each of ``refine`` further rounds looks
+    at a grid five times as fine around the best point, inside the stationary
+    and invertible region.  That is exact on the model's definition and on the
+    grid; it is not maximum likelihood.
 
-    A series is one array of its differences (one value per period), and the
-    recursion a fold over it, evaluated for every point of the grid."""
+    A series is one array of its differences (one value per period); the
+    points of the grid are rows, spread over tasks."""
     # One value per (series, period), whatever the number of rows.
     pts = df.where(F.col(value).isNotNull()).groupBy(series, period) \
             .agg(F.avg(F.col(value).cast("double")).alias("__y"))
-    last = pts.agg(F.max(period)).scalar()
-    one = pts.groupBy(series).agg(F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), F.col("__y").alias("y"))))["y"].alias("__y"))
+    one = pts.groupBy(series).agg(F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), F.col("__y").alias("y"))))["y"].alias("__y"),
+                                  F.max(period).alias("__last"))
     n = F.size("__y")
     diffs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.get("__y", i) - F.get("__y", i - 1))) \
         .otherwise(F.array().cast("array<double>"))
-    one = one.select(series, F.get("__y", n - 1).alias("__level"), (n >= 3).alias("__ok"), diffs.alias("__d"))
-    grid = F.array(*[F.struct(F.lit(p / 100).alias("phi"), F.lit(t / 100).alias("theta")) for p in ARIMA_GRID for t in ARIMA_GRID])
-
-    def fold(phi, theta):
-        """(previous difference, last innovation, sum of squares) after the
-        series; the first innovation is 0."""
-        start = F.struct(F.get("__d", F.lit(0)).alias("d"), F.lit(0.0).alias("e"), F.lit(0.0).alias("s"))
-
-        def step(acc, d):
-            e = d - phi * acc["d"] - theta * acc["e"]
-            return F.struct(d.alias("d"), e.alias("e"), (acc["s"] + e * e).alias("s"))
-
-        return F.aggregate(F.slice("__d", 2, F.greatest(F.size("__d") - 1, F.lit(0))), start, step)
-
-    best = F.array_min(F.transform(grid, lambda g: F.struct(
-        fold(g["phi"], g["theta"])["s"].alias("s"), g["phi"].alias("phi"), g["theta"].alias("theta"))))
-    fit = one.withColumn("__best", F.when(F.col("__ok"), best)) \
-             .withColumn("__end", F.when(F.col("__ok"), fold(F.col("__best.phi"), F.col("__best.theta"))))
+    # Written once: the grid, its refinements and the levels all come from it.  A null name keeps its series.
+    one = cut_lineage(one.select(F.struct(series).alias("__key"), F.get("__y", n - 1).alias("__level"), (n >= 3).alias("__ok"),
+                                 diffs.alias("__d"), "__last"), name="differences")
+    last = one.agg(F.max("__last")).scalar()
+    fitted = one.where("__ok")
+    grid = F.transform(F.sequence(F.lit(ARIMA_GRID.start), F.lit(ARIMA_GRID[-1]), F.lit(ARIMA_GRID.step)), lambda x: x / 100)
+    best = _best_points(fitted, "__key", grid, grid)
+    width = ARIMA_GRID.step / 100
+    for _ in range(refine):
+        width /= 5
+        around = fitted.join(cut_lineage(best, name="best"), "__key")
+        near = lambda c: F.filter(F.transform(F.sequence(F.lit(-4), F.lit(4)), lambda i: F.col(f"__best.{c}") + i * F.lit(width)),
+                                  lambda x: F.abs(x) < 1)
+        best = _best_points(around, "__key", near("phi"), near("theta"))
+    fit = one.select("__key", "__level", "__ok").join(best, "__key", "left")
     # The first step has the last innovation, later ones only the damped difference.
-    phi, theta, d, e = F.col("__best.phi"), F.col("__best.theta"), F.col("__end.d"), F.col("__end.e")
+    phi, theta, d, e = F.col("__best.phi"), F.col("__best.theta"), F.col("__best.d"), F.col("__best.e")
     moves = [phi * d + theta * e]
     for _ in range(steps - 1):
         moves.append(phi * moves[-1])
@@ -176,4 +205,4 @@ def arima_forecast(df: DataFrame, series: str, period: str, value: str, steps: i
         levels.append(levels[-1] + m)
     rows = F.array(*[F.struct(F.lit(h + 1).alias("step"), (last + F.lit(h + 1)).alias(period),
                               F.when(F.col("__ok"), levels[h]).alias(out)) for h in range(steps)])
-    return fit.select(series, F.inline(rows))
+    return fit.select(f"__key.{series}", F.inline(rows))

@@ -51,21 +51,31 @@ def lag_within(df: DataFrame, partition: Sequence[str], order: Sequence[str], va
     local = cut_lineage(local, name="lag")
     tails = local.where("__tail").select("__gk", "__sk", F.col(value).alias("__last"))
     tails = tails.select("__gk", "__sk", F.lag("__last").over(Window.partitionBy("__gk").orderBy("__sk")).alias("__prev"))
-    j = local.join(tails, ["__gk", "__sk"], "left")
-    res = F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col("__lag"))
-    return j.withColumn(out, res).drop("__gk", "__sk", "__lag", "__rn", "__tail", "__prev")
+    # Only the first row of a split looks at another split; the others stay where they are.
+    first = local.where("__rn = 1").drop("__lag").join(tails, ["__gk", "__sk"], "left").withColumnRenamed("__prev", out)
+    rest = local.where("__rn > 1").withColumnRenamed("__lag", out)
+    names = [*df.columns, out]
+    return first.select(names).unionAll(rest.select(names))
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], latest: str, ties: Sequence[str] = ()) -> DataFrame:
     """Per group the row with the largest ``latest`` (first by ``ties``
-    on equality).  Rows without a ``latest`` are skipped.  Two aggregates,
-    partial before their shuffles: the first row of each group and period,
-    then the row of the last period."""
+    on equality).  Rows without a ``latest`` are skipped.
+
+    The last period of each group is a hash aggregate, joined back (broadcast
+    if its written size is small, so that the rows do not move); only the rows
+    of that period, the survivors, go through the aggregate that orders
+    ties.  ``df`` is read twice: write it first where that is dear."""
+    names = {k: f"__k_{k}" for k in keys}
+    last = measured(df.where(F.col(latest).isNotNull()).groupBy(*keys).agg(F.max(latest).alias("__latest")).withColumnsRenamed(names))
+    same = F.col(latest) == F.col("__latest")
+    for k, r in names.items():
+        same = same & df[k].eqNullSafe(F.col(r))
     rest = [c for c in df.columns if c not in keys and c != latest]
+    kept = df.join(last, same, "left_semi")
     first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(t) for t in ties] or [F.lit(0)]))
-    per = df.where(F.col(latest).isNotNull()).groupBy(*keys, latest).agg(first.alias("__first"))
-    best = per.groupBy(*keys).agg(F.max_by(F.struct(latest, "__first"), latest).alias("__best"))
-    return best.select(*keys, f"__best.{latest}", "__best.__first.*").select(df.columns)
+    best = kept.groupBy(*keys, latest).agg(first.alias("__first"))
+    return best.select(*keys, latest, "__first.*").select(df.columns)
 
 
 def argmax_label(df: DataFrame, keys: Sequence[str], label: str, value: str, out: str | None = None,
