@@ -132,3 +132,34 @@ def keyword_match(df: DataFrame, column: str, groups: Mapping[str, Sequence[str]
     if first_match:
         return df.withColumn(out, F.element_at(labels, 1)).where(F.col(out).isNotNull())
     return df.withColumn(out, F.explode(labels))
+
+
+def keyword_index_match(df: DataFrame, column: str, keywords: DataFrame, label: str = "label", keyword: str = "keyword",
+                        out: str = "parti", gram: int = 3) -> DataFrame:
+    """J7 for any number of keywords: one output row per (input row, label of
+    a keyword that occurs in ``column``), as ``keyword_match`` gives, with the
+    keywords in a table.  Case is ignored; null and empty keywords match
+    nothing.
+
+    Each keyword is anchored at the one of its substrings of ``gram``
+    characters that fewest keywords have (a shorter keyword is its own
+    anchor).  Distinct names meet the keywords in an equi-join on anchors, a
+    comparison verifies the whole keyword, and distinct (name, label) pairs
+    are joined back to the rows; a name never meets all keywords."""
+    cut = lambda c, size: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - size + 1),
+                                                       lambda i: F.substring(c, i, size)))
+    kw = keywords.select(F.col(label).alias("__label"), F.lower(F.col(keyword)).alias("__kw")) \
+        .where("length(__kw) > 0").distinct().withColumn("__size", F.least(F.length("__kw"), F.lit(gram)))
+    grams = kw.select("__kw", "__size").distinct().select("__kw", "__size", F.explode(cut(F.col("__kw"), F.col("__size"))).alias("__gram"))
+    rare = grams.join(grams.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n")), "__gram")
+    anchor = rare.groupBy("__kw", "__size").agg(F.min(F.struct("__n", "__gram"))["__gram"].alias("__gram"))
+    anchored = measured(kw.join(anchor, ["__kw", "__size"]))
+    sizes = sorted(r[0] for r in anchored.select("__size").distinct().collect())  # at most ``gram`` numbers
+    if not sizes:
+        return df.limit(0).withColumn(out, F.lit(None).cast(keywords.schema[label].dataType))
+    names = df.select(F.col(column).alias("__name")).where("__name IS NOT NULL").distinct().withColumn("__low", F.lower("__name"))
+    every = [F.when(F.length("__low") >= n, cut(F.col("__low"), F.lit(n))).otherwise(F.array().cast("array<string>")) for n in sizes]
+    met = names.select("__name", "__low", F.explode(F.flatten(F.array(*every))).alias("__gram")).join(anchored, "__gram") \
+        .where(F.contains("__low", "__kw"))
+    pairs = met.select("__name", F.col("__label").alias(out)).distinct()
+    return df.join(pairs, F.col(column) == F.col("__name")).drop("__name")

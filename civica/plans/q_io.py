@@ -63,6 +63,23 @@ def append_replace_roundtrip(spark, d):
     return spark.table(t)
 
 
+@query("evolving_append", "K2 U2", """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS annee,
+       CASE WHEN year(o_orderdate) % 2 = 0 THEN o_totalprice END AS voix_paires, CASE WHEN year(o_orderdate) % 2 <> 0 THEN o_totalprice END AS voix_impaires
+FROM orders""")
+def evolving_append(spark, d):
+    """Each year's rows, with other columns in even and odd years, appended
+    one after another to one table, every batch twice: a repeat replaces it."""
+    t = f"`{_db(spark, 'evolving')}`.elections"
+    o = table(spark, d, "orders")
+    for y in pivot_values(o.select(F.year("o_orderdate").alias("annee")), "annee"):
+        rows = W.scan_years(o, "o_orderdate", y, y).select("o_orderkey", F.lit(y).cast("int").alias("annee"),
+                                                           F.col("o_totalprice").alias("voix_paires" if y % 2 == 0 else "voix_impaires"))
+        for _ in range(2):
+            W.append_batch(rows, t, f"annee-{y}")
+    return spark.table(t).select("o_orderkey", "annee", "voix_paires", "voix_impaires")
+
+
 @query("routed_load", "K4 K5 P12", """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS annee, 'presidentielle' AS type_election,
        o_totalprice AS mon_taux_prix, o_totalprice AS pourcentage_voix_inscrits_election
@@ -89,7 +106,7 @@ FROM blocks"""
 
 
 def _write_layout(spark, d, numbered):
-    """A results file with one row per order: the code, filler columns, and a
+    """Results files with one row per order: the code, filler columns, and a
     candidate block per line, with numbers as decimal-comma text.  Headers
     of the positional layout repeat: they differ in trailing blanks only,
     which the writer trims."""
@@ -104,8 +121,8 @@ def _write_layout(spark, d, numbered):
         if numbered:
             columns[f"N°Panneau.{n}"] = F.lit("1")
     path = scratch_path(spark, "layout")
-    L.write_delimited(wide.select(*[v.alias(c) for c, v in columns.items()]).coalesce(1), path)
-    return L.list_files(spark, path)[0]
+    L.write_delimited(wide.select(*[v.alias(c) for c, v in columns.items()]), path)
+    return path
 
 
 def _layout_rows(df):

@@ -9,7 +9,7 @@ from civica.operators import rows as RW
 from civica.operators import shares as SH
 from civica.operators import windows as WN
 from civica.operators.aggregates import fill_global_mean, group_sums
-from civica.operators.joins import keyword_match, left_join
+from civica.operators.joins import keyword_index_match, keyword_match, left_join
 from civica.plans import carriers as C
 from civica.plans.q_tables import NULL_ORDERS_SQL, _orders_with_nulls
 from civica.plans.registry import query, table
@@ -136,6 +136,19 @@ def keyword_party_votes(spark, d):
     return t.select("annee", "parti", F.round("voix", 2).alias("voix"), F.round("share", 6).alias("share"))
 
 
+@query("keyword_index", "J7", """
+WITH kw AS (SELECT DISTINCT s_nationkey AS parti, lower(right(s_name, 3)) AS kw FROM supplier),
+m AS (SELECT DISTINCT c.c_custkey, c.c_acctbal, kw.parti FROM customer c JOIN kw ON contains(lower(c.c_name), kw.kw))
+SELECT parti, count(*) AS n_names, round(sum(c_acctbal), 2) AS total FROM m GROUP BY parti""")
+def keyword_index(spark, d):
+    """Every supplier gives a keyword, the end of its name, to its nation:
+    customers whose names hold a keyword of a nation, and their balance."""
+    names = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    keywords = table(spark, d, "supplier").select("s_nationkey", F.right("s_name", F.lit(3)).alias("keyword"))
+    hits = keyword_index_match(names, "c_name", keywords, "s_nationkey", "keyword")
+    return hits.groupBy("parti").agg(F.count(F.lit(1)).alias("n_names"), F.round(F.sum("c_acctbal"), 2).alias("total"))
+
+
 _ACCENTED = [k.replace("e", "é") for ks in PART_PARTIES.values() for k in ks]
 
 

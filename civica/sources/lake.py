@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
-from urllib.parse import unquote
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from civica.functions.text import light_header
 from civica.operators.columns import parse_decimal_columns
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8",
+def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ",", encoding: str = "UTF-8",
                    header: bool = True, quote: str = '"') -> DataFrame:
     """Read delimited text, every column as a string.  A UTF-8 BOM
     is dropped by the reader; headers keep their spelling (see
@@ -38,7 +38,7 @@ def read_decimal_comma(spark: SparkSession, path: str, sep: str = ";",
     return parse_decimal_columns(df, prefixes) if prefixes else df
 
 
-def read_with_names(spark: SparkSession, path: str, names: Sequence[str], sep: str = ",",
+def read_with_names(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], sep: str = ",",
                     header: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """Fixed-header reader: positional names given by the caller, the
     file's own header line (possibly duplicated, blank or ragged) skipped."""
@@ -62,31 +62,35 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[s
                   if s.isFile() and s.getPath().getName().endswith(suffix))
 
 
+# The longest header line that is read, in bytes, and how many files are opened at a time.
+HEADER_BYTES = 1 << 20
+HEADER_THREADS = 32
+
+
 def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
-    """The header line of one file (reads a single line on the driver)."""
+    """The header line of one file.  The driver opens the file and reads no
+    further than that line, and never more than ``HEADER_BYTES``: a longer
+    header is an error, not cut."""
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), encoding))
+    stream = jvm.org.apache.commons.io.input.BoundedInputStream(fs.open(p), HEADER_BYTES)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
     try:
         line = reader.readLine() or ""
     finally:
         reader.close()
-    return line.lstrip("﻿")
+    if len(line.encode(encoding, "replace")) >= HEADER_BYTES:
+        raise ValueError(f"{path}: the first line has {HEADER_BYTES} bytes or more")
+    return line.lstrip("\ufeff")
 
 
-def header_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
-    """The first line of each file, from one distributed read: the line at
-    the least offset of each file, found by an aggregate.  Empty files have
-    an empty header."""
+def header_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """The first line of each file, many files at a time; of the data, one
+    block a file is read at most.  Empty files have an empty header."""
     if not files:
         return {}
-    lines = spark.read.text(list(files)).select("value", F.col("_metadata.file_path").alias("path"),
-                                                F.col("_metadata.file_block_start").alias("at"),
-                                                F.monotonically_increasing_id().alias("row"))
-    # Rows of a partition are numbered in reading order, block after block.
-    first = lines.groupBy("path").agg(F.min_by("value", F.struct("at", "row")).alias("header")).collect()
-    found = {unquote(r["path"].split(":", 1)[1]).lstrip("/"): (r["header"] or "").lstrip("\ufeff") for r in first}
-    return {f: found.get(unquote(f.split(":", 1)[-1]).lstrip("/"), "") for f in files}
+    with ThreadPoolExecutor(min(HEADER_THREADS, len(files))) as pool:
+        return dict(zip(files, pool.map(lambda f: first_line(spark, f, encoding), files)))
 
 
 def ingest_folder(spark: SparkSession, folder: str, sep: str = ",", suffix: str = ".csv",
@@ -222,13 +226,20 @@ def unique_header_names(names: Sequence[str]) -> list[str]:
     return out
 
 
-def read_repeated_blocks(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+def read_repeated_blocks(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", suffix: str = ".csv") -> DataFrame:
     """S1 for files whose candidate blocks repeat the same headers: the
-    header line is read once (driver, one line) and unique positional names
-    are applied to a distributed read of the file."""
+    header line is read by itself and unique positional names are applied to
+    a distributed read.  ``path`` is a file, or a folder whose files must all
+    have the same header."""
     import csv
-    hdr = next(csv.reader([first_line(spark, path, encoding)], delimiter=sep))
-    return read_with_names(spark, path, unique_header_names(hdr), sep=sep, encoding=encoding)
+    fs, p = _fs(spark, path)
+    files = list_files(spark, path, suffix) if fs.getFileStatus(p).isDirectory() else [path]
+    headers = set(header_lines(spark, files, encoding).values())
+    headers.discard("")
+    if len(headers) != 1:
+        raise ValueError(f"{path}: one header expected, {len(headers)} found")
+    hdr = next(csv.reader(list(headers), delimiter=sep))
+    return read_with_names(spark, files, unique_header_names(hdr), sep=sep, encoding=encoding)
 
 
 def load_routed(df: DataFrame, name: str, database: str, routes: Mapping[str, str] = ROUTES) -> str | None:

@@ -59,6 +59,28 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
+def append_batch(df: DataFrame, name: str, batch: str, batch_col: str = "lot") -> None:
+    """K2/U2, safe to repeat: the rows of one named batch are a partition of
+    the table, which a repeated load replaces, so that a load tried again after a failure doubles nothing.  Columns that
+    the table lacks are added to it, with null in the rows before; columns
+    that ``df`` lacks are null in its rows.  A type other than the table's is
+    an error."""
+    spark = df.sparkSession
+    rows = df.withColumn(batch_col, F.lit(batch))
+    if not spark.catalog.tableExists(name):
+        rows.limit(0).write.partitionBy(batch_col).format("parquet").mode("ignore").saveAsTable(name)
+    have = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
+    for f in rows.schema.fields:
+        if f.name.lower() not in have:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{f.name}` {f.dataType.simpleString()})")
+        elif have[f.name.lower()] != f.dataType:
+            raise ValueError(f"{name}.{f.name} is {have[f.name.lower()].simpleString()}, not {f.dataType.simpleString()}")
+    own = {c.lower(): c for c in df.columns}
+    fields = [f for f in spark.table(name).schema.fields if f.name.lower() != batch_col.lower()]
+    rows = df.select(*[F.col(f"`{own[f.name.lower()]}`") if f.name.lower() in own else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{batch_col}` = :batch) SELECT * FROM {{rows}}", args={"batch": batch}, rows=rows)
+
+
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """K3: replace the table content and schema.  ``partition_by`` (e.g. the
     election year) lets later range filters prune whole directories."""

@@ -11,6 +11,7 @@ and stops, so the same code serves scheduled batch runs.
 from __future__ import annotations
 
 import csv
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from civica.session import scratch_path
-from civica.sources.lake import first_line, header_lines, list_files, unique_header_names
+from civica.sources.lake import first_line, header_lines, list_files, read_with_names, unique_header_names
 
 
 def landing_schema(spark: SparkSession, folder: str, sep: str = ",") -> StructType:
@@ -57,3 +58,38 @@ def ingest_stream(spark: SparkSession, landing: str, target: str, transform: Cal
          .trigger(availableNow=True).outputMode("append").start())
     q.awaitTermination()
     return ckpt
+
+
+def layout_name(header: str) -> str:
+    """The name of the table that files with this header line go to."""
+    return "layout_" + hashlib.sha256(header.encode()).hexdigest()[:16]
+
+
+def route_stream(spark: SparkSession, landing: str, target: str, sep: str = ",", checkpoint: str | None = None,
+                 source_col: str = "source_file", files_per_batch: int = 1000) -> str:
+    """S4 for a folder in which several layouts land: the files of each
+    header line go to a Parquet table of their own, ``target/layout_…``, once.
+    Returns the checkpoint location.
+
+    The stream carries file names, not contents.  A batch takes the new
+    names, reads their first lines, and reads the files of each layout in one
+    distributed scan.  A layout's rows of one batch are a folder
+    ``batch=<id>`` that is overwritten, so a batch that runs again after a
+    failure doubles nothing."""
+    ckpt = checkpoint or scratch_path(spark, "route-checkpoint")
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", files_per_batch) \
+        .load(landing).select("path")
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        groups: dict[str, list[str]] = {}
+        for f, header in header_lines(spark, sorted(r["path"] for r in batch.collect())).items():
+            if header:
+                groups.setdefault(header, []).append(f)
+        for header, files in groups.items():
+            columns = unique_header_names(next(csv.reader([header], delimiter=sep)))
+            rows = read_with_names(spark, files, columns, sep=sep).withColumn(source_col, F.col("_metadata.file_name"))
+            rows.write.mode("overwrite").parquet(f"{target}/{layout_name(header)}/batch={batch_id}")
+
+    q = names.writeStream.foreachBatch(load).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return ckpt

@@ -602,3 +602,81 @@ def test_scratch_tables_can_be_removed(spark):
     df = SE.cut_lineage(spark.range(3), name="gone")
     path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     assert os.path.exists(path) and SE.clean_scratch(spark) > 0 and not os.path.exists(path)
+
+
+def test_keyword_index_equals_patterns(spark):
+    import random
+    from civica.operators.joins import keyword_index_match, keyword_match
+    rng = random.Random(3)
+    names = [("".join(rng.choice("abcÉ é.-") for _ in range(rng.randint(0, 12))), i) for i in range(300)] + [(None, -1), ("LE PEN", -2), ("le pen", -3)]
+    groups = {f"g{i}": ["".join(rng.choice("abé. ") for _ in range(rng.randint(1, 5))) for _ in range(3)] for i in range(60)}
+    groups["fn"] = ["Le Pen"]
+    df = spark.createDataFrame(names, "nom string, i int")
+    table = spark.createDataFrame([(g, k) for g, ks in groups.items() for k in ks] + [("none", None), ("none", "")], "label string, keyword string")
+    got = keyword_index_match(df, "nom", table)
+    want = keyword_match(df, "nom", groups)
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert keyword_index_match(df, "nom", table.limit(0)).count() == 0
+
+
+def test_ten_thousand_keywords_without_nested_loops(spark):
+    from test_plans import physical
+    from civica.operators.joins import keyword_index_match
+    df = spark.range(20_000).selectExpr("concat('name ', id, ' end') AS nom")
+    kw = spark.range(10_000).selectExpr("concat('g', id % 7) AS label", "concat(' ', id + 5000, ' ') AS keyword")
+    got = keyword_index_match(df, "nom", kw)
+    plan = physical(got)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert got.count() == 10_000
+
+
+def test_append_batch_repeats_and_evolves(spark):
+    from civica.sources import warehouse as W
+    db = W.ensure_database(spark, "civica_batches_test")
+    t = f"`{db}`.t"
+    first = spark.createDataFrame([(1, "a")], "id int, x string")
+    second = spark.createDataFrame([(2, 2.5)], "id int, y double")
+    for df, lot in ((first, "one"), (second, "two"), (first, "one"), (second, "two")):
+        W.append_batch(df, t, lot)
+    assert sorted(map(tuple, spark.table(t).select("id", "x", "y").collect())) == [(1, "a", None), (2, None, 2.5)]
+    with pytest.raises(ValueError):
+        W.append_batch(spark.createDataFrame([("z",)], "id string"), t, "three")
+    spark.sql(f"DROP DATABASE `{db}` CASCADE")
+
+
+def test_header_is_read_without_the_data(spark, tmpdir_path, monkeypatch):
+    from civica.sources import lake as L
+    for i in range(5):
+        with open(f"{tmpdir_path}/f{i}.csv", "w", encoding="utf-8") as f:
+            f.write("\ufeffa,b\n" + "1,2\n" * 1000 if i else "")
+    got = L.header_lines(spark, L.list_files(spark, tmpdir_path))
+    assert sorted(got.values()) == ["", "a,b", "a,b", "a,b", "a,b"]
+    monkeypatch.setattr(L, "HEADER_BYTES", 3)
+    with pytest.raises(ValueError):
+        L.first_line(spark, L.list_files(spark, tmpdir_path)[1])
+
+
+def test_arima_refined_grid_is_not_worse(spark):
+    import numpy as np
+    from civica.operators.trends import arima_forecast
+    rng = np.random.default_rng(4)
+    d = np.zeros(60)
+    for i in range(1, 60):
+        d[i] = 0.43 * d[i - 1] + rng.normal()
+    y = np.cumsum(d)
+    df = spark.createDataFrame([("s", i, float(v)) for i, v in enumerate(y)], "s string, t int, v double")
+
+    def css(phi, theta):
+        e, out = 0.0, 0.0
+        z = np.diff(y)
+        for a, b in zip(z[:-1], z[1:]):
+            e = b - phi * a - theta * e
+            out += e * e
+        return out
+    rough = [r["forecast"] for r in arima_forecast(df, "s", "t", "v").orderBy("step").collect()]
+    fine = [r["forecast"] for r in arima_forecast(df, "s", "t", "v", refine=2).orderBy("step").collect()]
+    assert rough != fine
+    # The damping of later steps gives phi back.
+    phi = [(x[3] - x[2]) / (x[2] - x[1]) for x in (rough, fine)]
+    best = [min(css(p, t / 1000) for t in range(-990, 991, 2)) for p in phi]
+    assert best[1] <= best[0] and abs(phi[0] * 100 / 5 - round(phi[0] * 100 / 5)) < 1e-6

@@ -10,7 +10,7 @@ from civica.plans import catalogue
 from conftest import SF_SMALL
 
 QUERIES = catalogue.queries()
-MODEL = {"gbt_predict", "forest_predict", "vote_projection"}
+MODEL = {"forest_predict"}
 
 
 def physical(df, mode="extended") -> str:
@@ -96,3 +96,22 @@ def test_integer_prefix_pushed_as_ranges(spark):
     plan = physical(QUERIES["prefix_filter"](spark, SF_SMALL), "formatted")
     pushed = re.search(r"PushedFilters: \[(.*)\]", plan).group(1)
     assert "GreaterThanOrEqual(p_size,1)" in pushed and "Or(" in pushed
+
+
+def test_lag_moves_the_facts_once(spark):
+    # Building the query writes the lagged rows; in what is left only first rows meet the tails.
+    plan = physical(QUERIES["lag_votes"](spark, SF_SMALL))
+    joined = [x for x in plan.splitlines() if "Join" in x]
+    assert len(joined) == 1 and "Union" in plan
+    assert len(re.findall(r"Filter \(.*__rn#\d+ = 1\)", plan)) >= 1
+
+
+def test_last_period_without_sorting_the_facts(spark):
+    from civica.operators.windows import latest_row
+    from civica.plans import carriers as C
+    from civica.session import cut_lineage
+    v = cut_lineage(C.votes(spark, SF_SMALL))
+    plan = physical(latest_row(v, ["code_region", "nom"], "annee", ["o_orderkey"]))
+    # One ordering aggregate, and what it reads are the survivors of a semi join.
+    below = plan[plan.rindex("SortAggregate"):]
+    assert "LeftSemi" in below
