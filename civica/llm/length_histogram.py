@@ -5,9 +5,11 @@ aggregate adds them up.  Sums from each length to the longest then answer
 totals, quantiles and truncated totals for every context limit without
 another look at the documents.
 
-Defined cases: a null or empty text has length zero and counts; repeated
-rows count as often as they occur; an empty table has an empty histogram,
-whose totals are zero and whose quantiles are null.
+Defined cases: a null or empty text has length zero and counts; a text of
+any length, and any run of white space in it, is encoded whole; texts of equal
+length share a row, and repeated rows count as often as they occur; an empty
+table has an empty histogram, whose totals are zero and whose quantiles are
+null; only the text column is read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from civica.llm.common import doc_slices, id_and_text
-from civica.llm.vocab import tiktoken_encoding
+from civica.llm.vocab import ordinary_ids, tiktoken_encoding
 from civica.session import cut_lineage
 
 #: Lengths per group of the two-level suffix sums.
@@ -31,10 +33,10 @@ GROUP = 1024
 def length_histogram(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text") -> DataFrame:
     """``length, n_docs`` over all texts, encoded with a tiktoken rank file."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tiktoken_encoding(vocabulary, pattern).encode_ordinary
+        encoding = tiktoken_encoding(vocabulary, pattern)
         total: Counter[int] = Counter()
         for part in doc_slices(batches):
-            total.update(len(encode(t)) for t in part.column("text").to_pylist())
+            total.update(len(ordinary_ids(encoding, t)) for t in part.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
                                          names=["length", "n"])
 

@@ -9,7 +9,8 @@ numbered by the benchmark's vocabulary, and a match of k words needs k
 numbered words of which every neighbouring pair is a neighbouring pair of the
 benchmark too.  The array is ordered by as many words as the longest window
 has; a longer match is a chain of matches at neighbouring positions, and is
-reported at its full length.
+reported at its full length.  Equal windows are searched for once, so a word
+that is repeated in a document and in an item makes no pairs of all places.
 
 The benchmark reaches the tasks in blocks, bounded by their text and by the
 size of their index.  Each has its own pass over the documents and is dropped
@@ -17,8 +18,12 @@ before the next is built; results of blocks are united by row.
 
 Defined cases: a null or text without words has no windows and is never hit;
 a benchmark text with fewer words than the window, but not none, is one
-window; repeated rows get the same result (a null or repeated id is a row of
-its own, whatever the number of blocks).
+window; texts of any length are searched whole, in memory that grows with
+their length; of matches at one place items come in the benchmark's order;
+repeated rows get the same result (a null or repeated id is a row of its own,
+whatever the number of blocks); without documents there are no rows, without a
+benchmark nothing is hit; other columns are ignored, whatever their names, or
+kept by ``remove_contaminated``.
 """
 
 from __future__ import annotations
@@ -50,27 +55,37 @@ class SuffixIndex:
     in the suffix array of any shard."""
 
     def __init__(self, items: list[tuple[object, bytes]], window: int):
-        texts = [(k, w) for k, t in items if (w := text_words(t))]
-        self.ids = [k for k, _ in texts]
+        owners: dict[tuple[bytes, ...], list] = {}
+        for k, t in items:
+            if words := tuple(text_words(t)):
+                owners.setdefault(words, []).append(k)
+        self.owners = list(owners.values())  # items of equal words are searched for once
         self.number: dict[bytes, int] = {}
-        for _, words in texts:
+        for words in owners:
             for w in words:
                 self.number.setdefault(w, len(self.number) + 1)
-        rows = [np.array([self.number[w] for w in words], np.int64) for _, words in texts]
+        rows = [np.array([self.number[w] for w in words], np.int64) for words in owners]
         self.width = max([min(window, len(r)) for r in rows], default=0)
         if not rows:
             return
         # Of every window (all of a shorter text): the item, the place, the number of words.
         self.item = np.concatenate([np.full(max(1, len(r) - window + 1), i) for i, r in enumerate(rows)])
         self.place = np.concatenate([np.arange(max(1, len(r) - window + 1)) for r in rows])
-        self.length = np.minimum(window, np.array([len(r) for r in rows]))[self.item]
-        self.least = int(self.length.min())
+        length = np.minimum(window, np.array([len(r) for r in rows]))[self.item]
+        self.least = int(length.min())
         flat = np.concatenate([np.concatenate([r, np.zeros(self.width, np.int64)]) for r in rows])
         start = np.cumsum([0, *[len(r) + self.width for r in rows[:-1]]])[self.item] + self.place
         words = flat[start[:, None] + np.arange(self.width)]
-        beyond = np.arange(self.width) >= self.length[:, None]
-        self.low = self.keys(np.where(beyond, 0, words))
-        self.high = self.keys(np.where(beyond, 0xFFFFFFFF, words))
+        beyond = np.arange(self.width) >= length[:, None]
+        # Windows of equal words share a key; each key is searched for once.
+        self.low, one, self.key = np.unique(self.keys(np.where(beyond, 0, words)), return_index=True, return_inverse=True)
+        self.high = self.keys(np.where(beyond, 0xFFFFFFFF, words)[one])
+        self.length = length[one]
+        self.full = self.length == window
+        # Windows by key, then by the key of the window before them in their item (-2: none).
+        self.before = np.where(self.place > 0, np.append(-2, self.key[:-1]), -2)
+        self.by_key = np.lexsort((self.before, self.key))
+        self.key_start = np.searchsorted(self.key[self.by_key], np.arange(len(self.low) + 1))
         base = len(self.number) + 1
         self.base = base
         self.pairs = np.unique(np.concatenate([r[:-1] * base + r[1:] for r in rows]))
@@ -95,8 +110,10 @@ class SuffixIndex:
         return np.flatnonzero(run >= self.least - 1)
 
     def matches(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window number, document position) of every verbatim match, where
-        ``code`` has the numbered words of a shard with zeros between texts."""
+        """(key number, document position) of every verbatim match of a window,
+        where ``code`` has the numbered words of a shard with zeros between
+        texts.  A position has one key of full length at most, and one of each
+        shorter length."""
         none = np.empty(0, np.int64)
         if not self.width or not len(code):
             return none, none
@@ -110,9 +127,73 @@ class SuffixIndex:
         first = np.searchsorted(array, self.low, "left")
         last = np.searchsorted(array, self.high, "right")
         count = np.maximum(last - first, 0)
-        window = np.repeat(np.arange(len(count)), count)
+        key = np.repeat(np.arange(len(count)), count)
         entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-        return window, at[order[entry]]
+        return key, at[order[entry]]
+
+    def longest(self, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window number, document position, words) of every maximal verbatim
+        match, from the matches of keys.
+
+        A maximal match begins where the window before it isn't matched at the
+        position before; such beginnings are listed directly, so that a word
+        repeated n and m times gives n + m of them and no n * m pairs.  Their
+        lengths are found by comparing ranks of stretches of 2, 4, 8 … windows,
+        which positions and the windows of the items in question share."""
+        full = self.full[key]
+        short_window, short_at = _ranges(self.by_key, self.key_start[key[~full]], self.key_start[key[~full] + 1], at[~full])
+        words = [self.length[self.key[short_window]]]
+        key, at = key[full], at[full]
+        order = np.argsort(at)
+        key, at = key[order], at[order]
+        if not len(at):
+            return short_window, short_at, words[0]
+        linked = np.append(False, at[1:] == at[:-1] + 1)
+        previous = np.where(linked, np.append(-1, key[:-1]), -1)
+        lo, hi = self.key_start[key], self.key_start[key + 1]
+        # Windows of this key that follow the previous position's key go on, all others begin here.
+        sort = self.key[self.by_key] * (len(self.low) + 2) + self.before[self.by_key] + 2
+        wanted = key * (len(self.low) + 2) + previous + 2
+        skip_lo = np.where(linked, np.searchsorted(sort, wanted, "left"), hi)
+        skip_hi = np.where(linked, np.searchsorted(sort, wanted, "right"), hi)
+        place = np.arange(len(at))
+        w1, p1 = _ranges(self.by_key, lo, skip_lo, place)
+        w2, p2 = _ranges(self.by_key, skip_hi, hi, place)
+        window, here = np.concatenate([w1, w2]), np.concatenate([p1, p2])
+        # One sequence of keys: positions with a gap after each run, then the items in question.
+        chosen = np.zeros(len(self.owners), bool)
+        chosen[self.item[window]] = True
+        own = np.flatnonzero(chosen[self.item])
+        gap_doc = np.cumsum(~linked) - 1
+        gap_item = np.cumsum(self.place[own] == 0) - 1
+        doc_at = place + gap_doc
+        item_at = np.full(len(self.key), -1)
+        item_at[own] = doc_at[-1] + 2 + np.arange(len(own)) + gap_item
+        size = int(item_at[own[-1]]) + 1
+        rank = -1 - np.arange(size)  # gaps: like nothing else
+        rank[doc_at] = key
+        rank[item_at[own]] = self.key[own]
+        levels, step = [rank], 1
+        while step < int(self.place[own].max()) + 1:
+            low = levels[-1] - levels[-1].min()
+            after = np.concatenate([low[step:], low.max() + 1 + np.arange(min(step, size))])[:size]
+            levels.append(np.unique(low * (int(after.max()) + 1) + after, return_inverse=True)[1])
+            step *= 2
+        a, b, run = item_at[window], doc_at[here], np.zeros(len(window), np.int64)
+        for k in range(len(levels) - 1, -1, -1):
+            inside = (a < size) & (b < size)
+            same = np.zeros(len(a), bool)
+            same[inside] = levels[k][a[inside]] == levels[k][b[inside]]
+            a, b, run = a + same * (1 << k), b + same * (1 << k), run + same * (1 << k)
+        words.append(run + self.length[self.key[window]] - 1)
+        return np.concatenate([short_window, window]), np.concatenate([short_at, at[here]]), np.concatenate(words)
+
+
+def _ranges(values: np.ndarray, low: np.ndarray, high: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``values[low:high]`` of every range, each with the range's tag."""
+    count = np.maximum(high - low, 0)
+    entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+    return values[entry], np.repeat(tag, count)
 
 
 def _shard(index: SuffixIndex, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,61 +209,77 @@ def _shard(index: SuffixIndex, texts: list[bytes]) -> tuple[np.ndarray, np.ndarr
 
 
 RESULT = "n_words long, hits array<struct<start: long, end: long>>, items array<{item}>, " \
-    "matches array<struct<item: {item}, item_start: long, start: long, words: long>>"
-
-
-def _chains(index: SuffixIndex, window: np.ndarray, at: np.ndarray, starts: np.ndarray):
-    """Maximal matches: (text, item, place in the item, place in the text,
-    words), by text and place."""
-    text = np.searchsorted(starts, at, "right") - 1
-    place = at - starts[text]
-    item, own = index.item[window], index.place[window]
-    order = np.lexsort((place, place - own, item, text))
-    text, item, own, place, length = text[order], item[order], own[order], place[order], index.length[window][order]
-    joined = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (place[1:] == place[:-1] + 1) & (own[1:] == own[:-1] + 1)
-    head = np.flatnonzero(np.concatenate([[True], ~joined]))
-    tail = np.append(head[1:], len(text)) - 1
-    words = place[tail] + length[tail] - place[head]
-    out = list(zip(text[head].tolist(), item[head].tolist(), own[head].tolist(), place[head].tolist(), words.tolist()))
-    return sorted(out, key=lambda x: (x[0], x[3], x[1], x[2]))
-
-
-def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
+    "longest long, matches array<struct<item: {item}, item_start: long, start: long, words: long>>"
+
+
+def _united(start: np.ndarray, end: np.ndarray, text: np.ndarray, n: int) -> list[list[tuple[int, int]]]:
+    """The spans of each of ``n`` texts, touching ones as one."""
+    order = np.lexsort((start, text))
+    start, end, text = start[order], end[order], text[order]
+    out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    if not len(start):
+        return out
+    shift = text * (int(end.max()) + 1)  # texts one behind the other, so that one running maximum serves all
+    reach = np.maximum.accumulate(end + shift)
+    head = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (start[1:] + shift[1:] > reach[:-1])]))
+    last = np.append(head[1:], len(start)) - 1
+    for t, a, b in zip(text[head].tolist(), start[head].tolist(), (reach[last] - shift[last]).tolist()):
+        out[t].append((a, b))
     return out
 
 
 def _found(index: SuffixIndex, texts: list[bytes]):
-    """Words, (item number, place in the item, place, words) of every maximal
-    match, and the united spans, per text."""
+    """Words per text, the united spans of matched windows, and (key, text,
+    place) of the matches of keys."""
     code, starts, count = _shard(index, texts)
-    window, at = index.matches(code)
-    matches: list[list] = [[] for _ in texts]
-    if len(at):
-        for t, *match in _chains(index, window, at, starts):
-            matches[t].append(match)
-    return count, matches, [_union([(p, p + w) for _, _, p, w in m]) for m in matches]
-
-
-def _scanner(index: SuffixIndex, kind: pa.DataType):
+    key, at = index.matches(code)
+    text = np.searchsorted(starts, at, "right") - 1
+    length = index.length[key] if len(key) else key
+    place = at - starts[text] if len(at) else at
+    return count, _united(place, place + length, text, len(texts)), key, at, text, starts
+
+
+def _items(index: SuffixIndex, key: np.ndarray, at: np.ndarray, text: np.ndarray, n: int) -> list[list]:
+    """The items with a matched window, per text, in the order of their first."""
+    out: list[list] = [[] for _ in range(n)]
+    if not len(key):
+        return out
+    order = np.lexsort((at, key, text))
+    key, at, text = key[order], at[order], text[order]
+    once = np.concatenate([[True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])])
+    window, entry = _ranges(index.by_key, index.key_start[key[once]], index.key_start[key[once] + 1], np.flatnonzero(once))
+    item = index.item[window]
+    order = np.lexsort((item, at[entry], text[entry]))
+    seen = set()
+    for t, i in zip(text[entry][order].tolist(), item[order].tolist()):
+        if (t, i) not in seen:
+            seen.add((t, i))
+            out[t] += index.owners[i]
+    return [list(dict.fromkeys(x)) for x in out]
+
+
+def _scanner(index: SuffixIndex, kind: pa.DataType, places: bool):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     match = pa.list_(pa.struct([("item", kind), ("item_start", pa.int64()), ("start", pa.int64()), ("words", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in doc_slices(batches):
-            count, matches, hits = _found(index, utf8(part.column("text")))
-            matches = [[(index.ids[i], o, p, w) for i, o, p, w in ms] for ms in matches]
+            n = part.num_rows
+            count, hits, key, at, text, starts = _found(index, utf8(part.column("text")))
+            longest = np.zeros(n, np.int64)
+            matches: list[list] = [[] for _ in range(n)]
+            if len(key):
+                window, begin, words = index.longest(key, at)
+                own = np.searchsorted(starts, begin, "right") - 1
+                np.maximum.at(longest, own, words)
+                if places:
+                    order = np.lexsort((index.place[window], index.item[window], begin))
+                    for t, w, p, k in zip(own[order].tolist(), window[order].tolist(), (begin - starts[own])[order].tolist(), words[order].tolist()):
+                        matches[t] += [{"item": i, "item_start": int(index.place[w]), "start": p, "words": k} for i in index.owners[index.item[w]]]
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), pa.array(count),
-                pa.array([[{"start": a, "end": b} for a, b in h] for h in hits], span),
-                pa.array([list(dict.fromkeys(m[0] for m in ms)) for ms in matches], pa.list_(kind)),
-                pa.array([[{"item": k, "item_start": o, "start": p, "words": w} for k, o, p, w in ms] for ms in matches], match),
-            ], names=["doc_id", "n_words", "hits", "items", "matches"])
+                part.column("doc_id"), pa.array(count), pa.array([[{"start": a, "end": b} for a, b in h] for h in hits], span),
+                pa.array(_items(index, key, at, text, n), pa.list_(kind)), pa.array(longest), pa.array(matches, match),
+            ], names=["doc_id", "n_words", "hits", "items", "longest", "matches"])
 
     return scan
 
@@ -221,21 +318,22 @@ def _read_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int
 
 def suffix_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_col: str = "doc_id",
                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                   block_bytes: int = 16 << 20, index_bytes: int = 128 << 20) -> DataFrame:
+                   block_bytes: int = 16 << 20, index_bytes: int = 128 << 20, places: bool = True) -> DataFrame:
     """Per document: its words, the word spans covered by windows of the
-    benchmark, the items they belong to, and every longest verbatim match
-    (item, place in the item, place in the document, words)."""
+    benchmark, the items they belong to, the words of the longest verbatim
+    match, and, with ``places``, every maximal match (item, place in the item,
+    place in the document, words)."""
     only, blocks = _read_blocks(benchmark, item_col, item_text_col, window, block_bytes, index_bytes)
-    return _matches(id_and_text(docs, id_col, text_col), only, blocks, window, benchmark.schema[item_col].dataType)
+    return _matches(id_and_text(docs, id_col, text_col), only, blocks, window, benchmark.schema[item_col].dataType, places)
 
 
-def _matches(src: DataFrame, only, blocks, window: int, item_kind) -> DataFrame:
+def _matches(src: DataFrame, only, blocks, window: int, item_kind, places: bool) -> DataFrame:
     kind = item_kind.simpleString()
     empty = src.sparkSession.createDataFrame([], f"item {kind}").toArrow().schema.field("item").type
 
     def scan(rows: DataFrame, block) -> DataFrame:
         schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, " + RESULT.format(item=kind)
-        return rows.mapInArrow(_scanner(SuffixIndex(block, window), empty), schema)
+        return rows.mapInArrow(_scanner(SuffixIndex(block, window), empty, places), schema)
 
     if only is not None:
         return scan(src, only)
@@ -248,7 +346,7 @@ def _matches(src: DataFrame, only, blocks, window: int, item_kind) -> DataFrame:
         union = union.union(p)
     merged = union.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),
                                          F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-                                         F.flatten(F.collect_list("matches")).alias("matches"))
+                                         F.max("longest").alias("longest"), F.flatten(F.collect_list("matches")).alias("matches"))
     step = F.aggregate(
         F.array_sort("hits"), F.array().cast("array<struct<start: long, end: long>>"),
         lambda done, h: F.when(
@@ -258,7 +356,7 @@ def _matches(src: DataFrame, only, blocks, window: int, item_kind) -> DataFrame:
                 F.greatest(F.element_at(done, -1)["end"], h["end"]).alias("end")))))
         .otherwise(F.concat(done, F.array(h))))
     merged = merged.withColumn("hits", step).withColumnRenamed("doc_id", "row")
-    return rows.select("row", "doc_id").join(merged, "row").select("doc_id", "n_words", "hits", "items", "matches")
+    return rows.select("row", "doc_id").join(merged, "row").select("doc_id", "n_words", "hits", "items", "longest", "matches")
 
 
 def contamination(matches: DataFrame, numerator: int = 1, denominator: int = 20) -> DataFrame:
@@ -282,14 +380,14 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
         while name in docs.columns:
             name += "_"
         rows = cut_lineage(docs.withColumn(name, F.monotonically_increasing_id()), name="suffix-documents")
-        found = _matches(id_and_text(rows, name, text_col), only, blocks, window, benchmark.schema[item_col].dataType)
+        found = _matches(id_and_text(rows, name, text_col), only, blocks, window, benchmark.schema[item_col].dataType, False)
         bad = contamination(found, numerator, denominator).filter("contaminated").select(F.col("doc_id").alias(name))
         return rows.join(bad, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     index = SuffixIndex(only, window)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in doc_slices(batches, text_col):
-            count, _, hits = _found(index, utf8(part.column(text_col)))
+            count, hits, *_ = _found(index, utf8(part.column(text_col)))
             n_hit = np.array([sum(b - a for a, b in h) for h in hits], np.int64)
             yield part.filter(pa.array((n_hit == 0) | (denominator * n_hit < numerator * count)))
 

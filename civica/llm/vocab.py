@@ -31,6 +31,28 @@ def tiktoken_encoding(path: str, pattern: str):
     return tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+#: White space as the splitting patterns know it, in runs that their search would need a deep stack for.
+_LONG_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
+def ordinary_ids(encoding, text: str) -> list[int]:
+    """Ids of a whole text, as ``encode_ordinary`` gives them, whatever runs
+    of white space it holds.  The splitting pattern takes such a run as one
+    word, but for its last character where something follows; long runs are
+    cut out by that rule and go to the merges directly."""
+    run = _LONG_WHITE.search(text)
+    if run is None:
+        return encoding.encode_ordinary(text)
+    out, at = [], 0
+    while run is not None:
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoding.encode_ordinary(text[at:run.start()])
+        out += encoding._encode_single_piece(text[run.start():end])
+        at = end
+        run = _LONG_WHITE.search(text, run.end())
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def byte_alphabet() -> dict[int, str]:
     """For str.translate of text read as Latin-1: the character that stands
     for each byte in byte-level vocabularies.  Printable Latin-1 characters

@@ -40,3 +40,16 @@ def test_empty_table(no_docs):
     assert sums.count() == 0
     assert [tuple(r) for r in H.truncated_totals(sums, [8]).collect()] == [(8, 0, 0)]
     assert H.length_quantiles(sums, [0.5]) == {0.5: None}
+
+
+def test_long_white_runs_end_no_task(llm):
+    from civica.llm.vocab import ordinary_ids
+    encoding = tiktoken_encoding(VOCAB, PATTERN)
+    for white in (" ", "\n", "\t", " \n", "　", "\xa0 "):
+        for n in (4095, 4096, 5000):
+            run = (white * n)[:n]
+            for t in (run, run + "a", "a" + run, f"a.{run}b {run}\nc", f"{run}é{run}"):
+                assert ordinary_ids(encoding, t) == encoding.encode_ordinary(t)
+    long = [" " * 1_000_000, "\t" * 1_000_000 + "x", "a" + "\n" * 1_000_000]
+    df = llm.createDataFrame([(t,) for t in long], "text string")
+    assert H.length_histogram(df, VOCAB, PATTERN).agg({"n_docs": "sum"}).first()[0] == 3

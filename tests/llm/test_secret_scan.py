@@ -130,3 +130,13 @@ def test_identifiers_inside_a_run_are_left_alone():
 def test_empty_table(no_docs):
     assert S.secret_spans(no_docs, VOCAB, PATTERN).count() == 0
     assert S.redact(no_docs, VOCAB, PATTERN).count() == 0
+
+
+def test_many_spans_take_linear_time():
+    import time
+    encode = tiktoken_encoding(VOCAB, PATTERN).encode_ordinary
+    runs = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+    text = " ".join(f"{i:030d}" for i in range(100_000))
+    began = time.perf_counter()
+    found = S.scan_text(text, encode, runs, 2.0, frozenset())
+    assert len(found) == 100_000 and time.perf_counter() - began < 20

@@ -146,3 +146,49 @@ def test_removal_judges_each_row_by_its_own_text(llm):
     for options in ({}, {"block_bytes": 300}):
         kept = S.remove_contaminated(d, b, **options)
         assert kept.columns == d.columns and sorted(r["_row"] for r in kept.collect()) == [2, 4, 5]
+
+
+def test_repeated_words_make_no_pairs_of_all_places():
+    import tracemalloc
+    from civica.llm import suffix_decontam as S
+    index = S.SuffixIndex([("x", b"a " * 2000), ("y", b"a " * 2000), ("z", b"a b " * 30)], 13)
+    texts = [b"a " * 200_000, b"c " + b"a " * 100 + b"c " + b"a " * 3000, b"a b " * 500, b"a " * 12]
+    tracemalloc.start()
+    count, hits, key, at, text, starts = S._found(index, texts)
+    window, begin, words = index.longest(key, at)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 30
+    own = starts.searchsorted(begin, "right") - 1
+    assert [int(words[own == t].max(initial=0)) for t in range(4)] == [2000, 2000, 60, 0]
+    assert hits == [[(0, 200_000)], [(1, 101), (102, 3102)], [(0, 1000)], []]
+    assert S._items(index, key, at, text, 4) == [["x", "y"], ["x", "y"], ["z"], []]
+
+
+def test_maximal_matches_equal_comparing_all_places():
+    import random
+    from civica.llm import suffix_decontam as S
+    rng = random.Random(6)
+    for _ in range(60):
+        window = rng.randint(1, 4)
+        items = [tuple(rng.choice("ab") for _ in range(rng.randint(1, 9))) for _ in range(4)]
+        texts = [tuple(rng.choice("abc") for _ in range(rng.randint(0, 25))) for _ in range(4)]
+        index = S.SuffixIndex([(i, " ".join(x).encode()) for i, x in enumerate(items)], window)
+        _, _, key, at, text, starts = S._found(index, [" ".join(t).encode() for t in texts])
+        got = set()
+        if len(key):
+            for w, p, n in zip(*map(lambda x: x.tolist(), index.longest(key, at))):
+                t = int(starts.searchsorted(p, "right")) - 1
+                got |= {(t, i, int(index.place[w]), p - int(starts[t]), n) for i in index.owners[index.item[w]]}
+        want = set()
+        for t, x in enumerate(texts):
+            for i, y in enumerate(items):
+                for a in range(len(y)):
+                    for p in range(len(x)):
+                        n = 0
+                        while a + n < len(y) and p + n < len(x) and y[a + n] == x[p + n]:
+                            n += 1
+                        whole = a == 0 or p == 0 or y[a - 1] != x[p - 1]
+                        if whole and n >= min(window, len(y)):
+                            want.add((t, i, a, p, n))
+        assert got == want
