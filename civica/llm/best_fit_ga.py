@@ -72,7 +72,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, i
         end = np.array([end_id], "<u4").tobytes()
         for part in doc_slices(batches, slice_bytes=TOKEN_SLICE_BYTES):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(part.column("text").to_pylist())):
+            for i, ids in enumerate(encoder.encode(part.column("text"))):
                 ids += end
                 for k, (a, n) in enumerate(cut_pieces(len(ids) // 4, capacity)):
                     row.append(i)
@@ -101,10 +101,10 @@ def best_fit(size: np.ndarray, items: np.ndarray, bin_of: np.ndarray, free: list
     into a new one; changes ``bin_of`` and ``free``."""
     by_free: dict[int, list[int]] = {}
     mask = 0  # bit f: a bin with f free tokens is at hand
-    for b, f in enumerate(free):
-        if f > 0:
-            by_free.setdefault(f, []).append(b)
-            mask |= 1 << f
+    for b in np.flatnonzero(free).tolist():
+        by_free.setdefault(free[b], []).append(b)
+    for f in by_free:
+        mask |= 1 << f
     for i, s in zip(items.tolist(), size[items].tolist()):
         room = mask >> s
         if room:
@@ -125,8 +125,15 @@ def best_fit(size: np.ndarray, items: np.ndarray, bin_of: np.ndarray, free: list
 
 
 def tidy(bin_of: np.ndarray) -> np.ndarray:
-    """Bins numbered from 0 without gaps."""
-    return np.unique(bin_of, return_inverse=True)[1]
+    """Bins numbered from 0 without gaps, in their order."""
+    return (np.cumsum(np.bincount(bin_of) > 0) - 1)[bin_of]
+
+
+def chosen_bins(bin_of: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Whether each item lies in one of the bins."""
+    marked = np.zeros(int(bin_of.max()) + 1, bool)
+    marked[bins] = True
+    return marked[bin_of]
 
 
 def fitness(size: np.ndarray, bin_of: np.ndarray, capacity: int) -> float:
@@ -140,8 +147,9 @@ def exchange(size: np.ndarray, bin_of: np.ndarray, displaced: list[int], free: l
     further; changes ``bin_of`` and ``free``, and returns who is displaced
     now.  Each swap raises a bin's fill by what it lowers the displaced sum."""
     waiting = sorted((int(size[i]), i) for i in displaced)
-    for i in np.flatnonzero(bin_of >= 0).tolist():
-        b, own = bin_of[i], int(size[i])
+    # Swaps only fill bins: those that are full now need no look.
+    open_ = np.flatnonzero((bin_of >= 0) & np.append(np.array(free, np.int64) > 0, False)[bin_of])
+    for i, b, own in zip(open_.tolist(), bin_of[open_].tolist(), size[open_].tolist()):
         if not free[b]:
             continue
         k = bisect_right(waiting, (own + free[b], len(size))) - 1
@@ -159,7 +167,7 @@ def _refit(size: np.ndarray, bin_of: np.ndarray, displaced: np.ndarray, capacity
     child = bin_of.copy()
     child[displaced] = -1
     stay = child >= 0
-    child[stay] = tidy(child[stay])
+    child[stay] = tidy(child[stay]) if stay.any() else -1
     fill = np.bincount(child[stay], weights=size[stay]).astype(np.int64) if stay.any() else np.empty(0, np.int64)
     free = (capacity - fill).tolist()
     displaced = np.array(exchange(size, child, displaced.tolist(), free), np.int64)
@@ -175,8 +183,8 @@ def crossover(size: np.ndarray, giver: np.ndarray, taker: np.ndarray, s: Search,
     if not len(good):
         good = np.argsort(-fill, kind="stable")[: max(1, len(fill) // 10)]
     chosen = rng.choice(good, max(1, int(s.inject * len(good))), replace=False)
-    brought = np.isin(giver, chosen)
-    dissolved = np.isin(taker, np.unique(taker[brought]))
+    brought = chosen_bins(giver, chosen)
+    dissolved = chosen_bins(taker, taker[brought])
     child = taker.copy()
     child[brought] = giver[brought] + taker.max() + 1
     return _refit(size, child, np.flatnonzero(dissolved & ~brought), s.capacity, rng)
@@ -187,7 +195,7 @@ def mutate(size: np.ndarray, bin_of: np.ndarray, s: Search, rng) -> np.ndarray:
     fill = np.bincount(bin_of, weights=size)
     worst = np.argsort(fill, kind="stable")[: max(1, len(fill) // 50)]
     other = rng.choice(len(fill), min(len(fill), max(2, len(fill) // 25)), replace=False)
-    return _refit(size, bin_of, np.flatnonzero(np.isin(bin_of, np.union1d(worst, other))), s.capacity, rng)
+    return _refit(size, bin_of, np.flatnonzero(chosen_bins(bin_of, np.append(worst, other))), s.capacity, rng)
 
 
 def evolve(size: np.ndarray, population: list[np.ndarray], s: Search, rng) -> list[np.ndarray]:

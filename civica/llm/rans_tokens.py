@@ -158,7 +158,7 @@ def _tokens(docs: DataFrame, vocabulary: str, end_id: int, spaces: bool, id_col:
         for part in doc_slices(batches, slice_bytes=TOKEN_SLICE_BYTES):
             kind = part.schema.field("doc_id").type
             size, data, every = [], [], []
-            for ids in encoder.encode(part.column("text").to_pylist()):
+            for ids in encoder.encode(part.column("text")):
                 own = np.frombuffer(ids + end, "<u4")
                 every.append(own)
                 size.append(len(own))

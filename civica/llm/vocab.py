@@ -16,6 +16,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE_ENTRIES = 100_000
 #: Text encoded at a time: a word costs much more memory as an object than as text.
@@ -62,6 +63,24 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+# Classes of the bytes of plain texts: printable ASCII, line ends, and Latin-1 letters, which are C3 and a second byte.
+_WHITE, _LETTER, _NUMBER, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[10, 32]] = _WHITE
+_CLASS[48:58] = _NUMBER
+_CLASS[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3]] = _LETTER
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[10, *range(32, 127), *range(0x80, 0xC0), 0xC3]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _per_text(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Marked bytes of each text."""
+    total = np.concatenate([np.zeros(1, np.int64), np.cumsum(marks, dtype=np.int64)])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
 class PieceEncoder:
     """Token ids, as little-endian unsigned 32-bit integers, of whole texts.
 
@@ -75,7 +94,7 @@ class PieceEncoder:
     The cache has two generations: at ``CACHE_ENTRIES`` the younger becomes
     the older, and what is still in use moves back."""
 
-    GROUP, LATIN = 2000, "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    GROUP = 2000
 
     def __init__(self, tokenizer, spaces: bool):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -84,19 +103,15 @@ class PieceEncoder:
         self.merges = Tokenizer(tokenizer.model)  # the vocabulary and its merges alone, for words in its byte alphabet
         self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.alphabet = byte_alphabet()
+        self.lines = self.alphabet | {10: "\n"}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
-        # The splitting patterns of the vocabularies, for texts of these characters only.
-        self.simple = re.compile(rf"[\x20-\x7e\n{self.LATIN}]*").fullmatch
-        other = rf"[^\s0-9{self.LATIN}]+"
         if spaces:
             self.bound = np.array([x.startswith(self.alphabet[32]) for x in names])
             self.mark = names.index(self.alphabet[1])  # of a byte that no word holds
-            self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{self.LATIN}]+| ?[0-9]+| ?{other}|\s+(?!\S)|\s+").findall
         else:
             self.bound = np.array([x.endswith(tokenizer.model.end_of_word_suffix) for x in names])
-            self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{self.LATIN}]+|[0-9]|{other}").findall
 
     def forget(self) -> None:
         """Empties the cache: a worker that waits for a task holds memory too."""
@@ -106,28 +121,26 @@ class PieceEncoder:
         found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _mapped(self, word: str) -> str:
-        """A word in the byte alphabet."""
-        if word.isascii() and word.isprintable() and not word.isspace():
-            return self.alphabet[32] + word[1:] if word[0] == " " else word
-        return word.encode().decode("latin-1").translate(self.alphabet)
-
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that the splitting pattern leaves in one part."""
         if not self.spaces:
             return self._encode_groups(words, lambda ids: [0, *(np.flatnonzero(self.bound[ids]) + 1).tolist()])
+        white = [w for w in words if w.isspace()]
         spaced = [w for w in words if w[0] == " " and not w.isspace()]
-        other = [w for w in words if w[0] != " " or w.isspace()]
+        other = [w for w in words if w[0] != " " and not w.isspace()]
         return self._encode_groups(spaced, lambda ids: [*np.flatnonzero(self.bound[ids]).tolist(), len(ids)]) | \
-            self._encode_groups(other, lambda ids: [-1, *np.flatnonzero(ids == self.mark).tolist()], f" {self.alphabet[1]}", 1)
+            self._encode_groups(other, lambda ids: [-1, *np.flatnonzero(ids == self.mark).tolist()], f" {self.alphabet[1]}", 1) | \
+            dict(zip(white, self.whole(white)))
 
     def _encode_groups(self, words: list[str], bounds, end: str = "", skip: int = 0) -> dict[str, bytes]:
-        """Ids of words, many in one text; ``bounds`` finds where each begins
-        (less ``skip``) and the last ends.  Where that doesn't give as many
-        words as went in, they go in one by one."""
+        """Ids of words without line ends, many in one text, a line each;
+        ``bounds`` finds where each begins (less ``skip``) and the last ends.
+        Where that doesn't give as many words as went in, they go in one by
+        one."""
         done: dict[str, bytes] = {}
         groups = [words[i: i + self.GROUP] for i in range(0, len(words), self.GROUP)]
-        joined = [" ".join([self._mapped(w) + end for w in g]) for g in groups]
+        # In the byte alphabet, in which a line end stays what it is.
+        joined = ["\n".join(g).encode().decode("latin-1").translate(self.lines).replace("\n", end + "\n") + end for g in groups]
         for group, raw in zip(groups, self.whole(joined, self.merges)):
             cuts = bounds(np.frombuffer(raw, "<u4"))
             if len(cuts) != len(group) + 1:
@@ -137,35 +150,94 @@ class PieceEncoder:
         return done
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words."""
+        """Ids of distinct words.  Without ``spaces`` white space has none."""
         if len(self.young) > CACHE_ENTRIES:
             self.old, self.young = self.young, {}
         got = list(map(self.young.get, words))
         if None in got:
             lacking = [w for w, x in zip(words, got) if x is None]
             found = {w: x for w in lacking if (x := self.old.get(w)) is not None}
-            if new := [w for w in lacking if w not in found]:
+            new = [w for w in lacking if w not in found]
+            if not self.spaces:
+                found |= {w: b"" for w in new if w[0] in " \n"}
+                new = [w for w in new if w[0] not in " \n"]
+            if new:
                 found |= self._encode_words(new)
             self.young |= found
             got = [found[w] if x is None else x for w, x in zip(words, got)]
         return got
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.simple(t) is not None for t in texts]
-        count = np.zeros(len(texts) + 1, np.int64)
-        flat: list[str] = []
-        for i, t in enumerate(texts):
-            if plain[i]:
-                flat += self.split(t if self.spaces else t.lower())
-            count[i + 1] = len(flat)
-        coded = pa.array(flat, pa.string()).dictionary_encode()
-        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
-        # The ids of all words one after another, and where each word's begin.
+    def _starts(self, data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Whether a piece begins at each byte of the texts, which begin at
+        ``begin``: the splitting patterns, for texts of the plain characters.
+
+        Pieces are runs of letters, of digits (without ``spaces``: single
+        ones), of other characters, and of white space, but for contractions
+        and, with ``spaces``, the space that goes with the next piece."""
+        n = len(data)
+        kind = _CLASS[data]
+        first = np.zeros(n + 3, bool)
+        first[begin] = True
+        starts = np.zeros(n + 3, bool)
+        starts[1:n] = kind[1:] != kind[:-1]
+        starts[:n] |= first[:n]
+        if self.spaces:
+            # A white run before something else gives up its last character: a space to what follows, a line end by itself.
+            follows = np.flatnonzero(starts[1:n] & ~first[1:n] & (kind[:-1] == _WHITE)) + 1
+            starts[follows - 1] = True
+            starts[follows[data[follows - 1] == 32]] = False
+        else:
+            starts[:n] |= kind == _NUMBER
+        at = np.flatnonzero((data == 39) & starts[:n])
+        if len(at):
+            after = np.concatenate([data, np.zeros(3, np.uint8)])
+            one, two = after[at + 1], after[at + 2]
+            short = np.isin(one, np.frombuffer(b"stmd", np.uint8)) & ~first[at + 1]
+            pair = one.astype(np.int64) * 256 + two
+            long = np.isin(pair, [114 * 256 + 101, 118 * 256 + 101, 108 * 256 + 108]) & ~first[at + 1] & ~first[at + 2]  # re, ve, ll
+            starts[at[short | long] + 1] = False
+            starts[at[short] + 2] = True
+            starts[at[long] + 3] = True
+        return starts[:n]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text; null is empty."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        column = pc.fill_null(column.cast(pa.large_binary()), b"")
+        n = len(column)
+        _, offsets, data = column.buffers()
+        bounds = np.frombuffer(offsets, np.int64, n + 1, 8 * column.offset) if n else np.zeros(1, np.int64)
+        raw = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if data is not None else np.empty(0, np.uint8)
+        bounds = bounds - bounds[0]
+        # A text with any other character than the plain ones goes to the tokenizer as it is.
+        bad = ~_PLAIN[raw]
+        lead = np.flatnonzero(raw == 0xC3)
+        second = np.append(raw, 0)[lead + 1]
+        bad[lead] = (second == 0x97) | (second == 0xB7)  # the two signs among the Latin-1 letters
+        bad[1:] |= (raw[1:] >= 0x80) & (raw[1:] < 0xC0) & (raw[:-1] != 0xC3)
+        plain = _per_text(bad, bounds) == 0
+        if not plain.all():
+            inside = np.repeat(plain, np.diff(bounds))
+            raw = raw[inside]
+        sizes = np.where(plain, np.diff(bounds), 0)
+        ends = np.cumsum(sizes)
+        begin = ends - sizes
+        if not self.spaces:
+            raw = _LOWER[raw]
+            second = np.flatnonzero(raw[:-1] == 0xC3) + 1
+            upper = second[(raw[second] >= 0x80) & (raw[second] < 0x9F)]
+            raw[upper] += 32
+        starts = np.flatnonzero(self._starts(raw, begin[sizes > 0])) if len(raw) else np.empty(0, np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)])
+        coded = pieces.dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.cast(pa.large_string()).to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        # The ids of all pieces one after another, and where each text's begin.
         _, offsets, data = ids.buffers()
-        begin = np.frombuffer(offsets, np.int64, len(flat) + 1, 8 * ids.offset)[count].tolist() if flat else [0] * len(count)
+        count = np.searchsorted(starts, np.append(begin, len(raw)))
+        cut = np.frombuffer(offsets, np.int64, len(starts) + 1, 8 * ids.offset)[count].tolist() if len(starts) else [0] * len(count)
         data = memoryview(data) if data is not None else b""
-        odd = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
-        return [bytes(data[a:b]) if p else next(odd) for p, a, b in zip(plain, begin, begin[1:])]
+        odd = iter(self.whole([column[i].as_py().decode() for i in np.flatnonzero(~plain).tolist()]))
+        return [bytes(data[a:b]) if p else next(odd) for p, a, b in zip(plain.tolist(), cut, cut[1:])]
 
 
 @functools.lru_cache(maxsize=4)
