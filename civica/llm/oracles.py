@@ -13,18 +13,20 @@ def _text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def url_templates_sql(rules: Sequence[tuple[str, str, str]], s: TemplateSettings = TemplateSettings()) -> str:
-    """The path-template tree level by level, its branches and verdicts."""
+def url_templates_sql(rules: Sequence[tuple[str, str, str]], s: TemplateSettings = TemplateSettings(), depth: int = 10) -> str:
+    """The path-template tree level by level, its branches and verdicts.  Of
+    the tree, ``depth`` levels are written out; segments below are wildcards."""
     shape = f"""CASE WHEN stem = '' THEN '' WHEN regexp_full_match(stem, '[0-9]+') THEN '{{num}}'
       WHEN regexp_full_match(stem, '[0-9a-f-]{{8,}}') AND regexp_matches(stem, '[0-9]') THEN '{{hex}}'
       WHEN regexp_full_match(stem, '[A-Za-z]+') THEN '{{word}}' ELSE '{{str}}' END || ending"""
+    deep = shape.replace("stem", f"regexp_replace(y, '{ENDING}', '')").replace("ending", f"regexp_extract(y, '{ENDING}', 0)")
     levels = []
-    for k in range(1, s.max_levels + 1):
+    for k in range(1, depth + 1):
         levels.append(f"""
 k{k} AS (SELECT host, template, seg FROM (
-    SELECT host, template, segs[{k}] AS seg, count(*) AS n, sum(count(*)) OVER (PARTITION BY host, template) AS total
+    SELECT host, template, segs[{k}] AS seg, count(*) AS n
     FROM t{k - 1} WHERE len(segs) >= {k} GROUP BY host, template, segs[{k}])
-  WHERE n >= {s.min_support} AND n >= {s.literal_share}::DOUBLE * total),
+  WHERE n >= {s.min_support}),
 s{k} AS (SELECT *, segs[{k}] AS own, regexp_extract(segs[{k}], '{ENDING}', 0) AS ending,
     regexp_replace(segs[{k}], '{ENDING}', '') AS stem FROM t{k - 1}),
 t{k} AS (SELECT s.page_id, s.host, s.path, s.bad, s.segs, CASE WHEN len(s.segs) < {k} THEN s.template
@@ -44,24 +46,29 @@ u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{url}', 1), '
 n AS (SELECT u.*, lab.bad FROM u
   LEFT JOIN lab ON lab.doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})(?:\.[a-z]+|/)?$', 1) AS BIGINT)),
 p AS (SELECT *, CASE WHEN path = '' THEN [] ELSE string_split(regexp_replace(path, '^/', ''), '/') END AS parts FROM n),
-t0 AS (SELECT page_id, host, path, bad, '' AS template, CASE WHEN len(parts) > {s.max_levels}
-    THEN list_append(parts[1:{s.max_levels - 1}], array_to_string(parts[{s.max_levels}:], '/')) ELSE parts END AS segs FROM p),{",".join(levels)},
-st AS (SELECT host, template, count(bad) AS labelled, coalesce(sum(bad), 0) AS n_bad FROM t{s.max_levels} GROUP BY host, template),
+t0 AS (SELECT page_id, host, path, bad, '' AS template, parts AS segs FROM p),{",".join(levels)},
+tz AS (SELECT page_id, host, path, bad, template || array_to_string(list_transform(segs[{depth + 1}:], lambda y : '/' || {deep}), '') AS template FROM t{depth}),
+st AS (SELECT host, template, count(bad) AS labelled, coalesce(sum(bad), 0) AS n_bad FROM tz GROUP BY host, template),
 al AS (SELECT CASE WHEN sum(labelled) > 0 THEN (sum(n_bad) + {strength} * {s.prior_bad}::DOUBLE) / (sum(labelled) + {strength})
     ELSE {s.prior_bad}::DOUBLE END AS overall FROM st),
 ho AS (SELECT host, (sum(n_bad) + {strength} * max(overall)) / (sum(labelled) + {strength}) AS host_share FROM st, al GROUP BY host),
 le AS (SELECT *, regexp_extract(template, '{last}', 2) AS literal,
     CASE WHEN regexp_extract(template, '{last}', 2) = '' THEN template ELSE regexp_extract(template, '{last}', 1) END AS before,
     CASE WHEN regexp_extract(template, '{last}', 2) = '' THEN '' ELSE regexp_extract(template, '{last}', 3) END AS after FROM st),
-br AS (SELECT host, before, literal, sum(labelled) + 1.0::DOUBLE AS size, (sum(n_bad) + 0.5::DOUBLE) / (sum(labelled) + 1.0::DOUBLE) AS share,
-    sum(labelled) AS labelled, sum(n_bad) AS n_bad FROM le GROUP BY host, before, literal),
-la AS (SELECT *, lag(share) OVER w AS last_share, lag(size) OVER w AS last_size FROM br
-  WINDOW w AS (PARTITION BY host, before ORDER BY share, literal)),
+br AS (SELECT host, before, literal, sum(labelled) AS labelled, sum(n_bad) AS n_bad FROM le GROUP BY host, before, literal),
+ak AS (SELECT host, before, labelled, n_bad, count(*) AS times, labelled + 1.0::DOUBLE AS size, (n_bad + 0.5::DOUBLE) / (labelled + 1.0::DOUBLE) AS share
+  FROM br GROUP BY host, before, labelled, n_bad),
+la AS (SELECT *, lag(share) OVER w AS last_share, lag(size) OVER w AS last_size FROM ak
+  WINDOW w AS (PARTITION BY host, before ORDER BY share, labelled)),
 po AS (SELECT *, (share * size + last_share * last_size) / (size + last_size) AS pooled FROM la),
-gr AS (SELECT *, sum(CASE WHEN (share - last_share) > {s.z}::DOUBLE * sqrt(pooled * (1 - pooled) * (1 / size + 1 / last_size))
-    THEN 1 ELSE 0 END) OVER (PARTITION BY host, before ORDER BY share, literal ROWS UNBOUNDED PRECEDING) AS grp FROM po),
-me AS (SELECT host, before, grp, (sum(n_bad) + {strength} * max(host_share)) / (sum(labelled) + {strength}) AS branch_share,
-    string_agg(literal, '|' ORDER BY literal) AS literals FROM gr JOIN ho USING (host) GROUP BY host, before, grp),
+ag AS (SELECT *, sum(CASE WHEN (share - last_share) > {s.z}::DOUBLE * sqrt(pooled * (1 - pooled) * (1 / size + 1 / last_size))
+    THEN 1 ELSE 0 END) OVER (PARTITION BY host, before ORDER BY share, labelled ROWS UNBOUNDED PRECEDING) AS grp FROM po),
+gr AS (SELECT br.*, ag.grp FROM br JOIN ag USING (host, before, labelled, n_bad)),
+na AS (SELECT host, before, grp, string_agg(literal, '|' ORDER BY literal) FILTER (rk <= {s.named})
+    || CASE WHEN count(*) > {s.named} THEN '|+' || (count(*) - {s.named}) ELSE '' END AS literals
+  FROM (SELECT *, row_number() OVER (PARTITION BY host, before, grp ORDER BY literal) AS rk FROM gr) GROUP BY host, before, grp),
+me AS (SELECT host, before, grp, (sum(n_bad * times) + {strength} * max(host_share)) / (sum(labelled * times) + {strength}) AS branch_share,
+    max(literals) AS literals FROM ag JOIN ho USING (host) JOIN na USING (host, before, grp) GROUP BY host, before, grp),
 lg AS (SELECT le.*, gr.grp FROM le JOIN gr USING (host, before, literal)),
 ju AS (SELECT host, before, grp, after, sum(labelled) AS labelled, (sum(n_bad) + {strength} * max(branch_share)) / (sum(labelled) + {strength}) AS bad_share,
     max(literals) AS literals FROM lg JOIN me USING (host, before, grp) GROUP BY host, before, grp, after),
@@ -70,7 +77,7 @@ ve AS (SELECT lg.host, lg.template, lg.before || ju.literals || lg.after AS bran
 SELECT t.page_id, t.host, t.path, {rule} AS rule,
   coalesce({verdict}, CASE WHEN bad_share >= {s.reject}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,
   branch, CAST(labelled AS BIGINT) AS labelled, bad_share
-FROM t{s.max_levels} t JOIN ve ON ve.host = t.host AND ve.template = t.template"""
+FROM tz t JOIN ve ON ve.host = t.host AND ve.template = t.template"""
 
 
 #: Windows of the benchmark joined to the same windows of the documents.

@@ -1,21 +1,25 @@
 """URL filters from a path-template tree.
 
-Per host the paths form a tree.  Level by level, a segment stays as it is
-where it carries a share of its parent's urls; other segments are variable
-and become a wildcard of their shape (``{num}``, ``{hex}``, ``{word}``,
-``{str}``, with a common file ending kept).  Branches that differ in one
-literal segment and whose labelled shares do not differ statistically are
-merged.  A template is rejected where its smoothed share of bad labels is
-high.  Fixed rules come before that.
-
-All of it is DataFrame functions.  A parent keeps at most ``1 / literal_share``
-literal segments, which bounds the list that each url is compared with.
-Joins back to the urls are salted, so a host with most of the urls is spread.
+Per host the paths form a tree.  Level by level, a segment that at least
+``min_support`` urls have at that place is a branch of its own; other segments
+are variable and become a wildcard of their shape (``{num}``, ``{hex}``,
+``{word}``, ``{str}``, with a common file ending kept).  Branches that differ
+in one literal segment and whose labelled shares do not differ statistically
+are merged, however many there are.  A template is rejected where its smoothed
+share of bad labels is high.  Fixed rules come before that.
+
+All of it is DataFrame functions.  Urls meet the branches of their place in an
+equi-join on (host, template, segment), salted, so a host, a place or a branch
+with most of the urls is spread.  The tree is as deep as ``min_support`` urls
+share a place; below that no segment can be a branch, and the rest of a path
+becomes wildcards at once.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
-and the template of the empty path; repeated rows count as often as they
-occur; a path deeper than ``max_levels`` has its rest as one last segment;
-without labels the smoothed share is ``prior_bad``.
+and the template of the empty path; a path of any length and depth counts
+whole; repeated rows count as often as they occur; branches of equal share are
+ordered by their labelled urls, so ties have one result; without labels the
+smoothed share is ``prior_bad``; an empty table gives an empty result; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,18 +40,17 @@ ENDING = r"\.(?:html|htm|php|asp|aspx|jsp|pdf|xml|json)$"
 
 @dataclass(frozen=True)
 class TemplateSettings:
-    """``literal_share`` and ``min_support``: what a segment needs to stay.
-    ``z``: branches whose labelled shares are fewer standard errors apart are
+    """``min_support``: urls that a segment needs to be a branch.  ``z``: branches whose labelled shares are fewer standard errors apart are
     merged.  ``strength``: labels that the smoothing is worth."""
 
-    max_levels: int = 6
-    literal_share: float = 0.05
     min_support: int = 5
     z: float = 1.96
     strength: float = 10.0
     reject: float = 0.5
     prior_bad: float = 0.1
     salts: int = 16
+    #: Literals that a merged branch is named by; more are counted.
+    named: int = 8
 
 
 def with_host_and_path(df: DataFrame, url_col: str) -> DataFrame:
@@ -79,7 +82,8 @@ def shape(segment: Column) -> Column:
 
 
 def _salted(rows: DataFrame, table: DataFrame, keys: list[str], salts: int) -> DataFrame:
-    """Left join to a table with one row per key, each key in ``salts`` parts."""
+    """Left join to a table with one row per key, which is repeated ``salts``
+    times; the rows of a key are dealt out over the copies."""
     every = F.explode(F.array(*[F.lit(i) for i in range(salts)]))
     return rows.withColumn("_salt", F.pmod(F.xxhash64("path", "_row"), F.lit(salts)).cast("int")) \
         .join(table.withColumn("_salt", every), [*keys, "_salt"], "left").drop("_salt")
@@ -88,26 +92,24 @@ def _salted(rows: DataFrame, table: DataFrame, keys: list[str], salts: int) -> D
 def path_templates(rows: DataFrame, s: TemplateSettings = TemplateSettings()) -> DataFrame:
     """Adds ``template`` to ``rows`` (``host``, ``path``, ``_row``)."""
     parts = F.split(F.regexp_replace("path", "^/", ""), "/")
-    deep = F.size(parts) > s.max_levels
-    cut = F.when(deep, F.concat(F.slice(parts, 1, s.max_levels - 1), F.array(F.concat_ws("/", F.slice(
-        parts, s.max_levels, F.greatest(F.size(parts) - s.max_levels + 1, F.lit(1))))))).otherwise(parts)
-    rows = cut_lineage(rows.withColumn("_segments", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(cut))
+    rows = cut_lineage(rows.withColumn("_segments", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(parts))
                        .withColumn("template", F.lit("")), name="url-rows")
-    levels = rows.agg(F.max(F.size("_segments"))).first()[0] or 0
-    for level in range(levels):
+    level = 0
+    while True:
         segment = F.get("_segments", F.lit(level))
-        here = rows.select("host", "template", segment.alias("_segment")).filter("_segment is not null")
-        counts = here.groupBy("host", "template", "_segment").agg(F.count(F.lit(1)).alias("_n"))
-        total = counts.groupBy("host", "template").agg(F.sum("_n").alias("_total"))
-        kept = counts.filter(F.col("_n") >= s.min_support).join(total, ["host", "template"]) \
-            .filter(F.col("_n") >= F.lit(s.literal_share) * F.col("_total")) \
-            .groupBy("host", "template").agg(F.collect_list("_segment").alias("_kept"))
-        known = F.coalesce(F.array_contains("_kept", segment), F.lit(False))
-        step = F.when(segment.isNull(), F.col("template")) \
-            .otherwise(F.concat("template", F.lit("/"), F.when(known, segment).otherwise(shape(segment))))
-        rows = cut_lineage(_salted(rows, kept, ["host", "template"], s.salts).withColumn("template", step).drop("_kept"),
-                           name="url-rows")
-    return rows.drop("_segments")
+        counts = cut_lineage(rows.select("host", "template", segment.alias("_segment")).filter("_segment is not null")
+                             .groupBy("host", "template", "_segment").agg(F.count(F.lit(1)).alias("_n")), name="url-segments")
+        if counts.groupBy("host", "template").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= s.min_support).isEmpty():
+            break
+        kept = counts.filter(F.col("_n") >= s.min_support).select("host", "template", "_segment", F.lit(True).alias("_kept"))
+        joined = _salted(rows.withColumn("_segment", segment), kept, ["host", "template", "_segment"], s.salts)
+        own = F.when(F.col("_kept"), F.col("_segment")).otherwise(shape(F.col("_segment")))
+        step = F.when(F.col("_segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), own))
+        rows = cut_lineage(joined.withColumn("template", step).drop("_segment", "_kept"), name="url-rows")
+        level += 1
+    rest = F.slice("_segments", level + 1, F.greatest(F.size("_segments") - level, F.lit(0)))
+    shapes = F.aggregate(rest, F.col("template"), lambda t, x: F.concat(t, F.lit("/"), shape(x)))
+    return rows.withColumn("template", shapes).drop("_segments")
 
 
 def _split_last_literal(template: Column) -> tuple[Column, Column, Column]:
@@ -136,19 +138,28 @@ def template_verdicts(rows: DataFrame, s: TemplateSettings = TemplateSettings())
     before, literal, after = _split_last_literal(F.col("template"))
     leaves = stats.withColumns({"before": before, "literal": literal, "after": after})
     branches = leaves.groupBy("host", "before", "literal").agg(F.sum("labelled").alias("labelled"), F.sum("n_bad").alias("n_bad"))
-    # Branches of one place, at most 1 / literal_share, by share: where it rises by z standard errors another group
-    # begins.  Half a label of each kind is added, for branches with few.
+    # Branches of one place with equal counts are alike; the different counts, by share: where it rises by z standard
+    # errors another group begins.  Half a label of each kind is added, for branches with few.
+    place = ["host", "before"]
+    counts = ["labelled", "n_bad"]
+    alike = branches.groupBy(*place, *counts).agg(F.count(F.lit(1)).alias("times"))
     size = F.col("labelled") + 1.0
-    by_share = Window.partitionBy("host", "before").orderBy("share", "literal")
-    branches = branches.withColumn("share", (F.col("n_bad") + 0.5) / size)
+    by_share = Window.partitionBy(*place).orderBy("share", "labelled")
+    alike = alike.withColumn("share", (F.col("n_bad") + 0.5) / size)
     last, last_size = F.lag("share").over(by_share), F.lag(size).over(by_share)
     pooled = (F.col("share") * size + last * last_size) / (size + last_size)
     error = F.sqrt(pooled * (1 - pooled) * (1 / size + 1 / last_size))
     apart = F.coalesce((F.col("share") - last) > F.lit(s.z) * error, F.lit(False))
-    branches = branches.withColumn("_apart", apart.cast("int")).withColumn("_group", F.sum("_apart").over(by_share))
-    group = ["host", "before", "_group"]
-    merged = branches.join(hosts, "host").groupBy(group).agg(
-        smooth(F.first("host_share")).alias("branch_share"), F.concat_ws("|", F.array_sort(F.collect_list("literal"))).alias("literals"))
+    alike = cut_lineage(alike.withColumn("_apart", apart.cast("int")).withColumn("_group", F.sum("_apart").over(by_share)), name="url-branches")
+    branches = branches.join(alike.select(*place, *counts, "_group"), [*place, *counts])
+    group = [*place, "_group"]
+    pooled_share = (F.sum(F.col("n_bad") * F.col("times")) + F.lit(s.strength) * F.first("host_share")) \
+        / (F.sum(F.col("labelled") * F.col("times")) + F.lit(s.strength))
+    merged = alike.join(hosts, "host").groupBy(group).agg(pooled_share.alias("branch_share"), F.sum("times").alias("times"))
+    first = branches.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy("literal"))).filter(F.col("_rank") <= s.named) \
+        .groupBy(group).agg(F.concat_ws("|", F.array_sort(F.collect_list("literal"))).alias("names"))
+    more = F.when(F.col("times") > s.named, F.concat(F.lit("|+"), (F.col("times") - s.named).cast("string"))).otherwise("")
+    merged = merged.join(first, group).select(*group, "branch_share", F.concat("names", more).alias("literals"))
     leaves = leaves.join(branches.select("host", "before", "literal", "_group"), ["host", "before", "literal"])
     key = [*group, "after"]
     judged = leaves.join(merged, group).groupBy(key).agg(

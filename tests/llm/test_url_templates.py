@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from civica.llm import url_templates as U
 from civica.llm.queries import URL_RULES
 
-S = U.TemplateSettings(min_support=3, literal_share=0.1)
+S = U.TemplateSettings(min_support=3)
 
 
 def split_url(url):
@@ -37,21 +37,16 @@ def brute_templates(urls, s):
     rows = []
     for u in urls:
         host, path = split_url(u)
-        parts = path.removeprefix("/").split("/") if path else []
-        if len(parts) > s.max_levels:
-            parts = [*parts[: s.max_levels - 1], "/".join(parts[s.max_levels - 1:])]
-        rows.append([host, parts, ""])
-    for level in range(s.max_levels):
-        count, total = {}, {}
+        rows.append([host, path.removeprefix("/").split("/") if path else [], ""])
+    for level in range(max(len(r[1]) for r in rows)):
+        count = {}
         for host, parts, t in rows:
             if len(parts) > level:
                 count[host, t, parts[level]] = count.get((host, t, parts[level]), 0) + 1
-                total[host, t] = total.get((host, t), 0) + 1
         for r in rows:
             host, parts, t = r
             if len(parts) > level:
-                n = count[host, t, parts[level]]
-                keep = n >= s.min_support and n >= s.literal_share * total[host, t]
+                keep = count[host, t, parts[level]] >= s.min_support
                 r[2] = t + "/" + (parts[level] if keep else shape(parts[level]))
     return [(h, t) for h, _, t in rows]
 
@@ -126,3 +121,18 @@ def test_no_python_in_the_plan(llm):
     df = e.queries()["op1_url_templates"](llm, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_one_bad_section_of_many(llm):
+    rows = [(40 * k + i, f"https://hot.com/section{chr(97 + k // 26)}{chr(97 + k % 26)}/{40 * k + i}", int(k == 17)) for k in range(50) for i in range(40)]
+    got = U.judge_urls(llm.createDataFrame(rows, "page_id long, url string, bad int"), ()).collect()
+    assert {r["page_id"] for r in got if r["verdict"] == "block"} == {x[0] for x in rows if x[2]}
+    assert any(r["branch"].endswith("|+41/{num}") for r in got)  # 49 alike branches, eight of them named
+
+
+def test_one_bad_section_deep_down(llm):
+    rows = [(40 * k + i, f"https://h.com/a/b/c/d/e/f/{'abcdefghij'[k] * 3}/{40 * k + i}/" + "x/" * (300 if i == 0 else 1), int(k == 4))
+            for k in range(10) for i in range(40)]
+    got = U.judge_urls(llm.createDataFrame(rows, "page_id long, url string, bad int"), ()).collect()
+    blocked = {r["page_id"] for r in got if r["verdict"] == "block"}
+    assert blocked >= {x[0] for x in rows if x[2] and x[0] % 40} and not blocked - {x[0] for x in rows if x[2]}
