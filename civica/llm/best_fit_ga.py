@@ -239,6 +239,7 @@ def _islands(s: Search, epoch: int):
             yield pa.RecordBatch.from_arrays(
                 [*keep, pa.array(out, pa.list_(pa.list_(pa.int32()))), pa.array(bins, pa.int32()), pa.array(done)],
                 names=["block", "island", "uids", "sizes", "population", "bins", "done"])
+        pa.default_memory_pool().release_unused()
 
     return run
 
