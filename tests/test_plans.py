@@ -63,8 +63,11 @@ def test_split_lag_shuffles_fact_rows_once(spark):
     from civica.operators.windows import lag_within
     v = C.votes(spark, SF_SMALL)
     plan = physical(lag_within(v, ["code_region", "nom"], ["annee", "o_orderkey"], "voix", "p", split="annee"))
-    # The lagged rows are written once: what is left is a join of that table with its tails.
-    assert plan.count("FileScan parquet") == 2 and "orders.parquet" not in plan
+    # The lagged rows are written once.  That table is read for the tails, for the first rows of the splits, which are
+    # joined to the tails, and for all other rows, which aren't shuffled again.
+    assert plan.count("FileScan parquet") == 3 and "orders.parquet" not in plan
+    rest = plan[plan.rindex("FileScan parquet"):]
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 1 and "Exchange" not in rest
 
 
 @pytest.mark.parametrize("name, table, most", [
