@@ -9,7 +9,7 @@ so Spark does not run an extra job to discover it.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,3 +174,33 @@ def unstack_zero_fill(df: DataFrame, index: Sequence[str], column: str, value: s
                                       for i, v in enumerate(values)])
     return wide.select(*index, *[F.when(F.array_contains(present, F.lit(v)), F.col(f"__v{i}"))
                                  .otherwise(F.lit(0.0)).alias(v) for i, v in enumerate(values)])
+
+
+def pivot_sparse(df: DataFrame, index: Sequence[str], column: str, value: str, how: str = "mean",
+                 out: str = "cells", block_col: str = "block", max_entries: int = 10_000) -> DataFrame:
+    """R6/R9 beyond ``pivotMaxValues``: the wide form with one map (pivot
+    value → mean or sum) in place of a column per value.
+
+    An index row's cells are dealt by hash into as many blocks as keep a map
+    near ``max_entries`` (one block unless the pivot column has more values),
+    so no group grows with the number of values.  Rows with a null pivot value
+    are no cell, nor are cells whose values are all null; an index row without
+    any cell is absent.  Cells are written once, one row each."""
+    agg = {"mean": F.avg, "sum": F.sum}[how]
+    cells = df.where(F.col(column).isNotNull()).groupBy(*index, column).agg(agg(value).alias("__cell")).where(F.col("__cell").isNotNull())
+    cells = cut_lineage(cells, name="cells")
+    n = cells.agg(F.approx_count_distinct(column)).first()[0]
+    block = F.pmod(F.xxhash64(column), F.lit(max(1, -(-n // max_entries)))).cast("int")
+    entries = F.array_sort(F.collect_list(F.struct(F.col(column).alias("k"), F.col("__cell").alias("v"))))
+    return cells.groupBy(*index, block.alias(block_col)).agg(F.map_from_entries(entries).alias(out))
+
+
+def sparse_columns(wide: DataFrame, index: Sequence[str], values: Mapping[str, object], cells: str = "cells") -> DataFrame:
+    """Columns ``{name: pivot value}`` of a sparse wide form, one row per
+    index row; null where the row has no such cell."""
+    return wide.groupBy(*index).agg(*[F.max(F.try_element_at(F.col(cells), F.lit(v))).alias(c) for c, v in values.items()])
+
+
+def unpivot_sparse(wide: DataFrame, index: Sequence[str], name_col: str, value_col: str, cells: str = "cells") -> DataFrame:
+    """A sparse wide form as one row per cell."""
+    return wide.select(*index, F.explode(cells).alias(name_col, value_col))

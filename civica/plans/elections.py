@@ -28,7 +28,7 @@ from civica.operators import rows as RW
 from civica.operators.aggregates import fill_global_mean
 from civica.operators.features import hash_split
 from civica.operators.joins import left_join, lookup_with_default
-from civica.operators.quality import range_check
+from civica.operators.quality import Profiles, range_check
 from civica.operators.windows import group_mean_fill, lag_within, latest_row
 from civica.sources import lake as L
 from civica.sources import warehouse as W
@@ -309,7 +309,8 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
     cut its lineage would be re-planned (and recomputed) in every branch."""
     feats, indicators = feature_frame(spark, cfg)
     feats_table = f"`{cfg.database}`.features"
-    W.replace_table(feats, feats_table)
+    profiles = Profiles()
+    W.replace_table(profiles.watch(feats, "features"), feats_table)
     feats = spark.table(feats_table)
     features = ["annee", "groupe_region_candidat_voix", "taux_chomage", "taux", *indicators]
     tie = [c for c in ("code_commune", "code_b_vote", "candidat_index", "nom") if c in feats.columns]
@@ -319,7 +320,7 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
     # The model is applied to the feature table once; R² and the majority
     # metrics read the scored table (column-pruned) instead of re-scoring.
     scored_table = f"`{cfg.database}`.scored"
-    W.replace_table(MD.predict(model, data), scored_table)
+    W.replace_table(profiles.watch(MD.predict(model, data), "scored"), scored_table)
     scored = spark.table(scored_table)
     r2 = EV.r2(scored, "voix", "pred_voix", keys=["split"])
     test = scored.where("split = 'test'")
@@ -340,13 +341,13 @@ def model_job(spark: SparkSession, cfg: ModelConfig) -> dict:
               .withColumn("annee", F.col("annee").cast("int"))
     preds = preds.select("annee", "code_region", "nom", "categorie", *features[1:], "pred_voix")
     preds_table = f"`{cfg.database}`.predictions"
-    W.replace_table(preds, preds_table)              # scored once; CSV and totals read the table
+    W.replace_table(profiles.watch(preds, "predictions"), preds_table)              # scored once; CSV and totals read the table
     preds = spark.table(preds_table)
     if cfg.predictions_path:
         L.write_delimited(preds, cfg.predictions_path)
     national = MD.national_totals(preds, "annee", "categorie", "pred_voix", CATEGORIES)
     return {"model": model, "scored": scored, "r2": r2, "class_metrics": metrics, "predictions": preds,
-            "national": national, "indicators": indicators}
+            "national": national, "indicators": indicators, "profile": profiles.rows(spark)}
 
 
 def clip_votes(df: DataFrame, column: str) -> DataFrame:

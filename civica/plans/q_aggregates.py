@@ -10,10 +10,11 @@ from civica.functions.numbers import clip, fixed_decimals, floor_at
 from civica.operators import quality as Q
 from civica.operators import trends as TR
 from civica.operators.aggregates import correlation, distinct_sorted, extents as extents_op, group_sums, shape
-from civica.operators.rows import latest_period
+from civica.operators.rows import drop_null_rows, latest_period
 from civica.plans import carriers as C
 from civica.plans.q_tables import NULL_ORDERS_SQL, _orders_with_nulls
 from civica.plans.registry import query, table
+from civica.session import cut_lineage
 
 _NULL_COLS = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_comment_score"]
 
@@ -27,6 +28,19 @@ def null_profile(spark, d):
     return Q.profile(_orders_with_nulls(spark, d), "load")
 
 
+@query("profile_in_passing", "Q1 A8", f"""
+WITH {NULL_ORDERS_SQL}, priced AS (SELECT * FROM nulled WHERE o_totalprice IS NOT NULL)
+""" + "\nUNION ALL ".join(
+    f"SELECT '{stage}' AS stage, (SELECT count(*) FROM {src}) AS n_rows, 4 AS n_columns, '{c}' AS column_name, "
+    f"CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM {src}"
+    for stage, src in (("load", "nulled"), ("priced", "priced")) for c in _NULL_COLS))
+def profile_in_passing(spark, d):
+    profiles = Q.Profiles()
+    loaded = cut_lineage(profiles.watch(_orders_with_nulls(spark, d), "load"), name="load")
+    cut_lineage(profiles.watch(drop_null_rows(loaded, ["o_totalprice"]), "priced"), name="priced")
+    return profiles.rows(spark)
+
+
 @query("shape_profile", "A9", "SELECT count(*) AS n_rows, 6 AS n_columns FROM orders")
 def shape_profile(spark, d):
     return shape(table(spark, d, "orders"))

@@ -11,8 +11,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from civica.operators.aggregates import group_sums
+from civica.operators.joins import left_join
 from civica.operators.reshape import pivot_values
 from civica.operators.rows import union_all
+from civica.operators.windows import lag_within
 from civica.plans import carriers as C
 from civica.plans import elections as E
 from civica.plans.registry import query, table
@@ -224,3 +226,19 @@ def literal_votes(spark, d):
         .select("annee", "nom", (F.col("base") + 0.5 * (F.col("annee") - 1995)).alias("pourcentage"))
     v = LT.votes_from_shares(shares, totals, ["annee"])
     return group_sums(v, ["nom"], {"voix": "voix"}).select("nom", F.round("voix", 4).alias("voix"))
+
+
+@query("bucketed_lag", "W1 J3 K3", """
+SELECT o.o_orderkey, c.c_nationkey, o.o_totalprice,
+       lag(o.o_totalprice) OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey) AS previous
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
+def bucketed_lag(spark, d):
+    """Lag and join over tables laid out by customer: neither moves the rows again."""
+    db = _db(spark, "bucketed")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    o = W.replace_bucketed(o, f"`{db}`.orders", ["o_custkey"], n, ["o_orderdate", "o_orderkey"])
+    c = W.replace_bucketed(c, f"`{db}`.customer", ["o_custkey"], n)
+    lagged = lag_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "previous")
+    return left_join(lagged, c, "o_custkey").select("o_orderkey", "c_nationkey", "o_totalprice", "previous")

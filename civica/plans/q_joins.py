@@ -181,6 +181,13 @@ def share_normalised(spark, d):
     return SH.normalise_shares(g, ["annee"], "voix").select("annee", "categorie", F.round("share", 6).alias("share"))
 
 
+@query("top_values_pruned", "A1 T2", """
+SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_partkey IS NOT NULL
+GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 20""")
+def top_values_pruned(spark, d):
+    return RW.top_counts_pruned(table(spark, d, "lineitem"), "l_partkey", 20)
+
+
 @query("value_counts_top20", "A1 T2", f"""
 WITH {LINE_PARTS_SQL}
 SELECT p_brand, count(*) AS n FROM lp GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 20""")

@@ -236,3 +236,14 @@ def unstack_zero_fill(spark, d):
     v = C.categorised_votes(spark, d)
     wide = R.unstack_zero_fill(v, ["annee"], "categorie", "voix", C.CATEGORIES)
     return wide.select("annee", *[F.round(F.col(f"`{c}`"), 2).alias(c) for c in C.CATEGORIES])
+
+
+@query("pivot_sparse", "R6 R9", """
+SELECT l_suppkey, l_partkey, round(avg(l_quantity), 6) AS mean_quantity FROM lineitem
+WHERE l_partkey IS NOT NULL GROUP BY ALL""")
+def pivot_sparse(spark, d):
+    """Mean quantity as a map over all parts per supplier, read back as cells."""
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_quantity")
+    wide = R.pivot_sparse(li, ["l_suppkey"], "l_partkey", "l_quantity")
+    return R.unpivot_sparse(wide, ["l_suppkey"], "l_partkey", "mean_quantity") \
+        .withColumn("mean_quantity", F.round("mean_quantity", 6))

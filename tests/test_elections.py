@@ -104,6 +104,10 @@ def test_model_job(lake):
     m = out["class_metrics"].first()
     if m["n"] is not None:
         assert 0 <= m["accuracy"] <= 1 and 0 <= m["f1"] <= 1
+    seen = {(r["stage"], r["column_name"]): (r["n_rows"], r["n_null"]) for r in out["profile"].collect()}
+    assert {s for s, _ in seen} == {"features", "scored", "predictions"}
+    assert seen["predictions", "pred_voix"] == (len(preds), 0)
+    assert seen["scored", "voix"][0] == out["scored"].count() == seen["features", "voix"][0]
     nat = out["national"]
     assert nat.columns == ["annee", *E.CATEGORIES]
     assert spark.read.option("header", True).csv(f"{root}/predictions").count() == len(preds)

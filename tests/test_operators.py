@@ -680,3 +680,54 @@ def test_arima_refined_grid_is_not_worse(spark):
     phi = [(x[3] - x[2]) / (x[2] - x[1]) for x in (rough, fine)]
     best = [min(css(p, t / 1000) for t in range(-990, 991, 2)) for p in phi]
     assert best[1] <= best[0] and abs(phi[0] * 100 / 5 - round(phi[0] * 100 / 5)) < 1e-6
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 16])
+def test_top_counts_pruned_equals_top_counts(spark, buckets):
+    # A few heavy values, ties at the floor, many light values, nulls.
+    d = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 4 == 1, F.col("id") % 11)
+                                 .otherwise(100 + F.col("id") % 1500).cast("string").alias("nom"))
+    for n in (1, 5, 11, 20, 5000):
+        want = [tuple(r) for r in RW.top_counts(d, "nom", n).collect()]
+        assert [tuple(r) for r in RW.top_counts_pruned(d, "nom", n, buckets=buckets).collect()] == want
+    assert RW.top_counts_pruned(d.where("nom is null"), "nom", 3).count() == 0
+    assert RW.top_counts_pruned(d.limit(0), "nom", 3).count() == 0
+    with pytest.raises(ValueError):
+        RW.top_counts_pruned(d, "nom", count_col="nom")
+
+
+def test_top_counts_pruned_rules_light_values_out(spark):
+    """With skewed counts only a few values are left to count in full."""
+    heavy = spark.range(20_000).select((F.col("id") % 5).alias("v"))
+    d = heavy.unionAll(spark.range(1000, 31_000).select(F.col("id").alias("v")))
+    top = RW.top_counts_pruned(d, "v", 5)
+    assert [r["v"] for r in top.collect()] == [0, 1, 2, 3, 4]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+
+
+def test_pivot_sparse_beyond_the_pivot_limit(spark):
+    d = spark.range(50_000).select((F.col("id") % 2).alias("g"), F.col("id").alias("k"), (F.col("id") * 0.5).alias("x"))
+    d = d.unionAll(spark.createDataFrame([(0, None, 1.0), (0, 4, None), (0, 4, 10.0), (7, 3, None), (None, 3, 5.0)], "g long, k long, x double"))
+    wide = R.pivot_sparse(d, ["g"], "k", "x").cache()
+    # 50,000 values: about five blocks of about 10,000, every cell in one of them.
+    sizes = wide.where("g = 0").select(F.size("cells")).collect()
+    assert len(sizes) >= 5 and sum(r[0] for r in sizes) == 25_000 and max(r[0] for r in sizes) < 11_000
+    cells = {(r["g"], r["k"]): r["x"] for r in R.unpivot_sparse(wide, ["g"], "k", "x").collect()}
+    assert len(cells) == 50_001 and cells[0, 4] == 6.0 and cells[1, 9] == 4.5 and cells[None, 3] == 5.0
+    cols = {r["g"]: (r["four"], r["nine"]) for r in R.sparse_columns(wide, ["g"], {"four": 4, "nine": 9}).collect()}
+    assert cols == {0: (6.0, None), 1: (None, 4.5), None: (None, None)}
+    small = R.pivot_sparse(d, ["g"], "k", "x", how="sum").where("g is null").first()
+    assert small["cells"] == {3: 5.0}
+    assert R.pivot_sparse(d.limit(0), ["g"], "k", "x").count() == 0
+
+
+def test_profiles_count_while_the_write_runs(spark, tmpdir_path):
+    d = spark.createDataFrame([(1, "a"), (2, None), (None, None)], "`x.y` int, s string")
+    p = Q.Profiles()
+    p.watch(d.repartition(2), "one").write.parquet(f"{tmpdir_path}/one")
+    p.watch(d.limit(0), "two").write.parquet(f"{tmpdir_path}/two")
+    want = [tuple(r) for r in Q.profile(d, "one").collect()] + [tuple(r) for r in Q.profile(d.limit(0), "two").collect()]
+    assert [tuple(r) for r in p.rows(spark).collect()] == want
+    with pytest.raises(ValueError):
+        p.watch(d, "one")

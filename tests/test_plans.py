@@ -118,3 +118,14 @@ def test_last_period_without_sorting_the_facts(spark):
     # One ordering aggregate, and what it reads are the survivors of a semi join.
     below = plan[plan.rindex("SortAggregate"):]
     assert "LeftSemi" in below
+
+
+def test_bucketed_tables_are_read_in_place(spark):
+    """Lag and join on the bucket key move nothing."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(QUERIES["bucketed_lag"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Window" in plan and "Exchange" not in plan
