@@ -14,11 +14,16 @@ what is bounded by settings: class sums and the words with at least
 ``1 / max_frequent`` of the tokens.
 
 Training sequences are neighbouring segments of ``segment`` tokens, so that
-long and short texts take equal steps; every training token is in one.
-
-Defined cases: a null or empty text is the end token alone; a null id isn't
-held out; repeated rows are learnt from and scored as often as they occur;
-without training rows every state is uniform over the classes.
+long and short texts take equal steps; every training token is in one.  The
+state that begins a text and the one that a later segment begins with are
+learnt apart, and whole texts are scored from the first.
+
+Defined cases: a null or empty text is the end token alone; a text of any
+length is scored whole, from its beginning; a null id isn't held out; repeated
+rows are learnt from and scored as often as they occur; of equally frequent
+words the lesser comes first; without training rows every state is uniform
+over the classes; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -70,6 +75,8 @@ class Hmm:
     class_words: np.ndarray
     settings: HmmSettings
     start: np.ndarray = field(default_factory=lambda: np.empty(0))
+    #: State of a segment that goes on within a text.
+    resume: np.ndarray = field(default_factory=lambda: np.empty(0))
     move: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
     emit: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
 
@@ -223,23 +230,30 @@ def forward(classes: np.ndarray, lengths: np.ndarray, model: Hmm) -> np.ndarray:
     return out
 
 
-def expectations(classes: np.ndarray, lengths: np.ndarray, model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+def expectations(classes: np.ndarray, lengths: np.ndarray, model: Hmm,
+                 begins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected starts, moves and emissions, and the log-likelihood, of
-    sequences of at most a segment."""
+    sequences of at most a segment.  The first row of the starts is of those
+    that begin a text (``begins``; all by default), the second of the others."""
     k = len(model.start)
-    starts, moves = np.zeros(k), np.zeros((k, k))
+    begins = np.ones(len(lengths), bool) if begins is None else begins
+    starts, moves = np.zeros((2, k)), np.zeros((k, k))
     emits = np.zeros((len(model.emit), k))
     order = np.argsort(-lengths, kind="stable")
     begin_all, size_all = (np.cumsum(lengths) - lengths)[order], lengths[order]
     likelihood = 0.0
     for at in range(0, len(order), model.settings.batch):
         begin, size = begin_all[at: at + model.settings.batch], size_all[at: at + model.settings.batch]
+        fresh = begins[order[at: at + model.settings.batch]]
+        first = np.broadcast_to(model.start, (len(fresh), k)).copy()
+        if not fresh.all():
+            first[~fresh] = model.resume
         live = [int(n) for n in np.searchsorted(-size, -np.arange(int(size[0])), "left")]
         alpha, emitted, scales, seen = [], [], [], []
         for t, n in enumerate(live):
             c = classes[begin[:n] + t]
             e = model.emit[c]
-            a = model.start * e if t == 0 else (alpha[-1][:n] @ model.move) * e
+            a = first * e if t == 0 else (alpha[-1][:n] @ model.move) * e
             scale = a.sum(1)
             a /= scale[:, None]
             likelihood += float(np.log(scale).sum())
@@ -261,7 +275,8 @@ def expectations(classes: np.ndarray, lengths: np.ndarray, model: Hmm) -> tuple[
                 beta_before = np.ones((live[t - 1], k))
                 beta_before[: len(weighted)] = weighted @ model.move.T
                 beta = beta_before
-        starts += gamma[0].sum(0)
+        starts[0] += gamma[0][fresh].sum(0)
+        starts[1] += gamma[0][~fresh].sum(0)
         every, which = np.concatenate(gamma), np.concatenate(seen)
         for j in range(k):
             emits[:, j] += np.bincount(which, weights=every[:, j], minlength=len(emits))
@@ -279,6 +294,14 @@ def segments(lengths: np.ndarray, segment: int) -> np.ndarray:
     return out
 
 
+def beginnings(lengths: np.ndarray, segment: int) -> np.ndarray:
+    """Which of these segments begin a sequence."""
+    n = -(-lengths // segment)
+    out = np.zeros(int(n.sum()), bool)
+    out[(np.cumsum(n) - n)[n > 0]] = True
+    return out
+
+
 def _shard_tokens(b: pa.RecordBatch, i: int, model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(class of each word, tokens, lengths, held) of a shard."""
     own = model.word_classes(b.column("words")[i].values.to_pylist())
@@ -290,19 +313,21 @@ def _expect(model: Hmm):
     """One row per class, start and move of a task's expected counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(model.start)
-        starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((len(model.emit), k)), 0.0
+        starts, moves, emits, likelihood = np.zeros((2, k)), np.zeros((k, k)), np.zeros((len(model.emit), k)), 0.0
+        size = model.settings.segment
         for b in batches:
             for i in range(b.num_rows):
                 own, tokens, lengths, held = _shard_tokens(b, i, model)
                 learnt = tokens[np.repeat(~held, lengths)]
                 if len(learnt):
-                    got = expectations(own[learnt], segments(lengths[~held], model.settings.segment), model)
+                    texts = lengths[~held]
+                    got = expectations(own[learnt], segments(texts, size), model, beginnings(texts, size))
                     starts += got[0]
                     moves += got[1]
                     emits += got[2]
                     likelihood += got[3]
         used = np.flatnonzero(emits.sum(1))
-        key = np.concatenate([[-1 - k - 1], -1 - np.arange(k + 1), used]).astype(np.int32)
+        key = np.concatenate([[-3 - k], -1 - np.arange(k + 2), used]).astype(np.int32)
         rows = np.vstack([np.full(k, likelihood / k), starts, moves, emits[used]])
         yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c) for c in rows.T)], names=["key", *(f"c{j}" for j in range(k))])
 
@@ -315,7 +340,7 @@ def train(shards: DataFrame, model: Hmm) -> list[float]:
     s, k = model.settings, model.settings.states
     rng = np.random.default_rng(s.seed)
     weight = (model.class_tokens + 1.0) / (model.class_tokens + 1.0).sum()
-    model.start = np.full(k, 1 / k)
+    model.start = model.resume = np.full(k, 1 / k)
     model.move = np.full((k, k), 0.1 / max(k - 1, 1)) if k > 1 else np.ones((1, 1))
     if k > 1:
         np.fill_diagonal(model.move, 0.9)
@@ -327,18 +352,18 @@ def train(shards: DataFrame, model: Hmm) -> list[float]:
     for _ in range(s.iterations if model.tokens else 0):
         rows = used.mapInArrow(_expect(model), "key int, " + ", ".join(f"{c} double" for c in columns)) \
             .groupBy("key").agg(*[F.sum(c).alias(c) for c in columns]).collect()
-        emits, moves, starts = np.zeros_like(model.emit), np.zeros((k, k)), np.zeros(k)
+        emits, moves, starts = np.zeros_like(model.emit), np.zeros((k, k)), np.zeros((2, k))
         for r in rows:
             values = np.array(r[1:])
             if r["key"] >= 0:
                 emits[r["key"]] = values
-            elif r["key"] == -1:
-                starts = values
-            elif r["key"] >= -1 - k:
-                moves[-2 - r["key"]] = values
+            elif r["key"] >= -2:
+                starts[-1 - r["key"]] = values
+            elif r["key"] >= -2 - k:
+                moves[-3 - r["key"]] = values
             else:
                 history.append(float(values.sum()))
-        model.start = (starts + 1) / (starts + 1).sum()
+        model.start, model.resume = (starts + 1) / (starts + 1).sum(1, keepdims=True)
         model.move = (moves + 1) / (moves + 1).sum(1, keepdims=True)
         emits += s.prior * weight[:, None]
         model.emit = emits / emits.sum(0)

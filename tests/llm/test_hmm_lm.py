@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -50,17 +51,21 @@ def test_forward_is_the_sum_over_paths():
     assert np.allclose(got, want)
 
 
-def test_expectations_are_the_sums_over_paths():
+@pytest.mark.parametrize("begins", [[True] * 7, [True, False, True, False, False, True, False]])
+def test_expectations_are_the_sums_over_paths(begins):
     m = model()
     rng = np.random.default_rng(2)
     seqs = [rng.integers(0, 5, n) for n in (4, 1, 3, 4, 2, 2, 1)]
-    starts, moves, emits, likelihood = H.expectations(np.concatenate(seqs), np.array([len(s) for s in seqs]), m)
-    want_s, want_m, want_e, total = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)), 0.0
-    for s in seqs:
-        z = sum(p for _, p in paths(s, m))
+    begins = np.array(begins)
+    m.resume = np.array([0.2, 0.7, 0.1])
+    starts, moves, emits, likelihood = H.expectations(np.concatenate(seqs), np.array([len(s) for s in seqs]), m, begins)
+    want_s, want_m, want_e, total = np.zeros((2, 3)), np.zeros((3, 3)), np.zeros((5, 3)), 0.0
+    for s, fresh in zip(seqs, begins):
+        own = m if fresh else replace(m, start=m.resume)
+        z = sum(p for _, p in paths(s, own))
         total += math.log(z)
-        for path, p in paths(s, m):
-            want_s[path[0]] += p / z
+        for path, p in paths(s, own):
+            want_s[0 if fresh else 1, path[0]] += p / z
             for a, b in zip(path, path[1:]):
                 want_m[a, b] += p / z
             for x, a in zip(s, path):
@@ -72,6 +77,7 @@ def test_expectations_are_the_sums_over_paths():
 def test_segments_cover_every_token():
     lengths = np.array([1, 4, 5, 8, 11])
     assert H.segments(lengths, 4).tolist() == [1, 4, 4, 1, 4, 4, 4, 4, 3]
+    assert H.beginnings(lengths, 4).tolist() == [True, True, True, False, True, False, True, False, False]
 
 
 SETTINGS = H.HmmSettings(states=3, iterations=3, max_frequent=20, classes=16, shard_bytes=2000, bucket_bytes=10_000)
@@ -136,3 +142,24 @@ def test_no_training_rows_and_empty_table(llm, docs, no_docs):
     got = H.hmm_scores(docs, F.lit(True), settings=SETTINGS).collect()
     assert all(r["held_out"] and r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in got)
     assert H.hmm_scores(no_docs, F.lit(False), settings=SETTINGS).count() == 0
+
+
+def test_start_is_learnt_at_beginnings_alone(llm):
+    """Texts longer than a segment that open with one word: only it begins a text."""
+    rows = [(i, "open " + "a b c " * 20) for i in range(40)]
+    models = []
+    own = H.train
+
+    def keep(shards, m):
+        models.append(m)
+        return own(shards, m)
+
+    H.train = keep
+    try:
+        H.hmm_scores(llm.createDataFrame(rows, "doc_id long, text string"), F.lit(False),
+                     settings=H.HmmSettings(states=4, iterations=30, segment=7, max_frequent=500, classes=4, prior=0.1)).count()
+    finally:
+        H.train = own
+    m = models[0]
+    first = m.frequent[b"open"]
+    assert m.start @ m.emit[first] > 0.8 and m.resume @ m.emit[first] < 0.1
