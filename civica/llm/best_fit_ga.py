@@ -13,8 +13,10 @@ Bins of a block that stay badly filled are dissolved, and their pieces go to
 blocks of the next level, until one block is left or dissolving gains
 nothing.  What one task holds is a block, whatever the size of the table.
 
-Defined cases: a null or empty text has the end token only; every row is
-packed, repeated rows and null ids included; an empty table packs to nothing.
+Defined cases: a null or empty text has the end token only; a text of any
+length is encoded whole and cut into pieces; every row is packed, repeated
+rows and null ids included; of bins with equal room the latest is taken; an
+empty table packs to nothing; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

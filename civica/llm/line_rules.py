@@ -7,7 +7,10 @@ a document before that.
 
 Defined cases: a null or empty text has no words, no lines to judge and is
 not kept (it has fewer than ``min_words`` words); white-space-only lines are
-never removed; repeated rows get the same verdict.  Texts are read whole.
+never removed; of several rules that a line fails the first counts; repeated
+rows get the same verdict; texts of any length are read whole; null ids stay
+null; an empty table gives an empty result; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ the log prior odds.
 Defined cases: a null or empty text has the statistics of an empty text and
 gets a score; a row whose id or label is null isn't learnt from; a repeated
 labelled row counts as often as it occurs; without rows of one class, every
-score is the smoothed share of label 1 among the labelled rows.
+score is the smoothed share of label 1 among the labelled rows; texts of any
+length are read whole; a score that equals the threshold is accepted; an empty
+table gives an empty result; other columns are ignored, whatever their names,
+or kept by ``keep_quality``.
 """
 
 from __future__ import annotations

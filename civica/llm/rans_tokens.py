@@ -15,7 +15,8 @@ any store that Spark writes to will do.
 
 Defined cases: a null or empty text has the end token only; documents with a
 null id come first; repeated ids keep a row each, in order of their tokens;
-an empty table gives a file without blocks.
+a text of any length is encoded whole, in one block; an empty table gives a
+file without blocks; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

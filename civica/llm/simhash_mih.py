@@ -16,8 +16,11 @@ alternating large and small stars.
 
 Defined cases: a null, empty or white-space-only text has fingerprint zero
 and is linked like any other; a text of fewer words than the shingle is one
-shingle; a null id takes part, but is never a component's id while another
-id is there; repeated rows are copies.
+shingle; texts of any length are read whole; a bit that is set in just half of
+the shingles is 0; a null id takes part, but is never a component's id while
+another id is there; repeated rows are copies; an empty table gives an empty
+result; other columns are ignored, whatever their names, or kept by
+``keep_one``.
 """
 
 from __future__ import annotations

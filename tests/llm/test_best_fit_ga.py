@@ -126,3 +126,21 @@ def test_large_equal_pieces_end(llm):
 
 def test_empty_table(no_docs):
     assert G.pack_documents(no_docs, VOCAB, 2).count() == 0
+
+
+def fewest_bins(size, capacity):
+    """Exact: the fewest bins, then the least used one, by every set of pieces."""
+    best = {0: (0, capacity)}
+    for done in range(1, 1 << len(size)):
+        best[done] = min((n, used + s) if used + s <= capacity else (n + 1, s)
+                         for i, s in enumerate(size) if done >> i & 1
+                         for n, used in [best[done ^ 1 << i]])
+    return best[(1 << len(size)) - 1][0]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_small_blocks_are_packed_as_well_as_can_be(seed):
+    rng = np.random.default_rng(seed)
+    size = rng.integers(3, 40, 11)
+    best = G.evolve(size, [], G.Search(capacity=60), rng)[0]
+    assert best.max() + 1 == fewest_bins(size.tolist(), 60)

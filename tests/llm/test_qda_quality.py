@@ -1,4 +1,7 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -82,3 +85,36 @@ def test_features_do_not_depend_on_neighbours(docs):
     together = {r["doc_id"]: r for r in Q.quality_features(docs.filter("doc_id > 2").coalesce(1)).collect()}
     apart = {r["doc_id"]: r for r in Q.quality_features(docs.filter("doc_id > 2").repartition(20, F.col("doc_id"))).collect()}
     assert together == apart
+
+
+def plain_features(text):
+    """The sixteen statistics of one text, counted plainly."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, chars = len(words), max(len(text), 1)
+    size = [len(w.encode()) for w in words]
+    times = Counter(words)
+    triples = list(zip(words, words[1:], words[2:]))
+    often = Counter(triples)
+    repeated = {i + k for i, t in enumerate(triples) if often[t] > 1 for k in range(3)}
+    lines = [x for x in text.encode().split(b"\n") if x.strip()]
+    among = lambda s: sum(text.count(c) for c in s)
+    share = lambda a: math.sqrt(a / (n + Q.FEW))
+    by_char = lambda a: math.sqrt(a / (chars + 6 * Q.FEW))
+    return {
+        "log_words": math.log1p(n), "word_length": math.log((sum(map(len, words)) + 5 * Q.FEW) / (n + Q.FEW)),
+        "long_words": share(sum(s > 12 for s in size)), "short_words": share(sum(s <= 3 for s in size)),
+        "upper": by_char(len(re.findall("[A-Z]", text))), "digits": by_char(len(re.findall("[0-9]", text))),
+        "symbols": by_char(among("#*$%&|<>")), "commas": share(among(",;:")), "stops": share(among(".?")),
+        "bangs": share(among("!")), "pipes": share(among("|")), "distinct": 1 - (n - len(times)) / (n + Q.FEW),
+        "top_word": share(max([*times.values(), 1]) - 1), "repeated": share(len(repeated)),
+        "dup_lines": math.sqrt((len(lines) - len(set(lines))) / (len(lines) + 2)),
+        "line_words": math.log1p(n / (text.count("\n") + 1))}
+
+
+def test_statistics_match_a_plain_count(docs, labelled):
+    for df in (docs, labelled[0].limit(60)):
+        texts = {r["doc_id"]: r["text"] for r in df.collect()}
+        for r in Q.quality_features(df).collect():
+            want = plain_features(texts[r["doc_id"]])
+            assert {f: round(r[f], 9) for f in Q.FEATURES} == {f: round(v, 9) for f, v in want.items()}, r["doc_id"]
