@@ -3,6 +3,13 @@
 Each stage works on all that the one before it kept, is written as Parquet
 below the shared folder and read again by the next.  The first four return
 the columns of ``documents``; the last returns the pieces of the packing.
+
+Defined cases: a null or empty text is judged, linked and packed like any
+other (it packs to its end token); texts of any length are worked on whole;
+rows are chosen by row, not by id, so null and equal ids lose no other row;
+copies leave one row, that of the smallest id; an empty table goes through all
+stages; columns beyond those of ``documents`` go through the first four, also
+those named like the stages' own.
 """
 
 from __future__ import annotations
