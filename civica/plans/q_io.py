@@ -242,3 +242,21 @@ def bucketed_lag(spark, d):
     c = W.replace_bucketed(c, f"`{db}`.customer", ["o_custkey"], n)
     lagged = lag_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "previous")
     return left_join(lagged, c, "o_custkey").select("o_orderkey", "c_nationkey", "o_totalprice", "previous")
+
+
+@query("identity_restart", "K8 K2", """
+SELECT row_number() OVER (ORDER BY o_orderkey) AS id_resultat, o_orderkey, 'first' AS lot FROM orders
+UNION ALL
+SELECT (SELECT count(*) FROM orders) + row_number() OVER (ORDER BY o_orderkey), o_orderkey, 'second'
+FROM orders WHERE o_orderpriority = '1-URGENT'""")
+def identity_restart(spark, d):
+    """Keys follow on from load to load, and start at 1 after a truncation."""
+    db = _db(spark, "identity")
+    name = f"`{db}`.resultats"
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    urgent = o.where("o_orderpriority = '1-URGENT'").select("o_orderkey", F.lit("second").alias("lot"))
+    W.append_identity(urgent, name, "id_resultat", ["o_orderkey"])
+    W.truncate_all(spark, db)
+    W.append_identity(o.select("o_orderkey", F.lit("first").alias("lot")), name, "id_resultat", ["o_orderkey"])
+    W.append_identity(urgent, name, "id_resultat", ["o_orderkey"])
+    return spark.table(name)

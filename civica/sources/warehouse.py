@@ -13,12 +13,13 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
+from civica.operators.joins import measured
 from civica.operators.quality import constraint_audit, duplicate_keys, orphans
-from civica.session import scratch_path
+from civica.session import cut_lineage, scratch_path
 
 
 def scan_years(df: DataFrame, column: str, lo: int, hi: int, columns: Sequence[str] | None = None) -> DataFrame:
@@ -81,6 +82,29 @@ def append_batch(df: DataFrame, name: str, batch: str, batch_col: str = "lot") -
     spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{batch_col}` = :batch) SELECT * FROM {{rows}}", args={"batch": batch}, rows=rows)
 
 
+def append_identity(df: DataFrame, name: str, id_col: str, order: Sequence[str]) -> None:
+    """K2 with a generated key: rows are appended with the numbers that follow
+    the table's largest ``id_col``, dense and in the order of ``order``, so a
+    table emptied by ``truncate_all`` starts at 1 again (K8).
+
+    The rows are sorted over all tasks and written beside their task and their
+    place in it; a running sum over one row per task gives each task its first
+    number.  ``order`` should be a total order: rows that tie get consecutive
+    numbers in any order.  One writer at a time, as nothing locks the table."""
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(name)
+    last = (spark.table(name).agg(F.max(id_col)).first()[0] if exists else None) or 0
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = cut_lineage(df.drop(id_col).orderBy(*order).withColumn("__task", F.spark_partition_id()).withColumn("__place", place),
+                       name="identity")
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)   # one row per task
+    first = rows.groupBy("__task").agg(F.count(F.lit(1)).alias("__n")) \
+        .select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
+    numbered = rows.join(measured(first), "__task").select(
+        (F.col("__first") + F.col("__place") + 1 + F.lit(last)).cast("long").alias(id_col), *df.drop(id_col).columns)
+    append_table(numbered, name)
+
+
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """K3: replace the table content and schema.  ``partition_by`` (e.g. the
     election year) lets later range filters prune whole directories."""

@@ -21,6 +21,7 @@ from civica.operators import trends as TR
 from civica.operators import windows as W
 from civica.functions.text import contains_any
 from civica.sources import lake as L
+from civica.sources import warehouse as W_
 
 
 def _key(t):
@@ -731,3 +732,22 @@ def test_profiles_count_while_the_write_runs(spark, tmpdir_path):
     assert [tuple(r) for r in p.rows(spark).collect()] == want
     with pytest.raises(ValueError):
         p.watch(d, "one")
+
+
+def test_identity_follows_on_and_restarts(spark):
+    db = W_.ensure_database(spark, "civica_identity_test")
+    try:
+        d = spark.range(100, 0, -1, 7).select(F.col("id").alias("k"), F.lit(-1).alias("nr"))
+        W_.append_identity(d.limit(0), f"{db}.t", "nr", ["k"])
+        assert spark.table(f"{db}.t").count() == 0
+        W_.append_identity(d, f"{db}.t", "nr", ["k"])
+        W_.append_identity(spark.createDataFrame([(5,), (None,), (5,)], "k long"), f"{db}.t", "nr", ["k"])
+        got = sorted((r["nr"], r["k"]) for r in spark.table(f"{db}.t").where("nr <= 100").collect())
+        assert got == [(i, i) for i in range(1, 101)]
+        late = sorted((r["nr"], r["k"]) for r in spark.table(f"{db}.t").where("nr > 100").collect())
+        assert late == [(101, None), (102, 5), (103, 5)]
+        W_.truncate_all(spark, db)
+        W_.append_identity(d.where("k <= 3"), f"{db}.t", "nr", ["k"])
+        assert sorted((r["nr"], r["k"]) for r in spark.table(f"{db}.t").collect()) == [(1, 1), (2, 2), (3, 3)]
+    finally:
+        W_.drop_database(spark, db)
