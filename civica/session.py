@@ -68,13 +68,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-# Scratch paths handed out, per application.
+# Scratch paths handed out, and databases created in them, per application.
 _scratch: dict[str, list[str]] = {}
+_databases: dict[str, list[str]] = {}
+
+
+def scratch_database(spark: SparkSession, name: str) -> str:
+    """A database below the shared folder, which ``clean_scratch`` drops.  One
+    that is there already stays as it is, and is not dropped."""
+    if not spark.catalog.databaseExists(name):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{scratch_path(spark, f'warehouse-{name}')}'")
+        _databases.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
 
 
 def clean_scratch(spark: SparkSession) -> int:
-    """Deletes the intermediate tables that this application has written so
-    far.  For when no DataFrame that reads them is needed any more."""
+    """Deletes the intermediate tables, and the databases in the shared
+    folder, that this application has written so far.  For when no DataFrame
+    that reads them is needed any more."""
+    for name in _databases.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
     paths = _scratch.pop(spark.sparkContext.applicationId, [])
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:

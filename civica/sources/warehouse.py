@@ -19,7 +19,7 @@ from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampT
 
 from civica.operators.joins import measured
 from civica.operators.quality import constraint_audit, duplicate_keys, orphans
-from civica.session import cut_lineage, scratch_path
+from civica.session import cut_lineage, scratch_database
 
 
 def scan_years(df: DataFrame, column: str, lo: int, hi: int, columns: Sequence[str] | None = None) -> DataFrame:
@@ -49,9 +49,10 @@ def scan_where_ordered(df: DataFrame, column: str, value, order: Sequence[str])
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> str:
     """Create a database located in shared storage (default: below
-    ``spark.checkpoint.dir``)."""
-    loc = location or scratch_path(spark, f"warehouse-{name}")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{loc}'")
+    ``spark.checkpoint.dir``, until ``clean_scratch``)."""
+    if location is None:
+        return scratch_database(spark, name)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
     return name
 
 

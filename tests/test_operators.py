@@ -597,12 +597,17 @@ def test_shared_folder_is_required_off_local_masters(spark):
         SE.shared_dir(Fake())
 
 
-def test_scratch_tables_can_be_removed(spark):
+def test_scratch_tables_can_be_removed(spark, tmpdir_path):
     import os
     from civica import session as SE
     df = SE.cut_lineage(spark.range(3), name="gone")
     path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    W_.ensure_database(spark, "civica_gone")
+    W_.append_table(spark.range(2), "civica_gone.t")
+    kept = W_.ensure_database(spark, "civica_kept", f"{tmpdir_path}/kept")
     assert os.path.exists(path) and SE.clean_scratch(spark) > 0 and not os.path.exists(path)
+    assert not spark.catalog.databaseExists("civica_gone") and spark.catalog.databaseExists(kept)
+    W_.drop_database(spark, kept)
 
 
 def test_keyword_index_equals_patterns(spark):
