@@ -6,7 +6,11 @@ import random
 
 import pytest
 
+import __spark_entry__ as E
 from civica.operators import booster as B
+from civica.operators import model as MD
+from civica.plans import carriers as C
+from conftest import SF_SMALL
 
 
 def rows(n=400, seed=1):
@@ -88,3 +92,25 @@ def test_many_rounds_fit_better_and_keep_the_floor(spark):
     model = B.fit_booster(df, ["a", "b"], "y", rounds=40, depth=3, rate=0.2, least=5)
     r = B.booster_predict(model, df, floor=3.0).selectExpr("min(pred_voix) AS low", "1 - sum(pow(y - pred_voix, 2)) / (var_pop(y) * count(1)) AS r2").first()
     assert len(model.trees) == 40 and r["low"] >= 3.0 and r["r2"] > 0.9
+
+
+def test_forest_finds_steps_whatever_rows_it_draws(spark):
+    """Values that depend on one feature by steps: every leaf of every tree is
+    pure, so the forest gives the steps' values, however rows are drawn."""
+    steps = {0.0: 7.0, 1.0: 1.0, 2.0: 12.0, 3.0: 4.0}
+    df = spark.createDataFrame([(float(i % 4), steps[i % 4]) for i in range(400)], "x double, y double")
+    model = MD.train_model(df, ["x"], "y", kind="forest", max_depth=4, num_trees=5)
+    new = spark.createDataFrame([(x,) for x in (*steps, -3.0, 8.0)], "x double")
+    got = {r["x"]: round(r["pred_voix"], 9) for r in MD.predict(model, new, floor=2.0).collect()}
+    assert got == {0.0: 7.0, 1.0: 2.0, 2.0: 12.0, 3.0: 4.0, -3.0: 7.0, 8.0: 4.0}
+
+
+def test_forest_query_returns_predictions_and_their_fit(spark):
+    got = E.queries()["forest_predict"](spark, SF_SMALL).collect()
+    votes = {r["o_orderkey"]: r["voix"] for r in C.votes(spark, SF_SMALL).collect()}
+    assert got and all(r["voix"] == votes[r["o_orderkey"]] and r["split"] == "test" for r in got)
+    assert len({r["o_orderkey"] for r in got}) == len(got) and len({r["pred_voix"] for r in got}) > 5
+    assert all(min(votes.values()) <= r["pred_voix"] <= max(votes.values()) for r in got)
+    mean = sum(r["voix"] for r in got) / len(got)
+    r2 = 1 - sum((r["voix"] - r["pred_voix"]) ** 2 for r in got) / sum((r["voix"] - mean) ** 2 for r in got)
+    assert {round(r["r2_test"], 3) for r in got} == {round(r2, 3)}

@@ -1,7 +1,8 @@
 """Every catalogue query against its DuckDB oracle on the smallest tables
 (the driver runs the same check at sf0.01): same columns, types and row
 count, and bit-identical values (no float tolerance).  Every query of the
-library has an oracle."""
+library has an oracle, but for the forest, which draws rows at random and is
+tested by its own (tests/test_booster.py)."""
 
 import pytest
 
@@ -23,7 +24,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], SQL[name], SF_SMALL)
     assert r["ok"], r
@@ -32,7 +33,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) - set(SQL) == {"forest_predict"}
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
