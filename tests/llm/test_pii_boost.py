@@ -92,6 +92,80 @@ def test_soft_spans_are_found_and_other_numbers_left(llm):
     assert text[0] == rows[0][1]
 
 
+def judged(llm, n=600):
+    """Spans of two kinds with overlapping features, a kind too rare to be
+    learnt, a null id, repeated rows; and the same rows in memory."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(n):
+        spans = []
+        for kind in (1, 3):
+            for j in range(8):
+                base = j < 3
+                x = rng.integers(0, 6, len(P.FEATURES)).astype(float)
+                x[kind] = rng.integers(0, 60) + 25 * base
+                spans.append((kind, j, j + 1, base, x.tolist()))
+        rows.append((None if i % 50 == 3 else i, spans + [(0, 0, 1, True, [1.0] * len(P.FEATURES))] * (i < 9)))
+    rows += rows[:40]
+    df = llm.createDataFrame(rows, f"doc_id long, found array<{P._SPAN}>")
+    held = dict(df.selectExpr("doc_id", "pmod(xxhash64(cast(doc_id as string)), 4) = 0").distinct().collect())
+    return df, [(held[i], *s) for i, spans in rows for s in spans]
+
+
+def test_models_come_from_every_candidate(llm, monkeypatch):
+    """Label weights of an eighth and less: the trees, the calibration and
+    the threshold are those of all rows, however these are dealt."""
+    monkeypatch.setattr(P, "TREES", P.TREES_PER_WRITE + 1)  # once beyond the writing of the margins
+    df, flat = judged(llm)
+    weight, precision = 240.0, 0.8  # 1/8 of 1,920 base spans, 3/40 of 3,200 others
+    got = P.fit_kinds(df.repartition(1), "found", "doc_id", weight, precision)
+    assert set(got) == {1, 3}
+    for kind, m in got.items():
+        rows = [r for r in flat if r[1] == kind]
+        held, y, x = np.array([r[0] for r in rows]), np.array([float(r[4]) for r in rows]), np.array([r[5] for r in rows])
+        assert (y.sum(), len(y)) == (1920, 5120) and 0 < held.sum() < len(y)
+        each = np.where(y == 1, weight / y.sum(), weight / (1 - y).sum())
+        want = P.calibrated(P.boost(x[~held], y[~held], trees=P.TREES, weight=each[~held]), x[held], y[held], np.ones(held.sum()), precision)
+        assert np.allclose(m.probability(x), want.probability(x), atol=1e-6)
+        assert m.threshold == pytest.approx(want.threshold, abs=1e-6) and m.threshold < 1
+        passed = m.probability(x[held]) >= m.threshold
+        assert y[held][passed].mean() >= precision and passed.sum() > 100
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = llm.conf.get(coalesce)
+    llm.conf.set(coalesce, "false")  # several ranges of probabilities
+    try:
+        again = P.fit_kinds(df.repartition(7), "found", "doc_id", weight, precision)
+    finally:
+        llm.conf.set(coalesce, before)
+    for kind, m in got.items():
+        for name in ("start", "feature", "border", "leaf", "slope", "offset", "threshold"):
+            assert np.array_equal(getattr(m, name), getattr(again[kind], name)), name
+
+
+def test_thresholds_over_ranges_of_probabilities(llm):
+    """Sums go on from range to range, per kind; equal probabilities pass
+    together; a kind without examples keeps its model."""
+    rng = np.random.default_rng(6)
+    model = P.unsplit(1, 1, 1, 1)
+    z = {k: np.round(rng.normal(size=3000), 2) for k in (0, 2)}
+    y = {k: (rng.random(3000) < 1 / (1 + np.exp(-3 * v))).astype(int) for k, v in z.items()}
+    rows = [(k, float(a), int(b), 1 - int(b)) for k in z for a, b in zip(z[k], y[k])] + [(3, 0.5, 0, 2)]
+    margins = llm.createDataFrame(rows, "kind int, margin double, good long, bad long").groupBy("kind", "margin").agg({"good": "sum", "bad": "sum"}) \
+        .selectExpr("kind", "margin", "`sum(good)` AS good", "`sum(bad)` AS bad")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = llm.conf.get(coalesce)
+    llm.conf.set(coalesce, "false")
+    try:
+        got = P.calibrate_kinds(margins, {0: model, 2: model, 3: model}, 0.9)
+    finally:
+        llm.conf.set(coalesce, before)
+    assert got[3] is model
+    for k in z:
+        p = 1 / (1 + np.exp(-(got[k].slope * z[k] + got[k].offset)))
+        passing = [v for v in np.unique(p) if y[k][p >= v].mean() >= 0.9]
+        assert got[k].threshold == pytest.approx(min(passing), abs=1e-12) and got[k].slope > 2
+
+
 def test_edge_cases(docs, no_docs, texts):
     rows = P.pii_report(P.pii_spans(docs)).collect()
     assert len(rows) == len(texts) + 2
