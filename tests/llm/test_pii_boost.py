@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from civica.llm import pii_boost as P
 from tests.llm.conftest import prose
@@ -150,8 +151,8 @@ def test_thresholds_over_ranges_of_probabilities(llm):
     z = {k: np.round(rng.normal(size=3000), 2) for k in (0, 2)}
     y = {k: (rng.random(3000) < 1 / (1 + np.exp(-3 * v))).astype(int) for k, v in z.items()}
     rows = [(k, float(a), int(b), 1 - int(b)) for k in z for a, b in zip(z[k], y[k])] + [(3, 0.5, 0, 2)]
-    margins = llm.createDataFrame(rows, "kind int, margin double, good long, bad long").groupBy("kind", "margin").agg({"good": "sum", "bad": "sum"}) \
-        .selectExpr("kind", "margin", "`sum(good)` AS good", "`sum(bad)` AS bad")
+    margins = llm.createDataFrame(rows, "kind int, margin double, good long, bad long").groupBy("kind", "margin") \
+        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
     before = llm.conf.get(coalesce)
     llm.conf.set(coalesce, "false")
